@@ -124,15 +124,15 @@ def eod_summary(header: DataFrame, tender: DataFrame) -> DataFrame:
     )
     j = h.join(t, "pos_txn_id", "left")
     z = F.lit(0).cast(MONEY)
-    g = j.groupBy("country_code", "store_id", "business_date").agg(
+    # One currency per country: grouping by it keeps the aggregate buffer
+    # fixed-width (hash aggregate, no sort).
+    g = j.groupBy("country_code", "store_id", "business_date", "currency_code").agg(
         F.sum("net_amount").cast(MONEY).alias("net_sales"),
         F.sum("tax_amount_local").cast(MONEY).alias("tax_collected"),
-        F.max("currency_code").alias("currency_code"),
         F.coalesce(F.sum("__paynow"), z).cast(MONEY).alias("paynow_total"),
         F.coalesce(F.sum("__duitnow"), z).cast(MONEY).alias("duitnow_total"),
         F.coalesce(F.sum("__nets"), z).cast(MONEY).alias("nets_total"),
         F.max((F.col("_dq_flag") == "SAP_BATCH_FAIL").cast("int")).alias("__fail"),
-        F.min(F.when(F.col("_dq_flag") != "CLEAN", F.col("_dq_flag"))).alias("__flag"),
     )
     return g.select(
         F.concat_ws("-", F.lit("EOD"), "store_id", yyyymmdd("business_date")).alias("eod_summary_id"),
@@ -143,7 +143,8 @@ def eod_summary(header: DataFrame, tender: DataFrame) -> DataFrame:
         "paynow_total", "duitnow_total", "nets_total",
         F.when(F.col("__fail") == 1, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("sap_transfer_status"),
         F.concat(F.lit("SUP-"), F.col("store_id")).alias("supervisor_id"),
-        F.coalesce(F.col("__flag"), F.lit("CLEAN")).alias("_dq_flag"),
+        # the day carries the batch failure of any of its transactions
+        F.when(F.col("__fail") == 1, F.lit("SAP_BATCH_FAIL")).otherwise(F.lit("CLEAN")).alias("_dq_flag"),
     )
 
 

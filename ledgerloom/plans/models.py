@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.config import ReconConfig
 from ledgerloom.operators import dims, marts, match, staging
-from ledgerloom.sources.raw import RawTables
+from ledgerloom.sources.raw import RawTables, StoredRawTables
 
 MODEL_NAMES = [
     "stg_pos_transaction_header", "stg_pos_tender", "stg_pos_eod_summary", "stg_sap_fi_document",

@@ -161,7 +161,7 @@ def pos_transaction_header(orders: DataFrame, customer: DataFrame, nation: DataF
         k, g.alias("g"), "r_regionkey", "r_name", "c_nationkey", "o_orderdate",
         txn_type(k).alias("txn_type"), break_flag(k).alias("_dq_flag"))
     h = h.withColumn("gross_amount", F.when(typ == "RETURN", -F.col("g")).otherwise(F.col("g")).cast(MONEY))
-    h = h.withColumn("discount_amount", F.when(promo_sale, F.round(F.col("g") * F.lit(0.10), 2))
+    h = h.withColumn("discount_amount", F.when(promo_sale, F.round(F.col("g") * F.lit(PROMO_DISCOUNT).cast("decimal(3,2)"), 2))
                      .otherwise(F.lit(0)).cast(MONEY))
     h = h.withColumn("net_amount", (F.col("gross_amount") - F.col("discount_amount")).cast(MONEY))
     store = F.concat(F.lit("ST-"), pad_num(F.col("c_nationkey"), 3))

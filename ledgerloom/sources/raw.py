@@ -1,14 +1,19 @@
-"""The sixteen raw tables as lazy DataFrames.
-
-:class:`RawTables` binds them from a test-warehouse folder (Parquet tables
-``orders``, ``customer``, ``nation``, ``region``) or from files written by
-:mod:`ledgerloom.sources.io`. Each table is built once per instance and is
-an ordinary lazy plan: nothing is computed until a model is evaluated.
+"""The sixteen raw tables as DataFrames.
+
+:class:`RawTables` binds them lazily from a test-warehouse folder (Parquet
+tables ``orders``, ``customer``, ``nation``, ``region``): every table is a
+plan over the inputs. :class:`StoredRawTables` is the load step of the
+reference (bulk load of the raw schema): each table is built once from the
+*stored* tables it depends on, written as Parquet into the cluster's shared
+checkpoint folder and read back, so models scan files with pushed-down
+filters and pruned columns and the binding lineage is cut.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+import hashlib
+import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,100 +22,114 @@ from ledgerloom.operators import derive
 from ledgerloom.sources import binding
 from ledgerloom.sources.reference_dims import dim_bank, dim_root_cause, dim_tax_code
 
+BINDING_VERSION = "2"
+INPUTS = ("orders", "customer", "nation", "region")
+
+# name -> builder(raw) over other tables of the same RawTables
+BUILDERS: dict[str, Callable] = {
+    "dim_country": lambda r: binding.dim_country(r.get("region")),
+    "dim_store": lambda r: binding.dim_store(r.get("nation"), r.get("region")),
+    "dim_tender_type": lambda r: binding.dim_tender_type(r.get("orders")),
+    "dim_root_cause": lambda r: dim_root_cause(r.spark),
+    "dim_bank": lambda r: dim_bank(r.get("dim_country")),
+    "dim_tax_code": lambda r: dim_tax_code(r.get("dim_country")),
+    "pos_transaction_header": lambda r: binding.pos_transaction_header(
+        r.get("orders"), r.get("customer"), r.get("nation"), r.get("region")),
+    "pos_tender": lambda r: binding.pos_tender(r.get("pos_transaction_header"), r.get("orders")),
+    "dim_currency": lambda r: derive.fx_rates(r.get("pos_transaction_header"), r.get("dim_country")),
+    "dim_fiscal_calendar": lambda r: derive.fiscal_calendar(
+        r.get("pos_transaction_header"), r.get("dim_country"), r.cfg),
+    "pos_eod_summary": lambda r: derive.eod_summary(r.get("pos_transaction_header"), r.get("pos_tender")),
+    "sap_fi_document": lambda r: derive.sap_documents(r.get("pos_transaction_header")),
+    "sap_fi_lineitem": lambda r: derive.sap_lineitems(r.get("pos_transaction_header")),
+    "bank_card_settlement": lambda r: derive.settlement_batches(
+        r.get("pos_tender"), r.get("dim_country"), r.get("dim_tender_type")),
+    "bank_statement_line": lambda r: derive.bank_statement_lines(
+        r.get("bank_card_settlement"), r.get("dim_country")),
+    "recon_match_result": lambda r: derive.reference_match_result(
+        r.get("pos_eod_summary"), r.get("sap_fi_document"), r.get("sap_fi_lineitem"),
+        r.get("bank_card_settlement"), r.get("bank_statement_line"), r.get("dim_country")),
+}
+# dependency order (S05: dimensions, facts, derived)
+TABLE_ORDER = list(BUILDERS)
+
 
 class RawTables:
+    """Lazily bound raw tables (each a plan over the test-warehouse inputs)."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.cfg = cfg or ReconConfig()
-
-    def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
-
-    def _src(self, name: str) -> DataFrame:
-        return binding.read_table(self.spark, self.sf_dir, name)
-
-    # test-warehouse inputs
-    @cached_property
-    def orders(self) -> DataFrame:
-        return self._src("orders")
-
-    @cached_property
-    def customer(self) -> DataFrame:
-        return self._src("customer")
-
-    @cached_property
-    def nation(self) -> DataFrame:
-        return self._src("nation")
-
-    @cached_property
-    def region(self) -> DataFrame:
-        return self._src("region")
-
-    # dimensions
-    @cached_property
-    def dim_country(self) -> DataFrame:
-        return binding.dim_country(self.region)
-
-    @cached_property
-    def dim_store(self) -> DataFrame:
-        return binding.dim_store(self.nation, self.region)
-
-    @cached_property
-    def dim_tender_type(self) -> DataFrame:
-        return binding.dim_tender_type(self.orders)
-
-    @cached_property
-    def dim_root_cause(self) -> DataFrame:
-        return dim_root_cause(self.spark)
-
-    @cached_property
-    def dim_bank(self) -> DataFrame:
-        return dim_bank(self.dim_country)
-
-    @cached_property
-    def dim_tax_code(self) -> DataFrame:
-        return dim_tax_code(self.dim_country)
-
-    @cached_property
-    def dim_currency(self) -> DataFrame:
-        return derive.fx_rates(self.pos_transaction_header, self.dim_country)
-
-    @cached_property
-    def dim_fiscal_calendar(self) -> DataFrame:
-        return derive.fiscal_calendar(self.pos_transaction_header, self.dim_country, self.cfg)
-
-    # facts
-    @cached_property
-    def pos_transaction_header(self) -> DataFrame:
-        return binding.pos_transaction_header(self.orders, self.customer, self.nation, self.region)
-
-    @cached_property
-    def pos_tender(self) -> DataFrame:
-        return binding.pos_tender(self.pos_transaction_header, self.orders)
-
-    @cached_property
-    def pos_eod_summary(self) -> DataFrame:
-        return derive.eod_summary(self.pos_transaction_header, self.pos_tender)
-
-    @cached_property
-    def sap_fi_document(self) -> DataFrame:
-        return derive.sap_documents(self.pos_transaction_header)
-
-    @cached_property
-    def sap_fi_lineitem(self) -> DataFrame:
-        return derive.sap_lineitems(self.pos_transaction_header)
-
-    @cached_property
-    def bank_card_settlement(self) -> DataFrame:
-        return derive.settlement_batches(self.pos_tender, self.dim_country, self.dim_tender_type)
-
-    @cached_property
-    def bank_statement_line(self) -> DataFrame:
-        return derive.bank_statement_lines(self.bank_card_settlement, self.dim_country)
-
-    @cached_property
-    def recon_match_result(self) -> DataFrame:
-        return derive.reference_match_result(
-            self.pos_eod_summary, self.sap_fi_document, self.sap_fi_lineitem,
-            self.bank_card_settlement, self.bank_statement_line, self.dim_country)
+        self._cache: dict[str, DataFrame] = {}
+
+    def get(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = self._build(name)
+        return self._cache[name]
+
+    table = get
+
+    def _build(self, name: str) -> DataFrame:
+        if name in INPUTS:
+            return binding.read_table(self.spark, self.sf_dir, name)
+        return BUILDERS[name](self)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in BUILDERS or name in INPUTS:
+            return self.get(name)
+        raise AttributeError(name)
+
+
+def store_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder for the loaded raw tables: inside the cluster's shared
+    checkpoint folder, keyed by the source folder and its file sizes."""
+    from ledgerloom.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark)
+    sig = [sf_dir, BINDING_VERSION]
+    for name in INPUTS:
+        try:
+            sig.append(str(os.path.getsize(f"{sf_dir}/{name}.parquet")))
+        except OSError:
+            sig.append("?")
+    digest = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
+    return f"{base.rstrip('/')}/raw-{digest}"
+
+
+class StoredRawTables(RawTables):
+    """Raw tables built once from stored upstream tables and kept as Parquet.
+
+    A table is written only when its folder lacks ``_SUCCESS``; a rerun (or a
+    retried job after a lost executor) reuses complete folders.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None,
+                 root: str | None = None):
+        super().__init__(spark, sf_dir, cfg)
+        self.root = root or store_root(spark, self.sf_dir)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def _build(self, name: str) -> DataFrame:
+        if name in INPUTS:
+            return super()._build(name)
+        p = self.path(name)
+        if not os.path.exists(f"{p}/_SUCCESS"):
+            BUILDERS[name](self).write.mode("overwrite").parquet(p)
+        return self.spark.read.parquet(p)
+
+    def load_all(self) -> dict[str, DataFrame]:
+        return {name: self.get(name) for name in TABLE_ORDER}
+
+
+_STORES: dict[tuple, StoredRawTables] = {}
+
+
+def stored_raw(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> StoredRawTables:
+    """One loaded raw store per (session, folder, config)."""
+    cfg = cfg or ReconConfig()
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+    if key not in _STORES:
+        _STORES[key] = StoredRawTables(spark, sf_dir, cfg)
+    return _STORES[key]
