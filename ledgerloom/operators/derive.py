@@ -355,7 +355,7 @@ def reference_match_result(eod: DataFrame, documents: DataFrame, lines: DataFram
     v = (F.col("net_sales") - F.coalesce(F.col("ledger_total"), F.lit(0))).cast(MONEY)
     e = e.withColumn("v", v).withColumn("av", F.abs(v))
     failed = F.col("sap_transfer_status") == "FAILED"
-    tier = first_match([(failed, "UNMATCHED|EXCEPTION"), (F.col("av") <= F.lit(0.01), "EXACT|MATCHED"),
+    tier = first_match([(failed, "UNMATCHED|EXCEPTION"), (F.col("av") <= F.lit("0.01").cast(MONEY), "EXACT|MATCHED"),
                         (F.col("av") <= F.col("t2"), "TOLERANCE|MATCHED"),
                         (F.col("av") <= F.col("t3"), "TOLERANCE|EXCEPTION")], "UNMATCHED|EXCEPTION")
     e = e.withColumn("__tier", tier)
@@ -395,7 +395,7 @@ def reference_match_result(eod: DataFrame, documents: DataFrame, lines: DataFram
     ptier = first_match([(~found, "UNMATCHED|EXCEPTION"),
                          (F.col("_dq_flag") == "CHARGEBACK", "REVIEW|EXCEPTION"),
                          (F.col("_dq_flag").isin("FEE_DISPUTE", "FEE_VARIANCE"), "FEE_VARIANCE|EXCEPTION"),
-                         (F.col("av") <= F.lit(0.01), "EXACT|MATCHED"),
+                         (F.col("av") <= F.lit("0.01").cast(MONEY), "EXACT|MATCHED"),
                          (F.col("av") <= F.col("t2"), "TOLERANCE|MATCHED")], "REVIEW|EXCEPTION")
     s = s.withColumn("__tier", ptier)
     pcause = first_match([(~found, F.lit("RC-014")), (F.col("_dq_flag") == "CHARGEBACK", F.lit("RC-011")),
