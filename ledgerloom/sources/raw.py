@@ -81,12 +81,25 @@ class RawTables:
         raise AttributeError(name)
 
 
+def _code_digest() -> str:
+    """Hash of the code that builds the raw tables: a change re-loads them."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    files = [os.path.join(here, "binding.py"), os.path.join(here, "reference_dims.py"),
+             os.path.join(here, "raw.py"), os.path.join(here, "..", "operators", "derive.py"),
+             os.path.join(here, "..", "operators", "joins.py"), os.path.join(here, "..", "functions", "exprs.py")]
+    h = hashlib.sha1()
+    for f in files:
+        with open(f, "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
 def store_root(spark: SparkSession, sf_dir: str) -> str:
     """Folder for the loaded raw tables: inside the cluster's shared
     checkpoint folder, keyed by the source folder and its file sizes."""
     from ledgerloom.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark)
-    sig = [sf_dir, BINDING_VERSION]
+    sig = [sf_dir, BINDING_VERSION, _code_digest()]
     for name in INPUTS:
         try:
             sig.append(str(os.path.getsize(f"{sf_dir}/{name}.parquet")))
