@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 # and the one region that is configured inactive.
 TESTDATA_COUNTRIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 TESTDATA_INACTIVE_REGIONKEY = 4
+TESTDATA_COMPANY_CODES = ("C000", "C001", "C002", "C003", "C004")
 
 
 @dataclass(frozen=True)
@@ -19,6 +20,8 @@ class ReconConfig:
     # Staging keeps only these raw country codes (tested before UPPER, as the
     # models do, so lower-case codes are dropped rather than normalised).
     countries: tuple[str, ...] = TESTDATA_COUNTRIES
+    # Ledger company codes accepted by the document checks.
+    company_codes: tuple[str, ...] = TESTDATA_COMPANY_CODES
     # Replaces CURRENT_DATE in lag, SLA, severity and store age.
     as_of: _dt.date = _dt.date(2001, 12, 31)
     # Payment tolerance: a literal in the models, not per-country config.
