@@ -1,0 +1,62 @@
+"""Full build of the 23 models (the equivalent of a ``dbt run``).
+
+Layer order: staging (lazy views) → intermediate → marts → dimensions.
+The two intermediate reconciliations are each read by four downstream
+models, so they are written once as tables in the output folder and read
+back (lineage cut, nothing recomputed, and a lost executor only re-runs
+tasks of the current stage). Marts and dimensions are written as tables
+under ``<out>/<layer>/<model>``.
+"""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerloom.config import ReconConfig
+from ledgerloom.operators import dims, marts
+from ledgerloom.plans.models import Models
+from ledgerloom.sources.io import save_table
+from ledgerloom.sources.raw import stored_raw
+
+LAYERS = {
+    "intermediate": ["int_pos_sap_matched", "int_pay_bank_matched"],
+    "marts": ["mart_recon_summary", "mart_pos_sap_detail", "mart_pay_bank_detail", "mart_exception_log",
+              "mart_root_cause_trend"],
+    "dimensions": ["dim_store_enriched", "dim_country_enriched", "dim_root_cause_enriched",
+                   "dim_tender_type_enriched"],
+}
+
+
+def run_models(spark: SparkSession, sf_dir: str, out_root: str, cfg: ReconConfig | None = None,
+               timings: dict | None = None) -> dict[str, str]:
+    cfg = cfg or ReconConfig()
+    m = Models(stored_raw(spark, sf_dir, cfg), cfg)
+    paths: dict[str, str] = {}
+
+    def write(layer: str, name: str, df: DataFrame) -> DataFrame:
+        t = time.time()
+        paths[name] = save_table(df, out_root, layer, name)
+        if timings is not None:
+            timings[name] = time.time() - t
+        return spark.read.parquet(paths[name])
+
+    pos_sap = write("intermediate", "int_pos_sap_matched", m.int_pos_sap_matched)
+    pay_bank = write("intermediate", "int_pay_bank_matched", m.int_pay_bank_matched)
+    summary = write("marts", "mart_recon_summary",
+                    marts.mart_recon_summary(pos_sap, pay_bank, m.stg_dim_store, cfg))
+    write("marts", "mart_pos_sap_detail",
+          marts.mart_pos_sap_detail(pos_sap, m.stg_dim_store, m.stg_dim_country, m.stg_dim_root_cause, cfg))
+    write("marts", "mart_pay_bank_detail",
+          marts.mart_pay_bank_detail(pay_bank, m.stg_dim_country, m.stg_dim_root_cause, cfg))
+    write("marts", "mart_exception_log",
+          marts.mart_exception_log(pos_sap, pay_bank, m.stg_dim_store, m.stg_dim_root_cause,
+                                   m.raw.get("recon_match_result"), cfg))
+    trend = write("marts", "mart_root_cause_trend",
+                  marts.mart_root_cause_trend(pos_sap, pay_bank, m.stg_dim_root_cause, cfg))
+    write("dimensions", "dim_store_enriched", dims.dim_store_enriched(m.stg_dim_store, summary, cfg))
+    write("dimensions", "dim_country_enriched", dims.dim_country_enriched(m.stg_dim_country, summary, cfg))
+    write("dimensions", "dim_root_cause_enriched", dims.dim_root_cause_enriched(m.stg_dim_root_cause, trend, cfg))
+    write("dimensions", "dim_tender_type_enriched", dims.dim_tender_type_enriched(m.stg_dim_tender_type))
+    return paths
