@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark import StorageLevel
 
 from ledgerloom.config import ReconConfig
 from ledgerloom.operators.joins import bounded_broadcast
@@ -197,54 +198,83 @@ def _status(failures: Column, severity: Column) -> Column:
              .when(severity == "warn", F.lit("WARN")).otherwise(F.lit("ERROR")))
 
 
-def run_checks(checks: list[Check], model_df, attached: set[str] | None = None) -> DataFrame:
+def _result_row(c: Check, failures: Column) -> Column:
+    return F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.model).alias("model"),
+                    F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("kind"),
+                    F.lit(c.severity).alias("severity"), F.lit(",".join(c.tags)).alias("tags"),
+                    failures.cast("bigint").alias("failures"))
+
+
+def unique_failures(df: DataFrame, cks: list[Check]) -> DataFrame:
+    """All unique checks of one model in a single shuffle: every row emits
+    one (check, key) pair per check, one grouped count finds repeated keys,
+    and a second (tiny) aggregate counts them per check. Checks with no
+    repeated key get 0."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c.column).cast("string").alias("kv"))
+                      for i, c in enumerate(cks)])
+    keyed = df.select(F.explode(pairs).alias("p")).select("p.ci", "p.kv").filter(F.col("kv").isNotNull())
+    dup = keyed.groupBy("ci", "kv").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    per = dup.groupBy("ci").agg(F.count(F.lit(1)).alias("failures"))
+    counts = per.agg(F.map_from_entries(F.collect_list(F.struct("ci", "failures"))).alias("m"))
+    return counts.select(F.explode(F.array(*[
+        _result_row(c, F.coalesce(F.col("m")[F.lit(i)], F.lit(0))) for i, c in enumerate(cks)])).alias("r")
+    ).select("r.*")
+
+
+def run_checks(checks: list[Check], model_df, attached: set[str] | None = None,
+               cache_models: bool = False) -> DataFrame:
     """Evaluate ``checks`` and return the K12 result table.
 
-    ``model_df(name)`` returns a model's DataFrame; checks on names outside
-    ``attached`` (when given) are reported SKIPPED, as a declaration on a
+    Per model: one aggregate pass for all not_null / accepted_values checks
+    (count_if each), one shuffle for all unique checks, one anti join per
+    relationship. Models are best given as built tables (see
+    :func:`ledgerloom.plans.pipeline.built_models`): each check then reads
+    only its column. ``cache_models`` persists lazily computed models instead
+    (memory and disk; lost blocks are recomputed from lineage) — note that a
+    persisted plan is shared by every later query of the session.
+    ``model_df(name)`` returns a model's DataFrame; checks on
+    names outside ``attached`` are reported SKIPPED, as a declaration on a
     missing model runs nothing.
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
+    resolved: dict[str, DataFrame] = {}
+
+    def get(name: str) -> DataFrame:
+        if name not in resolved:
+            df = model_df(name)
+            resolved[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if cache_models else df
+        return resolved[name]
+
+    spark = None
+    skipped = []
     for model, cks in by_model.items():
         if attached is not None and model not in attached:
-            spark = None
-            for other in by_model:
-                if attached is None or other in attached:
-                    spark = model_df(other).sparkSession
-                    break
-            rows = [(c.check_id, c.model, c.column, c.kind, c.severity, ",".join(c.tags), None, "SKIPPED")
-                    for c in cks]
-            parts.append(spark.createDataFrame(
-                rows, "check_id string, model string, column_name string, kind string, severity string, "
-                      "tags string, failures bigint, status string"))
+            skipped.extend(cks)
             continue
-        df = model_df(model)
+        df = get(model)
+        spark = df.sparkSession
         rowwise = [c for c in cks if c.kind in ("not_null", "accepted_values")]
         if rowwise:
-            # one pass over the model for all row-wise checks
             agg = df.agg(*[F.count_if(violation_condition(c)).alias(f"__c{i}") for i, c in enumerate(rowwise)])
-            structs = [F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.model).alias("model"),
-                                F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("kind"),
-                                F.lit(c.severity).alias("severity"), F.lit(",".join(c.tags)).alias("tags"),
-                                F.col(f"__c{i}").cast("bigint").alias("failures"))
-                       for i, c in enumerate(rowwise)]
-            parts.append(agg.select(F.explode(F.array(*structs)).alias("r")).select("r.*"))
+            parts.append(agg.select(F.explode(F.array(*[
+                _result_row(c, F.col(f"__c{i}")) for i, c in enumerate(rowwise)])).alias("r")).select("r.*"))
+        uniq = [c for c in cks if c.kind == "unique"]
+        if uniq:
+            parts.append(unique_failures(df, uniq))
         for c in cks:
-            if c.kind in ("unique", "relationships"):
-                parent = model_df(c.parent[0]) if c.kind == "relationships" else None
-                n = violations(c, df, parent).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
-                parts.append(n.select(F.lit(c.check_id).alias("check_id"), F.lit(c.model).alias("model"),
-                                      F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("kind"),
-                                      F.lit(c.severity).alias("severity"), F.lit(",".join(c.tags)).alias("tags"),
-                                      "failures"))
-    out = []
-    for p in parts:
-        if "status" not in p.columns:
-            p = p.withColumn("status", _status(F.col("failures"), F.col("severity")))
-        out.append(p.select(*RESULT_COLS))
+            if c.kind == "relationships":
+                n = violations(c, df, get(c.parent[0])).agg(F.count(F.lit(1)).alias("failures"))
+                parts.append(n.select(_result_row(c, F.col("failures")).alias("r")).select("r.*"))
+    out = [p.withColumn("status", _status(F.col("failures"), F.col("severity"))).select(*RESULT_COLS)
+           for p in parts]
+    if skipped:
+        rows = [(c.check_id, c.model, c.column, c.kind, c.severity, ",".join(c.tags), None, "SKIPPED")
+                for c in skipped]
+        out.append(spark.createDataFrame(rows, "check_id string, model string, column_name string, kind string, "
+                                               "severity string, tags string, failures bigint, status string"))
     return reduce(DataFrame.unionByName, out)
 
 

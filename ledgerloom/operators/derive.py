@@ -429,12 +429,13 @@ def reference_match_result(eod: DataFrame, documents: DataFrame, lines: DataFram
     # country across both types, before clearing.
     ticketed = (F.col("match_status") == "EXCEPTION") & ((F.col("__type_rank") == 1) | (F.col("av") >= F.col("t3")))
     allr = allr.withColumn("__ticketed", ticketed)
-    tk = sequence_within(allr.filter("__ticketed"), ["country_code"], ["__type_rank", "recon_date"],
-                         ["__ord", "match_id"], out_col="__tseq")
-    tk = tk.withColumn("it_ticket_ref", F.concat_ws("-", F.lit("INC"), "country_code_iso2",
-                                                    F.year("recon_date").cast("string"),
-                                                    pad_num(F.col("__tseq"), 4))).drop("__tseq")
-    allr = tk.unionByName(allr.filter(~F.col("__ticketed")).withColumn("it_ticket_ref", F.lit(None).cast("string")))
+    # one pass: ticketed and other rows are numbered in separate partitions,
+    # only the ticketed numbers are kept
+    allr = sequence_within(allr, ["country_code", "__ticketed"], ["__type_rank", "recon_date"],
+                           ["__ord", "match_id"], out_col="__tseq")
+    allr = allr.withColumn("it_ticket_ref", F.when(F.col("__ticketed"), F.concat_ws(
+        "-", F.lit("INC"), "country_code_iso2", F.year("recon_date").cast("string"),
+        pad_num(F.col("__tseq"), 4)))).drop("__tseq")
     # Old exceptions mostly cleared by hand (85% sales, 80% payments)
     share = F.when(F.col("__type_rank") == 0, F.lit(85)).otherwise(F.lit(80))
     cleared = ((F.col("match_status") == "EXCEPTION") & (F.col("recon_date") < F.lit(CLEARING_CUTOFF).cast("date"))

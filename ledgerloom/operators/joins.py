@@ -71,22 +71,24 @@ def sequence_within(df: DataFrame, partition_cols: list[str], bucket_cols: list[
 
     ``bucket_cols`` must be a coarse prefix of the order (e.g. a date); each
     (partition, bucket) cell is numbered by its own window task and shifted by
-    the running total of the cells before it.
+    the running total of the cells before it. The cell sizes are read off the
+    numbered rows (max row number per cell), so the cell table and the rows
+    share one shuffle and the input is computed once.
     """
-    cells = df.groupBy(*partition_cols, *bucket_cols).agg(F.count(F.lit(1)).alias("__n"))
+    keys = [*partition_cols, *bucket_cols]
+    w_rows = Window.partitionBy(*keys).orderBy(*order_cols)
+    numbered = df.withColumn("__rn", F.row_number().over(w_rows))
+    cells = numbered.groupBy(*keys).agg(F.max("__rn").alias("__n"))
     w_cells = (Window.partitionBy(*partition_cols).orderBy(*bucket_cols)
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = cells.withColumn("__off", F.coalesce(F.sum("__n").over(w_cells), F.lit(0))).drop("__n")
-    w_rows = Window.partitionBy(*partition_cols, *bucket_cols).orderBy(*order_cols)
-    numbered = df.withColumn("__rn", F.row_number().over(w_rows))
-    # The cell table holds one row per (partition, bucket): small next to the
-    # rows it numbers, broadcast only when its size is proven.
-    keys = [*partition_cols, *bucket_cols]
+    offsets = cells.withColumn("__off", F.coalesce(F.sum("__n").over(w_cells), F.lit(0)))
     offs = offsets.select(*[F.col(k).alias(f"__o_{k}") for k in keys], "__off")
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"__o_{k}"))  # NULL keys number too
         cond = c if cond is None else cond & c
+    # One row per (partition, bucket): small next to the rows it numbers,
+    # broadcast only when its size is proven.
     joined = numbered.join(bounded_broadcast(offs, bucket_bound), cond, "inner")
     return (joined.withColumn(out_col, (F.col("__off") + F.col("__rn")).cast("bigint"))
             .drop("__off", "__rn", *[f"__o_{k}" for k in keys]))

@@ -21,7 +21,7 @@ from ledgerloom.sources.io import save_table
 from ledgerloom.sources.raw import stored_raw
 
 LAYERS = {
-    "intermediate": ["int_pos_sap_matched", "int_pay_bank_matched"],
+    "intermediate": ["int_sap_sales_by_store_date", "int_pos_sap_matched", "int_pay_bank_matched"],
     "marts": ["mart_recon_summary", "mart_pos_sap_detail", "mart_pay_bank_detail", "mart_exception_log",
               "mart_root_cause_trend"],
     "dimensions": ["dim_store_enriched", "dim_country_enriched", "dim_root_cause_enriched",
@@ -42,6 +42,7 @@ def run_models(spark: SparkSession, sf_dir: str, out_root: str, cfg: ReconConfig
             timings[name] = time.time() - t
         return spark.read.parquet(paths[name])
 
+    write("intermediate", "int_sap_sales_by_store_date", m.int_sap_sales_by_store_date)
     pos_sap = write("intermediate", "int_pos_sap_matched", m.int_pos_sap_matched)
     pay_bank = write("intermediate", "int_pay_bank_matched", m.int_pay_bank_matched)
     summary = write("marts", "mart_recon_summary",
@@ -60,3 +61,27 @@ def run_models(spark: SparkSession, sf_dir: str, out_root: str, cfg: ReconConfig
     write("dimensions", "dim_root_cause_enriched", dims.dim_root_cause_enriched(m.stg_dim_root_cause, trend, cfg))
     write("dimensions", "dim_tender_type_enriched", dims.dim_tender_type_enriched(m.stg_dim_tender_type))
     return paths
+
+
+_BUILT: dict[tuple, dict[str, str]] = {}
+
+
+def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None):
+    """Models as a check suite sees them after a build: intermediate, mart
+    and dimension models read from their written tables (built once per
+    session into the shared checkpoint folder), staging models as views over
+    the stored raw tables. Returns ``name -> DataFrame``."""
+    from ledgerloom.session import ensure_checkpoint_dir
+    from ledgerloom.sources.raw import store_root
+    cfg = cfg or ReconConfig()
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+    if key not in _BUILT:
+        ensure_checkpoint_dir(spark)
+        out = store_root(spark, sf_dir.rstrip("/")) + "-models"
+        _BUILT[key] = run_models(spark, sf_dir, out, cfg)
+    paths = _BUILT[key]
+    m = Models(stored_raw(spark, sf_dir, cfg), cfg)
+
+    def get(name: str) -> DataFrame:
+        return spark.read.parquet(paths[name]) if name in paths else m.model(name)
+    return get

@@ -248,10 +248,11 @@ def _check_sql(c: checks.Check) -> str:
 
 
 def check_report(s: SparkSession, d: str, kinds: tuple[str, ...] | None = None, severity: str | None = None):
-    m = models(s, d)
+    """Declared checks over the built models (the ``dbt test`` after a run)."""
+    from ledgerloom.plans.pipeline import built_models
     cks = [c for c in checks.catalogue(CFG) if (kinds is None or c.kind in kinds)
            and (severity is None or c.severity == severity)]
-    return checks.run_checks(cks, m.model, attached=set(MODEL_NAMES))
+    return checks.run_checks(cks, built_models(s, d, CFG), attached=set(MODEL_NAMES))
 
 
 def check_report_sql(kinds: tuple[str, ...] | None = None, severity: str | None = None) -> str:

@@ -52,6 +52,20 @@ BUILDERS: dict[str, Callable] = {
 }
 # dependency order (S05: dimensions, facts, derived)
 TABLE_ORDER = list(BUILDERS)
+DEPENDS: dict[str, set[str]] = {
+    "dim_country": set(), "dim_store": set(), "dim_tender_type": set(), "dim_root_cause": set(),
+    "pos_transaction_header": set(),
+    "dim_bank": {"dim_country"}, "dim_tax_code": {"dim_country"},
+    "pos_tender": {"pos_transaction_header"},
+    "dim_currency": {"pos_transaction_header", "dim_country"},
+    "dim_fiscal_calendar": {"pos_transaction_header", "dim_country"},
+    "sap_fi_document": {"pos_transaction_header"}, "sap_fi_lineitem": {"pos_transaction_header"},
+    "pos_eod_summary": {"pos_transaction_header", "pos_tender"},
+    "bank_card_settlement": {"pos_tender", "dim_country", "dim_tender_type"},
+    "bank_statement_line": {"bank_card_settlement", "dim_country"},
+    "recon_match_result": {"pos_eod_summary", "sap_fi_document", "sap_fi_lineitem", "bank_card_settlement",
+                           "bank_statement_line", "dim_country"},
+}
 
 
 class RawTables:
@@ -132,7 +146,16 @@ class StoredRawTables(RawTables):
             BUILDERS[name](self).write.mode("overwrite").parquet(p)
         return self.spark.read.parquet(p)
 
-    def load_all(self) -> dict[str, DataFrame]:
+    def load_all(self, parallel: int = 4) -> dict[str, DataFrame]:
+        """Load every table; tables of one dependency level are written by
+        concurrent jobs (small tables alone cannot fill the cluster)."""
+        from concurrent.futures import ThreadPoolExecutor
+        done: set[str] = set()
+        while len(done) < len(TABLE_ORDER):
+            level = [t for t in TABLE_ORDER if t not in done and DEPENDS[t] <= done]
+            with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+                list(pool.map(self.get, level))
+            done.update(level)
         return {name: self.get(name) for name in TABLE_ORDER}
 
 
