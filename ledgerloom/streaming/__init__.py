@@ -1,0 +1,9 @@
+"""No streaming operators.
+
+The reconciliation the engine reproduces has no stream, watermark,
+event-time window, session or state: every table is fully rebuilt from
+bulk-loaded raw tables, and lateness exists only as business lag (settlement
+ageing), which is batch date arithmetic in the payment models. Structured
+Streaming is therefore not used; the package exists to keep the layout
+uniform.
+"""
