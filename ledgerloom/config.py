@@ -6,7 +6,7 @@ Every model takes a :class:`ReconConfig`; nothing reads the wall clock.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 # The country codes of the bound test warehouse (region names)
 # and the one region that is configured inactive.
@@ -30,10 +30,25 @@ class ReconConfig:
     # shuffled instead.
     broadcast_max_rows: int = 1_000_000
     # Optional fixes of known model behaviour; all off = reproduce the models.
-    fix_match_id: bool = False              # build ids in the reference-result format
-    payment_store_from_batch: bool = False  # recover store_id on PAY_BANK rows
-    options: dict = field(default_factory=dict, compare=False, hash=False)
+    # Q1: build sales match ids in the reference-result format, so the
+    # exception log finds its maker-checker evidence.
+    fix_match_id: bool = False
+    # Q2/Q3: recover the store of a PAY_BANK row from its batch reference.
+    payment_store_from_batch: bool = False
+    payment_store_pattern: str = r"^BATCH-(ST-[0-9]+)-"
+    # Q9: payment tolerance = the country's t2 instead of the literal 1.00.
+    tolerance_from_country: bool = False
+    # Q10: expected settlement lag from the tender type, not the country.
+    lag_from_tender: bool = False
+    # Keep one bank credit per (country, account, reference): no fan-out.
+    dedupe_bank_lines: bool = False
 
     @property
     def as_of_str(self) -> str:
         return self.as_of.isoformat()
+
+
+def with_all_fixes(cfg: ReconConfig | None = None) -> ReconConfig:
+    """The configuration with every optional fix switched on."""
+    return replace(cfg or ReconConfig(), fix_match_id=True, payment_store_from_batch=True,
+                   tolerance_from_country=True, lag_from_tender=True, dedupe_bank_lines=True)

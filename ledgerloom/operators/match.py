@@ -13,7 +13,7 @@ Plan shape (checked with ``explain``):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig
@@ -63,7 +63,7 @@ def int_pos_sap_matched(stg_eod: DataFrame, sap_by_store: DataFrame, stg_country
     """End-of-day sales vs ledger revenue, classified by the country's
     thresholds (first matching tier wins, Q6/Q7)."""
     cfgc = bounded_broadcast(stg_country.select(
-        "country_code",
+        "country_code", "country_code_iso2",
         F.col("variance_threshold_t2").alias("threshold_tolerance"),
         F.col("variance_threshold_t3").alias("threshold_review"),
         F.col("variance_threshold_t4").alias("threshold_escalate")), cfg.broadcast_max_rows)
@@ -91,8 +91,13 @@ def int_pos_sap_matched(stg_eod: DataFrame, sap_by_store: DataFrame, stg_country
         (no_docs, F.lit("RC-001")),
         ((av > 0) & (av <= F.col("threshold_tolerance")), F.lit("RC-007")),
     ], typed_null("string"))
+    if cfg.fix_match_id:   # Q1: the reference result's id format
+        match_id = F.concat(F.lit("MATCH-POS-SAP-"), F.col("country_code_iso2"), F.lit("-"),
+                            yyyymmdd("business_date"), F.lit("-"), F.substring("store_id", -3, 3))
+    else:
+        match_id = pos_sap_match_id("country_code", "business_date", "store_id")
     return j.select(
-        pos_sap_match_id("country_code", "business_date", "store_id").alias("match_id"),
+        match_id.alias("match_id"),
         F.lit("POS_SAP").alias("recon_type"),
         "country_code",
         F.col("business_date").alias("recon_date"),
@@ -109,14 +114,20 @@ def int_pos_sap_matched(stg_eod: DataFrame, sap_by_store: DataFrame, stg_country
 
 
 def int_pay_bank_matched(stg_settlement: DataFrame, stg_bank: DataFrame, stg_country: DataFrame,
-                         cfg: ReconConfig) -> DataFrame:
+                         cfg: ReconConfig, stg_tender: DataFrame | None = None) -> DataFrame:
     """Settlement vs bank credit on (country, account, batch reference).
 
-    A settlement with several credits fans out (J07), as in the model.
+    A settlement with several credits fans out (J07), as in the model,
+    unless ``cfg.dedupe_bank_lines`` keeps the earliest credit per reference.
     """
-    tol = F.lit(cfg.pay_bank_tolerance).cast(MONEY)
-    cfgc = bounded_broadcast(stg_country.select("country_code", "settlement_lag_days"),
+    cfgc = bounded_broadcast(stg_country.select("country_code", "settlement_lag_days",
+                                                F.col("variance_threshold_t2").alias("__t2")),
                              cfg.broadcast_max_rows)
+    tol = F.col("__t2") if cfg.tolerance_from_country else F.lit(cfg.pay_bank_tolerance).cast(MONEY)
+    if cfg.dedupe_bank_lines:
+        first = Window.partitionBy("country_code", "bank_account", "customer_reference") \
+            .orderBy("value_date", "statement_line_id")
+        stg_bank = stg_bank.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") == 1).drop("__rn")
     b = stg_bank.select(
         F.col("country_code").alias("__b_country"), F.col("bank_account").alias("__b_account"),
         "customer_reference", "statement_line_id",
@@ -125,6 +136,16 @@ def int_pay_bank_matched(stg_settlement: DataFrame, stg_bank: DataFrame, stg_cou
     j = s.join(b, (s.country_code == b.__b_country) & (s.bank_account == b.__b_account)
                & (s.settlement_batch_id == b.customer_reference), "left")
     j = j.join(cfgc, "country_code")
+    expected_lag = F.col("settlement_lag_days")
+    if cfg.lag_from_tender and stg_tender is not None:
+        # Q10: the tender's own lag; 'BOTH' tenders apply to every country
+        countries = F.array(*[F.lit(c) for c in cfg.countries])
+        tl = stg_tender.select(
+            "tender_code", F.col("settlement_lag_days").alias("__tender_lag"),
+            F.explode(F.when(F.col("country_code") == "BOTH", countries)
+                      .otherwise(F.array(F.col("country_code")))).alias("country_code"))
+        j = j.join(bounded_broadcast(tl, cfg.broadcast_max_rows), ["tender_code", "country_code"], "left")
+        expected_lag = F.coalesce(F.col("__tender_lag"), F.col("settlement_lag_days"))
     variance = (F.col("net_settlement") - F.coalesce(F.col("actual_bank_credit"), F.lit(0))).cast(MONEY)
     lag = F.datediff(F.coalesce(F.col("bank_credit_date"), F.lit(cfg.as_of_str).cast("date")), F.col("txn_date"))
     j = j.withColumn("variance_sap_bank", variance)
@@ -147,19 +168,20 @@ def int_pay_bank_matched(stg_settlement: DataFrame, stg_bank: DataFrame, stg_cou
         "country_code",
         F.col("txn_date").alias("recon_date"),
         typed_null("string").alias("fiscal_period_key"),
-        typed_null("string").alias("store_id"),
+        (F.nullif(F.regexp_extract("settlement_batch_id", cfg.payment_store_pattern, 1), F.lit(""))
+         if cfg.payment_store_from_batch else typed_null("string")).alias("store_id"),
         "currency_code",
         F.col("net_settlement").alias("pos_amount"),
         typed_null(MONEY).alias("sap_amount"),
         F.coalesce(F.col("actual_bank_credit"), F.lit(0)).cast(MONEY).alias("bank_amount"),
         F.lit(0).cast(MONEY).alias("variance_pos_sap"),
         "variance_sap_bank",
-        tol.alias("threshold_applied"),
+        tol.cast(MONEY).alias("threshold_applied"),
         match_type.alias("match_type"),
         match_status.alias("match_status"),
         cause.alias("root_cause_code"),
         "tender_code", "processor_name", "gross_amount", "interchange_fee", "fee_variance_amount",
         lag.cast("int").alias("settlement_lag_days_actual"),
-        F.col("settlement_lag_days").cast("int").alias("settlement_lag_days_expected"),
+        expected_lag.cast("int").alias("settlement_lag_days_expected"),
         "_dq_flag",
     )

@@ -95,7 +95,7 @@ class Models:
     @cached_property
     def int_pay_bank_matched(self):
         return match.int_pay_bank_matched(self.stg_bank_card_settlement, self.stg_bank_statement_line,
-                                          self.stg_dim_country, self.cfg)
+                                          self.stg_dim_country, self.cfg, self.stg_dim_tender_type)
 
     # marts
     @cached_property

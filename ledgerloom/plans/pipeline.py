@@ -77,7 +77,9 @@ def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = Non
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
     if key not in _BUILT:
         ensure_checkpoint_dir(spark)
-        out = store_root(spark, sf_dir.rstrip("/")) + "-models"
+        import hashlib
+        opts = hashlib.sha1(repr(cfg).encode()).hexdigest()[:8]
+        out = store_root(spark, sf_dir.rstrip("/"), cfg) + f"-models-{opts}"
         _BUILT[key] = run_models(spark, sf_dir, out, cfg)
     paths = _BUILT[key]
     m = Models(stored_raw(spark, sf_dir, cfg), cfg)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.config import ReconConfig
+from ledgerloom.config import ReconConfig, with_all_fixes
 from ledgerloom.operators import checks, derive, lookups, marts, profile
 from ledgerloom.operators.joins import sequence_within
 from ledgerloom.plans import oracle, scalar_queries
@@ -22,13 +22,14 @@ from ledgerloom.sources.raw import RawTables, stored_raw
 from ledgerloom.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
 CFG = ReconConfig()
+CFG_FIXED = with_all_fixes(CFG)
 _MODELS: dict[tuple, Models] = {}
 
 
-def models(spark: SparkSession, sf_dir: str) -> Models:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def models(spark: SparkSession, sf_dir: str, cfg: ReconConfig = CFG) -> Models:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
     if key not in _MODELS:
-        _MODELS[key] = Models(stored_raw(spark, sf_dir, CFG), CFG)
+        _MODELS[key] = Models(stored_raw(spark, sf_dir, cfg), cfg)
     return _MODELS[key]
 
 
@@ -358,3 +359,12 @@ reg("k13_maker_checker_tally", lambda s, d: checks.maker_checker_tally(models(s,
        count(CASE WHEN preparer_id = reviewer_id THEN 1 END) AS same_person,
        count(CASE WHEN preparer_id = reviewer_id THEN 1 END) = 0 AS assertion_passed
 FROM raw_recon_match_result WHERE match_status = 'EXCEPTION'"""))
+
+
+# ---------------------------------------------------------------- optional fixes
+reg("x15_recon_summary_all_fixes", lambda s, d: models(s, d, CFG_FIXED).mart_recon_summary,
+    oracle.select_all("mart_recon_summary_fx"))
+reg("x18_exception_log_all_fixes", lambda s, d: models(s, d, CFG_FIXED).mart_exception_log,
+    oracle.select_all("mart_exception_log_fx"))
+reg("x20_store_enriched_all_fixes", lambda s, d: models(s, d, CFG_FIXED).dim_store_enriched,
+    oracle.select_all("dim_store_enriched_fx"))

@@ -108,12 +108,12 @@ def _code_digest() -> str:
     return h.hexdigest()[:12]
 
 
-def store_root(spark: SparkSession, sf_dir: str) -> str:
+def store_root(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> str:
     """Folder for the loaded raw tables: inside the cluster's shared
     checkpoint folder, keyed by the source folder and its file sizes."""
     from ledgerloom.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark)
-    sig = [sf_dir, BINDING_VERSION, _code_digest()]
+    sig = [sf_dir, BINDING_VERSION, _code_digest(), (cfg or ReconConfig()).as_of_str]
     for name in INPUTS:
         try:
             sig.append(str(os.path.getsize(f"{sf_dir}/{name}.parquet")))
@@ -133,7 +133,7 @@ class StoredRawTables(RawTables):
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None,
                  root: str | None = None):
         super().__init__(spark, sf_dir, cfg)
-        self.root = root or store_root(spark, self.sf_dir)
+        self.root = root or store_root(spark, self.sf_dir, self.cfg)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
