@@ -446,3 +446,18 @@ SELECT s.currency_code, c.country_name || ' currency' AS currency_name, s.curren
                    * 0.00001), 6) AS DECIMAL(18,6)) * 1.35, 6) AS DECIMAL(18,6)) AS rate_to_sgd,
        'FIXED-DRIFT' AS rate_source, FALSE AS is_group_currency
 FROM spine_currency s JOIN raw_dim_country c ON s.currency_code = c.base_currency"""
+
+CTES["raw_sap_fi_lineitem_from_lineitem"] = """
+SELECT CAST(l.l_orderkey AS VARCHAR) AS belnr, 'C' || lpad(CAST(g2.r_regionkey AS VARCHAR), 3, '0') AS bukrs,
+       CAST(year(o.o_orderdate) AS INTEGER) AS gjahr,
+       CASE WHEN length(CAST(l.l_linenumber AS VARCHAR)) >= 3 THEN CAST(l.l_linenumber AS VARCHAR)
+            ELSE lpad(CAST(l.l_linenumber AS VARCHAR), 3, '0') END AS buzei,
+       CASE l.l_returnflag WHEN 'A' THEN '0040000001' WHEN 'R' THEN '0040000009' WHEN 'N' THEN '0011900000'
+            ELSE '0011900000' END AS hkont,
+       CASE l.l_linestatus WHEN 'O' THEN 'H' WHEN 'F' THEN 'S' ELSE 'S' END AS shkzg,
+       CAST(l.l_extendedprice AS DECIMAL(18,2)) AS dmbtr, substr(g2.r_name, 1, 3) AS hwae,
+       CAST(NULL AS VARCHAR) AS augbl, CAST(NULL AS DATE) AS augdt, CAST(NULL AS VARCHAR) AS mwskz,
+       CAST(NULL AS VARCHAR) AS kostl, CAST(NULL AS VARCHAR) AS prctr, 'LINE ' || CAST(l.l_linenumber AS VARCHAR) AS sgtxt,
+       'CLEAN' AS _dq_flag
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN geo g2 ON c.c_nationkey = g2.n_nationkey"""

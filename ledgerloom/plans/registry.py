@@ -368,3 +368,19 @@ reg("x18_exception_log_all_fixes", lambda s, d: models(s, d, CFG_FIXED).mart_exc
     oracle.select_all("mart_exception_log_fx"))
 reg("x20_store_enriched_all_fixes", lambda s, d: models(s, d, CFG_FIXED).dim_store_enriched,
     oracle.select_all("dim_store_enriched_fx"))
+
+
+# ---------------------------------------------------------------- scale variant (lineitem-sized ledger)
+def sales_by_store_date_lineitem_ledger(s: SparkSession, d: str) -> DataFrame:
+    """M12 over ledger lines built from lineitem (FIXTURES scale variant)."""
+    from ledgerloom.operators import match, staging
+    m = models(s, d)
+    lines = staging.stg_sap_fi_lineitem(m.raw.get("sap_fi_lineitem_from_lineitem"))
+    return match.int_sap_sales_by_store_date(lines, m.stg_sap_fi_document, m.stg_pos_transaction_header,
+                                             m.stg_dim_store, CFG)
+
+
+reg("m12_sales_by_store_date_lineitem_ledger", sales_by_store_date_lineitem_ledger,
+    oracle.select_all("int_sap_sales_by_store_date_scale"))
+reg("d09_sap_fi_lineitem_from_lineitem", lambda s, d: lazy(s, d).get("sap_fi_lineitem_from_lineitem"),
+    oracle.select_all("raw_sap_fi_lineitem_from_lineitem"))

@@ -222,3 +222,42 @@ def pos_tender(header: DataFrame, orders: DataFrame) -> DataFrame:
         "business_date",
         "_dq_flag",
     )
+
+
+# --- fixed values: ledger lines from lineitem (scale variant) ---------------
+# account by l_returnflag (A, R revenue; N clearing), side by l_linestatus
+LINE_ACCOUNT_BY_RETURNFLAG = {"A": "0040000001", "R": "0040000009", "N": "0011900000"}
+LINE_SIDE_BY_LINESTATUS = {"O": "H", "F": "S"}
+# -----------------------------------------------------------------------------
+
+
+def sap_lineitems_from_lineitem(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
+                                nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Ledger lines at the volume of the largest test table: one line per
+    lineitem, keyed to its order's document (belnr = order key, company of the
+    customer's region, year of the order date). Account from l_returnflag,
+    debit/credit from l_linestatus, amount = l_extendedprice as money.
+    (l_orderkey, l_linenumber) repeats in the test data, so buzei does too."""
+    geo = bounded_broadcast(geography(nation, region), 100_000)
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    c = customer.select("c_custkey", "c_nationkey")
+    l = lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus")
+    j = (l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+          .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+    return j.select(
+        F.col("l_orderkey").cast("string").alias("belnr"),
+        F.concat(F.lit("C"), pad_num(F.col("r_regionkey"), 3)).alias("bukrs"),
+        F.year("o_orderdate").cast("int").alias("gjahr"),
+        pad_num(F.col("l_linenumber"), 3).alias("buzei"),
+        lookup("l_returnflag", LINE_ACCOUNT_BY_RETURNFLAG, "0011900000").alias("hkont"),
+        lookup("l_linestatus", LINE_SIDE_BY_LINESTATUS, "S").alias("shkzg"),
+        F.col("l_extendedprice").cast(MONEY).alias("dmbtr"),
+        F.substring("r_name", 1, 3).alias("hwae"),
+        F.lit(None).cast("string").alias("augbl"),
+        F.lit(None).cast("date").alias("augdt"),
+        F.lit(None).cast("string").alias("mwskz"),
+        F.lit(None).cast("string").alias("kostl"),
+        F.lit(None).cast("string").alias("prctr"),
+        F.concat(F.lit("LINE "), F.col("l_linenumber").cast("string")).alias("sgtxt"),
+        F.lit("CLEAN").alias("_dq_flag"),
+    )

@@ -23,7 +23,7 @@ from ledgerloom.sources import binding
 from ledgerloom.sources.reference_dims import dim_bank, dim_root_cause, dim_tax_code
 
 BINDING_VERSION = "2"
-INPUTS = ("orders", "customer", "nation", "region")
+INPUTS = ("orders", "customer", "nation", "region", "lineitem")
 
 # name -> builder(raw) over other tables of the same RawTables
 BUILDERS: dict[str, Callable] = {
@@ -46,6 +46,8 @@ BUILDERS: dict[str, Callable] = {
         r.get("pos_tender"), r.get("dim_country"), r.get("dim_tender_type")),
     "bank_statement_line": lambda r: derive.bank_statement_lines(
         r.get("bank_card_settlement"), r.get("dim_country")),
+    "sap_fi_lineitem_from_lineitem": lambda r: binding.sap_lineitems_from_lineitem(
+        r.get("lineitem"), r.get("orders"), r.get("customer"), r.get("nation"), r.get("region")),
     "recon_match_result": lambda r: derive.reference_match_result(
         r.get("pos_eod_summary"), r.get("sap_fi_document"), r.get("sap_fi_lineitem"),
         r.get("bank_card_settlement"), r.get("bank_statement_line"), r.get("dim_country")),
@@ -60,6 +62,7 @@ DEPENDS: dict[str, set[str]] = {
     "dim_currency": {"pos_transaction_header", "dim_country"},
     "dim_fiscal_calendar": {"pos_transaction_header", "dim_country"},
     "sap_fi_document": {"pos_transaction_header"}, "sap_fi_lineitem": {"pos_transaction_header"},
+    "sap_fi_lineitem_from_lineitem": set(),
     "pos_eod_summary": {"pos_transaction_header", "pos_tender"},
     "bank_card_settlement": {"pos_tender", "dim_country", "dim_tender_type"},
     "bank_statement_line": {"bank_card_settlement", "dim_country"},
