@@ -87,3 +87,12 @@ def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = Non
     def get(name: str) -> DataFrame:
         return spark.read.parquet(paths[name]) if name in paths else m.model(name)
     return get
+
+
+def register_views(models: Models, names: list[str] | None = None) -> list[str]:
+    """Expose models as session views (``ref`` by name from Spark SQL)."""
+    from ledgerloom.plans.models import MODEL_NAMES
+    names = names or MODEL_NAMES
+    for n in names:
+        models.model(n).createOrReplaceTempView(n)
+    return names

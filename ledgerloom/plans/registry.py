@@ -384,3 +384,26 @@ reg("m12_sales_by_store_date_lineitem_ledger", sales_by_store_date_lineitem_ledg
     oracle.select_all("int_sap_sales_by_store_date_scale"))
 reg("d09_sap_fi_lineitem_from_lineitem", lambda s, d: lazy(s, d).get("sap_fi_lineitem_from_lineitem"),
     oracle.select_all("raw_sap_fi_lineitem_from_lineitem"))
+
+
+# ---------------------------------------------------------------- Spark SQL over model views
+CAUSE_SHARE_SQL = """
+SELECT root_cause_code,
+       CAST(SUM(exception_count) AS BIGINT) AS total_exceptions,
+       CAST(ROUND(CAST(CAST(SUM(exception_count) AS DOUBLE)
+                       / NULLIF(CAST(SUM(SUM(exception_count)) OVER () AS DOUBLE), 0) * 100.0 AS DECIMAL(18,6)), 2)
+            AS DECIMAL(18,2)) AS pareto_pct
+FROM mart_root_cause_trend
+WHERE root_cause_code <> 'UNCLASSIFIED'
+GROUP BY root_cause_code"""
+
+
+def cause_share_sql(s: SparkSession, d: str) -> DataFrame:
+    """W05 in SQL form: an aggregate inside a window, over the trend mart
+    registered as a view (S09)."""
+    from ledgerloom.plans.pipeline import register_views
+    register_views(models(s, d), ["mart_root_cause_trend"])
+    return s.sql(CAUSE_SHARE_SQL)
+
+
+reg("w05_cause_share_sql_view", cause_share_sql, oracle.with_ctes(CAUSE_SHARE_SQL))
