@@ -181,13 +181,16 @@ def unique_violations(df: DataFrame, cols: list[str]) -> DataFrame:
               .filter(F.col("n_records") > 1))
 
 
-def relationship_violations(child: DataFrame, cols: list[str], parent: DataFrame, pcols: list[str],
-                            parent_max_rows: int = 1_000_000) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (anti join)."""
+def relationship_violations(child: DataFrame, cols: list[str], parent: DataFrame, pcols: list[str]) -> DataFrame:
+    """Child rows whose non-NULL key has no parent (anti join).
+
+    The parent keys are not size-checked up front (that would be a second
+    full pass over a possibly large parent); AQE broadcasts them at runtime
+    when they turn out small and keeps the shuffle join otherwise."""
     nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    keys = parent.select(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(pcols)]).distinct()
+    keys = parent.select(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(pcols)])
     cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__p{i}") for i, c in enumerate(cols)])
-    return child.filter(nn).join(bounded_broadcast(keys, parent_max_rows), cond, "left_anti")
+    return child.filter(nn).join(keys, cond, "left_anti")
 
 
 RESULT_COLS = ["check_id", "model", "column_name", "kind", "severity", "tags", "failures", "status"]

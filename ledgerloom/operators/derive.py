@@ -300,7 +300,8 @@ def bank_statement_lines(settlement: DataFrame, country: DataFrame) -> DataFrame
                           (flag == "ROUNDING_DIFF", net - F.lit(0.50).cast(MONEY)),
                           (flag == "SHORT_CREDIT", net - F.lit(25).cast(MONEY))], net)
     s = s.withColumn("value_date", F.col("settle_date")).withColumn("amount", amount.cast(MONEY))
-    s = sequence_within(s, ["country_code"], ["value_date"], ["settlement_id"], out_col="__seq")
+    s = sequence_within(s, ["country_code"], ["value_date"], ["settlement_id"], out_col="__seq",
+                        sub_bucket_chars=10)
     return s.select(
         F.concat_ws("-", F.lit("BSL"), "country_code", pad_num(F.col("__seq"), 8)).alias("statement_line_id"),
         "country_code", "bank_code", "bank_account", "currency_code", "value_date", "amount",
@@ -432,7 +433,7 @@ def reference_match_result(eod: DataFrame, documents: DataFrame, lines: DataFram
     # one pass: ticketed and other rows are numbered in separate partitions,
     # only the ticketed numbers are kept
     allr = sequence_within(allr, ["country_code", "__ticketed"], ["__type_rank", "recon_date"],
-                           ["__ord", "match_id"], out_col="__tseq")
+                           ["__ord", "match_id"], out_col="__tseq", sub_bucket_chars=10)
     allr = allr.withColumn("it_ticket_ref", F.when(F.col("__ticketed"), F.concat_ws(
         "-", F.lit("INC"), "country_code_iso2", F.year("recon_date").cast("string"),
         pad_num(F.col("__tseq"), 4)))).drop("__tseq")

@@ -65,21 +65,33 @@ def left_join_salted_nulls(left: DataFrame, right: DataFrame, keys: list[str],
 
 def sequence_within(df: DataFrame, partition_cols: list[str], bucket_cols: list[str],
                     order_cols: list[Column | str], out_col: str = "seq",
-                    bucket_bound: int = 5_000_000) -> DataFrame:
+                    sub_bucket_chars: int = 0) -> DataFrame:
     """Dense 1..n numbering per ``partition_cols`` ordered by
     (``bucket_cols``, ``order_cols``), scalable to one hot partition.
 
     ``bucket_cols`` must be a coarse prefix of the order (e.g. a date); each
     (partition, bucket) cell is numbered by its own window task and shifted by
-    the running total of the cells before it. The cell sizes are read off the
-    numbered rows (max row number per cell), so the cell table and the rows
-    share one shuffle and the input is computed once.
+    the running total of the cells before it. With ``sub_bucket_chars`` > 0
+    the first order column (an ascending string column) also splits cells by
+    its leading characters, which keeps the order and spreads one hot day.
+    The cell sizes are read off the numbered rows (max row number per cell),
+    so the cell table and the rows share one shuffle and the input is
+    computed once. The cell table is joined back without a hint: AQE
+    broadcasts it at runtime when its measured size is small, and falls back
+    to a sort-merge join otherwise.
     """
-    keys = [*partition_cols, *bucket_cols]
+    buckets = list(bucket_cols)
+    if sub_bucket_chars > 0:
+        first = order_cols[0]
+        if not isinstance(first, str):
+            raise ValueError("sub_bucket_chars needs the first order column as a name")
+        df = df.withColumn("__sub", F.substring(F.col(first), 1, sub_bucket_chars))
+        buckets.append("__sub")
+    keys = [*partition_cols, *buckets]
     w_rows = Window.partitionBy(*keys).orderBy(*order_cols)
     numbered = df.withColumn("__rn", F.row_number().over(w_rows))
     cells = numbered.groupBy(*keys).agg(F.max("__rn").alias("__n"))
-    w_cells = (Window.partitionBy(*partition_cols).orderBy(*bucket_cols)
+    w_cells = (Window.partitionBy(*partition_cols).orderBy(*buckets)
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = cells.withColumn("__off", F.coalesce(F.sum("__n").over(w_cells), F.lit(0)))
     offs = offsets.select(*[F.col(k).alias(f"__o_{k}") for k in keys], "__off")
@@ -87,8 +99,6 @@ def sequence_within(df: DataFrame, partition_cols: list[str], bucket_cols: list[
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"__o_{k}"))  # NULL keys number too
         cond = c if cond is None else cond & c
-    # One row per (partition, bucket): small next to the rows it numbers,
-    # broadcast only when its size is proven.
-    joined = numbered.join(bounded_broadcast(offs, bucket_bound), cond, "inner")
+    joined = numbered.join(offs, cond, "inner")
     return (joined.withColumn(out_col, (F.col("__off") + F.col("__rn")).cast("bigint"))
-            .drop("__off", "__rn", *[f"__o_{k}" for k in keys]))
+            .drop("__off", "__rn", "__sub", *[f"__o_{k}" for k in keys]))

@@ -61,7 +61,8 @@ def document_sequence(header: DataFrame) -> DataFrame:
     order (day, store, transaction), numbered per day cell so one company
     never lands in a single window task."""
     p = _postable(header).select("pos_txn_id", "sap_company_code", "business_date", "store_id")
-    s = sequence_within(p, ["sap_company_code"], ["business_date"], ["store_id", "pos_txn_id"], out_col="doc_seq")
+    s = sequence_within(p, ["sap_company_code"], ["business_date"], ["store_id", "pos_txn_id"], out_col="doc_seq",
+                        sub_bucket_chars=10)
     base = (F.substring("sap_company_code", 2, 10).cast("bigint") + 1) * F.lit(1_000_000_000)
     return s.select("pos_txn_id", "sap_company_code", "business_date", "doc_seq",
                     (base + F.col("doc_seq")).cast("string").alias("doc_number"))

@@ -13,7 +13,7 @@ Plan shape (checked with ``explain``):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig
@@ -125,9 +125,13 @@ def int_pay_bank_matched(stg_settlement: DataFrame, stg_bank: DataFrame, stg_cou
                              cfg.broadcast_max_rows)
     tol = F.col("__t2") if cfg.tolerance_from_country else F.lit(cfg.pay_bank_tolerance).cast(MONEY)
     if cfg.dedupe_bank_lines:
-        first = Window.partitionBy("country_code", "bank_account", "customer_reference") \
-            .orderBy("value_date", "statement_line_id")
-        stg_bank = stg_bank.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") == 1).drop("__rn")
+        # earliest credit per reference as a min over (date, id, amount): a
+        # partial aggregate, so one hot reference is combined map-side
+        # instead of sorted whole in one window task
+        keys = ["country_code", "bank_account", "customer_reference"]
+        stg_bank = (stg_bank.groupBy(*keys)
+                    .agg(F.min(F.struct("value_date", "statement_line_id", "amount")).alias("__w"))
+                    .select(*keys, "__w.value_date", "__w.statement_line_id", "__w.amount"))
     b = stg_bank.select(
         F.col("country_code").alias("__b_country"), F.col("bank_account").alias("__b_account"),
         "customer_reference", "statement_line_id",

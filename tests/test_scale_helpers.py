@@ -34,3 +34,12 @@ def test_bounded_broadcast_checks_size(spark):
     assert fits(small, 10) and not fits(big, 999)
     assert bounded_broadcast(big, 999) is big           # left to the planner
     assert bounded_broadcast(small, 10) is not small    # hinted
+
+
+def test_sequence_within_sub_buckets(spark):
+    # one hot day: the sub-bucket (first characters of the order key) splits it
+    rows = [("C", 1 if i % 10 else 2, f"{chr(65 + i % 7)}-{i:05d}") for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, day int, k string")
+    got = {r.k: r.seq for r in sequence_within(df, ["g"], ["day"], ["k"], sub_bucket_chars=1).collect()}
+    ref = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("day", "k")))
+    assert got == {r.k: r.seq for r in ref.collect()}
