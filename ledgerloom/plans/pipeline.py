@@ -71,16 +71,23 @@ def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = Non
     and dimension models read from their written tables (built once per
     session into the shared checkpoint folder), staging models as views over
     the stored raw tables. Returns ``name -> DataFrame``."""
-    from ledgerloom.session import ensure_checkpoint_dir
-    from ledgerloom.sources.raw import store_root
+    import hashlib
+
+    from ledgerloom.session import ensure_checkpoint_dir, path_exists
+    from ledgerloom.sources.raw import _code_digest, store_root
     cfg = cfg or ReconConfig()
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
     if key not in _BUILT:
         ensure_checkpoint_dir(spark)
-        import hashlib
-        opts = hashlib.sha1(repr(cfg).encode()).hexdigest()[:8]
+        code = _code_digest(("operators/staging.py", "operators/match.py", "operators/marts.py",
+                             "operators/dims.py", "plans/models.py", "plans/pipeline.py"))
+        opts = hashlib.sha1((repr(cfg) + code).encode()).hexdigest()[:12]
         out = store_root(spark, sf_dir.rstrip("/"), cfg) + f"-models-{opts}"
-        _BUILT[key] = run_models(spark, sf_dir, out, cfg)
+        expected = {n: f"{out}/{layer}/{n}" for layer, names in LAYERS.items() for n in names}
+        if all(path_exists(spark, f"{p}/_SUCCESS") for p in expected.values()):
+            _BUILT[key] = expected          # built by an earlier session with the same code
+        else:
+            _BUILT[key] = run_models(spark, sf_dir, out, cfg)
     paths = _BUILT[key]
     m = Models(stored_raw(spark, sf_dir, cfg), cfg)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import getpass
 import os
 import tempfile
 
@@ -41,14 +42,28 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The setting is read from the session; only when it is unset (local tests)
-    is a scratch folder chosen here.
+    The setting is read from the session; only when it is unset (local runs
+    and tests) is a folder chosen here: ``$LEDGERLOOM_CHECKPOINT_DIR`` or a
+    per-user folder under /tmp, stable across local sessions so loaded tables
+    are reused.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir="/tmp")
+    path = os.environ.get("LEDGERLOOM_CHECKPOINT_DIR") or os.path.join(
+        tempfile.gettempdir(), f"ledgerloom-checkpoint-{getpass.getuser()}")
+    os.makedirs(path, exist_ok=True)
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence of a file on the path's own file system (local, HDFS, object
+    store), through the Hadoop FileSystem API of the session."""
+    if "://" not in path or path.startswith("file:"):
+        return os.path.exists(path.replace("file://", "", 1) if path.startswith("file:") else path)
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)

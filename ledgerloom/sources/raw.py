@@ -98,12 +98,15 @@ class RawTables:
         raise AttributeError(name)
 
 
-def _code_digest() -> str:
-    """Hash of the code that builds the raw tables: a change re-loads them."""
+def _code_digest(extra: tuple[str, ...] = ()) -> str:
+    """Hash of the code that builds the raw tables (and ``extra`` files,
+    relative to the package): a change re-loads them."""
     here = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(here)
     files = [os.path.join(here, "binding.py"), os.path.join(here, "reference_dims.py"),
              os.path.join(here, "raw.py"), os.path.join(here, "..", "operators", "derive.py"),
              os.path.join(here, "..", "operators", "joins.py"), os.path.join(here, "..", "functions", "exprs.py")]
+    files += [os.path.join(root, f) for f in extra]
     h = hashlib.sha1()
     for f in files:
         with open(f, "rb") as fh:
@@ -144,8 +147,9 @@ class StoredRawTables(RawTables):
     def _build(self, name: str) -> DataFrame:
         if name in INPUTS:
             return super()._build(name)
+        from ledgerloom.session import path_exists
         p = self.path(name)
-        if not os.path.exists(f"{p}/_SUCCESS"):
+        if not path_exists(self.spark, f"{p}/_SUCCESS"):
             BUILDERS[name](self).write.mode("overwrite").parquet(p)
         return self.spark.read.parquet(p)
 
