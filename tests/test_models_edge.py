@@ -1,7 +1,6 @@
 """Hand-written edge rows for the models (FIXTURES edge table)."""
 
 from conftest import D, day, make
-from pyspark.sql import functions as F
 
 from ledgerloom.operators import dims, marts, match, staging
 from ledgerloom.sources.reference_dims import dim_root_cause
