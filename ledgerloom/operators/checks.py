@@ -17,7 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
 
 from ledgerloom.config import ReconConfig
 from ledgerloom.operators.joins import bounded_broadcast
@@ -193,7 +192,6 @@ def relationship_violations(child: DataFrame, cols: list[str], parent: DataFrame
     return child.filter(nn).join(keys, cond, "left_anti")
 
 
-RESULT_COLS = ["check_id", "model", "column_name", "kind", "severity", "tags", "failures", "status"]
 
 
 def _status(failures: Column, severity: Column) -> Column:
@@ -201,84 +199,94 @@ def _status(failures: Column, severity: Column) -> Column:
              .when(severity == "warn", F.lit("WARN")).otherwise(F.lit("ERROR")))
 
 
-def _result_row(c: Check, failures: Column) -> Column:
-    return F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.model).alias("model"),
-                    F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("kind"),
-                    F.lit(c.severity).alias("severity"), F.lit(",".join(c.tags)).alias("tags"),
-                    failures.cast("bigint").alias("failures"))
+RESULT_SCHEMA = ("check_id string, model string, column_name string, kind string, severity string, "
+                 "tags string, failures bigint, status string")
 
 
 def unique_failures(df: DataFrame, cks: list[Check]) -> DataFrame:
-    """All unique checks of one model in a single shuffle: every row emits
-    one (check, key) pair per check, one grouped count finds repeated keys,
-    and a second (tiny) aggregate counts them per check. Checks with no
-    repeated key get 0."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c.column).cast("string").alias("kv"))
-                      for i, c in enumerate(cks)])
-    keyed = df.select(F.explode(pairs).alias("p")).select("p.ci", "p.kv").filter(F.col("kv").isNotNull())
-    dup = keyed.groupBy("ci", "kv").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    per = dup.groupBy("ci").agg(F.count(F.lit(1)).alias("failures"))
-    counts = per.agg(F.map_from_entries(F.collect_list(F.struct("ci", "failures"))).alias("m"))
-    return counts.select(F.explode(F.array(*[
-        _result_row(c, F.coalesce(F.col("m")[F.lit(i)], F.lit(0))) for i, c in enumerate(cks)])).alias("r")
-    ).select("r.*")
-
-
-def run_checks(checks: list[Check], model_df, attached: set[str] | None = None,
-               cache_models: bool = False) -> DataFrame:
+    """Repeated non-NULL keys per unique check of one model, as (idx, n)
+    rows, with ``idx`` the check's position in ``cks``."""
+    return _unique_counts([(df, [(i, c) for i, c in enumerate(cks)])])
+
+
+def _unique_counts(per_model: list[tuple[DataFrame, list[tuple[int, Check]]]]) -> DataFrame:
+    """All unique checks of all models in one shuffle: each row emits one
+    (check, key) pair per check, a grouped count finds repeated keys, and a
+    second (small) aggregate counts them per check."""
+    streams = []
+    for df, cks in per_model:
+        pairs = F.array(*[F.struct(F.lit(i).alias("idx"), F.col(c.column).cast("string").alias("kv"))
+                          for i, c in cks])
+        streams.append(df.select(F.explode(pairs).alias("p")).select("p.idx", "p.kv"))
+    keyed = reduce(DataFrame.unionByName, streams).filter(F.col("kv").isNotNull())
+    dup = keyed.groupBy("idx", "kv").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return dup.groupBy("idx").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rowwise_counts(per_model: list[tuple[DataFrame, list[tuple[int, Check]]]]) -> DataFrame:
+    """All not_null / accepted_values checks of all models in one shuffle:
+    each row emits (check, violated 0/1) per check; the sum is combined
+    map-side, so the exchange carries one row per check per task."""
+    streams = []
+    for df, cks in per_model:
+        flags = F.array(*[F.struct(F.lit(i).alias("idx"), violation_condition(c).cast("int").alias("v"))
+                          for i, c in cks])
+        streams.append(df.select(F.explode(flags).alias("p")).select("p.idx", "p.v"))
+    return reduce(DataFrame.unionByName, streams).groupBy("idx").agg(
+        F.sum(F.coalesce(F.col("v"), F.lit(0))).alias("n"))
+
+
+def run_checks(checks: list[Check], model_df, attached: set[str] | None = None) -> DataFrame:
     """Evaluate ``checks`` and return the K12 result table.
 
-    Per model: one aggregate pass for all not_null / accepted_values checks
-    (count_if each), one shuffle for all unique checks, one anti join per
-    relationship. Models are best given as built tables (see
-    :func:`ledgerloom.plans.pipeline.built_models`): each check then reads
-    only its column. ``cache_models`` persists lazily computed models instead
-    (memory and disk; lost blocks are recomputed from lineage) — note that a
-    persisted plan is shared by every later query of the session.
-    ``model_df(name)`` returns a model's DataFrame; checks on
-    names outside ``attached`` are reported SKIPPED, as a declaration on a
-    missing model runs nothing.
+    The whole suite is a handful of shuffles, whatever the number of models:
+    one for every not_null / accepted_values check (each model scanned once),
+    two for every unique check (each model scanned once more), and one anti
+    join per relationship. Models are best given as built tables (see
+    :func:`ledgerloom.plans.pipeline.built_models`), so each scan reads only
+    the checked columns. ``model_df(name)`` returns a model's DataFrame;
+    checks on names outside ``attached`` are reported SKIPPED, as a
+    declaration on a missing model runs nothing.
     """
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        by_model.setdefault(c.model, []).append(c)
-    resolved: dict[str, DataFrame] = {}
-
-    def get(name: str) -> DataFrame:
-        if name not in resolved:
-            df = model_df(name)
-            resolved[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if cache_models else df
-        return resolved[name]
-
-    spark = None
-    skipped = []
-    for model, cks in by_model.items():
-        if attached is not None and model not in attached:
-            skipped.extend(cks)
-            continue
-        df = get(model)
-        spark = df.sparkSession
-        rowwise = [c for c in cks if c.kind in ("not_null", "accepted_values")]
-        if rowwise:
-            agg = df.agg(*[F.count_if(violation_condition(c)).alias(f"__c{i}") for i, c in enumerate(rowwise)])
-            parts.append(agg.select(F.explode(F.array(*[
-                _result_row(c, F.col(f"__c{i}")) for i, c in enumerate(rowwise)])).alias("r")).select("r.*"))
-        uniq = [c for c in cks if c.kind == "unique"]
-        if uniq:
-            parts.append(unique_failures(df, uniq))
-        for c in cks:
-            if c.kind == "relationships":
-                n = violations(c, df, get(c.parent[0])).agg(F.count(F.lit(1)).alias("failures"))
-                parts.append(n.select(_result_row(c, F.col("failures")).alias("r")).select("r.*"))
-    out = [p.withColumn("status", _status(F.col("failures"), F.col("severity"))).select(*RESULT_COLS)
-           for p in parts]
-    if skipped:
-        rows = [(c.check_id, c.model, c.column, c.kind, c.severity, ",".join(c.tags), None, "SKIPPED")
-                for c in skipped]
-        out.append(spark.createDataFrame(rows, "check_id string, model string, column_name string, kind string, "
-                                               "severity string, tags string, failures bigint, status string"))
-    return reduce(DataFrame.unionByName, out)
+    runnable = [(i, c) for i, c in enumerate(checks) if attached is None or c.model in attached]
+    models: dict[str, DataFrame] = {}
+    for _, c in runnable:
+        if c.model not in models:
+            models[c.model] = model_df(c.model)
+    spark = next(iter(models.values())).sparkSession if models else None
+
+    def by_model(kinds):
+        groups: dict[str, list[tuple[int, Check]]] = {}
+        for i, c in runnable:
+            if c.kind in kinds:
+                groups.setdefault(c.model, []).append((i, c))
+        return [(models[m], cks) for m, cks in groups.items()]
+
+    counts = []
+    rowwise = by_model(("not_null", "accepted_values"))
+    if rowwise:
+        counts.append(_rowwise_counts(rowwise))
+    uniq = by_model(("unique",))
+    if uniq:
+        counts.append(_unique_counts(uniq))
+    for i, c in runnable:
+        if c.kind == "relationships":
+            v = violations(c, models[c.model], model_df(c.parent[0]))
+            counts.append(v.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("idx"), "n"))
+    # one metadata row per declared check (bounded by the catalogue, not the data)
+    runnable_idx = {i for i, _ in runnable}
+    meta = [(i, c.check_id, c.model, c.column, c.kind, c.severity, ",".join(c.tags), i in runnable_idx)
+            for i, c in enumerate(checks)]
+    if spark is None:
+        raise ValueError("no attached model to check")
+    meta_df = spark.createDataFrame(meta, "idx int, check_id string, model string, column_name string, "
+                                          "kind string, severity string, tags string, runs boolean")
+    found = reduce(DataFrame.unionByName, counts) if counts else None
+    out = meta_df.join(F.broadcast(found), "idx", "left") if found is not None else meta_df.withColumn("n", F.lit(None))
+    failures = F.when(F.col("runs"), F.coalesce(F.col("n"), F.lit(0))).cast("bigint")
+    status = F.when(~F.col("runs"), F.lit("SKIPPED")).otherwise(_status(failures, F.col("severity")))
+    return out.select("check_id", "model", "column_name", "kind", "severity", "tags",
+                      failures.alias("failures"), status.alias("status"))
 
 
 def summarize(report: DataFrame) -> DataFrame:
