@@ -22,10 +22,14 @@ def family_rank(name_col="table_name") -> F.Column:
 
 
 def load_audit(tables: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
-    """Row count per raw table, ordered by table family then count."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-             for name, df in tables.items()]
-    out = reduce(DataFrame.unionByName, parts).withColumn("family_rank", family_rank().cast("int"))
+    """Row count per raw table, ordered by table family then count.
+
+    All tables feed one stream of table names and one grouped count (a
+    single shuffle); the scans read no columns."""
+    stream = reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("table_name"))
+                                            for name, df in tables.items()])
+    out = (stream.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+                 .withColumn("family_rank", family_rank().cast("int")))
     if ordered:
         out = out.orderBy("family_rank", F.col("row_count").desc(), "table_name")
     return out
@@ -45,10 +49,10 @@ def break_histogram(df: DataFrame) -> DataFrame:
 
 def break_histogram_by_table(tables: dict[str, DataFrame]) -> DataFrame:
     """A16 over every table that carries a break flag (union of per-table counts)."""
-    parts = [df.filter(F.col("_dq_flag") != "CLEAN").groupBy("_dq_flag")
-               .agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(name).alias("table_name"), "_dq_flag", "cnt")
+    parts = [df.filter(F.col("_dq_flag") != "CLEAN").select(F.lit(name).alias("table_name"), "_dq_flag")
              for name, df in tables.items() if "_dq_flag" in df.columns]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).groupBy("table_name", "_dq_flag").agg(
+        F.count(F.lit(1)).alias("cnt"))
 
 
 def type_status_counts(recon: DataFrame) -> DataFrame:

@@ -300,16 +300,26 @@ WHERE p.match_type = 'ESCALATE' AND abs(p.variance_pos_sap) <= c.variance_thresh
 
 
 def declared_key_report(s: SparkSession, d: str) -> DataFrame:
+    """Duplicate declared keys per raw table, all tables in one shuffle
+    (each row emits its table index and its key as one text value)."""
     raw = models(s, d).raw
-    parts = []
-    for t, keys in PRIMARY_KEYS.items():
-        n = checks.unique_violations(raw.get(t), list(keys)).agg(F.count(F.lit(1)).alias("duplicate_keys"))
-        parts.append(n.select(F.lit(t).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"),
-                              "duplicate_keys"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    streams = []
+    for i, (t, keys) in enumerate(PRIMARY_KEYS.items()):
+        nn = F.lit(True)
+        for k in keys:
+            nn = nn & F.col(k).isNotNull()
+        kv = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys])
+        streams.append(raw.get(t).filter(nn).select(F.lit(i).alias("idx"), kv.alias("kv")))
+    keyed = streams[0]
+    for st in streams[1:]:
+        keyed = keyed.unionByName(st)
+    dup = (keyed.groupBy("idx", "kv").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+                .groupBy("idx").agg(F.count(F.lit(1)).alias("duplicate_keys")))
+    meta = s.createDataFrame([(i, t, ",".join(k)) for i, (t, k) in enumerate(PRIMARY_KEYS.items())],
+                             "idx int, table_name string, key_columns string")
+    return (meta.join(F.broadcast(dup), "idx", "left")
+                .select("table_name", "key_columns",
+                        F.coalesce(F.col("duplicate_keys"), F.lit(0)).cast("bigint").alias("duplicate_keys")))
 
 
 def declared_key_sql() -> str:
