@@ -103,3 +103,38 @@ def register_views(models: Models, names: list[str] | None = None) -> list[str]:
     for n in names:
         models.model(n).createOrReplaceTempView(n)
     return names
+
+
+def build_and_test(spark: SparkSession, sf_dir: str, out_root: str, cfg: ReconConfig | None = None) -> dict:
+    """Load, build every model and run the declared check suite (the
+    ``dbt build`` equivalent); the check report is written as a table too."""
+    from ledgerloom.operators import checks
+    from ledgerloom.plans.models import MODEL_NAMES
+    cfg = cfg or ReconConfig()
+    t = time.time()
+    stored_raw(spark, sf_dir, cfg).load_all()
+    load = time.time() - t
+    timings: dict = {}
+    paths = run_models(spark, sf_dir, out_root, cfg, timings)
+    m = Models(stored_raw(spark, sf_dir, cfg), cfg)
+
+    def get(name: str) -> DataFrame:
+        return spark.read.parquet(paths[name]) if name in paths else m.model(name)
+    report = checks.run_checks(checks.catalogue(cfg), get, attached=set(MODEL_NAMES))
+    report_path = save_table(report, out_root, "checks", "check_results")
+    summary = {r.status: r.n_checks for r in checks.summarize(spark.read.parquet(report_path)).collect()}
+    return {"load_sec": round(load, 2), "models": {k: round(v, 2) for k, v in timings.items()},
+            "checks": summary, "out": out_root}
+
+
+if __name__ == "__main__":
+    import argparse
+    import json
+
+    from ledgerloom.session import build_session
+    ap = argparse.ArgumentParser(description="Build the reconciliation models and run the checks.")
+    ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--master", default=None)
+    a = ap.parse_args()
+    print(json.dumps(build_and_test(build_session(a.master), a.sf_dir, a.out)))
