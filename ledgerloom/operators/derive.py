@@ -454,7 +454,7 @@ def reference_match_result(eod: DataFrame, documents: DataFrame, lines: DataFram
                  (F.col("__draw") % 3 + 5).cast("string")).alias("preparer_id"),
         F.when(matched, F.concat(F.lit("EMP-"), F.col("country_code_iso2"), F.lit("-1002"),
                                  (F.col("__draw") % 2 + 3).cast("string"))).alias("reviewer_id"),
-        F.when(matched, F.to_timestamp(F.concat(F.date_add("recon_date", 1).cast("string"),
-                                                F.lit(" 09:00:00")))).alias("reviewed_at"),
+        F.when(matched, F.concat(F.date_add("recon_date", 1).cast("string"), F.lit(" 09:00:00+00:00"))
+               .cast("timestamp")).alias("reviewed_at"),
         "_dq_flag",
     )

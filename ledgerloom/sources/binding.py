@@ -173,7 +173,9 @@ def pos_transaction_header(orders: DataFrame, customer: DataFrame, nation: DataF
         F.concat(store, F.lit("-T"), (k % 4 + 1).cast("string")).alias("terminal_id"),
         F.concat(F.lit("CSH-"), pad_num(k % 50, 3)).alias("cashier_id"),
         F.col("o_orderdate").cast("date").alias("business_date"),
-        F.col("o_orderdate").cast("timestamp").alias("txn_datetime_utc"),
+        # the order time is a wall-clock value; read it as UTC whatever the session zone
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00")).cast("timestamp")
+         .alias("txn_datetime_utc"),
         typ,
         F.lit("COMPLETED").alias("txn_status"),
         "gross_amount", "discount_amount", "net_amount",
