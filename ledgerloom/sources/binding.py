@@ -198,13 +198,14 @@ def pos_transaction_header(orders: DataFrame, customer: DataFrame, nation: DataF
 def pos_tender(header: DataFrame, orders: DataFrame) -> DataFrame:
     """One tender per non-void transaction; amount is absolute, as the
     reference stores it (so returns enter gross settlement)."""
-    pri = orders.select(
-        F.concat(F.lit("TXN-"), F.col("o_orderkey").cast("string")).alias("__txn"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("__t"))
-    h = header.filter(F.col("txn_type") != "VOID")
-    j = h.join(pri, h.pos_txn_id == pri.__txn)
+    # join on the numeric order key (cheaper to hash than the text id)
+    pri = orders.select(F.col("o_orderkey").alias("__k"),
+                        F.substring("o_orderpriority", 1, 1).cast("int").alias("__t"))
+    h = header.filter(F.col("txn_type") != "VOID").withColumn(
+        "__hk", F.substring("pos_txn_id", 5, 40).cast("bigint"))
+    j = h.join(pri, F.col("__hk") == F.col("__k"))
     code = lookup("__t", TENDER_BY_PRIORITY)
-    k = F.substring("pos_txn_id", 5, 40).cast("bigint")
+    k = F.col("__hk")
     return j.select(
         F.concat(F.lit("TND-"), k.cast("string")).alias("pos_tender_id"),
         "pos_txn_id", "country_code",
