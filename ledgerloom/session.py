@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        # executors on other machines cannot see a local folder
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
     path = os.environ.get("LEDGERLOOM_CHECKPOINT_DIR") or os.path.join(
         tempfile.gettempdir(), f"ledgerloom-checkpoint-{getpass.getuser()}")
     os.makedirs(path, exist_ok=True)
