@@ -46,7 +46,7 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 
-    from ledgerloom.plans import pipeline, registry
+    from ledgerloom.plans import build, registry
     from ledgerloom.sources.raw import stored_raw
 
     t = time.time()
@@ -63,7 +63,7 @@ def main() -> None:
         per_query[name] = round(statistics.median(runs), 3)
 
     t = time.time()
-    pipeline.run_models(spark, sf_dir, f"{scratch}/models", registry.CFG)
+    build.run_models(spark, sf_dir, f"{scratch}/models", registry.CFG)
     build_sec = time.time() - t
 
     sf = os.path.basename(sf_dir).replace("sf", "")

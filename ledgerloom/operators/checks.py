@@ -243,7 +243,7 @@ def run_checks(checks: list[Check], model_df, attached: set[str] | None = None)
     one for every not_null / accepted_values check (each model scanned once),
     two for every unique check (each model scanned once more), and one anti
     join per relationship. Models are best given as built tables (see
-    :func:`ledgerloom.plans.pipeline.built_models`), so each scan reads only
+    :func:`ledgerloom.plans.build.built_models`), so each scan reads only
     the checked columns. ``model_df(name)`` returns a model's DataFrame;
     checks on names outside ``attached`` are reported SKIPPED, as a
     declaration on a missing model runs nothing.

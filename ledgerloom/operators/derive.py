@@ -2,7 +2,7 @@
 
 The reference derives its end-of-day summaries, ledger postings,
 settlements, bank credits and reference match result from its transaction
-rows in single-threaded scripts. Here each is one lazy DataFrame pipeline
+rows in single-threaded scripts. Here each is one lazy DataFrame plan
 over the raw tables. Random draws of the scripts are replaced by fixed
 integer rules on stable keys (the scripts are not reproducible, Q27), so a
 SQL engine can re-derive every row.

@@ -80,7 +80,7 @@ def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = Non
     if key not in _BUILT:
         ensure_checkpoint_dir(spark)
         code = _code_digest(("operators/staging.py", "operators/match.py", "operators/marts.py",
-                             "operators/dims.py", "plans/models.py", "plans/pipeline.py"))
+                             "operators/dims.py", "plans/models.py", "plans/build.py"))
         opts = hashlib.sha1((repr(cfg) + code).encode()).hexdigest()[:12]
         out = store_root(spark, sf_dir.rstrip("/"), cfg) + f"-models-{opts}"
         expected = {n: f"{out}/{layer}/{n}" for layer, names in LAYERS.items() for n in names}

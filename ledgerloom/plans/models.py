@@ -2,7 +2,7 @@
 
 ``ref(model)`` of the reference becomes attribute access here; each model
 is built once per :class:`Models` instance, so a model read by several
-downstream models is one sub-plan (persisted by the pipeline runner when
+downstream models is one sub-plan (written as a table by the full build when
 it is evaluated more than once).
 """
 

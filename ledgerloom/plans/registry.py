@@ -250,7 +250,7 @@ def _check_sql(c: checks.Check) -> str:
 
 def check_report(s: SparkSession, d: str, kinds: tuple[str, ...] | None = None, severity: str | None = None):
     """Declared checks over the built models (the ``dbt test`` after a run)."""
-    from ledgerloom.plans.pipeline import built_models
+    from ledgerloom.plans.build import built_models
     cks = [c for c in checks.catalogue(CFG) if (kinds is None or c.kind in kinds)
            and (severity is None or c.severity == severity)]
     return checks.run_checks(cks, built_models(s, d, CFG), attached=set(MODEL_NAMES))
@@ -411,7 +411,7 @@ GROUP BY root_cause_code"""
 def cause_share_sql(s: SparkSession, d: str) -> DataFrame:
     """W05 in SQL form: an aggregate inside a window, over the trend mart
     registered as a view (S09)."""
-    from ledgerloom.plans.pipeline import register_views
+    from ledgerloom.plans.build import register_views
     register_views(models(s, d), ["mart_root_cause_trend"])
     return s.sql(CAUSE_SHARE_SQL)
 

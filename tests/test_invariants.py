@@ -1,4 +1,4 @@
-"""Invariants of the full pipeline on the smallest test folder, and the
+"""Invariants of the full model build on the smallest test folder, and the
 expected tier counts of the binding recipe (FIXTURES)."""
 
 import pytest
