@@ -40,6 +40,7 @@ def main() -> None:
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             .config("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
              .config("spark.checkpoint.dir", f"{scratch}/checkpoint")

@@ -32,6 +32,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.parquet.filterPushdown", "true")
+        # prune the big side of a selective join before its shuffle
+        .config("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
