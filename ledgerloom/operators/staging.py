@@ -18,11 +18,21 @@ def _countries(cfg: ReconConfig):
     return F.col("country_code").isin(list(cfg.countries))
 
 
+def _upper_country(cfg: ReconConfig):
+    """UPPER(country_code) after the raw-code filter. When every configured
+    code is upper-case, the filter leaves only upper-case codes, so UPPER is
+    the identity and the column passes through unchanged (which keeps a
+    bucketed layout on it usable by later joins)."""
+    if all(c == c.upper() for c in cfg.countries):
+        return F.col("country_code").alias("country_code")
+    return F.upper("country_code").alias("country_code")
+
+
 def stg_pos_transaction_header(raw: DataFrame, cfg: ReconConfig) -> DataFrame:
     """23 columns, UPPER codes, DATE/timestamp casts, money rounded."""
     return raw.filter(_countries(cfg) & (F.col("txn_status") == "COMPLETED")).select(
         "pos_txn_id",
-        F.upper("country_code").alias("country_code"),
+        _upper_country(cfg),
         "store_id", "terminal_id", "cashier_id",
         F.col("business_date").cast("date").alias("business_date"),
         F.col("txn_datetime_utc").cast("timestamp").alias("txn_datetime_utc"),
@@ -49,7 +59,7 @@ def stg_pos_tender(raw: DataFrame, stg_header: DataFrame, cfg: ReconConfig) -> D
     t = t.join(stg_header.select("pos_txn_id"), "pos_txn_id", "left_semi")
     return t.select(
         "pos_tender_id", "pos_txn_id",
-        F.upper("country_code").alias("country_code"),
+        _upper_country(cfg),
         F.upper("tender_code").alias("tender_code"),
         round_money("tender_amount").alias("tender_amount"),
         F.upper("currency_code").alias("currency_code"),
@@ -65,7 +75,7 @@ def stg_pos_eod_summary(raw: DataFrame, cfg: ReconConfig) -> DataFrame:
     return raw.filter(F.col("business_date").isNotNull() & F.col("store_id").isNotNull()
                       & _countries(cfg)).select(
         "eod_summary_id",
-        F.upper("country_code").alias("country_code"),
+        _upper_country(cfg),
         "store_id", "terminal_id",
         F.col("business_date").cast("date").alias("business_date"),
         "fiscal_period_key",
@@ -81,7 +91,7 @@ def stg_sap_fi_document(raw: DataFrame, cfg: ReconConfig) -> DataFrame:
     active = (F.col("bstat") == " ") | F.col("bstat").isNull()
     return raw.filter(_countries(cfg) & active).select(
         "belnr", "bukrs", "gjahr",
-        F.upper("country_code").alias("country_code"),
+        _upper_country(cfg),
         "blart",
         F.col("bldat").cast("date").alias("document_date"),
         F.col("budat").cast("date").alias("posting_date"),
@@ -122,7 +132,7 @@ def stg_bank_card_settlement(raw: DataFrame, cfg: ReconConfig) -> DataFrame:
     return raw.filter(_countries(cfg)).select(
         F.concat(F.col("settlement_id"), F.lit("|"), F.col("country_code")).alias("settlement_surrogate_key"),
         "settlement_id",
-        F.upper("country_code").alias("country_code"),
+        _upper_country(cfg),
         "processor_name", "merchant_id", "merchant_name",
         F.col("txn_date").cast("date").alias("txn_date"),
         F.col("settle_date").cast("date").alias("settle_date"),
@@ -145,7 +155,7 @@ def stg_bank_statement_line(raw: DataFrame, cfg: ReconConfig) -> DataFrame:
     """Credits only."""
     return raw.filter(_countries(cfg) & (F.col("dc_indicator") == "C")).select(
         "statement_line_id",
-        F.upper("country_code").alias("country_code"),
+        _upper_country(cfg),
         "bank_code", "bank_account",
         F.upper("currency_code").alias("currency_code"),
         F.col("value_date").cast("date").alias("value_date"),

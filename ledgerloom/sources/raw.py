@@ -114,12 +114,26 @@ def _code_digest(extra: tuple[str, ...] = ()) -> str:
     return h.hexdigest()[:12]
 
 
+# Join keys of the big raw tables: with ``bucket_count`` set, both sides of
+# each join are stored bucketed on them (same count), so the join and the
+# per-document aggregate read co-located buckets instead of shuffling.
+BUCKET_KEYS: dict[str, tuple[str, ...]] = {
+    "sap_fi_lineitem": ("belnr", "bukrs", "gjahr"),
+    "sap_fi_document": ("belnr", "bukrs", "gjahr"),
+    "pos_transaction_header": ("pos_txn_id",),
+    "pos_tender": ("pos_txn_id",),
+    "bank_card_settlement": ("country_code", "bank_account", "settlement_batch_id"),
+    "bank_statement_line": ("country_code", "bank_account", "customer_reference"),
+}
+
+
 def store_root(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> str:
     """Folder for the loaded raw tables: inside the cluster's shared
     checkpoint folder, keyed by the source folder and its file sizes."""
     from ledgerloom.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark)
-    sig = [sf_dir, BINDING_VERSION, _code_digest(), (cfg or ReconConfig()).as_of_str]
+    cfg = cfg or ReconConfig()
+    sig = [sf_dir, BINDING_VERSION, _code_digest(), cfg.as_of_str, f"b{cfg.bucket_count}"]
     for name in INPUTS:
         try:
             sig.append(str(os.path.getsize(f"{sf_dir}/{name}.parquet")))
@@ -149,10 +163,30 @@ class StoredRawTables(RawTables):
             return super()._build(name)
         from ledgerloom.session import path_exists
         p = self.path(name)
+        if self.cfg.bucket_count > 0 and name in BUCKET_KEYS:
+            return self._bucketed(name, p, path_exists(self.spark, f"{p}/_SUCCESS"))
         if not path_exists(self.spark, f"{p}/_SUCCESS"):
             BUILDERS[name](self).write.mode("overwrite").parquet(p)
         return self.spark.read.parquet(p)
 
+    def _bucketed(self, name: str, path: str, exists: bool) -> DataFrame:
+        """A bucketed table at ``path``, registered in the session catalog
+        (bucketing is catalog metadata): written once, re-registered over the
+        existing files in a later session."""
+        n, keys = self.cfg.bucket_count, list(BUCKET_KEYS[name])
+        table = f"ll_{os.path.basename(self.root).replace('-', '_')}_{name}"
+        if not self.spark.catalog.tableExists(table):
+            if exists:
+                schema = self.spark.read.parquet(path).schema.toDDL()
+                cols = ", ".join(keys)
+                self.spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet "
+                               f"CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {n} BUCKETS LOCATION '{path}'")
+            else:
+                # one task per bucket writes one file per bucket
+                (BUILDERS[name](self).repartition(n, *keys).write.mode("overwrite")
+                 .bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table))
+        return self.spark.table(table)
+
     def load_all(self, parallel: int = 4) -> dict[str, DataFrame]:
         """Load every table; tables of one dependency level are written by
         concurrent jobs (small tables alone cannot fill the cluster)."""
