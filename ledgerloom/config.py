@@ -29,9 +29,10 @@ class ReconConfig:
     # Upper bound (rows) for a dimension to be broadcast; larger sides are
     # shuffled instead.
     broadcast_max_rows: int = 1_000_000
-    # > 0: store the raw facts bucketed on their join keys into this many
-    # buckets, so joins on those keys need no shuffle (0 = plain Parquet).
-    bucket_count: int = 0
+    # Store the raw facts bucketed on their join keys, so joins on those keys
+    # need no shuffle: n > 0 buckets; -1 = as many as the session's
+    # spark.sql.shuffle.partitions (sized to the data on a cluster); 0 = off.
+    bucket_count: int = -1
     # Optional fixes of known model behaviour; all off = reproduce the models.
     # Q1: build sales match ids in the reference-result format, so the
     # exception log finds its maker-checker evidence.

@@ -127,13 +127,20 @@ BUCKET_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+def bucket_count(spark: SparkSession, cfg: ReconConfig) -> int:
+    """Resolved bucket count of the raw layout (0 = not bucketed)."""
+    if cfg.bucket_count < 0:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cfg.bucket_count
+
+
 def store_root(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> str:
     """Folder for the loaded raw tables: inside the cluster's shared
     checkpoint folder, keyed by the source folder and its file sizes."""
     from ledgerloom.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark)
     cfg = cfg or ReconConfig()
-    sig = [sf_dir, BINDING_VERSION, _code_digest(), cfg.as_of_str, f"b{cfg.bucket_count}"]
+    sig = [sf_dir, BINDING_VERSION, _code_digest(), cfg.as_of_str, f"b{bucket_count(spark, cfg)}"]
     for name in INPUTS:
         try:
             sig.append(str(os.path.getsize(f"{sf_dir}/{name}.parquet")))
@@ -154,6 +161,7 @@ class StoredRawTables(RawTables):
                  root: str | None = None):
         super().__init__(spark, sf_dir, cfg)
         self.root = root or store_root(spark, self.sf_dir, self.cfg)
+        self.buckets = bucket_count(spark, self.cfg)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -163,7 +171,7 @@ class StoredRawTables(RawTables):
             return super()._build(name)
         from ledgerloom.session import path_exists
         p = self.path(name)
-        if self.cfg.bucket_count > 0 and name in BUCKET_KEYS:
+        if self.buckets > 0 and name in BUCKET_KEYS:
             return self._bucketed(name, p, path_exists(self.spark, f"{p}/_SUCCESS"))
         if not path_exists(self.spark, f"{p}/_SUCCESS"):
             BUILDERS[name](self).write.mode("overwrite").parquet(p)
@@ -173,7 +181,7 @@ class StoredRawTables(RawTables):
         """A bucketed table at ``path``, registered in the session catalog
         (bucketing is catalog metadata): written once, re-registered over the
         existing files in a later session."""
-        n, keys = self.cfg.bucket_count, list(BUCKET_KEYS[name])
+        n, keys = self.buckets, list(BUCKET_KEYS[name])
         table = f"ll_{os.path.basename(self.root).replace('-', '_')}_{name}"
         if not self.spark.catalog.tableExists(table):
             if exists:

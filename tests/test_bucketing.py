@@ -23,6 +23,7 @@ def _exchanges(df):
 
 
 def test_bucketed_layout_same_results_fewer_shuffles(spark, cfg):
+    cfg = replace(cfg, bucket_count=0)
     plain = Models(StoredRawTables(spark, SF_SMALL, cfg), cfg)
     bcfg = replace(cfg, bucket_count=4)
     bucketed = Models(StoredRawTables(spark, SF_SMALL, bcfg), bcfg)
