@@ -30,9 +30,12 @@ class ReconConfig:
     # shuffled instead.
     broadcast_max_rows: int = 1_000_000
     # Store the raw facts bucketed on their join keys, so joins on those keys
-    # need no shuffle: n > 0 buckets; -1 = as many as the session's
-    # spark.sql.shuffle.partitions (sized to the data on a cluster); 0 = off.
+    # need no shuffle: n > 0 buckets; 0 = off; -1 = automatic: as many as the
+    # session's spark.sql.shuffle.partitions once the input exceeds
+    # ``bucket_min_input_bytes`` (below it a bucketed scan's fixed task count
+    # costs more than the shuffles it saves).
     bucket_count: int = -1
+    bucket_min_input_bytes: int = 1 << 30
     # Optional fixes of known model behaviour; all off = reproduce the models.
     # Q1: build sales match ids in the reference-result format, so the
     # exception log finds its maker-checker evidence.

@@ -72,3 +72,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (file or folder) on its own file system."""
+    if "://" not in path or path.startswith("file:"):
+        local = path.replace("file://", "", 1) if path.startswith("file:") else path
+        if os.path.isdir(local):
+            return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(local) for f in fs)
+        return os.path.getsize(local) if os.path.exists(local) else 0
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0

@@ -127,11 +127,18 @@ BUCKET_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
-def bucket_count(spark: SparkSession, cfg: ReconConfig) -> int:
-    """Resolved bucket count of the raw layout (0 = not bucketed)."""
-    if cfg.bucket_count < 0:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return cfg.bucket_count
+def bucket_count(spark: SparkSession, cfg: ReconConfig, sf_dir: str | None = None) -> int:
+    """Resolved bucket count of the raw layout (0 = not bucketed). The
+    automatic setting buckets only when the big inputs exceed
+    ``cfg.bucket_min_input_bytes`` (file-system metadata, no scan)."""
+    if cfg.bucket_count >= 0:
+        return cfg.bucket_count
+    if sf_dir is not None:
+        from ledgerloom.session import path_bytes
+        size = sum(path_bytes(spark, f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "lineitem"))
+        if size < cfg.bucket_min_input_bytes:
+            return 0
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def store_root(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> str:
@@ -140,7 +147,7 @@ def store_root(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None)
     from ledgerloom.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark)
     cfg = cfg or ReconConfig()
-    sig = [sf_dir, BINDING_VERSION, _code_digest(), cfg.as_of_str, f"b{bucket_count(spark, cfg)}"]
+    sig = [sf_dir, BINDING_VERSION, _code_digest(), cfg.as_of_str, f"b{bucket_count(spark, cfg, sf_dir)}"]
     for name in INPUTS:
         try:
             sig.append(str(os.path.getsize(f"{sf_dir}/{name}.parquet")))
@@ -161,7 +168,7 @@ class StoredRawTables(RawTables):
                  root: str | None = None):
         super().__init__(spark, sf_dir, cfg)
         self.root = root or store_root(spark, self.sf_dir, self.cfg)
-        self.buckets = bucket_count(spark, self.cfg)
+        self.buckets = bucket_count(spark, self.cfg, self.sf_dir)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -41,3 +41,11 @@ def test_bucketed_layout_same_results_fewer_shuffles(spark, cfg):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_automatic_bucketing_follows_input_size(spark, cfg):
+    from ledgerloom.sources.raw import bucket_count
+    assert bucket_count(spark, replace(cfg, bucket_count=-1), SF_SMALL) == 0          # tiny input: plain
+    big = replace(cfg, bucket_count=-1, bucket_min_input_bytes=1)
+    assert bucket_count(spark, big, SF_SMALL) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bucket_count(spark, replace(cfg, bucket_count=7), SF_SMALL) == 7
