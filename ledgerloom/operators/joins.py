@@ -22,7 +22,8 @@ _BOUND_MEMO: dict[tuple, bool] = {}
 
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads ≤ max_rows+1 rows)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    from ledgerloom.session import session_key
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _BOUND_MEMO:
         _BOUND_MEMO[key] = df.limit(max_rows + 1).count() <= max_rows
     return _BOUND_MEMO[key]

@@ -73,10 +73,10 @@ def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = Non
     the stored raw tables. Returns ``name -> DataFrame``."""
     import hashlib
 
-    from ledgerloom.session import ensure_checkpoint_dir, path_exists
+    from ledgerloom.session import ensure_checkpoint_dir, path_exists, session_key
     from ledgerloom.sources.raw import _code_digest, store_root
     cfg = cfg or ReconConfig()
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+    key = (session_key(spark), sf_dir.rstrip("/"), cfg)
     if key not in _BUILT:
         ensure_checkpoint_dir(spark)
         code = _code_digest(("operators/staging.py", "operators/match.py", "operators/marts.py",

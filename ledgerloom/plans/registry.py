@@ -18,6 +18,7 @@ from ledgerloom.operators import checks, derive, lookups, marts, profile
 from ledgerloom.operators.joins import sequence_within
 from ledgerloom.plans import oracle, scalar_queries
 from ledgerloom.plans.models import MODEL_NAMES, Models
+from ledgerloom.session import session_key
 from ledgerloom.sources.raw import RawTables, stored_raw
 from ledgerloom.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
@@ -27,7 +28,7 @@ _MODELS: dict[tuple, Models] = {}
 
 
 def models(spark: SparkSession, sf_dir: str, cfg: ReconConfig = CFG) -> Models:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+    key = (session_key(spark), sf_dir.rstrip("/"), cfg)
     if key not in _MODELS:
         _MODELS[key] = Models(stored_raw(spark, sf_dir, cfg), cfg)
     return _MODELS[key]

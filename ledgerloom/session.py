@@ -41,6 +41,28 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (cache keys per session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:
+        return spark.conf.get("spark.master", "")
+
+
+def _set_checkpoint(spark: SparkSession, path: str) -> None:
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # the setting is enough where no SparkContext is exposed
+        pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
@@ -51,16 +73,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        _set_checkpoint(spark, current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not _master(spark).startswith("local"):
         # executors on other machines cannot see a local folder
         raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
     path = os.environ.get("LEDGERLOOM_CHECKPOINT_DIR") or os.path.join(
         tempfile.gettempdir(), f"ledgerloom-checkpoint-{getpass.getuser()}")
     os.makedirs(path, exist_ok=True)
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    _set_checkpoint(spark, path)
     return path
 
 

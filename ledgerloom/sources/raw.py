@@ -220,8 +220,9 @@ _STORES: dict[tuple, StoredRawTables] = {}
 
 def stored_raw(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> StoredRawTables:
     """One loaded raw store per (session, folder, config)."""
+    from ledgerloom.session import session_key
     cfg = cfg or ReconConfig()
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+    key = (session_key(spark), sf_dir.rstrip("/"), cfg)
     if key not in _STORES:
         _STORES[key] = StoredRawTables(spark, sf_dir, cfg)
     return _STORES[key]
