@@ -272,6 +272,14 @@ reg("k04_relationships_report", lambda s, d: check_report(s, d, ("relationships"
 reg("k05_warn_severity_report", lambda s, d: check_report(s, d, severity="warn"), check_report_sql(severity="warn"))
 reg("k12_check_report", lambda s, d: check_report(s, d), check_report_sql())
 
+def check_summary_sql() -> str:
+    cks = checks.catalogue(CFG)
+    body = "\nUNION ALL\n".join(_check_sql(c) for c in cks)
+    return oracle.with_ctes(f"SELECT status, count(*) AS n_checks FROM (\n{body}\n) r GROUP BY status")
+
+
+reg("k12_check_summary", lambda s, d: checks.summarize(check_report(s, d)), check_summary_sql())
+
 reg("k02_lineitem_duplicate_keys",
     lambda s, d: checks.unique_violations(s.read.parquet(f"{d}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]),
     """SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
