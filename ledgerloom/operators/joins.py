@@ -103,3 +103,44 @@ def sequence_within(df: DataFrame, partition_cols: list[str], bucket_cols: list[
     joined = numbered.join(offs, cond, "inner")
     return (joined.withColumn(out_col, (F.col("__off") + F.col("__rn")).cast("bigint"))
             .drop("__off", "__rn", "__sub", *[f"__o_{k}" for k in keys]))
+
+
+def left_join_salted_hot_keys(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 1_000_000,
+                              salts: int = 64, max_hot_keys: int = 1_000_000) -> DataFrame:
+    """Exact ``left.join(right, keys, "left")`` that survives a right-side key
+    holding a large share of the rows.
+
+    A sort-merge left join cannot split a skewed partition of its right
+    (build) side. Keys with at least ``hot_rows`` right rows are found by one
+    aggregate and broadcast (a size-checked, small set). Their right rows are
+    spread over ``salts`` sub-keys by a hash of the row (stable under task
+    retries), and the matching left rows are replicated once per salt. A hot
+    key always has right rows, so the replicas that found none are dropped,
+    which keeps the result exact. Cold keys and NULL keys join as usual.
+    """
+    hot = (right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                .filter(F.col("__n") >= hot_rows)
+                .select(*[F.col(k).alias(f"__h_{k}") for k in keys]).withColumn("__hot", F.lit(True)))
+    hot = bounded_broadcast(hot, max_hot_keys)
+
+    def mark(df: DataFrame) -> DataFrame:
+        cond = None
+        for k in keys:
+            c = F.col(k) == F.col(f"__h_{k}")
+            cond = c if cond is None else cond & c
+        return df.join(hot, cond, "left").drop(*[f"__h_{k}" for k in keys]).withColumn(
+            "__hot", F.coalesce(F.col("__hot"), F.lit(False)))
+
+    r = mark(right)
+    r = r.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*right.columns), F.lit(salts)))
+                     .otherwise(F.lit(0)).cast("int"))
+    r = r.select(*[F.col(k).alias(f"__rk_{k}") for k in keys], F.col("__salt").alias("__rsalt"),
+                 *[c for c in right.columns if c not in keys], F.lit(True).alias("__matched"))
+    l = mark(left)
+    l = l.withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                        .otherwise(F.array(F.lit(0)))))
+    cond = F.col("__salt") == F.col("__rsalt")
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"__rk_{k}"))
+    j = l.join(r, cond, "left").filter(~F.col("__hot") | F.col("__matched").isNotNull())
+    return j.drop("__hot", "__salt", "__rsalt", "__matched", *[f"__rk_{k}" for k in keys])

@@ -15,7 +15,7 @@ from ledgerloom.config import ReconConfig
 from ledgerloom.functions.exprs import (
     MONEY, count_when, first_match, flag01, greatest_strict, mon_yy, pct_ratio, typed_null, yyyy_mm,
 )
-from ledgerloom.operators.joins import bounded_broadcast
+from ledgerloom.operators.joins import bounded_broadcast, left_join_salted_hot_keys
 
 SUMMARY_COLS = ["match_id", "recon_type", "country_code", "recon_date", "fiscal_period_key", "store_id",
                 "currency_code", "pos_amount", "sap_amount", "bank_amount", "variance_pos_sap",
@@ -127,8 +127,10 @@ def mart_exception_log(pos_sap: DataFrame, pay_bank: DataFrame, stg_store: DataF
     rc = _dim(stg_root_cause.select("root_cause_code", F.col("description").alias("root_cause_description"),
                                     "responsible_team", "typical_resolution_hrs"), cfg)
     rr = raw_recon.select("match_id", "preparer_id", "reviewer_id", "reviewed_at", "it_ticket_ref")
-    j = (e.join(store, "store_id", "left").join(rc, "root_cause_code", "left")
-          .join(rr, "match_id", "left"))
+    # The reference result repeats ids (Q4): a hot id on this build side is
+    # salted rather than left to one reducer.
+    j = left_join_salted_hot_keys(e.join(store, "store_id", "left").join(rc, "root_cause_code", "left"),
+                                  rr, ["match_id"])
     age = F.datediff(F.lit(cfg.as_of_str).cast("date"), F.col("recon_date"))
     j = j.withColumn("exception_age_days", age.cast("int"))  # computed once, read by 3 CASEs
     a_ = F.col("exception_age_days")

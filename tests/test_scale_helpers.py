@@ -3,7 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import bounded_broadcast, fits, left_join_salted_nulls, sequence_within
+from ledgerloom.operators.joins import (bounded_broadcast, fits, left_join_salted_hot_keys,
+                                       left_join_salted_nulls, sequence_within)
 
 
 def test_sequence_within_equals_row_number(spark):
@@ -43,3 +44,16 @@ def test_sequence_within_sub_buckets(spark):
     got = {r.k: r.seq for r in sequence_within(df, ["g"], ["day"], ["k"], sub_bucket_chars=1).collect()}
     ref = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("day", "k")))
     assert got == {r.k: r.seq for r in ref.collect()}
+
+
+def test_salted_hot_key_left_join_is_exact(spark):
+    # key 'H' holds most right rows (hot at threshold 5); left has matched,
+    # unmatched, duplicated and NULL keys
+    right = spark.createDataFrame([("H", i) for i in range(40)] + [("c", 100), ("c", 101), ("d", 102)],
+                                  "k string, rv int")
+    left = spark.createDataFrame([("H", 1), ("H", 2), ("c", 3), ("x", 4), (None, 5)], "k string, lv int")
+    got = sorted((r.k or "", r.lv, r.rv if r.rv is not None else -1)
+                 for r in left_join_salted_hot_keys(left, right, ["k"], hot_rows=5, salts=7).collect())
+    ref = sorted((r.k or "", r.lv, r.rv if r.rv is not None else -1)
+                 for r in left.join(right, ["k"], "left").collect())
+    assert got == ref and len(got) == 2 * 40 + 2 + 1 + 1
