@@ -80,25 +80,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i modulo 2^64 for i < n."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for key, base in (("up", BASE), ("down", BASE_INVERSE)):
-            run = np.full(size, base, np.uint64)
-            run[0] = 1
-            _powers[key] = np.cumprod(run, dtype=np.uint64)
-    return _powers["up"][:n], _powers["down"][:n]
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base^i modulo 2^64 for i < n."""
+    run = np.full(n, base, np.uint64)
+    run[:1] = 1
+    return np.cumprod(run, dtype=np.uint64)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """H with hash(data[s:e]) = (H[e] - H[s]) * BASE^-s, all modulo 2^64."""
-    up, _ = powers(len(data))
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[data] * up, dtype=np.uint64, out=out[1:])
+    np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data)), dtype=np.uint64, out=out[1:])
     return out
 
 
@@ -157,7 +149,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: i
         part = data[base : int(ends[hi - 1])]
         run = prefix_hash(part)
         s, e = starts[lo:hi] - base, ends[lo:hi] - base
-        down = powers(len(part) + 1)[1]
+        down = powers(BASE_INVERSE, len(part) + 1)
         out[lo:hi] = mix64((run[e] - run[s]) * down[s] + (e - s).astype(np.uint64))
         lo = hi
     return out

@@ -5,16 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing
+from . import licenses, mixing, toxicity, url_filter
 from .common import table
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("lays")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, labels, ["doc_id"])
+    score = F.col("toxicity_score")
+    return scored.select(
+        "doc_id", (toxicity.fold_of(F.col("doc_id")) == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))[0]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": op2_license_scan,
+    "op4_url_filter": op4_url_filter,
+    "op7_toxicity": op7_toxicity,
     "op10_mix_sources": op10_mix_sources,
 }
 
