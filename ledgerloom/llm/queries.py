@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, toxicity, url_filter
+from . import licenses, mixing, quality_mil, quality_rules, toxicity, url_filter
 from .common import table
 
 
@@ -28,6 +28,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_mil.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (toxicity.fold_of(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))[0]
 
@@ -36,6 +47,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op4_url_filter": op4_url_filter,
     "op7_toxicity": op7_toxicity,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_quality": op9_quality,
     "op10_mix_sources": op10_mix_sources,
 }
 
