@@ -1,17 +1,17 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 A bigram model with absolute discounting is estimated for toxic and for
-ordinary labelled documents. Both share their backoff: the probability that
-rare or unseen expressions fall back to is the continuation distribution
+ordinary labelled documents. Every order counts the distinct contexts to the
+left of an expression, so copies of one text count once. Both classes share their backoff: what rare or unseen expressions fall back to is the continuation distribution
 (distinct left neighbours) over both classes, with one backoff mass for both,
 so an expression that neither class knows says nothing. A document's evidence
 is its length-normalised log-likelihood ratio, over the whole text and over
-its most toxic window of ``WINDOW`` words; a logistic link fitted on labelled
+its most toxic windows of ``WINDOWS`` words; a logistic link fitted on labelled
 documents that the counts have not seen gives the score.
 
 Learning reads labels of rows whose crc32(doc_id) mod 5 is not 0, at most
 about ``MAX_FIT`` of them (those with the smallest id hashes); remainders 1 to
-3 give the counts, 4 the link. Expressions seen fewer than ``MIN_COUNT`` times are
+3 give the counts, 4 the link. Expressions with fewer than ``MIN_COUNT`` contexts are
 left to the backoff, and at most ``MAX_ENTRIES`` are kept, so the model that is
 sent to the executors is bounded. Scoring covers every whole text.
 
@@ -34,10 +34,11 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-MAX_FIT, MIN_COUNT, MAX_ENTRIES = 24_000, 12, 200_000
-WINDOW = 8
+MAX_FIT, MIN_COUNT, MAX_ENTRIES = 24_000, 6, 200_000
+#: Besides the whole text, the ratio is taken over its most toxic window of each of these numbers of words.
+WINDOWS = (1, 8)
 #: Backoff mass of both classes at the unigram and at the bigram level.
-MASS = 0.25
+MASS = 0.1
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -57,8 +58,8 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int) -
     return known.join(docs.select("doc_id", "text"), "doc_id").select("text", "y", "fold")
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, hashes of (previous word, word), and each row's first word. The first word's previous is 0."""
+def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, the words before them (0 at a row's start), hashes of both, and each row's first word."""
     data = c.FOLD[data]
     starts, ends, first = c.word_spans(data, offsets, LETTERS)
     words = c.span_hashes(data, starts, ends)
@@ -66,29 +67,30 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     before[1:] = words[:-1]
     heads = first[:-1]
     before[heads[heads < len(words)]] = 0
-    return words, c.mix64(before * np.uint64(0xD6E8FEB86659FD93) + words), first
+    return words, before, c.mix64(before * np.uint64(0xD6E8FEB86659FD93) + words), first
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(level, gram, word, left, toxic, ordinary): counts of a batch's bigrams."""
+def _types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct trigrams of a batch, as (context, bigram, word, left), and the classes that have them."""
     for batch in batches:
         y = batch.column(1).to_numpy(zero_copy_only=False)
         data, offsets = c.texts_of(batch)
         for lo, hi, part, off in c.chunks(data, offsets):
-            words, pairs, first = _grams(part, off)
+            words, before, pairs, first = _grams(part, off)
             if not len(words):
                 continue
-            toxic = np.repeat(y[lo:hi], np.diff(first))
-            left = np.zeros(len(words), np.uint64)
-            left[1:] = words[:-1]
+            toxic = np.repeat(y[lo:hi], np.diff(first)).astype(bool)
+            context = pairs.copy()
+            context[1:] = c.mix64(pairs[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + pairs[1:])
             heads = first[:-1]
-            left[heads[heads < len(words)]] = 0
-            _, at, of = np.unique(pairs, return_index=True, return_inverse=True)
-            t = np.bincount(of, toxic, len(at)).astype(np.int64)
-            n = np.bincount(of, minlength=len(at)) - t
+            heads = heads[heads < len(words)]
+            context[heads] = pairs[heads]
+            _, at, of = np.unique(context, return_index=True, return_inverse=True)
+            t = np.bincount(of, toxic, len(at)) > 0
+            n = np.bincount(of, ~toxic, len(at)) > 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x.view(np.int64)) for x in (pairs[at], words[at], left[at])] + [pa.array(t), pa.array(n)],
-                ["gram", "word", "left", "t", "n"],
+                [pa.array(x[at].view(np.int64)) for x in (context, pairs, words, before)] + [pa.array(t.astype(np.int8)), pa.array(n.astype(np.int8))],
+                ["context", "gram", "word", "left", "t", "n"],
             )
 
 
@@ -103,13 +105,13 @@ def _class_probabilities(t: np.ndarray, n: np.ndarray, totals: tuple, types: tup
 
 def fit_models(sample: DataFrame) -> dict[str, np.ndarray] | None:
     """Sorted word and bigram hashes with their log-likelihood ratios."""
+    types = sample.where("fold <> 4").select("text", "y").mapInArrow(_types, "context long, gram long, word long, left long, t byte, n byte")
+    types = types.groupBy("context").agg(*[F.first(x).alias(x) for x in ("gram", "word", "left")], F.max("t").alias("t"), F.max("n").alias("n"))
     pairs = c.stored(
-        sample.where("fold <> 4").select("text", "y")
-        .mapInArrow(_count, "gram long, word long, left long, t long, n long")
-        .groupBy("gram").agg(F.first("word").alias("word"), F.first("left").alias("left"), F.sum("t").alias("t"), F.sum("n").alias("n")),
-        "bigrams",
+        types.groupBy("gram").agg(F.first("word").alias("word"), F.first("left").alias("left"), F.sum("t").alias("t"), F.sum("n").alias("n")), "bigrams"
     )
-    words = pairs.groupBy("word").agg(F.sum("t").alias("t"), F.sum("n").alias("n"), F.count("*").alias("lefts"))
+    has = lambda x: F.sum((F.col(x) > 0).cast("long"))
+    words = pairs.groupBy("word").agg(has("t").alias("t"), has("n").alias("n"), F.count("*").alias("lefts"))
     total = words.agg(*[F.sum(x) for x in ("t", "n", "lefts")], F.sum((F.col("t") > 0).cast("long")), F.sum((F.col("n") > 0).cast("long")), F.count("*")).first()
     if not total[0] or not total[1]:
         return None
@@ -143,23 +145,20 @@ def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default:
 
 
 def evidence(model: dict[str, np.ndarray], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Per row: mean log-likelihood ratio, that of the most toxic window, and its excess over the mean."""
-    out = np.zeros((len(offsets) - 1, 2))
+    """Per row: mean log-likelihood ratio of the whole text and of the most toxic window of each length."""
+    out = np.zeros((len(offsets) - 1, 1 + len(WINDOWS)))
     for lo, hi, part, off in c.chunks(data, offsets):
-        words, pairs, first = _grams(part, off)
+        words, _, pairs, first = _grams(part, off)
         llr = _look_up(model["words"], model["word_llr"], words.view(np.int64), np.zeros(len(words)))
         llr = _look_up(model["pairs"], model["pair_llr"], pairs.view(np.int64), llr)
         run = np.concatenate([[0.0], np.cumsum(llr)])
         n = np.diff(first)
-        mean = (run[first[1:]] - run[first[:-1]]) / np.maximum(n, 1)
-        # windows that end at each word and start in its row
-        begin = np.maximum(np.arange(len(words)) + 1 - WINDOW, np.repeat(first[:-1], n))
-        window = (run[1:] - run[begin]) / WINDOW
-        most = np.zeros(hi - lo)
+        out[lo:hi, 0] = (run[first[1:]] - run[first[:-1]]) / np.maximum(n, 1)
         full = n > 0
-        if full.any():
-            most[full] = np.maximum.reduceat(window, first[:-1][full])
-        out[lo:hi] = np.column_stack([mean, most])
+        for k, window in enumerate(WINDOWS if full.any() else ()):
+            # windows that end at each word and start in its row
+            begin = np.maximum(np.arange(len(words)) + 1 - window, np.repeat(first[:-1], n))
+            out[lo:hi, 1 + k][full] = np.maximum.reduceat((run[1:] - run[begin]) / window, first[:-1][full])
     return out
 
 
@@ -181,7 +180,7 @@ def _evidence_rows(model):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             e = evidence(model, *c.texts_of(batch))
-            yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1]), batch.column(1)], ["mean", "most", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(e), pa.list_(pa.float64())), batch.column(1)], ["e", "y"])
 
     return rows
 
@@ -192,11 +191,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray] | None:
     model = fit_models(sample)
     if model is None:
         return None
-    seen = sample.where("fold = 4").select("text", "y").mapInArrow(_evidence_rows(model), "mean double, most double, y int").toPandas()
+    seen = sample.where("fold = 4").select("text", "y").mapInArrow(_evidence_rows(model), "e array<double>, y int").toPandas()
     if seen["y"].nunique() == 2:
-        model["link"] = fit_link(seen[["mean", "most"]].to_numpy(), seen["y"].to_numpy())
-    else:  # too few held-out rows: the evidence itself, per window
-        model["link"] = np.array([-float(WINDOW), 0.0, float(WINDOW)])
+        model["link"] = fit_link(np.stack(seen["e"]), seen["y"].to_numpy())
+    else:  # too few held-out rows: the evidence of the windows itself
+        model["link"] = np.array([-float(max(WINDOWS)), 0.0, *[1.0] * len(WINDOWS)])
     return model
 
 
