@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text handled at once by the numpy kernels.
 CHUNK_BYTES = 1 << 20
@@ -49,6 +50,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """The schema of ``df`` and further fields."""
+    return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)
+
+
 def lower_ascii(col):
     return F.translate(col, UPPER, LOWER)
 
