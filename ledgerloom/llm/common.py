@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +43,56 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_written: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and
     a lost executor costs a re-read, not a recomputation."""
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
+    _written.append(path.rpartition("/")[0])
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Collects the folders that ``stored`` writes inside the block."""
+    first, paths = len(_written), []
+    yield paths
+    paths += _written[first:]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of ``stored``; for callers that have written the results that were read from them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+#: Bits of a hash filter: its size is fixed, whatever it is made from.
+FILTER_BITS = 1 << 23
+
+
+def filter_bit(col):
+    return F.pmod(F.xxhash64(col), F.lit(FILTER_BITS)).cast("int")
+
+
+def hash_filter(keys: DataFrame, name: str) -> np.ndarray:
+    """A fixed-size bitmap of the hashes of a column: a row whose bit isn't set
+    has no equal in it. Rows that can't match are left out before a shuffle."""
+    bit = keys.select(filter_bit(F.col(name)).alias("b"))
+    words = bit.groupBy((F.col("b") / 32).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, b % 32))").alias("v")).toPandas()
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    out[words["w"]] = words["v"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def in_filter(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (bitmap[bits >> 5] >> (bits & 31).astype(np.uint32)) & 1 == 1
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` and further fields."""
     return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import FOLD, chunks, span_hashes, texts_of, windows_of, with_fields, word_spans
@@ -148,52 +148,73 @@ def _share(part: tuple[int, np.ndarray], words: np.ndarray) -> float:
     return float(np.isin(shingles, windows_of(words, n)).mean()) if n else 0.0
 
 
+def _find(ix: dict, batch: pa.RecordBatch, threshold: float, overlap: float) -> list[tuple]:
+    """(row, item_id, score, overlaps of the whole, question and answer, first word) of verified passages."""
+    data, offsets = texts_of(batch)
+    found = []
+    for lo, _, part, off in chunks(data, offsets):
+        part = FOLD[part]
+        starts, ends, first = word_spans(part, off, LETTERS)
+        words = span_hashes(part, starts, ends)
+        passage, term, start, stop = _passage_terms(ix, words, first)
+        for p, item, score in retrieve(ix, passage, term, threshold):
+            own = words[start[p] : stop[p]]
+            whole, question, answer = (_share(ix[x][item], own) for x in ("whole", "question", "answer"))
+            if whole >= overlap or (question >= overlap and answer >= overlap):
+                row = int(np.searchsorted(first, start[p], "right")) - 1
+                found.append((lo + row, ix["ids"][item], score, whole, question, answer, int(start[p] - first[row])))
+    return found
+
+
 def _scan(index, threshold: float, overlap: float):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = index.value
         for batch in batches:
-            data, offsets = texts_of(batch)
-            found = []
-            for lo, hi, part, off in chunks(data, offsets):
-                part = FOLD[part]
-                starts, ends, first = word_spans(part, off, LETTERS)
-                words = span_hashes(part, starts, ends)
-                passage, term, start, stop = _passage_terms(ix, words, first)
-                for p, item, score in retrieve(ix, passage, term, threshold):
-                    own = words[start[p] : stop[p]]
-                    whole, question, answer = (_share(ix[x][item], own) for x in ("whole", "question", "answer"))
-                    if whole >= overlap or (question >= overlap and answer >= overlap):
-                        row = int(np.searchsorted(first, start[p], "right")) - 1
-                        found.append((lo + row, ix["ids"][item], score, whole, question, answer, int(start[p] - first[row])))
-            rows_, *cols = zip(*found) if found else ((),) * 7
+            found = _find(index.value, batch, threshold, overlap)
+            row, *cols = zip(*found) if found else ((),) * 7
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows_, pa.int64())), pa.array(cols[0], pa.int64()), *[pa.array(c, pa.float64()) for c in cols[1:5]], pa.array(cols[5], pa.int64())],
+                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(cols[0], pa.int64()), *[pa.array(c, pa.float64()) for c in cols[1:5]], pa.array(cols[5], pa.int64())],
                 ["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap", "first_word"],
             )
 
     return rows
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """doc_id, item_id, score, overlap, question_overlap, answer_overlap, first_word of the best passage."""
-    spark = docs.sparkSession
-    schema = with_fields(docs.select("doc_id"), "item_id long, score double, overlap double, question_overlap double, answer_overlap double, first_word long")
-    found, part = None, []
+def _without(index, threshold: float, overlap: float):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            keep[[f[0] for f in _find(index.value, batch, threshold, overlap)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return rows
 
-    def scanned(items: list[tuple]) -> DataFrame:
-        index = spark.sparkContext.broadcast(build_index(items))
-        return docs.select("doc_id", "text").mapInArrow(_scan(index, threshold, overlap), schema)
 
-    for row in benchmark.select("item_id", "text").where(F.length(F.trim("text")) > 0).toLocalIterator():
+def _indexes(spark: SparkSession, benchmark: DataFrame) -> Iterator:
+    """Broadcast indexes of at most PART items each."""
+    part = []
+    for row in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
         if _words(row["text"]).size:
             part.append((row["item_id"], row["text"]))
         if len(part) == PART:
-            more, part = scanned(part), []
-            found = more if found is None else found.union(more)
+            yield spark.sparkContext.broadcast(build_index(part))
+            part = []
     if part:
-        more = scanned(part)
-        found = more if found is None else found.union(more)
-    if found is None:
-        return spark.createDataFrame([], schema)
+        yield spark.sparkContext.broadcast(build_index(part))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """doc_id, item_id, score, overlap, question_overlap, answer_overlap, first_word of the best passage."""
+    spark = docs.sparkSession
+    schema = with_fields(docs.select("doc_id"), "item_id long, score double, overlap double, question_overlap double, answer_overlap double, first_word long")
+    found = spark.createDataFrame([], schema)
+    for index in _indexes(spark, benchmark):
+        found = found.union(docs.select("doc_id", "text").mapInArrow(_scan(index, threshold, overlap), schema))
     best = F.max_by(F.struct("overlap", "question_overlap", "answer_overlap", "first_word"), F.struct("overlap", "score", -F.col("first_word")))
     return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), best.alias("best")).select("doc_id", "item_id", F.round("score", 6).alias("score"), "best.*")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """The rows of ``docs`` that leak no item, as they are; judged row by row."""
+    for index in _indexes(docs.sparkSession, benchmark):
+        docs = docs.mapInArrow(_without(index, threshold, overlap), docs.schema)
+    return docs

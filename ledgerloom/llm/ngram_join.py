@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, chunks, mix64, sequence_hash, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
+from .common import FOLD, WORD, chunks, filter_bit, hash_filter, in_filter, mix64, sequence_hash, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
 from .graph import components
 
 CELLS, TILE = 1 << 16, 2048
@@ -97,6 +97,14 @@ def width_of(n: int) -> int:
     return max(64, 1 << int(n - 1).bit_length())
 
 
+def _sum(hashes: np.ndarray) -> int:
+    return int(hashes.sum(dtype=np.uint64).view(np.int64))
+
+
+def _mixed_sum(hashes: np.ndarray) -> int:
+    return _sum(mix64(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+
+
 def _signatures(n: int, percent: int, ranks: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,14 +112,14 @@ def _signatures(n: int, percent: int, ranks: np.ndarray):
             for _, own in text_sets(*texts_of(batch), n):
                 m = len(own)
                 size.append(m)
-                k1.append(int(own.sum(dtype=np.uint64).view(np.int64)) if m else 0)
-                k2.append(int(mix64(own ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)) if m else 0)
+                k1.append(_sum(own))
+                k2.append(_mixed_sum(own))
                 first = m - -(-percent * m // 100) + 1 if m else 0
                 prefix.append(own[np.argsort(ranks[_cell(own)], kind="stable")[:first]].view(np.int64))
                 bits.append(bitmap(own, width_of(m)).tobytes() if m else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                ["doc_id", "n", "k1", "k2", "prefix", "bits"],
+                [batch.column(0), batch.column(2), pa.array(size, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                ["doc_id", "text_hash", "n", "k1", "k2", "prefix", "bits"],
             )
 
     return rows
@@ -303,11 +311,12 @@ def link_groups(rows: DataFrame, percent: int, exact: bool, tile: int) -> DataFr
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
-    """doc_id, n_shingles, component_id."""
+    """doc_id, n_shingles, component_id, and xxhash64 of the text and the component's own number (null for empty sets)."""
     ranks = docs.sparkSession.sparkContext.broadcast(crowd_ranks(docs, n))
     given = docs.select("doc_id", "text")
-    schema = with_fields(docs.select("doc_id"), "n int, k1 long, k2 long, prefix array<long>, bits binary")
-    sets = stored(given.mapInArrow(_with_ranks(n, percent, ranks), schema), "sets")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    schema = with_fields(hashed.select("doc_id", "text_hash"), "n int, k1 long, k2 long, prefix array<long>, bits binary")
+    sets = stored(hashed.mapInArrow(_with_ranks(n, percent, ranks), schema), "sets")
     classes = sets.where("n > 0").groupBy("k1", "k2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")
     )
@@ -322,22 +331,38 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> Da
     # exact intersection inside the tentative groups
     members = tentative.union(tentative.select("root", "root").distinct()).toDF("cid", "grp")
     sizes = members.groupBy("grp").agg(F.count("*").alias("size_of_group"))
-    members = members.join(sizes, "grp").join(classes.select("cid", "rep", "k1", "k2"), "cid")
-    texts = given.join(members, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "cid", "k1", "k2", "grp", "size_of_group")
-    arrays = texts.mapInArrow(_arrays(n), "cid long, n int, hashes array<long>, grp long, size_of_group long").dropDuplicates(["cid"])
+    members = stored(members.join(sizes, "grp").join(classes.select("cid", "rep", "k1", "k2", "n"), "cid"), "members")
+    wanted = docs.sparkSession.sparkContext.broadcast(hash_filter(members, "rep"))
+    theirs = given.select("text", "doc_id", filter_bit(F.col("doc_id")).alias("bit"))
+    theirs = theirs.mapInArrow(_arrays(n, wanted), with_fields(docs.select("doc_id"), "m int, a long, b long, hashes array<long>"))
+    same = theirs["doc_id"].eqNullSafe(members["rep"]) & (theirs["a"] == members["k1"]) & (theirs["b"] == members["k2"]) & (theirs["m"] == members["n"])
+    arrays = theirs.join(members, same).select("cid", "n", "hashes", "grp", "size_of_group").dropDuplicates(["cid"])
     found = stored(link_groups(stored(arrays, "arrays"), percent, True, tile), "found")
 
     # the smallest doc_id of each component
     named = classes.join(found, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "cid"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = named.select("k1", "k2", F.col("n").alias("m"), "comp").join(least, "comp").drop("comp")
-    small = sets.select("doc_id", "n", "k1", "k2")
+    named = named.select("k1", "k2", F.col("n").alias("m"), "comp").join(least, "comp")
+    small = sets.select("doc_id", "text_hash", "n", "k1", "k2")
     hit = (small["k1"] == named["k1"]) & (small["k2"] == named["k2"]) & (small["n"] == named["m"])
     return small.join(named, hit, "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_hash", F.col("comp").alias("component"),
     )
 
 
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with
+    the smallest doc_id stays; rows without words all stay."""
+    found = join(docs, n, percent, tile)
+    first = found.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("s"))
+    first = first.select(F.col("s.doc_id").alias("kept_id"), F.col("s.text_hash").alias("kept_hash"))
+    rows = docs.withColumn("kept_hash", F.xxhash64("text"))
+    with_words = rows.join(first, rows["doc_id"].eqNullSafe(first["kept_id"]) & (rows["kept_hash"] == first["kept_hash"])).select(*[rows[x] for x in rows.columns])
+    blank = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
+    return with_words.dropDuplicates(["doc_id", "kept_hash"]).drop("kept_hash").select(*docs.columns).union(blank)
+
+
 def _with_ranks(n: int, percent: int, ranks):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _signatures(n, percent, ranks.value)(batches)
@@ -345,23 +370,20 @@ def _with_ranks(n: int, percent: int, ranks):
     return rows
 
 
-def _arrays(n: int):
-    """The sets of the classes' own texts (another text under the same doc_id is passed over)."""
+def _arrays(n: int, wanted):
+    """The sorted arrays of the texts whose doc_id may be wanted."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k1, k2 = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
-            keep, sets = [], []
-            for row, own in text_sets(*texts_of(batch), n):
-                a = own.sum(dtype=np.uint64).view(np.int64)
-                b = mix64(own ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)
-                if a == k1[row] and b == k2[row]:
-                    keep.append(row)
-                    sets.append(own.view(np.int64))
-            take = pa.array(keep, pa.int64())
+            some = in_filter(wanted.value, batch.column(2).to_numpy(zero_copy_only=False))
+            batch = batch.filter(pa.array(some))
+            sets = [own for _, own in text_sets(*texts_of(batch), n)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1).take(take), pa.array([len(s) for s in sets], pa.int32()), pa.array(sets, pa.list_(pa.int64())), batch.column(4).take(take), batch.column(5).take(take)],
-                ["cid", "n", "hashes", "grp", "size_of_group"],
+                [
+                    batch.column(1), pa.array([len(s) for s in sets], pa.int32()), *[pa.array([f(s) for s in sets], pa.int64()) for f in (_sum, _mixed_sum)],
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                ],
+                ["doc_id", "m", "a", "b", "hashes"],
             )
 
     return rows

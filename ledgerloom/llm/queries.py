@@ -20,7 +20,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(table(spark, sf_dir, "documents"))
+    return ngram_join.join(table(spark, sf_dir, "documents")).drop("text_hash", "component")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE_INVERSE, mix64, powers, prefix_hash, stored, text_or_empty, texts_of, with_fields
+from .common import BASE_INVERSE, filter_bit, hash_filter, in_filter, mix64, powers, prefix_hash, stored, text_or_empty, texts_of, with_fields
 from .suffix_array import longest_matches, suffix_array
 
 LENGTH, SEED, HOT = 200, 50, 20_000
@@ -270,6 +270,18 @@ def _window_hashes(length: int):
     return rows
 
 
+def may_match(rows: DataFrame, keys: DataFrame, wanted: bool) -> DataFrame:
+    """Rows whose key may be (or surely isn't) among ``keys``, by a filter of fixed size."""
+    sent = rows.sparkSession.sparkContext.broadcast(hash_filter(keys, "key"))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = in_filter(sent.value, batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(hit == wanted)).drop_columns(["bit"])
+
+    return rows.withColumn("bit", filter_bit(F.col("key"))).mapInArrow(some, rows.schema)
+
+
 def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(key, copies) of all texts, and (key, ranges of repeated window starts) of those that have any."""
     keyed = docs.select(F.unhex(F.sha2(text_or_empty(F.col("text")), 256)).alias("key"), "doc_id", "text")
@@ -285,7 +297,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, ho
     hits = hits.join(classes.select("cid", "key", "rep"), "cid")
 
     # their segments, from one text of each class
-    given = keyed.withColumnRenamed("key", "k").withColumnRenamed("doc_id", "d")
+    hits = stored(hits, "hits")
+    given = may_match(keyed, hits, True).withColumnRenamed("key", "k").withColumnRenamed("doc_id", "d")
     texts = given.join(hits, (F.col("k") == F.col("key")) & F.col("d").eqNullSafe(F.col("rep"))).select("text", "cid", "hits")
     segments = stored(
         texts.mapInArrow(_segments(length), "cid long, lo int, more int, off int, fp long, hot boolean, s1 long, s2 long, seg binary"), "segments"
@@ -344,10 +357,11 @@ def _cut(length: int, keep: bool):
                     at = int(z)
                 parts.append(raw[at:])
                 left = b"".join(parts)
-                out.append((n, n - len(left), len(spans[0]), hashlib.sha256(left).hexdigest(), left if keep else None))
+                text = left.decode("utf-8", "ignore") if keep else None
+                out.append((n, n - len(left), len(spans[0]), hashlib.sha256(left).hexdigest(), text))
             n, removed, spans, sha, left = zip(*out) if out else ((),) * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.binary())],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.string())],
                 ["carried", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
@@ -356,10 +370,15 @@ def _cut(length: int, keep: bool):
 
 def dedupe(docs: DataFrame, carry: list[str], keep: bool = True, length: int = LENGTH, seed: int = SEED, hot: int = HOT) -> DataFrame:
     """Columns ``carry``, n_bytes, n_removed, n_spans, kept_sha256 and, with
-    ``keep``, the remaining bytes (null otherwise), a row for each row."""
+    ``keep``, the remaining text (null otherwise), a row for each row. A cut
+    inside a code point drops the point's rest from the text; the SHA-256 is
+    that of the remaining bytes."""
     classes, ranges = repeated_windows(docs, length, seed, hot)
-    known = classes.join(ranges, "key", "left").where("copies > 1 or ranges is not null").withColumnRenamed("key", "k")
+    known = classes.join(ranges, "key", "left").where("copies > 1 or ranges is not null")
+    known = stored(known, "known")
     given = docs.select(F.unhex(F.sha2(text_or_empty(F.col("text")), 256)).alias("key"), F.struct(*carry).alias("carried"), "text")
-    given = given.join(known, F.col("key") == F.col("k"), "left").select("carried", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "ranges")
-    schema = with_fields(given.select("carried"), "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return given.mapInArrow(_cut(length, keep), schema).select("carried.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    theirs = may_match(given, known, True).join(known, "key", "left").select("carried", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "ranges")
+    others = may_match(given, known, False).select("carried", "text", F.lit(1).cast("long").alias("copies"), F.lit(None).cast(known.schema["ranges"].dataType).alias("ranges"))
+    schema = with_fields(given.select("carried"), "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    cut = theirs.mapInArrow(_cut(length, keep), schema).union(others.mapInArrow(_cut(length, keep), schema))
+    return cut.select("carried.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
