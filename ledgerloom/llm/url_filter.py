@@ -33,6 +33,7 @@ RULES = (
 #: Suffixes of two labels; any other suffix is the last label.
 LONG_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
 BLOCK_ABOVE, Z, NO_OUTCOME_RATE = 0.5, 1.64, 0.1
+SALTS = 32
 #: Over-dispersion is kept within these bounds (prior strength 1 / rho - 1).
 LEAST_RHO, MOST_RHO = 0.001, 0.9
 
@@ -115,7 +116,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     rule, say = rule_of(F.col("host"), F.col("path"), rules)
     # without outcomes of its own a host has no bound above its prior rate less its spread: never blocked on the prior alone
     own = F.when(F.coalesce(F.col("bound"), F.lit(0.0)) > BLOCK_ABOVE, "block").otherwise("allow")
-    return seen.join(known, "host", "left").select(
+    # a host may hold a third of all pages: its pages are dealt over SALTS tasks
+    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    seen = seen.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
+    return seen.join(salted, ["host", "salt"], "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(say, own).alias("verdict"),
         F.round("bad_rate", 6).alias("bad_rate"), F.round(F.coalesce("bound", F.lit(0.0)), 6).alias("bad_rate_bound"),
     )
