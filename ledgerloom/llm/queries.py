@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontam, licenses, lm_scoring, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, toxicity, url_filter
 from .common import table
+from .oracles import ORACLES as ORACLES
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,5 +72,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_mix_sources": op10_mix_sources,
 }
-
-ORACLES: dict[str, str] = {}
