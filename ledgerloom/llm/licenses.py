@@ -92,10 +92,18 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE) -> DataFrame:
     index = spark.createDataFrame(postings or [("", 0.0, -1, 0)], "w string, idf double, t int, p long")
     weight = [sum(idf.get(w, math.log1p(n_files)) for w in notice.split()) for _, notice, _ in templates]
 
+    # a template can only reach ENOUGH in a file that has that weight of its words somewhere
+    own = F.array_distinct(F.transform("hits", lambda x: x["w"]))
+    able = []
+    for t, (_, notice, _) in enumerate(templates):
+        has = sum((F.when(F.array_contains("own", w), F.lit(idf[w])).otherwise(0.0) for w in notice.split() if w in idf), F.lit(0.0))
+        able.append(F.when(has >= (ENOUGH - 1e-6) * weight[t], F.lit(t)))
+    scored = files.where("size(hits) > 0").withColumn("own", own).withColumn("able", F.filter(F.array(*able), lambda t: t.isNotNull()))
+    scored = scored.where("size(able) > 0")
     weigh = F.create_map(*[x for w in idf for x in (F.lit(w), F.lit(idf[w]))]) if idf else F.create_map(F.lit(""), F.lit(0.0))
-    scored = files.where("size(hits) > 0")
-    best = F.array_max(F.transform(F.array_distinct(F.transform("hits", lambda x: x["w"])), lambda w: F.coalesce(weigh[w], F.lit(0.0))))
+    best = F.array_max(F.transform("own", lambda w: F.coalesce(weigh[w], F.lit(0.0))))
     rare = scored.withColumn("best", best).withColumn("x", F.explode("hits")).join(F.broadcast(index), F.col("x.w") == F.col("w"))
+    rare = rare.where(F.array_contains("able", F.col("t")))
     lays = (
         rare.where(F.col("idf") >= RARE * F.col("best"))
         .groupBy("file", "t", (F.col("x.i") - F.col("p")).alias("at"))
