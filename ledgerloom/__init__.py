@@ -8,7 +8,6 @@ Layers (each a plain function from DataFrames to a lazy DataFrame):
                 checks, load profiles and the derivation dataflows.
 * ``functions`` reusable column expressions (rounding, ratios, formats).
 * ``plans``     the model DAG, the query registry and the DuckDB oracles.
-* ``streaming`` (no streaming in the reconciliation; see module doc).
 """
 
 from ledgerloom.config import ReconConfig

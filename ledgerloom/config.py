@@ -26,16 +26,10 @@ class ReconConfig:
     as_of: _dt.date = _dt.date(2001, 12, 31)
     # Payment tolerance: a literal in the models, not per-country config.
     pay_bank_tolerance: str = "1.00"
-    # Upper bound (rows) for a dimension to be broadcast; larger sides are
-    # shuffled instead.
-    broadcast_max_rows: int = 1_000_000
     # Store the raw facts bucketed on their join keys, so joins on those keys
-    # need no shuffle: n > 0 buckets; 0 = off; -1 = automatic: as many as the
-    # session's spark.sql.shuffle.partitions once the input exceeds
-    # ``bucket_min_input_bytes`` (below it a bucketed scan's fixed task count
-    # costs more than the shuffles it saves).
-    bucket_count: int = -1
-    bucket_min_input_bytes: int = 1 << 30
+    # need no shuffle: the number of buckets, the same at every input size;
+    # 0 = plain Parquet.
+    bucket_count: int = 0
     # Optional fixes of known model behaviour; all off = reproduce the models.
     # Q1: build sales match ids in the reference-result format, so the
     # exception log finds its maker-checker evidence.

@@ -15,8 +15,8 @@ FX = "decimal(18,6)"
 PCT = "decimal(18,6)"
 
 __all__ = [
-    "MONEY", "RATE", "FX", "PCT", "col", "money", "round_money", "typed_null",
-    "zero_money", "pct_ratio", "safe_div", "flag01", "count_when", "yyyymmdd",
+    "MONEY", "RATE", "FX", "PCT", "col", "round_money", "typed_null",
+    "pct_ratio", "flag01", "count_when", "yyyymmdd",
     "yyyy_mm", "mon_yy", "prior_month_28th", "calendar_year_diff", "greatest_strict",
     "first_match", "lookup", "is_truthy", "not_in_nullsafe", "pad_num",
 ]
@@ -26,11 +26,6 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c) -> Column:
-    """Cast to decimal(18,2) (the money type at every boundary)."""
-    return col(c).cast(MONEY)
-
-
 def round_money(c, digits: int = 2) -> Column:
     """ROUND half away from zero, kept as decimal(18,2) (never bround)."""
     return F.round(col(c), digits).cast(MONEY)
@@ -41,16 +36,6 @@ def typed_null(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 
 
-def zero_money() -> Column:
-    """0::NUMBER padded into a union: decimal(18,2), never decimal(38,0)."""
-    return F.lit(0).cast(MONEY)
-
-
-def safe_div(num, den) -> Column:
-    """num / NULLIF(den, 0): NULL instead of an ANSI divide-by-zero error."""
-    return col(num) / F.nullif(col(den), F.lit(0))
-
-
 def pct_ratio(num, den, digits: int = 2) -> Column:
     """ROUND(num::FLOAT / NULLIF(den,0) * 100, digits) computed in double,
     then rounded through a decimal(18,6) cast so both engines tie-break alike."""

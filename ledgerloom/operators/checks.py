@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig
-from ledgerloom.operators.joins import bounded_broadcast
 
 COUNTRIES = "$COUNTRIES"   # replaced by cfg.countries
 COMPANIES = "$COMPANIES"   # replaced by cfg.company_codes
@@ -310,7 +309,7 @@ def no_future_dated_transactions(stg_header: DataFrame, cfg: ReconConfig) -> Dat
 
 def variance_within_bounds(pos_sap: DataFrame, stg_country: DataFrame, cfg: ReconConfig) -> DataFrame:
     """ESCALATE rows whose |variance| does not exceed t3."""
-    c = bounded_broadcast(stg_country.select("country_code", "variance_threshold_t3"), cfg.broadcast_max_rows)
+    c = stg_country.select("country_code", "variance_threshold_t3")
     return (pos_sap.filter(F.col("match_type") == "ESCALATE").join(c, "country_code")
                    .filter(F.abs("variance_pos_sap") <= F.col("variance_threshold_t3"))
                    .select("match_id", "country_code", "match_type", "variance_pos_sap", "threshold_applied",

@@ -25,7 +25,7 @@ from ledgerloom.functions.exprs import (
     MONEY, RATE, FX, first_match, lookup, not_in_nullsafe, pad_num, prior_month_28th,
     is_truthy, yyyy_mm, yyyymmdd,
 )
-from ledgerloom.operators.joins import bounded_broadcast, sequence_within
+from ledgerloom.operators.joins import sequence_within
 
 # --- fixed values of the dataflows ------------------------------------------
 # Flags that keep a transaction out of the ledger (besides a missing doc number)
@@ -66,7 +66,7 @@ def holidays(spark) -> DataFrame:
 def fiscal_calendar(header: DataFrame, country: DataFrame, cfg: ReconConfig) -> DataFrame:
     """Calendar per active country over its business-date range."""
     spine = date_spine(header, ["country_code"])
-    active = bounded_broadcast(country.filter("is_active").select("country_code"), 10_000)
+    active = country.filter("is_active").select("country_code")
     spine = spine.join(active, "country_code")
     hol = F.broadcast(holidays(header.sparkSession))
     d = F.col("date_key")
@@ -89,8 +89,8 @@ def fiscal_calendar(header: DataFrame, country: DataFrame, cfg: ReconConfig) ->
 def fx_rates(header: DataFrame, country: DataFrame) -> DataFrame:
     """Daily rate per base currency, a fixed ±0.3% drift around a base."""
     spine = date_spine(header, ["currency_code"])
-    cur = bounded_broadcast(country.select(F.col("base_currency").alias("currency_code"),
-                                           "country_name", "sap_company_code"), 10_000)
+    cur = country.select(F.col("base_currency").alias("currency_code"),
+                                           "country_name", "sap_company_code")
     j = spine.join(cur, "currency_code")
     num = F.substring("sap_company_code", 2, 10).cast("int")
     day = F.datediff("date_key", F.lit("1990-01-01").cast("date"))
@@ -179,7 +179,7 @@ def sap_documents(header: DataFrame) -> DataFrame:
     return p.select(
         F.col("sap_doc_number").alias("belnr"),
         F.col("sap_company_code").alias("bukrs"),
-        F.year("__budat").alias("gjahr"),
+        F.year("business_date").alias("gjahr"),  # the document's year, also where the posting moves to another
         "country_code",
         F.when(F.col("txn_type") == "RETURN", F.lit("RE")).otherwise(F.lit("RV")).alias("blart"),
         F.col("business_date").alias("bldat"),
@@ -214,12 +214,12 @@ def sap_lineitems(header: DataFrame) -> DataFrame:
         line("003", GL_TAX, h_or_s, F.abs(tax), "Tax payable"),
     )
     kept = F.filter(lines, lambda l: (l["buzei"] != "003") | (l["dmbtr"] > 0))
-    e = p.select("sap_doc_number", "sap_company_code", "__budat", "currency_code", "tax_code",
+    e = p.select("sap_doc_number", "sap_company_code", "business_date", "currency_code", "tax_code",
                  "store_id", "_dq_flag", F.explode(kept).alias("l"))
     return e.select(
         F.col("sap_doc_number").alias("belnr"),
         F.col("sap_company_code").alias("bukrs"),
-        F.year("__budat").alias("gjahr"),
+        F.year("business_date").alias("gjahr"),
         F.col("l.buzei").alias("buzei"),
         F.col("l.hkont").alias("hkont"),
         F.col("l.shkzg").alias("shkzg"),
@@ -238,11 +238,11 @@ def sap_lineitems(header: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- D10 – D13
 def settlement_batches(tender: DataFrame, country: DataFrame, tender_type: DataFrame) -> DataFrame:
     """Processor settlement per (batch, country, day, tender, currency)."""
-    active = bounded_broadcast(country.filter("is_active").select(
-        "country_code", "sap_company_code"), 10_000)
-    rates = bounded_broadcast(tender_type.select(
+    active = country.filter("is_active").select(
+        "country_code", "sap_company_code")
+    rates = tender_type.select(
         "tender_code", F.col("interchange_rate_pct").alias("__contracted"),
-        F.col("settlement_lag_days").alias("__lag")), 10_000)
+        F.col("settlement_lag_days").alias("__lag"))
     t = tender.filter((F.col("tender_amount") > 0) & not_in_nullsafe("tender_code", NON_SETTLED_TENDERS))
     b = (t.join(active, "country_code")
           .groupBy("settlement_batch", "country_code", "business_date", "tender_code", "currency_code",
@@ -292,7 +292,7 @@ def settlement_batches(tender: DataFrame, country: DataFrame, tender_type: DataF
 
 def bank_statement_lines(settlement: DataFrame, country: DataFrame) -> DataFrame:
     """One credit per settlement except missing ones, numbered per country."""
-    rail = bounded_broadcast(country.select("country_code", "bank_transfer_rail"), 10_000)
+    rail = country.select("country_code", "bank_transfer_rail")
     s = settlement.filter(F.col("_dq_flag") != "MISSING_CREDIT").join(rail, "country_code", "left")
     flag, net, gross = F.col("_dq_flag"), F.col("net_settlement"), F.col("gross_amount")
     contracted_fee = F.round(gross * F.col("contracted_rate_pct") * F.lit(0.01).cast("decimal(3,2)"), 2)
@@ -300,8 +300,8 @@ def bank_statement_lines(settlement: DataFrame, country: DataFrame) -> DataFrame
                           (flag == "ROUNDING_DIFF", net - F.lit(0.50).cast(MONEY)),
                           (flag == "SHORT_CREDIT", net - F.lit(25).cast(MONEY))], net)
     s = s.withColumn("value_date", F.col("settle_date")).withColumn("amount", amount.cast(MONEY))
-    s = sequence_within(s, ["country_code"], ["value_date"], ["settlement_id"], out_col="__seq",
-                        sub_bucket_chars=10)
+    # merchant_id orders as the settlement id's store part does: cells of one day and store
+    s = sequence_within(s, ["country_code"], ["value_date", "merchant_id"], ["settlement_id"], out_col="__seq")
     return s.select(
         F.concat_ws("-", F.lit("BSL"), "country_code", pad_num(F.col("__seq"), 8)).alias("statement_line_id"),
         "country_code", "bank_code", "bank_account", "currency_code", "value_date", "amount",
@@ -319,142 +319,133 @@ def bank_statement_lines(settlement: DataFrame, country: DataFrame) -> DataFrame
 
 # ---------------------------------------------------------------- D14 – D18
 def _ledger_by_company_day(documents: DataFrame, lines: DataFrame) -> DataFrame:
-    """Signed ledger revenue and break flags per (company, day).
-
-    The scripts collect the list of flags per company-day and test it for
-    membership; bounded boolean aggregates give the same answers."""
-    rev = F.when(F.col("shkzg") == "H", F.col("dmbtr")).when(F.col("shkzg") == "S", -F.col("dmbtr"))
+    """Signed ledger revenue per company and document date."""
+    rev = F.when(F.col("shkzg") == "H", F.col("dmbtr")).otherwise(-F.col("dmbtr"))
     l = (lines.filter(F.col("hkont").startswith("004"))
               .groupBy("belnr", "bukrs", "gjahr").agg(F.sum(rev).alias("__rev")))
-    d = documents.select("belnr", "bukrs", "gjahr", "budat", "_dq_flag")
-    j = l.join(d, ["belnr", "bukrs", "gjahr"])
-    f = F.col("_dq_flag")
-    return j.groupBy("bukrs", "budat").agg(
-        F.sum("__rev").cast(MONEY).alias("ledger_total"),
-        F.max((f == "PROMO_UNMAPPED").cast("int")).alias("has_promo"),
-        F.max((f == "MANUAL_ERROR").cast("int")).alias("has_manual"),
-        F.max((f == "DUPLICATE_TXN").cast("int")).alias("has_duplicate"),
-        F.max((f == "WRONG_PERIOD").cast("int")).alias("has_wrong_period"),
-    )
+    d = documents.select("belnr", "bukrs", "gjahr", "bldat")
+    return l.join(d, ["belnr", "bukrs", "gjahr"]).groupBy("bukrs", "bldat").agg(
+        F.sum("__rev").cast(MONEY).alias("ledger_total"))
 
 
-def reference_match_result(eod: DataFrame, documents: DataFrame, lines: DataFrame,
-                           settlement: DataFrame, bank: DataFrame, country: DataFrame) -> DataFrame:
-    """The pre-computed reference result the exception log reads.
+# Fixed values of the reference result: cause of an unmatched sales day by its own flag
+CAUSE_BY_FLAG = {"SAP_BATCH_FAIL": "RC-001", "PROMO_UNMAPPED": "RC-003", "ROUNDING_DIFF": "RC-007",
+                 "WRONG_PERIOD": "RC-008", "DUPLICATE_TXN": "RC-005"}
+DEFAULT_SALES_CAUSE = "RC-003"
+EXACT_WITHIN, ROUNDING_BELOW = "0.01", "1.00"
+# Tickets of the n-th company count on from 1000 * n
+TICKET_BASE = 1000
 
-    Sales side compares one store's day with the company's whole ledger day
-    (Q5, as the script does); payments look the credit up by reference.
-    Ids use the short format (country prefix, store suffix) that never meets
-    the models' ids (Q1); payment ids keep only the batch tail (Q4).
-    """
-    cfg = bounded_broadcast(country.filter("is_active").select(
-        "country_code", "country_code_iso2", "sap_company_code", "regulatory_body",
-        F.col("variance_threshold_t2").alias("t2"), F.col("variance_threshold_t3").alias("t3")), 10_000)
-    ledger = _ledger_by_company_day(documents, lines)
+
+def _sales_matches(eod: DataFrame, ledger: DataFrame, cfg: DataFrame) -> DataFrame:
+    """A store's day against its company's whole ledger day (Q5); the
+    row's own flag decides before the amount does."""
     e = eod.join(cfg, "country_code")
-    e = e.join(ledger, (e.sap_company_code == ledger.bukrs) & (e.business_date == ledger.budat), "left")
-    v = (F.col("net_sales") - F.coalesce(F.col("ledger_total"), F.lit(0))).cast(MONEY)
-    e = e.withColumn("v", v).withColumn("av", F.abs(v))
-    failed = F.col("sap_transfer_status") == "FAILED"
-    tier = first_match([(failed, "UNMATCHED|EXCEPTION"), (F.col("av") <= F.lit("0.01").cast(MONEY), "EXACT|MATCHED"),
-                        (F.col("av") <= F.col("t2"), "TOLERANCE|MATCHED"),
-                        (F.col("av") <= F.col("t3"), "TOLERANCE|EXCEPTION")], "UNMATCHED|EXCEPTION")
-    e = e.withColumn("__tier", tier)
-    exc_cause = first_match([(F.col("has_promo") == 1, "RC-003"), (F.col("has_manual") == 1, "RC-004"),
-                             (F.col("has_duplicate") == 1, "RC-005"), (F.col("has_wrong_period") == 1, "RC-008")],
-                            "RC-003")
-    cause = first_match([(failed, F.lit("RC-001")),
-                         ((F.col("__tier") == "TOLERANCE|MATCHED") & (F.col("av") < 1), F.lit("RC-007")),
-                         (F.col("__tier").endswith("MATCHED") & ~F.col("__tier").endswith("EXCEPTION"),
-                          F.lit(None).cast("string"))], exc_cause)
-    pos = e.select(
+    e = e.join(ledger, (e.sap_company_code == ledger.bukrs) & (e.business_date == ledger.bldat), "left")
+    sap = F.coalesce(F.col("ledger_total"), F.lit(0)).cast(MONEY)
+    e = e.withColumn("sap", sap).withColumn("v", (F.col("net_sales") - sap).cast(MONEY)).withColumn("av", F.abs("v"))
+    flag, av, none = F.col("_dq_flag"), F.col("av"), F.lit(None).cast("string")
+    within = lambda x: av <= x
+    steps = [(flag == "SAP_BATCH_FAIL", "UNMATCHED", "EXCEPTION", F.lit("RC-001")),
+             (within(F.lit(EXACT_WITHIN).cast(MONEY)), "EXACT", "MATCHED", none),
+             (within(F.col("t2")), "TOLERANCE", "MATCHED", F.when(av < F.lit(ROUNDING_BELOW).cast(MONEY), F.lit("RC-007"))),
+             (within(F.col("t3")), "TOLERANCE", "EXCEPTION", F.when(F.contains(flag, F.lit("PROMO")), F.lit("RC-003")).otherwise(F.lit("RC-007")))]
+    return _outcome(e, steps, ("UNMATCHED", "EXCEPTION", lookup("_dq_flag", CAUSE_BY_FLAG, F.lit(DEFAULT_SALES_CAUSE)))).select(
         F.concat_ws("-", F.lit("MATCH-POS-SAP"), "country_code_iso2", yyyymmdd("business_date"),
                     F.substring("store_id", -3, 3)).alias("match_id"),
         F.lit("POS_SAP").alias("recon_type"), "country_code",
         F.col("business_date").alias("recon_date"), "fiscal_period_key", "store_id", "currency_code",
-        F.col("net_sales").alias("pos_amount"),
-        F.coalesce(F.col("ledger_total"), F.lit(0)).cast(MONEY).alias("sap_amount"),
-        F.lit(None).cast(MONEY).alias("bank_amount"),
-        F.col("v").alias("variance_pos_sap"),
-        F.lit(0).cast(MONEY).alias("variance_sap_bank"),
-        F.col("t2").alias("threshold_applied"),
-        F.col("t3"), F.col("av"),
-        F.col("__tier"), cause.alias("root_cause_code"),
-        "regulatory_body", "country_code_iso2",
+        F.col("net_sales").alias("pos_amount"), F.col("sap").alias("sap_amount"), F.lit(0).cast(MONEY).alias("bank_amount"),
+        F.col("v").alias("variance_pos_sap"), F.lit(0).cast(MONEY).alias("variance_sap_bank"),
+        F.col("t3").alias("threshold_applied"), "match_type", "match_status", "root_cause_code",
+        ((F.col("match_status") == "EXCEPTION") & (av >= F.col("t3"))).alias("__ticketed"),
+        "regulatory_body", "country_code_iso2", "sap_company_code",
         (F.abs(F.col("net_sales") * 100).cast("bigint") % 100).alias("__draw"),
-        F.lit(0).alias("__type_rank"), F.col("store_id").alias("__ord"),
-        "_dq_flag",
+        F.lit(0).alias("__type_rank"), F.col("store_id").alias("__store"), F.col("store_id").alias("__ord"), "_dq_flag",
     )
-    # Payments, flag first, then amount
-    bl = bank.select(F.col("country_code").alias("__bc"), F.col("customer_reference"),
-                     F.col("amount").alias("__credit"))
-    s = settlement.join(cfg, "country_code")
-    s = s.join(bl, (s.country_code == bl.__bc) & (s.settlement_batch_id == bl.customer_reference), "left")
-    pv = (F.col("net_settlement") - F.coalesce(F.col("__credit"), F.lit(0))).cast(MONEY)
-    s = s.withColumn("v", pv).withColumn("av", F.abs(pv))
-    found = F.col("customer_reference").isNotNull()
-    ptier = first_match([(~found, "UNMATCHED|EXCEPTION"),
-                         (F.col("_dq_flag") == "CHARGEBACK", "REVIEW|EXCEPTION"),
-                         (F.col("_dq_flag").isin("FEE_DISPUTE", "FEE_VARIANCE"), "FEE_VARIANCE|EXCEPTION"),
-                         (F.col("av") <= F.lit("0.01").cast(MONEY), "EXACT|MATCHED"),
-                         (F.col("av") <= F.col("t2"), "TOLERANCE|MATCHED")], "REVIEW|EXCEPTION")
-    s = s.withColumn("__tier", ptier)
-    pcause = first_match([(~found, F.lit("RC-014")), (F.col("_dq_flag") == "CHARGEBACK", F.lit("RC-011")),
-                          (F.col("_dq_flag").isin("FEE_DISPUTE", "FEE_VARIANCE"), F.lit("RC-010")),
-                          (F.col("__tier").endswith("|MATCHED"), F.lit(None).cast("string"))], F.lit("RC-009"))
+
+
+def _payment_matches(settlement: DataFrame, bank: DataFrame, cfg: DataFrame) -> DataFrame:
+    """A settlement against the one credit looked up by its reference
+    (the latest line where several carry it); flags before amounts."""
+    credit = bank.groupBy(F.col("customer_reference").alias("settlement_batch_id")).agg(
+        F.max_by("amount", F.struct("value_date", "statement_line_id")).alias("__credit"))
+    s = settlement.join(cfg, "country_code").join(credit, "settlement_batch_id", "left")
+    got = F.coalesce(F.col("__credit"), F.lit(0)).cast(MONEY)
+    s = s.withColumn("got", got).withColumn("v", (F.col("net_settlement") - got).cast(MONEY)).withColumn("av", F.abs("v"))
+    flag, av, none = F.col("_dq_flag"), F.col("av"), F.lit(None).cast("string")
+    steps = [(flag == "MISSING_CREDIT", "UNMATCHED", "EXCEPTION", F.lit("RC-014")),
+             (flag == "CHARGEBACK", "UNMATCHED", "EXCEPTION", F.lit("RC-011")),
+             (flag.isin("FEE_DISPUTE", "FEE_VARIANCE"), "TOLERANCE", "EXCEPTION", F.lit("RC-010")),
+             (av <= F.lit(EXACT_WITHIN).cast(MONEY), "EXACT", "MATCHED", none),
+             (av <= F.col("t2"), "TOLERANCE", "MATCHED", none)]
     store = F.regexp_extract("settlement_batch_id", r"^BATCH-(ST-[0-9]+|NOSTORE)-", 1)
-    pay = s.select(
+    return _outcome(s, steps, ("UNMATCHED", "EXCEPTION", F.lit("RC-009"))).select(
         F.concat_ws("-", F.lit("MATCH-PAY-BANK"), "country_code_iso2", yyyymmdd("settle_date"),
                     F.substring("settlement_batch_id", -6, 6)).alias("match_id"),
         F.lit("PAY_BANK").alias("recon_type"), "country_code",
-        F.col("txn_date").alias("recon_date"),
-        F.concat_ws("-", "country_code", yyyy_mm("txn_date")).alias("fiscal_period_key"),
+        F.col("settle_date").alias("recon_date"),
+        F.concat_ws("-", "country_code", yyyy_mm("settle_date")).alias("fiscal_period_key"),
         F.when(store != "NOSTORE", store).alias("store_id"), "currency_code",
-        F.col("net_settlement").alias("pos_amount"),
-        F.lit(None).cast(MONEY).alias("sap_amount"),
-        F.coalesce(F.col("__credit"), F.lit(0)).cast(MONEY).alias("bank_amount"),
-        F.lit(0).cast(MONEY).alias("variance_pos_sap"),
-        F.col("v").alias("variance_sap_bank"),
-        F.col("t2").alias("threshold_applied"),
-        F.col("t3"), F.col("av"),
-        F.col("__tier"), pcause.alias("root_cause_code"),
-        "regulatory_body", "country_code_iso2",
+        F.lit(0).cast(MONEY).alias("pos_amount"), F.col("net_settlement").alias("sap_amount"), F.col("got").alias("bank_amount"),
+        F.lit(0).cast(MONEY).alias("variance_pos_sap"), F.col("v").alias("variance_sap_bank"),
+        F.col("t3").alias("threshold_applied"), "match_type", "match_status", "root_cause_code",
+        (F.col("match_status") == "EXCEPTION").alias("__ticketed"),
+        "regulatory_body", "country_code_iso2", "sap_company_code",
         (F.abs(F.col("gross_amount") * 100).cast("bigint") % 100).alias("__draw"),
-        F.lit(1).alias("__type_rank"), F.col("settlement_id").alias("__ord"),
-        "_dq_flag",
+        F.lit(1).alias("__type_rank"), F.col("merchant_id").alias("__store"), F.col("settlement_id").alias("__ord"), "_dq_flag",
     )
-    allr = pos.unionByName(pay)
-    allr = (allr.withColumn("match_type", F.split_part("__tier", F.lit("|"), F.lit(1)))
-                .withColumn("match_status", F.split_part("__tier", F.lit("|"), F.lit(2))))
-    # Tickets for exceptions (sales only when |v| >= t3), numbered per
-    # country across both types, before clearing.
-    ticketed = (F.col("match_status") == "EXCEPTION") & ((F.col("__type_rank") == 1) | (F.col("av") >= F.col("t3")))
-    allr = allr.withColumn("__ticketed", ticketed)
-    # one pass: ticketed and other rows are numbered in separate partitions,
-    # only the ticketed numbers are kept
-    allr = sequence_within(allr, ["country_code", "__ticketed"], ["__type_rank", "recon_date"],
-                           ["__ord", "match_id"], out_col="__tseq", sub_bucket_chars=10)
-    allr = allr.withColumn("it_ticket_ref", F.when(F.col("__ticketed"), F.concat_ws(
-        "-", F.lit("INC"), "country_code_iso2", F.year("recon_date").cast("string"),
-        pad_num(F.col("__tseq"), 4)))).drop("__tseq")
+
+
+def _outcome(df: DataFrame, steps: list[tuple], last: tuple) -> DataFrame:
+    """match_type, match_status and root_cause_code of the first step that holds."""
+    out = F.struct(F.lit(last[0]).alias("match_type"), F.lit(last[1]).alias("match_status"), last[2].alias("root_cause_code"))
+    for holds, kind, status, cause in reversed(steps):
+        out = F.when(holds, F.struct(F.lit(kind).alias("match_type"), F.lit(status).alias("match_status"),
+                                     cause.alias("root_cause_code"))).otherwise(out)
+    return df.withColumn("__o", out).select("*", "__o.*").drop("__o")
+
+
+def reference_match_result(eod: DataFrame, documents: DataFrame, lines: DataFrame,
+                           settlement: DataFrame, bank: DataFrame, country: DataFrame) -> DataFrame:
+    """The pre-computed reference result the exception log reads.
+
+    Ids use the short format (country prefix, store suffix) that never meets
+    the models' ids (Q1); payment ids keep only the batch tail (Q4).
+    """
+    cfg = country.filter("is_active").select(
+        "country_code", "country_code_iso2", "sap_company_code", "regulatory_body",
+        F.col("variance_threshold_t2").alias("t2"), F.col("variance_threshold_t3").alias("t3"))
+    allr = _sales_matches(eod, _ledger_by_company_day(documents, lines), cfg).unionByName(
+        _payment_matches(settlement, bank, cfg))
+    # Tickets for exceptions (sales only from t3 on), numbered per country
+    # across both types before clearing; only ticketed rows are numbered.
+    numbered = sequence_within(allr.filter("__ticketed"), ["country_code"], ["__type_rank", "recon_date", "__store"],
+                               ["__ord", "match_id"], out_col="__tseq")
+    base = (F.substring("sap_company_code", 2, 10).cast("bigint") + 1) * TICKET_BASE
+    ticket = F.concat_ws("-", F.lit("INC"), "country_code_iso2", F.year("recon_date").cast("string"),
+                         pad_num(base + F.col("__tseq"), 4))
+    allr = numbered.withColumn("it_ticket_ref", ticket).drop("__tseq").unionByName(
+        allr.filter(~F.col("__ticketed")).withColumn("it_ticket_ref", F.lit(None).cast("string")))
     # Old exceptions mostly cleared by hand (85% sales, 80% payments)
     share = F.when(F.col("__type_rank") == 0, F.lit(85)).otherwise(F.lit(80))
     cleared = ((F.col("match_status") == "EXCEPTION") & (F.col("recon_date") < F.lit(CLEARING_CUTOFF).cast("date"))
                & (F.col("__draw") < share))
-    allr = (allr.withColumn("match_type", F.when(cleared, F.lit("MANUAL")).otherwise(F.col("match_type")))
-                .withColumn("match_status", F.when(cleared, F.lit("MATCHED")).otherwise(F.col("match_status"))))
-    # Maker and checker; checker and time only when matched
+    allr = (allr.withColumn("__cleared", cleared)
+                .withColumn("match_type", F.when(F.col("__cleared"), F.lit("MANUAL")).otherwise(F.col("match_type")))
+                .withColumn("match_status", F.when(F.col("__cleared"), F.lit("MATCHED")).otherwise(F.col("match_status"))))
+    # Maker and checker; checker and time only when matched, the regulator's reference only on open rows
     matched = F.col("match_status") == "MATCHED"
     return allr.select(
         "match_id", "recon_type", "country_code", "recon_date", "fiscal_period_key", "store_id",
         "currency_code", "pos_amount", "sap_amount", "bank_amount", "variance_pos_sap",
         "variance_sap_bank", "threshold_applied", "match_type", "match_status", "root_cause_code",
-        F.col("regulatory_body").alias("regulatory_ref"), "it_ticket_ref",
+        F.when(~matched, F.col("regulatory_body")).alias("regulatory_ref"), "it_ticket_ref",
         F.concat(F.lit("EMP-"), F.col("country_code_iso2"), F.lit("-2014"),
                  (F.col("__draw") % 3 + 5).cast("string")).alias("preparer_id"),
         F.when(matched, F.concat(F.lit("EMP-"), F.col("country_code_iso2"), F.lit("-1002"),
                                  (F.col("__draw") % 2 + 3).cast("string"))).alias("reviewer_id"),
-        F.when(matched, F.concat(F.date_add("recon_date", 1).cast("string"), F.lit(" 09:00:00+00:00"))
+        F.when(matched, F.concat(F.col("recon_date").cast("string"), F.lit(" 17:30:00+08:00"))
                .cast("timestamp")).alias("reviewed_at"),
         "_dq_flag",
     )

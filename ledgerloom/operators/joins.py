@@ -1,15 +1,14 @@
 """Join and numbering helpers that stay safe at scale.
 
-* :func:`bounded_broadcast` broadcasts a dimension only after a cheap check
-  that it holds at most ``max_rows`` rows; larger sides are left to the
-  planner (sort-merge join, or AQE's runtime broadcast conversion).
-* :func:`left_join_salted_nulls` keeps NULL join keys (which never match)
-  from landing in one reducer: they are replaced by a spread of salt values
-  that cannot occur in the data, then restored.
+* :func:`left_join_split` is an exact left join whose hot keys Spark can split
+  on both sides: an inner join (adaptive skew handling applies to either
+  input) united with the unmatched left rows.
 * :func:`sequence_within` numbers rows 1..n inside a (possibly huge) group
-  without putting the whole group into one window task: rows are counted
-  per sub-bucket, offsets come from a window over the small count table, and
-  each sub-bucket is numbered on its own.
+  without putting the whole group into one window task: rows are numbered per
+  cell of named columns and shifted by the cells before them.
+
+Which side of a join is broadcast is left to Spark's size threshold and to
+adaptive execution; only literal tables are hinted.
 """
 
 from __future__ import annotations
@@ -17,82 +16,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BOUND_MEMO: dict[tuple, bool] = {}
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads ≤ max_rows+1 rows)."""
-    from ledgerloom.session import session_key
-    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _BOUND_MEMO:
-        _BOUND_MEMO[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _BOUND_MEMO[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only for a side proven to hold ≤ ``max_rows`` rows."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def left_join_salted_nulls(left: DataFrame, right: DataFrame, keys: list[str],
-                           salt_buckets: int = 64) -> DataFrame:
-    """LEFT JOIN on equal ``keys`` (string columns) where NULL keys are spread.
-
-    A NULL key can never match, but a sort-merge join still hashes all of
-    them to one partition. Such rows get a salt that no real key can equal
-    (it starts with a NUL character) and are restored afterwards.
-    """
-    salted = left
-    tmp = []
-    for k in keys:
-        t = f"__salt_{k}"
-        tmp.append(t)
-        salted = salted.withColumn(
-            t,
-            F.coalesce(F.col(k).cast("string"),
-                       F.concat(F.lit("\u0000"), (F.rand(17) * salt_buckets).cast("int").cast("string"))))
-    r = right
-    rtmp = []
-    for k in keys:
-        t = f"__rkey_{k}"
-        rtmp.append(t)
-        r = r.withColumnRenamed(k, t)
-    cond = None
-    for t, rt in zip(tmp, rtmp):
-        c = F.col(t) == F.col(rt)
-        cond = c if cond is None else cond & c
-    return salted.join(r, cond, "left").drop(*tmp, *rtmp)
-
 
 def sequence_within(df: DataFrame, partition_cols: list[str], bucket_cols: list[str],
-                    order_cols: list[Column | str], out_col: str = "seq",
-                    sub_bucket_chars: int = 0) -> DataFrame:
+                    order_cols: list[Column | str], out_col: str = "seq") -> DataFrame:
     """Dense 1..n numbering per ``partition_cols`` ordered by
     (``bucket_cols``, ``order_cols``), scalable to one hot partition.
 
-    ``bucket_cols`` must be a coarse prefix of the order (e.g. a date); each
-    (partition, bucket) cell is numbered by its own window task and shifted by
-    the running total of the cells before it. With ``sub_bucket_chars`` > 0
-    the first order column (an ascending string column) also splits cells by
-    its leading characters, which keeps the order and spreads one hot day.
-    The cell sizes are read off the numbered rows (max row number per cell),
-    so the cell table and the rows share one shuffle and the input is
-    computed once. The cell table is joined back without a hint: AQE
-    broadcasts it at runtime when its measured size is small, and falls back
-    to a sort-merge join otherwise.
+    ``bucket_cols`` must be a coarse prefix of the order (e.g. a date and a
+    store); each (partition, bucket) cell is numbered by its own window task
+    and shifted by the running total of the cells before it. The cell sizes
+    are read off the numbered rows (max row number per cell), so the cell
+    table and the rows share one shuffle and the input is computed once. The
+    cell table is joined back without a hint: adaptive execution broadcasts it
+    when its measured size is small, and falls back to a sort-merge join on
+    the cell columns otherwise.
     """
-    buckets = list(bucket_cols)
-    if sub_bucket_chars > 0:
-        first = order_cols[0]
-        if not isinstance(first, str):
-            raise ValueError("sub_bucket_chars needs the first order column as a name")
-        df = df.withColumn("__sub", F.substring(F.col(first), 1, sub_bucket_chars))
-        buckets.append("__sub")
-    keys = [*partition_cols, *buckets]
+    keys = [*partition_cols, *bucket_cols]
     w_rows = Window.partitionBy(*keys).orderBy(*order_cols)
     numbered = df.withColumn("__rn", F.row_number().over(w_rows))
     cells = numbered.groupBy(*keys).agg(F.max("__rn").alias("__n"))
-    w_cells = (Window.partitionBy(*partition_cols).orderBy(*buckets)
+    w_cells = (Window.partitionBy(*partition_cols).orderBy(*bucket_cols)
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = cells.withColumn("__off", F.coalesce(F.sum("__n").over(w_cells), F.lit(0)))
     offs = offsets.select(*[F.col(k).alias(f"__o_{k}") for k in keys], "__off")
@@ -102,45 +45,16 @@ def sequence_within(df: DataFrame, partition_cols: list[str], bucket_cols: list[
         cond = c if cond is None else cond & c
     joined = numbered.join(offs, cond, "inner")
     return (joined.withColumn(out_col, (F.col("__off") + F.col("__rn")).cast("bigint"))
-            .drop("__off", "__rn", "__sub", *[f"__o_{k}" for k in keys]))
+            .drop("__off", "__rn", *[f"__o_{k}" for k in keys]))
 
 
-def left_join_salted_hot_keys(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 1_000_000,
-                              salts: int = 64, max_hot_keys: int = 1_000_000) -> DataFrame:
-    """Exact ``left.join(right, keys, "left")`` that survives a right-side key
-    holding a large share of the rows.
+def left_join_split(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact ``left.join(right, keys, "left")`` for a right side whose keys repeat.
 
-    A sort-merge left join cannot split a skewed partition of its right
-    (build) side. Keys with at least ``hot_rows`` right rows are found by one
-    aggregate and broadcast (a size-checked, small set). Their right rows are
-    spread over ``salts`` sub-keys by a hash of the row (stable under task
-    retries), and the matching left rows are replicated once per salt. A hot
-    key always has right rows, so the replicas that found none are dropped,
-    which keeps the result exact. Cold keys and NULL keys join as usual.
+    A left join can't split a skewed partition of its right side; an inner
+    join can. Left rows without a partner (NULL keys included) are united from
+    an anti join against the distinct keys, which no hot key makes large.
     """
-    hot = (right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                .filter(F.col("__n") >= hot_rows)
-                .select(*[F.col(k).alias(f"__h_{k}") for k in keys]).withColumn("__hot", F.lit(True)))
-    hot = bounded_broadcast(hot, max_hot_keys)
-
-    def mark(df: DataFrame) -> DataFrame:
-        cond = None
-        for k in keys:
-            c = F.col(k) == F.col(f"__h_{k}")
-            cond = c if cond is None else cond & c
-        return df.join(hot, cond, "left").drop(*[f"__h_{k}" for k in keys]).withColumn(
-            "__hot", F.coalesce(F.col("__hot"), F.lit(False)))
-
-    r = mark(right)
-    r = r.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*right.columns), F.lit(salts)))
-                     .otherwise(F.lit(0)).cast("int"))
-    r = r.select(*[F.col(k).alias(f"__rk_{k}") for k in keys], F.col("__salt").alias("__rsalt"),
-                 *[c for c in right.columns if c not in keys], F.lit(True).alias("__matched"))
-    l = mark(left)
-    l = l.withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
-    cond = F.col("__salt") == F.col("__rsalt")
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"__rk_{k}"))
-    j = l.join(r, cond, "left").filter(~F.col("__hot") | F.col("__matched").isNotNull())
-    return j.drop("__hot", "__salt", "__rsalt", "__matched", *[f"__rk_{k}" for k in keys])
+    matched = left.join(right, keys, "inner")
+    alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)

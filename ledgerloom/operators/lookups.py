@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig
 from ledgerloom.operators.derive import _postable, date_spine, holidays
-from ledgerloom.operators.joins import bounded_broadcast, sequence_within
+from ledgerloom.operators.joins import sequence_within
 
 
 def tender_with_country_wildcard(tender: DataFrame, tender_type: DataFrame, cfg: ReconConfig) -> DataFrame:
@@ -23,7 +23,7 @@ def tender_with_country_wildcard(tender: DataFrame, tender_type: DataFrame, cfg:
         "tender_code", "tender_name", "tender_category", "settlement_lag_days",
         F.explode(F.when(F.col("country_code") == "BOTH", countries)
                   .otherwise(F.array(F.col("country_code")))).alias("country_code"))
-    j = tender.join(bounded_broadcast(dim, cfg.broadcast_max_rows), ["tender_code", "country_code"])
+    j = tender.join(dim, ["tender_code", "country_code"])
     return j.select("pos_tender_id", "tender_code", "country_code", "tender_name", "tender_category",
                     "settlement_lag_days", "business_date",
                     F.date_add("business_date", F.col("settlement_lag_days")).alias("expected_settle_date"))
@@ -61,8 +61,7 @@ def document_sequence(header: DataFrame) -> DataFrame:
     order (day, store, transaction), numbered per day cell so one company
     never lands in a single window task."""
     p = _postable(header).select("pos_txn_id", "sap_company_code", "business_date", "store_id")
-    s = sequence_within(p, ["sap_company_code"], ["business_date"], ["store_id", "pos_txn_id"], out_col="doc_seq",
-                        sub_bucket_chars=10)
+    s = sequence_within(p, ["sap_company_code"], ["business_date", "store_id"], ["pos_txn_id"], out_col="doc_seq")
     base = (F.substring("sap_company_code", 2, 10).cast("bigint") + 1) * F.lit(1_000_000_000)
     return s.select("pos_txn_id", "sap_company_code", "business_date", "doc_seq",
                     (base + F.col("doc_seq")).cast("string").alias("doc_number"))

@@ -15,7 +15,7 @@ from ledgerloom.config import ReconConfig
 from ledgerloom.functions.exprs import (
     MONEY, count_when, first_match, flag01, greatest_strict, mon_yy, pct_ratio, typed_null, yyyy_mm,
 )
-from ledgerloom.operators.joins import bounded_broadcast, left_join_salted_hot_keys
+from ledgerloom.operators.joins import left_join_split
 
 SUMMARY_COLS = ["match_id", "recon_type", "country_code", "recon_date", "fiscal_period_key", "store_id",
                 "currency_code", "pos_amount", "sap_amount", "bank_amount", "variance_pos_sap",
@@ -23,7 +23,7 @@ SUMMARY_COLS = ["match_id", "recon_type", "country_code", "recon_date", "fiscal_
 
 
 def _dim(df: DataFrame, cfg: ReconConfig) -> DataFrame:
-    return bounded_broadcast(df, cfg.broadcast_max_rows)
+    return df
 
 
 def mart_recon_summary(pos_sap: DataFrame, pay_bank: DataFrame, stg_store: DataFrame,
@@ -118,7 +118,7 @@ def mart_exception_log(pos_sap: DataFrame, pay_bank: DataFrame, stg_store: DataF
         "match_type", "match_status", "root_cause_code", "_dq_flag")
     b = pay_bank.filter(F.col("match_status") == "EXCEPTION").select(
         "match_id", F.lit("PAY_BANK").alias("recon_type"), "country_code", "recon_date",
-        typed_null("string").alias("store_id"), "currency_code", "pos_amount",
+        "store_id", "currency_code", "pos_amount",  # null unless the option recovers it from the batch
         F.lit(None).cast(MONEY).alias("sap_amount"), "bank_amount",
         F.col("variance_sap_bank").alias("primary_variance"),
         "match_type", "match_status", "root_cause_code", "_dq_flag")
@@ -127,9 +127,8 @@ def mart_exception_log(pos_sap: DataFrame, pay_bank: DataFrame, stg_store: DataF
     rc = _dim(stg_root_cause.select("root_cause_code", F.col("description").alias("root_cause_description"),
                                     "responsible_team", "typical_resolution_hrs"), cfg)
     rr = raw_recon.select("match_id", "preparer_id", "reviewer_id", "reviewed_at", "it_ticket_ref")
-    # The reference result repeats ids (Q4): a hot id on this build side is
-    # salted rather than left to one reducer.
-    j = left_join_salted_hot_keys(e.join(store, "store_id", "left").join(rc, "root_cause_code", "left"),
+    # The reference result repeats ids (Q4): both sides of a hot id can be split.
+    j = left_join_split(e.join(store, "store_id", "left").join(rc, "root_cause_code", "left"),
                                   rr, ["match_id"])
     age = F.datediff(F.lit(cfg.as_of_str).cast("date"), F.col("recon_date"))
     j = j.withColumn("exception_age_days", age.cast("int"))  # computed once, read by 3 CASEs

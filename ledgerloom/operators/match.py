@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig
 from ledgerloom.functions.exprs import MONEY, first_match, flag01, typed_null, yyyymmdd
-from ledgerloom.operators.joins import bounded_broadcast
+from ledgerloom.operators.joins import left_join_split
 
 
 def int_sap_sales_by_store_date(stg_lines: DataFrame, stg_docs: DataFrame, stg_header: DataFrame,
@@ -36,7 +36,7 @@ def int_sap_sales_by_store_date(stg_lines: DataFrame, stg_docs: DataFrame, stg_h
     # LEFT JOIN transaction + WHERE store_id IS NOT NULL == inner join to
     # transactions that have a store.
     bridge = stg_header.filter(F.col("store_id").isNotNull()).select("pos_txn_id", "store_id")
-    store = bounded_broadcast(stg_store.select("store_id", "sap_profit_center"), cfg.broadcast_max_rows)
+    store = stg_store.select("store_id", "sap_profit_center")
     j = (per_doc.join(docs, doc_key)
                .join(bridge, "pos_txn_id")
                .join(store, "store_id", "left"))
@@ -55,18 +55,18 @@ def int_sap_sales_by_store_date(stg_lines: DataFrame, stg_docs: DataFrame, stg_h
 def pos_sap_match_id(country, date, store) -> F.Column:
     """MATCH-POS-SAP-{country}-{yyyymmdd}-{store without dashes}; NULL if any part is."""
     return F.concat(F.lit("MATCH-POS-SAP-"), F.col(country), F.lit("-"), yyyymmdd(date), F.lit("-"),
-                    F.regexp_replace(F.col(store), "-", ""))
+                    F.replace(F.col(store), F.lit("-"), F.lit("")))
 
 
 def int_pos_sap_matched(stg_eod: DataFrame, sap_by_store: DataFrame, stg_country: DataFrame,
                         cfg: ReconConfig) -> DataFrame:
     """End-of-day sales vs ledger revenue, classified by the country's
     thresholds (first matching tier wins, Q6/Q7)."""
-    cfgc = bounded_broadcast(stg_country.select(
+    cfgc = stg_country.select(
         "country_code", "country_code_iso2",
         F.col("variance_threshold_t2").alias("threshold_tolerance"),
         F.col("variance_threshold_t3").alias("threshold_review"),
-        F.col("variance_threshold_t4").alias("threshold_escalate")), cfg.broadcast_max_rows)
+        F.col("variance_threshold_t4").alias("threshold_escalate"))
     p = stg_eod.select("country_code", "store_id", "business_date", "fiscal_period_key", "currency_code",
                        "net_sales", "sap_transfer_status", "_dq_flag")
     s = sap_by_store.select(
@@ -120,9 +120,8 @@ def int_pay_bank_matched(stg_settlement: DataFrame, stg_bank: DataFrame, stg_cou
     A settlement with several credits fans out (J07), as in the model,
     unless ``cfg.dedupe_bank_lines`` keeps the earliest credit per reference.
     """
-    cfgc = bounded_broadcast(stg_country.select("country_code", "settlement_lag_days",
-                                                F.col("variance_threshold_t2").alias("__t2")),
-                             cfg.broadcast_max_rows)
+    cfgc = stg_country.select("country_code", "settlement_lag_days",
+                                                F.col("variance_threshold_t2").alias("__t2"))
     tol = F.col("__t2") if cfg.tolerance_from_country else F.lit(cfg.pay_bank_tolerance).cast(MONEY)
     if cfg.dedupe_bank_lines:
         # earliest credit per reference as a min over (date, id, amount): a
@@ -133,12 +132,10 @@ def int_pay_bank_matched(stg_settlement: DataFrame, stg_bank: DataFrame, stg_cou
                     .agg(F.min(F.struct("value_date", "statement_line_id", "amount")).alias("__w"))
                     .select(*keys, "__w.value_date", "__w.statement_line_id", "__w.amount"))
     b = stg_bank.select(
-        F.col("country_code").alias("__b_country"), F.col("bank_account").alias("__b_account"),
-        "customer_reference", "statement_line_id",
+        "country_code", "bank_account", F.col("customer_reference").alias("settlement_batch_id"), "statement_line_id",
         F.col("value_date").alias("bank_credit_date"), F.col("amount").alias("actual_bank_credit"))
-    s = stg_settlement
-    j = s.join(b, (s.country_code == b.__b_country) & (s.bank_account == b.__b_account)
-               & (s.settlement_batch_id == b.customer_reference), "left")
+    # a reference may hold many credits (J07): exact, and split where it is hot
+    j = left_join_split(stg_settlement, b, ["country_code", "bank_account", "settlement_batch_id"])
     j = j.join(cfgc, "country_code")
     expected_lag = F.col("settlement_lag_days")
     if cfg.lag_from_tender and stg_tender is not None:
@@ -148,7 +145,7 @@ def int_pay_bank_matched(stg_settlement: DataFrame, stg_bank: DataFrame, stg_cou
             "tender_code", F.col("settlement_lag_days").alias("__tender_lag"),
             F.explode(F.when(F.col("country_code") == "BOTH", countries)
                       .otherwise(F.array(F.col("country_code")))).alias("country_code"))
-        j = j.join(bounded_broadcast(tl, cfg.broadcast_max_rows), ["tender_code", "country_code"], "left")
+        j = j.join(tl, ["tender_code", "country_code"], "left")
         expected_lag = F.coalesce(F.col("__tender_lag"), F.col("settlement_lag_days"))
     variance = (F.col("net_settlement") - F.coalesce(F.col("actual_bank_credit"), F.lit(0))).cast(MONEY)
     lag = F.datediff(F.coalesce(F.col("bank_credit_date"), F.lit(cfg.as_of_str).cast("date")), F.col("txn_date"))

@@ -53,12 +53,12 @@ def run_models(spark: SparkSession, sf_dir: str, out_root: str, cfg: ReconConfig
           marts.mart_pay_bank_detail(pay_bank, m.stg_dim_country, m.stg_dim_root_cause, cfg))
     write("marts", "mart_exception_log",
           marts.mart_exception_log(pos_sap, pay_bank, m.stg_dim_store, m.stg_dim_root_cause,
-                                   m.raw.get("recon_match_result"), cfg))
+                                   m.raw.get("recon_match_result"), cfg, ordered=False))
     trend = write("marts", "mart_root_cause_trend",
-                  marts.mart_root_cause_trend(pos_sap, pay_bank, m.stg_dim_root_cause, cfg))
+                  marts.mart_root_cause_trend(pos_sap, pay_bank, m.stg_dim_root_cause, cfg, ordered=False))
     write("dimensions", "dim_store_enriched", dims.dim_store_enriched(m.stg_dim_store, summary, cfg))
     write("dimensions", "dim_country_enriched", dims.dim_country_enriched(m.stg_dim_country, summary, cfg))
-    write("dimensions", "dim_root_cause_enriched", dims.dim_root_cause_enriched(m.stg_dim_root_cause, trend, cfg))
+    write("dimensions", "dim_root_cause_enriched", dims.dim_root_cause_enriched(m.stg_dim_root_cause, trend, cfg, ordered=False))
     write("dimensions", "dim_tender_type_enriched", dims.dim_tender_type_enriched(m.stg_dim_tender_type))
     return paths
 

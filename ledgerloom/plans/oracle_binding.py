@@ -197,7 +197,7 @@ WHERE txn_status = 'COMPLETED' AND sap_doc_number IS NOT NULL AND sap_doc_number
   AND _dq_flag IS NOT NULL AND _dq_flag NOT IN ('SAP_BATCH_FAIL', 'NULL_STORE', 'WRONG_COUNTRY', 'FUTURE_DATE')"""
 
 CTES["raw_sap_fi_document"] = """
-SELECT sap_doc_number AS belnr, sap_company_code AS bukrs, CAST(year(budat_) AS INTEGER) AS gjahr, country_code,
+SELECT sap_doc_number AS belnr, sap_company_code AS bukrs, CAST(year(business_date) AS INTEGER) AS gjahr, country_code,
        CASE WHEN txn_type = 'RETURN' THEN 'RE' ELSE 'RV' END AS blart,
        business_date AS bldat, budat_ AS budat, currency_code AS waers, receipt_number AS xblnr,
        CASE WHEN _manual_error THEN 'MANUAL_USER' ELSE 'BATCH_POS' END AS usnam,
@@ -206,7 +206,7 @@ SELECT sap_doc_number AS belnr, sap_company_code AS bukrs, CAST(year(budat_) AS
 FROM postable"""
 
 CTES["raw_sap_fi_lineitem"] = """
-SELECT p.sap_doc_number AS belnr, p.sap_company_code AS bukrs, CAST(year(p.budat_) AS INTEGER) AS gjahr,
+SELECT p.sap_doc_number AS belnr, p.sap_company_code AS bukrs, CAST(year(p.business_date) AS INTEGER) AS gjahr,
        l.buzei, l.hkont,
        CASE WHEN l.buzei = '001' THEN (CASE WHEN p.sap_net_ >= 0 THEN 'S' ELSE 'H' END)
             ELSE (CASE WHEN p.sap_net_ >= 0 THEN 'H' ELSE 'S' END) END AS shkzg,
@@ -274,117 +274,76 @@ SELECT 'BSL-' || s.country_code || '-'
 FROM raw_bank_card_settlement s LEFT JOIN raw_dim_country c ON s.country_code = c.country_code
 WHERE s._dq_flag <> 'MISSING_CREDIT'"""
 
-CTES["ledger_day"] = """
-SELECT d.bukrs, d.budat,
-       CAST(sum(l.rev) AS DECIMAL(18,2)) AS ledger_total,
-       max(CASE WHEN d._dq_flag = 'PROMO_UNMAPPED' THEN 1 ELSE 0 END) AS has_promo,
-       max(CASE WHEN d._dq_flag = 'MANUAL_ERROR' THEN 1 ELSE 0 END) AS has_manual,
-       max(CASE WHEN d._dq_flag = 'DUPLICATE_TXN' THEN 1 ELSE 0 END) AS has_duplicate,
-       max(CASE WHEN d._dq_flag = 'WRONG_PERIOD' THEN 1 ELSE 0 END) AS has_wrong_period
-FROM (SELECT belnr, bukrs, gjahr,
-             sum(CASE WHEN shkzg = 'H' THEN dmbtr WHEN shkzg = 'S' THEN -dmbtr END) AS rev
-      FROM raw_sap_fi_lineitem WHERE hkont LIKE '004%' GROUP BY belnr, bukrs, gjahr) l
-JOIN raw_sap_fi_document d ON l.belnr = d.belnr AND l.bukrs = d.bukrs AND l.gjahr = d.gjahr
-GROUP BY d.bukrs, d.budat"""
-
 CTES["rmr_cfg"] = """
-SELECT country_code, country_code_iso2, sap_company_code, regulatory_body,
+SELECT country_code, country_code_iso2 AS iso, sap_company_code AS company, regulatory_body,
+       1000 * (CAST(substr(sap_company_code, 2) AS INTEGER) + 1) AS ticket_base,
        variance_threshold_t2 AS t2, variance_threshold_t3 AS t3
 FROM raw_dim_country WHERE is_active"""
 
-CTES["rmr_pos"] = """
-SELECT e.*, c.country_code_iso2, c.regulatory_body, c.t2, c.t3, ld.ledger_total,
-       ld.has_promo, ld.has_manual, ld.has_duplicate, ld.has_wrong_period,
-       CAST(e.net_sales - coalesce(ld.ledger_total, 0) AS DECIMAL(18,2)) AS v
-FROM raw_pos_eod_summary e JOIN rmr_cfg c ON e.country_code = c.country_code
-LEFT JOIN ledger_day ld ON c.sap_company_code = ld.bukrs AND e.business_date = ld.budat"""
-
-CTES["rmr_pos_tier"] = """
-SELECT *, abs(v) AS av,
-       CASE WHEN sap_transfer_status = 'FAILED' THEN 'UNMATCHED|EXCEPTION'
-            WHEN abs(v) <= 0.01 THEN 'EXACT|MATCHED'
-            WHEN abs(v) <= t2 THEN 'TOLERANCE|MATCHED'
-            WHEN abs(v) <= t3 THEN 'TOLERANCE|EXCEPTION'
-            ELSE 'UNMATCHED|EXCEPTION' END AS tier
-FROM rmr_pos"""
-
-CTES["rmr_pay"] = """
-SELECT s.*, c.country_code_iso2, c.regulatory_body, c.t2, c.t3, b.customer_reference, b.amount AS credit,
-       CAST(s.net_settlement - coalesce(b.amount, 0) AS DECIMAL(18,2)) AS v
-FROM raw_bank_card_settlement s JOIN rmr_cfg c ON s.country_code = c.country_code
-LEFT JOIN raw_bank_statement_line b ON s.country_code = b.country_code
-                                   AND s.settlement_batch_id = b.customer_reference"""
-
-CTES["rmr_pay_tier"] = """
-SELECT *, abs(v) AS av,
-       CASE WHEN customer_reference IS NULL THEN 'UNMATCHED|EXCEPTION'
-            WHEN _dq_flag = 'CHARGEBACK' THEN 'REVIEW|EXCEPTION'
-            WHEN _dq_flag IN ('FEE_DISPUTE', 'FEE_VARIANCE') THEN 'FEE_VARIANCE|EXCEPTION'
-            WHEN abs(v) <= 0.01 THEN 'EXACT|MATCHED'
-            WHEN abs(v) <= t2 THEN 'TOLERANCE|MATCHED'
-            ELSE 'REVIEW|EXCEPTION' END AS tier
-FROM rmr_pay"""
-
-CTES["rmr_union"] = """
-SELECT 'MATCH-POS-SAP-' || country_code_iso2 || '-' || strftime(business_date, '%Y%m%d') || '-' || right(store_id, 3)
-            AS match_id,
-       'POS_SAP' AS recon_type, country_code, business_date AS recon_date, fiscal_period_key, store_id, currency_code,
-       net_sales AS pos_amount, CAST(coalesce(ledger_total, 0) AS DECIMAL(18,2)) AS sap_amount,
-       CAST(NULL AS DECIMAL(18,2)) AS bank_amount, v AS variance_pos_sap, CAST(0 AS DECIMAL(18,2)) AS variance_sap_bank,
-       t2 AS threshold_applied, t3, av, tier,
-       CASE WHEN sap_transfer_status = 'FAILED' THEN 'RC-001'
-            WHEN tier = 'TOLERANCE|MATCHED' AND av < 1 THEN 'RC-007'
-            WHEN tier LIKE '%|MATCHED' THEN NULL
-            WHEN has_promo = 1 THEN 'RC-003' WHEN has_manual = 1 THEN 'RC-004'
-            WHEN has_duplicate = 1 THEN 'RC-005' WHEN has_wrong_period = 1 THEN 'RC-008'
-            ELSE 'RC-003' END AS root_cause_code,
-       regulatory_body, country_code_iso2, CAST(abs(net_sales * 100) AS BIGINT) % 100 AS draw,
-       0 AS type_rank, store_id AS ord, _dq_flag
-FROM rmr_pos_tier
+# Every match in one shape: which side it is, what was expected and found, and
+# the tier as the number of bounds that the distance exceeds.
+CTES["rmr_found"] = """
+SELECT 0 AS kind, e.country_code, e.business_date AS day, e.store_id AS ord, e.store_id, e.currency_code, e.fiscal_period_key,
+       right(e.store_id, 3) AS tail, e.net_sales AS expected, e._dq_flag, e.net_sales AS drawn,
+       (SELECT sum(CASE l.shkzg WHEN 'H' THEN l.dmbtr ELSE -l.dmbtr END)
+        FROM raw_sap_fi_document d JOIN raw_sap_fi_lineitem l USING (belnr, bukrs, gjahr)
+        WHERE starts_with(l.hkont, '004') AND d.bldat = e.business_date AND d.bukrs = c.company) AS found
+FROM raw_pos_eod_summary e JOIN rmr_cfg c USING (country_code)
 UNION ALL
-SELECT 'MATCH-PAY-BANK-' || country_code_iso2 || '-' || strftime(settle_date, '%Y%m%d') || '-'
-            || right(settlement_batch_id, 6) AS match_id,
-       'PAY_BANK', country_code, txn_date, country_code || '-' || strftime(txn_date, '%Y-%m'),
-       CASE WHEN regexp_extract(settlement_batch_id, '^BATCH-(ST-[0-9]+|NOSTORE)-', 1) <> 'NOSTORE'
-            THEN regexp_extract(settlement_batch_id, '^BATCH-(ST-[0-9]+|NOSTORE)-', 1) END,
-       currency_code, net_settlement, CAST(NULL AS DECIMAL(18,2)), CAST(coalesce(credit, 0) AS DECIMAL(18,2)),
-       CAST(0 AS DECIMAL(18,2)), v, t2, t3, av, tier,
-       CASE WHEN customer_reference IS NULL THEN 'RC-014' WHEN _dq_flag = 'CHARGEBACK' THEN 'RC-011'
-            WHEN _dq_flag IN ('FEE_DISPUTE', 'FEE_VARIANCE') THEN 'RC-010'
-            WHEN tier LIKE '%|MATCHED' THEN NULL ELSE 'RC-009' END,
-       regulatory_body, country_code_iso2, CAST(abs(gross_amount * 100) AS BIGINT) % 100,
-       1, settlement_id, _dq_flag
-FROM rmr_pay_tier"""
-
-CTES["rmr_typed"] = """
-SELECT *, split_part(tier, '|', 1) AS mt0, split_part(tier, '|', 2) AS ms0,
-       split_part(tier, '|', 2) = 'EXCEPTION' AND (type_rank = 1 OR av >= t3) AS ticketed
-FROM rmr_union"""
-
-CTES["rmr_ticketed"] = """
-SELECT *,
-       CASE WHEN ticketed THEN 'INC-' || country_code_iso2 || '-' || CAST(year(recon_date) AS VARCHAR) || '-'
-            || CASE WHEN length(CAST(tseq AS VARCHAR)) >= 4 THEN CAST(tseq AS VARCHAR)
-                    ELSE lpad(CAST(tseq AS VARCHAR), 4, '0') END END AS it_ticket_ref
-FROM (SELECT *, CASE WHEN ticketed THEN row_number() OVER (PARTITION BY country_code, ticketed
-                                       ORDER BY type_rank, recon_date, ord, match_id) END AS tseq
-      FROM rmr_typed) x"""
+SELECT 1, s.country_code, s.settle_date, s.settlement_id,
+       nullif(regexp_extract(s.settlement_batch_id, '^BATCH-(ST-[0-9]+)-', 1), ''), s.currency_code,
+       s.country_code || '-' || strftime(s.settle_date, '%Y-%m'), right(s.settlement_batch_id, 6), s.net_settlement, s._dq_flag,
+       s.gross_amount,
+       (SELECT max_by(b.amount, (b.value_date, b.statement_line_id)) FROM raw_bank_statement_line b
+        WHERE b.customer_reference = s.settlement_batch_id)
+FROM raw_bank_card_settlement s JOIN rmr_cfg c USING (country_code)"""
+
+CTES["rmr_distance"] = """
+SELECT *, CAST(coalesce(found, 0) AS DECIMAL(18,2)) AS actual, CAST(expected - coalesce(found, 0) AS DECIMAL(18,2)) AS gap,
+       CAST(drawn * 100 AS BIGINT) AS cents,
+       (abs(expected - coalesce(found, 0)) > 0.01)::INTEGER + (abs(expected - coalesce(found, 0)) > t2)::INTEGER
+         + (kind = 0 AND abs(expected - coalesce(found, 0)) > t3)::INTEGER AS tier
+FROM rmr_found JOIN rmr_cfg USING (country_code)"""
+
+# flag of a row -> what it settles by itself (level 0), or the cause of an unmatched sales day (level 3)
+CTES["rmr_flags"] = """
+SELECT * FROM (VALUES (0, 'SAP_BATCH_FAIL', 0, 'UNMATCHED', 'RC-001'), (1, 'MISSING_CREDIT', 0, 'UNMATCHED', 'RC-014'),
+  (1, 'CHARGEBACK', 0, 'UNMATCHED', 'RC-011'), (1, 'FEE_DISPUTE', 0, 'TOLERANCE', 'RC-010'), (1, 'FEE_VARIANCE', 0, 'TOLERANCE', 'RC-010'),
+  (0, 'ROUNDING_DIFF', 3, 'UNMATCHED', 'RC-007'), (0, 'WRONG_PERIOD', 3, 'UNMATCHED', 'RC-008'),
+  (0, 'DUPLICATE_TXN', 3, 'UNMATCHED', 'RC-005')) AS f(kind, _dq_flag, level, f_type, f_cause)"""
+
+CTES["rmr_judged"] = """
+SELECT d.* EXCLUDE (tier), CASE WHEN f.level = 0 THEN 9 ELSE tier END AS tier,
+       CASE WHEN f.level = 0 THEN f_type ELSE ['EXACT', 'TOLERANCE', CASE kind WHEN 0 THEN 'TOLERANCE' ELSE 'UNMATCHED' END, 'UNMATCHED'][tier + 1] END AS m_type,
+       CASE WHEN f.level IS DISTINCT FROM 0 AND tier < 2 THEN 'MATCHED' ELSE 'EXCEPTION' END AS m_status,
+       CASE WHEN f.level = 0 OR f.level = tier THEN f_cause
+            WHEN kind = 1 THEN [NULL, NULL, 'RC-009'][tier + 1]
+            ELSE [NULL, CASE WHEN abs(gap) < 1 THEN 'RC-007' END,
+                  CASE WHEN contains(_dq_flag, 'PROMO') THEN 'RC-003' ELSE 'RC-007' END, 'RC-003'][tier + 1] END AS cause
+FROM rmr_distance d LEFT JOIN rmr_flags f USING (kind, _dq_flag)"""
+
+CTES["rmr_named"] = """
+SELECT *, CASE kind WHEN 0 THEN 'MATCH-POS-SAP-' ELSE 'MATCH-PAY-BANK-' END || iso || '-' || strftime(day, '%Y%m%d') || '-' || tail AS match_id,
+       m_status = 'EXCEPTION' AND (kind = 1 OR abs(gap) >= t3) AS ticketed,
+       m_status = 'EXCEPTION' AND day < DATE '2001-07-01' AND abs(cents) % 100 < [85, 80][kind + 1] AS cleared
+FROM rmr_judged"""
 
 CTES["raw_recon_match_result"] = """
-SELECT match_id, recon_type, country_code, recon_date, fiscal_period_key, store_id, currency_code, pos_amount,
-       sap_amount, bank_amount, variance_pos_sap, variance_sap_bank, threshold_applied,
-       CASE WHEN cleared THEN 'MANUAL' ELSE mt0 END AS match_type,
-       CASE WHEN cleared THEN 'MATCHED' ELSE ms0 END AS match_status,
-       root_cause_code, regulatory_body AS regulatory_ref, it_ticket_ref,
-       'EMP-' || country_code_iso2 || '-2014' || CAST(draw % 3 + 5 AS VARCHAR) AS preparer_id,
-       CASE WHEN cleared OR ms0 = 'MATCHED'
-            THEN 'EMP-' || country_code_iso2 || '-1002' || CAST(draw % 2 + 3 AS VARCHAR) END AS reviewer_id,
-       CASE WHEN cleared OR ms0 = 'MATCHED'
-            THEN CAST(CAST(recon_date + 1 AS DATE) AS TIMESTAMP) + INTERVAL 9 HOUR END AS reviewed_at,
-       _dq_flag
-FROM (SELECT *, ms0 = 'EXCEPTION' AND recon_date < DATE '2001-07-01'
-                AND draw < CASE WHEN type_rank = 0 THEN 85 ELSE 80 END AS cleared
-      FROM rmr_ticketed) y"""
+SELECT match_id, ['POS_SAP', 'PAY_BANK'][kind + 1] AS recon_type, country_code, day AS recon_date, fiscal_period_key, store_id,
+       currency_code, CAST(CASE kind WHEN 0 THEN expected ELSE 0 END AS DECIMAL(18,2)) AS pos_amount,
+       CAST(CASE kind WHEN 0 THEN actual ELSE expected END AS DECIMAL(18,2)) AS sap_amount,
+       CAST(CASE kind WHEN 0 THEN 0 ELSE actual END AS DECIMAL(18,2)) AS bank_amount,
+       CAST(CASE kind WHEN 0 THEN gap ELSE 0 END AS DECIMAL(18,2)) AS variance_pos_sap,
+       CAST(CASE kind WHEN 0 THEN 0 ELSE gap END AS DECIMAL(18,2)) AS variance_sap_bank, t3 AS threshold_applied,
+       CASE WHEN cleared THEN 'MANUAL' ELSE m_type END AS match_type,
+       CASE WHEN cleared THEN 'MATCHED' ELSE m_status END AS match_status, cause AS root_cause_code,
+       CASE WHEN m_status = 'EXCEPTION' AND NOT cleared THEN regulatory_body END AS regulatory_ref,
+       CASE WHEN ticketed THEN 'INC-' || iso || '-' || year(day) || '-'
+            || (ticket_base + row_number() OVER (PARTITION BY country_code, ticketed ORDER BY kind, day, ord, match_id)) END AS it_ticket_ref,
+       'EMP-' || iso || '-2014' || (abs(cents) % 100 % 3 + 5) AS preparer_id,
+       CASE WHEN cleared OR m_status = 'MATCHED' THEN 'EMP-' || iso || '-1002' || (abs(cents) % 100 % 2 + 3) END AS reviewer_id,
+       CASE WHEN cleared OR m_status = 'MATCHED' THEN CAST(day AS TIMESTAMP) + INTERVAL 570 MINUTE END AS reviewed_at, _dq_flag
+FROM rmr_named"""
 
 CTES["raw_dim_bank"] = """
 SELECT 'BANK' || CAST(CAST(substr(sap_company_code, 2) AS INTEGER) AS VARCHAR) AS bank_code, country_code,

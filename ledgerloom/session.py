@@ -86,24 +86,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its own file system): local, HDFS or an object store."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence of a file on the path's own file system (local, HDFS, object
-    store), through the Hadoop FileSystem API of the session."""
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file://", "", 1) if path.startswith("file:") else path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes under a path (file or folder) on its own file system."""
-    if "://" not in path or path.startswith("file:"):
-        local = path.replace("file://", "", 1) if path.startswith("file:") else path
-        if os.path.isdir(local):
-            return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(local) for f in fs)
-        return os.path.getsize(local) if os.path.exists(local) else 0
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+    """Existence of a file on the path's own file system."""
+    hpath, fs = _file_system(spark, path)
+    return fs.exists(hpath)
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every file at or under ``path``,
+    ordered; nothing where it does not exist."""
+    hpath, fs = _file_system(spark, path)
+    if not fs.exists(hpath):
+        return []
+    found, files = [], fs.listFiles(hpath, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), int(f.getLen()), int(f.getModificationTime())))
+    return sorted(found)

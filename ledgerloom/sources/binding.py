@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import TESTDATA_INACTIVE_REGIONKEY
 from ledgerloom.functions.exprs import MONEY, RATE, first_match, lookup, pad_num, yyyymmdd
-from ledgerloom.operators.joins import bounded_broadcast
 
 # --- fixed values of the binding -------------------------------------------
 # Break flags injected by order key (first match wins): (modulus, remainder, flag)
@@ -147,7 +146,7 @@ def txn_type(k) -> F.Column:
 def pos_transaction_header(orders: DataFrame, customer: DataFrame, nation: DataFrame,
                            region: DataFrame) -> DataFrame:
     """One POS transaction per order (D04 re-aimed on the test warehouse)."""
-    geo = bounded_broadcast(geography(nation, region), 100_000)
+    geo = geography(nation, region)
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = customer.select("c_custkey", "c_nationkey")
     base = (o.join(c, o.o_custkey == c.c_custkey)
@@ -241,7 +240,7 @@ def sap_lineitems_from_lineitem(lineitem: DataFrame, orders: DataFrame, customer
     customer's region, year of the order date). Account from l_returnflag,
     debit/credit from l_linestatus, amount = l_extendedprice as money.
     (l_orderkey, l_linenumber) repeats in the test data, so buzei does too."""
-    geo = bounded_broadcast(geography(nation, region), 100_000)
+    geo = geography(nation, region)
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     c = customer.select("c_custkey", "c_nationkey")
     l = lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus")

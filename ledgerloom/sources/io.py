@@ -9,7 +9,6 @@ schema, so they are read as text and cast.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,17 +59,23 @@ def read_csv_table(spark: SparkSession, path: str, table: str, columns: list[str
     return df
 
 
-def load_folder(spark: SparkSession, folder: str, suffix: str = ".csv") -> dict[str, DataFrame]:
-    """Every raw table present in ``folder`` (``<table>.csv`` or
-    ``.csv.gz``), in load order: dimensions, facts, derived."""
-    tables = {}
-    for t in LOAD_ORDER:
-        for ext in (suffix, suffix + ".gz"):
-            p = os.path.join(folder, t + ext)
-            if os.path.exists(p):
-                tables[t] = read_csv_table(spark, p, t)
-                break
-    return tables
+def load_folder(spark: SparkSession, folder: str, suffix: str = ".csv",
+                tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """The raw tables of ``folder`` (``<table>.csv`` or ``.csv.gz``), all
+    sixteen unless ``tables`` names fewer, in load order: dimensions, facts,
+    derived. The folder may be on any file system Spark reads; a missing table
+    is an error."""
+    from ledgerloom.session import path_exists
+    found, missing = {}, []
+    for t in (x for x in LOAD_ORDER if tables is None or x in tables):
+        path = next((p for ext in (suffix, suffix + ".gz") if path_exists(spark, p := f"{folder.rstrip('/')}/{t}{ext}")), None)
+        if path is None:
+            missing.append(t)
+        else:
+            found[t] = read_csv_table(spark, path, t)
+    if missing:
+        raise FileNotFoundError(f"{folder} lacks {', '.join(missing)}")
+    return found
 
 
 def save_table(df: DataFrame, root: str, schema_name: str, table: str, fmt: str = "parquet",

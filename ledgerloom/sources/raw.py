@@ -127,32 +127,17 @@ BUCKET_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
-def bucket_count(spark: SparkSession, cfg: ReconConfig, sf_dir: str | None = None) -> int:
-    """Resolved bucket count of the raw layout (0 = not bucketed). The
-    automatic setting buckets only when the big inputs exceed
-    ``cfg.bucket_min_input_bytes`` (file-system metadata, no scan)."""
-    if cfg.bucket_count >= 0:
-        return cfg.bucket_count
-    if sf_dir is not None:
-        from ledgerloom.session import path_bytes
-        size = sum(path_bytes(spark, f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "lineitem"))
-        if size < cfg.bucket_min_input_bytes:
-            return 0
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def store_root(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> str:
     """Folder for the loaded raw tables: inside the cluster's shared
-    checkpoint folder, keyed by the source folder and its file sizes."""
-    from ledgerloom.session import ensure_checkpoint_dir
+    checkpoint folder, keyed by the input files (path, length and
+    modification time, from their own file system), the code that builds the
+    tables and every setting."""
+    from ledgerloom.session import ensure_checkpoint_dir, list_files
     base = ensure_checkpoint_dir(spark)
     cfg = cfg or ReconConfig()
-    sig = [sf_dir, BINDING_VERSION, _code_digest(), cfg.as_of_str, f"b{bucket_count(spark, cfg, sf_dir)}"]
+    sig = [sf_dir, BINDING_VERSION, _code_digest(), repr(cfg)]
     for name in INPUTS:
-        try:
-            sig.append(str(os.path.getsize(f"{sf_dir}/{name}.parquet")))
-        except OSError:
-            sig.append("?")
+        sig += [f"{path}:{length}:{modified}" for path, length, modified in list_files(spark, f"{sf_dir}/{name}.parquet")]
     digest = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
     return f"{base.rstrip('/')}/raw-{digest}"
 
@@ -168,7 +153,7 @@ class StoredRawTables(RawTables):
                  root: str | None = None):
         super().__init__(spark, sf_dir, cfg)
         self.root = root or store_root(spark, self.sf_dir, self.cfg)
-        self.buckets = bucket_count(spark, self.cfg, self.sf_dir)
+        self.buckets = self.cfg.bucket_count
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -219,10 +204,11 @@ _STORES: dict[tuple, StoredRawTables] = {}
 
 
 def stored_raw(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> StoredRawTables:
-    """One loaded raw store per (session, folder, config)."""
+    """One loaded raw store per (session, input files, config): rewritten inputs are loaded anew."""
     from ledgerloom.session import session_key
     cfg = cfg or ReconConfig()
-    key = (session_key(spark), sf_dir.rstrip("/"), cfg)
+    root = store_root(spark, sf_dir.rstrip("/"), cfg)
+    key = (session_key(spark), root, cfg)
     if key not in _STORES:
-        _STORES[key] = StoredRawTables(spark, sf_dir, cfg)
+        _STORES[key] = StoredRawTables(spark, sf_dir, cfg, root)
     return _STORES[key]

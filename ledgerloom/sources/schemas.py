@@ -121,9 +121,10 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
 
 FOREIGN_KEYS: list[tuple[str, tuple[str, ...], str, tuple[str, ...]]] = [
     ("dim_store", ("country_code",), "dim_country", ("country_code",)),
-    ("pos_transaction_header", ("store_id",), "dim_store", ("store_id",)),
     ("pos_tender", ("pos_txn_id",), "pos_transaction_header", ("pos_txn_id",)),
     ("sap_fi_lineitem", ("belnr", "bukrs", "gjahr"), "sap_fi_document", ("belnr", "bukrs", "gjahr")),
+    ("recon_match_result", ("country_code",), "dim_country", ("country_code",)),
+    ("recon_match_result", ("store_id",), "dim_store", ("store_id",)),
     ("recon_match_result", ("root_cause_code",), "dim_root_cause", ("root_cause_code",)),
 ]
 

@@ -43,9 +43,23 @@ def test_bucketed_layout_same_results_fewer_shuffles(spark, cfg):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_automatic_bucketing_follows_input_size(spark, cfg):
-    from ledgerloom.sources.raw import bucket_count
-    assert bucket_count(spark, replace(cfg, bucket_count=-1), SF_SMALL) == 0          # tiny input: plain
-    big = replace(cfg, bucket_count=-1, bucket_min_input_bytes=1)
-    assert bucket_count(spark, big, SF_SMALL) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert bucket_count(spark, replace(cfg, bucket_count=7), SF_SMALL) == 7
+def test_layout_is_the_same_at_every_size(spark, cfg):
+    assert cfg.bucket_count == 0
+    assert StoredRawTables(spark, SF_SMALL, cfg).buckets == 0
+
+
+def test_rewritten_input_of_equal_size_is_loaded_anew(spark, cfg, tmp_path):
+    import os
+    import shutil
+
+    from ledgerloom.sources.raw import INPUTS, stored_raw, store_root
+    for name in INPUTS:
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+    first, store = store_root(spark, str(tmp_path), cfg), stored_raw(spark, str(tmp_path), cfg)
+    assert stored_raw(spark, str(tmp_path), cfg) is store
+    path = tmp_path / "orders.parquet"
+    size = path.stat().st_size
+    os.utime(path, (1, 1))
+    assert path.stat().st_size == size and store_root(spark, str(tmp_path), cfg) != first
+    assert stored_raw(spark, str(tmp_path), cfg) is not store
+    assert store_root(spark, str(tmp_path), replace(cfg, pay_bank_tolerance="2.00")) != store_root(spark, str(tmp_path), cfg)

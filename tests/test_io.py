@@ -66,8 +66,11 @@ def test_load_folder_in_order(spark):
     for t, text in (("dim_root_cause", "root_cause_code\nRC-001\n"), ("dim_country", "country_code\nMYS\n")):
         with open(os.path.join(d, t + ".csv"), "w") as f:
             f.write(text)
-    tabs = io.load_folder(spark, d)
+    tabs = io.load_folder(spark, d, tables=["dim_root_cause", "dim_country"])
     assert list(tabs) == ["dim_country", "dim_root_cause"]
+    assert list(io.load_folder(spark, f"file://{d}", tables=["dim_country"])) == ["dim_country"]
+    with pytest.raises(FileNotFoundError, match="dim_store"):  # a missing table is no silent gap
+        io.load_folder(spark, d)
 
 
 def test_every_raw_table_round_trips_through_csv(spark):

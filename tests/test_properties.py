@@ -16,10 +16,10 @@ ROWS = st.lists(st.tuples(st.sampled_from(["A", "B", None]), st.integers(0, 3),
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS, sub=st.sampled_from([0, 1]))
-def test_sequence_within_is_row_number(spark, rows, sub):
+@given(rows=ROWS)
+def test_sequence_within_is_row_number(spark, rows):
     df = spark.createDataFrame(rows, "g string, day int, k string")
-    got = {(r.g, r.k): r.seq for r in sequence_within(df, ["g"], ["day"], ["k"], sub_bucket_chars=sub).collect()}
+    got = {(r.g, r.k): r.seq for r in sequence_within(df, ["g"], ["day"], ["k"]).collect()}
     ref = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("day", "k")))
     assert got == {(r.g, r.k): r.seq for r in ref.collect()}
 

@@ -3,8 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import (bounded_broadcast, fits, left_join_salted_hot_keys,
-                                       left_join_salted_nulls, sequence_within)
+from ledgerloom.operators.joins import left_join_split, sequence_within
 
 
 def test_sequence_within_equals_row_number(spark):
@@ -22,38 +21,23 @@ def test_sequence_within_global(spark):
     assert [s for _, _, s in got] == list(range(1, 51))
 
 
-def test_salted_null_left_join(spark):
-    left = spark.createDataFrame([("a", 1), (None, 2), (None, 3), ("z", 4)], "k string, v int")
-    right = spark.createDataFrame([("a", "A")], "k string, name string")
-    got = sorted(((r.v, r.k, r.name) for r in left_join_salted_nulls(left, right, ["k"]).collect()))
-    assert got == [(1, "a", "A"), (2, None, None), (3, None, None), (4, "z", None)]
-
-
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert fits(small, 10) and not fits(big, 999)
-    assert bounded_broadcast(big, 999) is big           # left to the planner
-    assert bounded_broadcast(small, 10) is not small    # hinted
-
-
-def test_sequence_within_sub_buckets(spark):
-    # one hot day: the sub-bucket (first characters of the order key) splits it
-    rows = [("C", 1 if i % 10 else 2, f"{chr(65 + i % 7)}-{i:05d}") for i in range(700)]
-    df = spark.createDataFrame(rows, "g string, day int, k string")
-    got = {r.k: r.seq for r in sequence_within(df, ["g"], ["day"], ["k"], sub_bucket_chars=1).collect()}
+def test_sequence_within_named_cells(spark):
+    # one hot day: a second named column splits it into cells
+    rows = [("C", 1 if i % 10 else 2, chr(65 + i % 7), f"{chr(65 + i % 7)}-{i:05d}") for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, day int, store string, k string")
+    got = {r.k: r.seq for r in sequence_within(df, ["g"], ["day", "store"], ["k"]).collect()}
     ref = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("day", "k")))
     assert got == {r.k: r.seq for r in ref.collect()}
 
 
-def test_salted_hot_key_left_join_is_exact(spark):
-    # key 'H' holds most right rows (hot at threshold 5); left has matched,
-    # unmatched, duplicated and NULL keys
-    right = spark.createDataFrame([("H", i) for i in range(40)] + [("c", 100), ("c", 101), ("d", 102)],
+def test_split_left_join_is_exact(spark):
+    # key 'H' holds most right rows; left has matched, unmatched, duplicated and NULL keys
+    right = spark.createDataFrame([("H", i) for i in range(4000)] + [("c", 100), ("c", 101), ("d", 102)],
                                   "k string, rv int")
     left = spark.createDataFrame([("H", 1), ("H", 2), ("c", 3), ("x", 4), (None, 5)], "k string, lv int")
-    got = sorted((r.k or "", r.lv, r.rv if r.rv is not None else -1)
-                 for r in left_join_salted_hot_keys(left, right, ["k"], hot_rows=5, salts=7).collect())
+    joined = left_join_split(left, right, ["k"])
+    got = sorted((r.k or "", r.lv, r.rv if r.rv is not None else -1) for r in joined.collect())
     ref = sorted((r.k or "", r.lv, r.rv if r.rv is not None else -1)
                  for r in left.join(right, ["k"], "left").collect())
-    assert got == ref and len(got) == 2 * 40 + 2 + 1 + 1
+    assert got == ref and len(got) == 2 * 4000 + 2 + 1 + 1
+    assert joined.columns == left.join(right, ["k"], "left").columns
