@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import FOLD, WORD, chunks, filter_bit, hash_filter, in_filter, mix64, sequence_hash, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
 from .graph import components
 
-CELLS, TILE = 1 << 16, 2048
+CELLS, TILE = 1 << 17, 2048
 #: Pairs held against each other at once.
 BLOCK = 1 << 15
 
@@ -60,7 +60,7 @@ def text_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[tuple[i
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(48)).astype(np.int64)
+    return (hashes >> np.uint64(64 - 17)).astype(np.int64)
 
 
 def _crowds(n: int):
@@ -94,7 +94,8 @@ def bitmap(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def width_of(n: int) -> int:
-    return max(64, 1 << int(n - 1).bit_length())
+    """Bits of the tentative bitmap: a power of two from n / 2 on."""
+    return max(64, 1 << int((n - 1) // 2).bit_length())
 
 
 def _sum(hashes: np.ndarray) -> int:
@@ -125,14 +126,13 @@ def _signatures(n: int, percent: int, ranks: np.ndarray):
     return rows
 
 
-def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest connected row of each of ``n`` rows under the pairs (a, b)."""
-    root = np.arange(n)
+def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Each row's smallest connected row, after the pairs (a, b) are added to ``root``."""
     while True:
         low = np.minimum(root[a], root[b])
         new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
         new = new[new]
         if (new == root).all():
             return root
@@ -225,11 +225,10 @@ def _link_tiles(percent: int, exact: bool):
                 off = flat.offsets.to_numpy()
                 values = flat.values.to_numpy().view(np.uint64)
                 sets = [values[off[k] : off[k + 1]] for k in order]
-                bits = [bitmap(s, 4 * width_of(len(s))).tobytes() for s in sets]
+                bits = [bitmap(s, 8 * width_of(len(s))).tobytes() for s in sets]
             else:
                 own = tiles.column("bits").to_pylist()
                 bits = [own[k] for k in order]
-            left, right = [], []
             root = np.arange(len(cid))
 
             def find(x: int) -> int:
@@ -239,13 +238,12 @@ def _link_tiles(percent: int, exact: bool):
                 return x
 
             for a, b in _band_pairs(size, ends, percent):
-                new = (cid[a] != cid[b]) & ((side[a] == 0) | (side[a] != side[b])) & ((label[a] < 0) | (label[a] != label[b]))
+                new = (root[a] != root[b]) & (cid[a] != cid[b]) & ((side[a] == 0) | (side[a] != side[b])) & ((label[a] < 0) | (label[a] != label[b]))
                 a, b = a[new], b[new]
                 may = _may_link(bits, size, a, b, percent)
                 a, b = a[may], b[may]
                 if not exact:
-                    left.append(a)
-                    right.append(b)
+                    root = _merge(root, a, b)
                     continue
                 for i, j in zip(a.tolist(), b.tolist()):
                     x, y = find(i), find(j)
@@ -253,10 +251,7 @@ def _link_tiles(percent: int, exact: bool):
                         both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                         if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                             root[max(x, y)] = min(x, y)
-            if exact:
-                top = np.array([find(x) for x in range(len(cid))], np.int64)
-            else:
-                top = _local_roots(len(cid), np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)]))
+            top = np.array([find(x) for x in range(len(cid))], np.int64) if exact else root
             # smallest cid of each local component
             least = np.full(len(cid), np.iinfo(np.int64).max)
             if len(cid):
@@ -300,8 +295,8 @@ def link_groups(rows: DataFrame, percent: int, exact: bool, tile: int) -> DataFr
     here = F.pmod(F.xxhash64("cid", "grp"), rows_of).cast("long")
     there = F.pmod(F.xxhash64("cid", "grp"), parts).cast("long")
     key = lambda i, j: i * F.lit(1 << 31) + j
-    wide = named.select("*", F.explode(F.sequence(F.lit(0), rows_of - 1)).cast("long").alias("i")).withColumn("t2", key(F.col("i"), there))
-    tall = named.where("label <> main").withColumn("i", here).select("*", F.explode(F.sequence(F.lit(0), parts - 1)).cast("long").alias("j")).withColumn("t2", key(F.col("i"), F.col("j")))
+    wide = named.withColumn("i", F.explode(F.sequence(F.lit(0), rows_of - 1))).withColumn("t2", key(F.col("i").cast("long"), there))
+    tall = named.where("label <> main").withColumn("j", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("t2", key(here, F.col("j").cast("long")))
     # strays also stand in ``wide``, so they meet one another there
     again = wide.withColumn("side", F.lit(2)).select("grp", "t2", "cid", "n", "side", "label", "hashes" if exact else "bits").union(
         tall.withColumn("side", F.lit(1)).select("grp", "t2", "cid", "n", "side", "label", "hashes" if exact else "bits")
@@ -323,9 +318,13 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> Da
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     # classes that share a prefix n-gram
-    entries = classes.select("cid", F.explode("prefix").alias("grp"))
-    shared = entries.groupBy("grp").agg(F.count("*").alias("size_of_group")).where("size_of_group > 1")
-    met = entries.join(shared, "grp").join(classes.select("cid", "n", "bits"), "cid")
+    entries = classes.select("cid", "n", F.explode("prefix").alias("grp"))
+    shared = entries.groupBy("grp").agg(F.count("*").alias("size_of_group"), F.min("n").alias("least"), F.max("n").alias("most"))
+    # two rows whose sizes are too far apart can't link
+    shared = shared.where((F.col("size_of_group") > 2) | (F.col("size_of_group") > 1) & (100 * F.col("least") >= percent * F.col("most")))
+    # written, so that the join's two sides come from plain exchanges and a hot n-gram's rows can be split
+    shared = stored(shared.select("grp", "size_of_group"), "shared")
+    met = entries.drop("n").join(shared, "grp").join(classes.select("cid", "n", "bits"), "cid")
     tentative = stored(link_groups(met, percent, False, tile), "tentative")
 
     # exact intersection inside the tentative groups
