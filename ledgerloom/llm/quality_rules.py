@@ -2,7 +2,8 @@
 
 Words and word pairs of every document are hashed into ``BINS`` bins. Two
 multinomials are counted: the trusted target (documents labelled of good
-quality, outside the held-out fold) and the raw corpus (all documents). A
+quality, outside the held-out fold, ``MAX_TRUSTED`` at most) and the raw corpus
+(all documents). A
 document's ratio is the mean over its n-grams of log(target / raw). A document
 is kept if no base rule fails and its ratio is at least the threshold: the
 trusted documents' mean less ``SPREADS`` standard deviations, a fixed number
@@ -34,6 +35,8 @@ BINS = 1 << 16
 #: Added to each bin of both multinomials, times the raw corpus's share of the bin for the target.
 PRIOR = 0.5
 SPREADS = 6.0
+#: The target is counted over about this many trusted documents at most, chosen by id hash.
+MAX_TRUSTED = 16_000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(x) for x in "#*$%&|<>"]] = True
@@ -127,7 +130,11 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """(log ratio by bin, threshold); both are counted over all documents."""
     good = labels.where((F.col("quality") == 1) & (fold_of(F.col("doc_id")) != 0)).select(F.col("doc_id").alias("good_id")).distinct()
-    marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("good_id"), "left")
+    good = stored(good, "good")
+    n = good.count()
+    share = min(1.0, MAX_TRUSTED / n) if n else 1.0
+    good = good.where(F.pmod(F.xxhash64("good_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    marked = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left")
     marked = marked.select("text", F.col("good_id").isNotNull().alias("trusted"))
     found = marked.mapInArrow(_counts, "kind int, bin int, n long").groupBy("kind", "bin").agg(F.sum("n").alias("n")).toPandas()
     sums = np.zeros((2, BINS))
