@@ -54,11 +54,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents keep what no other place repeats; null texts stay null."""
     rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    given = docs.withColumn("no_text", F.col("text").isNull())
-    cut = suffix_dedup.dedupe(given, [*rest, "no_text"])
+    # the other columns travel as one, so their names can't meet the operator's
+    row = F.struct(*rest).alias("row")
+    cut = suffix_dedup.dedupe(docs.select("doc_id", "text", row, F.col("text").isNull().alias("no_text")), ["row", "no_text"])
     text = F.when(~F.col("no_text"), F.col("kept"))
-    cut = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
+    return cut.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

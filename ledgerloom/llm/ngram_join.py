@@ -356,10 +356,12 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, tile: int = TILE
     found = join(docs, n, percent, tile)
     first = found.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("s"))
     first = first.select(F.col("s.doc_id").alias("kept_id"), F.col("s.text_hash").alias("kept_hash"))
-    rows = docs.withColumn("kept_hash", F.xxhash64("text"))
-    with_words = rows.join(first, rows["doc_id"].eqNullSafe(first["kept_id"]) & (rows["kept_hash"] == first["kept_hash"])).select(*[rows[x] for x in rows.columns])
+    given = docs.select(F.struct(*docs.columns).alias("row")).withColumn("doc_id", F.col("row.doc_id")).withColumn("text_hash", F.xxhash64("row.text"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    # rows that repeat whole are kept once
+    with_words = given.join(first, same).groupBy("doc_id", "text_hash").agg(F.first("row").alias("row")).select("row.*")
     blank = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
-    return with_words.dropDuplicates(["doc_id", "kept_hash"]).drop("kept_hash").select(*docs.columns).union(blank)
+    return with_words.union(blank)
 
 
 def _with_ranks(n: int, percent: int, ranks):

@@ -62,6 +62,7 @@ def test_run_gives_the_last_stage(spark, stages):
 
 def test_every_stage_takes_all_cases(spark, tmp_path):
     docs, _ = documents(spark)
+    docs = docs.selectExpr("*", "1 as kept", "'r' as row", "2 as no_text", "3 as text_hash", "4 as toxicity_score_", "5 as carried", "6 as taken")
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         stage(spark, docs, SF).write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
