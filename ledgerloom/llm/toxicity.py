@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-MAX_FIT, MIN_COUNT, MAX_ENTRIES = 24_000, 6, 200_000
+MAX_FIT, MIN_COUNT, MAX_ENTRIES = 8_000, 6, 200_000
 #: Besides the whole text, the ratio is taken over its most toxic window of each of these numbers of words.
 WINDOWS = (1, 8)
 #: Backoff mass of both classes at the unigram and at the bigram level.
