@@ -25,7 +25,7 @@ HEADLINE = [
     "m14_int_pay_bank_matched", "m15_mart_recon_summary", "m16_mart_pos_sap_detail", "m17_mart_pay_bank_detail",
     "m18_mart_exception_log", "m19_mart_root_cause_trend", "m20_dim_store_enriched", "m21_dim_country_enriched",
     "m22_dim_root_cause_enriched", "k12_check_report", "j16_eod_without_ledger", "o01_exception_log_order",
-    "m12_sales_by_store_date_lineitem_ledger",
+    "m12_sales_by_store_date_lineitem_ledger", "d14_recon_match_result", "w07_document_sequence",
 ]
 
 
