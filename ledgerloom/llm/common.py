@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
     path = tempfile.mkdtemp(prefix="llm-shared-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)

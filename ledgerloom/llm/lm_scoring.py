@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,8 @@ REACH, HIDDEN = 2, 16
 ROUNDS, MASK, BATCH, RATE = 2, 6, 4096, 0.05
 #: Shapes of the network's parts, in the order in which they are laid out flat.
 SHAPES = (("T", (2 * REACH, TOKENS + 1, HIDDEN)), ("b", (HIDDEN,)), ("C", (CLASSES, HIDDEN)), ("c", (CLASSES,)), ("M", (CLASSES, MEMBERS, HIDDEN)), ("m", (CLASSES, MEMBERS)))
-PIECE = 4096
+#: Values in a piece of a network that is sent, and pieces averaged by one task.
+PIECE, FAN = 4096, 32
 
 
 def start_network(seed: int = 11) -> dict[str, np.ndarray]:
@@ -186,28 +188,48 @@ def _train(words, net, turn: int):
                         own[k] -= np.float32(RATE) * g / np.sqrt(seen[k])
                     trained += len(pick)
         if trained:
-            values = flat(own)
-            for at in range(0, len(values), PIECE):
-                piece = values[at : at + PIECE].astype(np.float64) * trained
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(at, at + len(piece), dtype=np.int32)), pa.array(piece), pa.array(np.full(len(piece), trained, np.int64))], ["at", "v", "n"]
-                )
+            values, task = flat(own), TaskContext.get().partitionId()
+            pieces = [values[at : at + PIECE] for at in range(0, len(values), PIECE)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(len(pieces)), pa.int32()), pa.array([task] * len(pieces), pa.int32()),
+                    pa.array(pieces, pa.list_(pa.float32())), pa.array([trained] * len(pieces), pa.int64()),
+                ],
+                ["piece", "task", "v", "n"],
+            )
 
     return rows
 
 
+def _mean(part: pa.Table) -> pa.Table:
+    """The mean of up to FAN networks' pieces, weighted by the positions they saw."""
+    part = part.sort_by("task")
+    n = part["n"].to_numpy()
+    v = np.stack(part["v"].to_pylist()).astype(np.float64)
+    mean = (v * n[:, None]).sum(0) / n.sum()
+    return pa.table(
+        {"piece": part["piece"][:1], "task": pa.array([part["task"][0].as_py() // FAN], pa.int32()), "v": pa.array([mean.astype(np.float32)], pa.list_(pa.float32())), "n": pa.array([n.sum()], pa.int64())}
+    )
+
+
 def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(vocabulary, the flat network)."""
     context = docs.sparkSession.sparkContext
     words = vocabulary(docs)
     sent, net = context.broadcast(words), flat(start_network())
+    texts = docs.select("text")
     for turn in range(ROUNDS):
-        trained = docs.select("text").mapInArrow(_train(sent, context.broadcast(net), turn), "at int, v double, n long")
-        # a fixed number of sums, over as many tasks as there are
-        mean = trained.groupBy("at").agg((F.sum("v") / F.sum("n")).alias("v")).toPandas()
-        if len(mean):
-            net = net.copy()
-            net[mean["at"]] = mean["v"].astype(np.float32)
+        schema = "piece int, task int, v array<float>, n long"
+        parts = texts.mapInArrow(_train(sent, context.broadcast(net), turn), schema)
+        tasks = texts.rdd.getNumPartitions()
+        while True:  # FAN networks at a time, piece by piece, until one is left
+            parts = parts.groupBy("piece", F.floor(F.col("task") / FAN).alias("next")).applyInArrow(_mean, schema)
+            tasks = -(-tasks // FAN)
+            if tasks <= 1:
+                break
+        mean = parts.collect()  # one network: a fixed number of values
+        if mean:
+            net = np.concatenate([np.array(r["v"], np.float32) for r in sorted(mean, key=lambda r: r["piece"])])
     return words, net
 
 

@@ -121,7 +121,8 @@ def fit_models(sample: DataFrame) -> dict[str, np.ndarray] | None:
         F.sum("t").alias("lt"), F.sum("n").alias("ln"), F.sum((F.col("t") > 0).cast("long")).alias("kt"), F.sum((F.col("n") > 0).cast("long")).alias("kn")
     )
     often = pairs.where(F.col("t") + F.col("n") >= MIN_COUNT).orderBy(F.desc(F.col("t") + F.col("n")), "gram").limit(MAX_ENTRIES)
-    p = often.join(lefts, "left").where("lt > 0 and ln > 0").toPandas().sort_values("gram", ignore_index=True)
+    # at most MAX_ENTRIES rows; a very common left word is then no hot key
+    p = lefts.join(F.broadcast(often), "left").where("lt > 0 and ln > 0").toPandas().sort_values("gram", ignore_index=True)
     shared = (w["lefts"].to_numpy() + 0.5) / (total[2] + 0.5 * total[5])
     wt, wn = _class_probabilities(w["t"].to_numpy(), w["n"].to_numpy(), total[:2], total[3:5], shared, shared)
     at = np.searchsorted(w["word"].to_numpy(), p["word"].to_numpy()).clip(0, max(len(w) - 1, 0))
