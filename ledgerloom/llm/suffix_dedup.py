@@ -292,8 +292,10 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, ho
 
     # seeds that occur again
     runs = classes.select("cid", F.explode(F.arrays_zip("lo", "hi", "at", "fp")).alias("r")).select("cid", "r.*")
-    again = runs.groupBy("fp").count().where("count > 1").select("fp", (F.col("count") > hot).alias("hot"))
-    hits = runs.join(again, "fp").groupBy("cid").agg(F.collect_list(F.struct("lo", "hi", "at", "fp", "hot")).alias("hits"))
+    # written before the join, and its rows after it: a hot seed's rows can be split between plain exchanges
+    again = stored(runs.groupBy("fp").count().where("count > 1").select("fp", (F.col("count") > hot).alias("hot")), "again")
+    met = stored(runs.join(again, "fp").select("cid", F.struct("lo", "hi", "at", "fp", "hot").alias("hit")), "met")
+    hits = met.groupBy("cid").agg(F.collect_list("hit").alias("hits"))
     hits = hits.join(classes.select("cid", "key", "rep"), "cid")
 
     # their segments, from one text of each class
@@ -340,15 +342,18 @@ def _cut(length: int, keep: bool):
         for batch in batches:
             data, offsets = texts_of(batch)
             copies = batch.column(2).to_numpy(zero_copy_only=False)
-            found = batch.column(3).to_pylist()
+            ranges = batch.column(3)
+            bound = ranges.offsets.to_numpy()
+            first, last = (ranges.values.field(k).to_numpy(zero_copy_only=False) for k in range(2))
             out = []
             for k in range(batch.num_rows):
                 text = data[offsets[k] : offsets[k + 1]]
                 n = len(text)
                 if copies[k] > 1 and n >= length:
                     spans = (np.array([0]), np.array([n]))
-                elif found[k]:
-                    spans = _cover(n, np.array([r["a"] for r in found[k]]), np.array([r["z"] for r in found[k]]) + length)
+                elif bound[k] < bound[k + 1]:
+                    own = slice(bound[k], bound[k + 1])
+                    spans = _cover(n, first[own], last[own] + length)
                 else:
                     spans = (np.zeros(0, int), np.zeros(0, int))
                 raw, at, parts = text.tobytes(), 0, []
