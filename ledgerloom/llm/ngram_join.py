@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, WORD, chunks, filter_bit, hash_filter, in_filter, mix64, sequence_hash, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
+from .common import FOLD, chunks, filter_bit, hash_filter, in_filter, mix64, sequence_hash, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
 from .graph import components
 
 CELLS, TILE = 1 << 17, 2048
@@ -269,7 +269,7 @@ def _run_tiles(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
     return dealt.mapInArrow(_link_tiles(percent, exact), "a long, b long").distinct()
 
 
-def link_groups(rows: DataFrame, percent: int, exact: bool, tile: int) -> DataFrame:
+def link_groups(rows: DataFrame, percent: int, exact: bool, tile: int, any_large: bool) -> DataFrame:
     """(node, root) of the components that links within groups make.
 
     rows: grp, size_of_group, cid, n, and bits or hashes. A group up to ``tile``
@@ -282,9 +282,9 @@ def link_groups(rows: DataFrame, percent: int, exact: bool, tile: int) -> DataFr
     first = rows.select("*", F.col("grp").alias("t1"), F.pmod(F.xxhash64("cid", "grp"), parts).cast("long").alias("t2"), none.alias("label"))
     edges = stored(_run_tiles(first, percent, exact), "links")
     found = components(edges)
-    large = rows.where(F.col("size_of_group") > tile)
-    if large.isEmpty():
+    if not any_large:  # known from the groups' sizes, without another pass over the rows
         return found
+    large = rows.where(F.col("size_of_group") > tile)
     found = stored(found, "components")
     named = large.join(found, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("root", "cid"))
     counts = named.groupBy("grp", "label").count()
@@ -325,7 +325,8 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> Da
     # written, so that the join's two sides come from plain exchanges and a hot n-gram's rows can be split
     shared = stored(shared.select("grp", "size_of_group"), "shared")
     met = entries.drop("n").join(shared, "grp").join(classes.select("cid", "n", "bits"), "cid")
-    tentative = stored(link_groups(met, percent, False, tile), "tentative")
+    large = lambda sizes: not sizes.where(F.col("size_of_group") > tile).isEmpty()
+    tentative = stored(link_groups(met, percent, False, tile, large(shared)), "tentative")
 
     # exact intersection inside the tentative groups
     members = tentative.union(tentative.select("root", "root").distinct()).toDF("cid", "grp")
@@ -336,7 +337,7 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> Da
     theirs = theirs.mapInArrow(_arrays(n, wanted), with_fields(docs.select("doc_id"), "m int, a long, b long, hashes array<long>"))
     same = theirs["doc_id"].eqNullSafe(members["rep"]) & (theirs["a"] == members["k1"]) & (theirs["b"] == members["k2"]) & (theirs["m"] == members["n"])
     arrays = theirs.join(members, same).select("cid", "n", "hashes", "grp", "size_of_group").dropDuplicates(["cid"])
-    found = stored(link_groups(stored(arrays, "arrays"), percent, True, tile), "found")
+    found = stored(link_groups(arrays, percent, True, tile, large(members)), "found")
 
     # the smallest doc_id of each component
     named = classes.join(found, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "cid"))
@@ -353,15 +354,34 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> Da
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with
     the smallest doc_id stays; rows without words all stay."""
-    found = join(docs, n, percent, tile)
-    first = found.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("s"))
-    first = first.select(F.col("s.doc_id").alias("kept_id"), F.col("s.text_hash").alias("kept_hash"))
-    given = docs.select(F.struct(*docs.columns).alias("row")).withColumn("doc_id", F.col("row.doc_id")).withColumn("text_hash", F.xxhash64("row.text"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    found = stored(join(docs, n, percent, tile).select("doc_id", "text_hash", "component"), "components_of_rows")
+    first = found.where("component is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("s"), F.count("*").alias("rows")
+    )
+    # only rows of components of several rows are looked up; all others stay as they are
+    first = stored(first.where("rows > 1").select("component", F.col("s.doc_id").alias("kept_id"), F.col("s.text_hash").alias("kept_hash")), "first")
+    touched = found.join(first.select("component"), "component", "left_semi").select("doc_id", "text_hash")
+    touched = stored(touched.distinct(), "touched")
+    sent = docs.sparkSession.sparkContext.broadcast(hash_filter(touched, "text_hash"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), filter_bit(F.xxhash64("text")).alias("bit"))
+    kind = rows.select("row").schema
+    maybe = rows.mapInArrow(_where_bit(sent, True), kind).withColumn("doc_id", F.col("row.doc_id")).withColumn("text_hash", F.xxhash64("row.text"))
+    others = rows.mapInArrow(_where_bit(sent, False), kind).select("row.*")
+    hit = lambda t, a, b: F.col("doc_id").eqNullSafe(t[a]) & (F.col("text_hash") == t[b])
+    t, k = touched.toDF("touched_id", "touched_hash"), first.drop("component").distinct()
+    apart = maybe.join(t, hit(t, "touched_id", "touched_hash"), "left_anti").select("row.*")
     # rows that repeat whole are kept once
-    with_words = given.join(first, same).groupBy("doc_id", "text_hash").agg(F.first("row").alias("row")).select("row.*")
-    blank = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
-    return with_words.union(blank)
+    kept = maybe.join(k, hit(k, "kept_id", "kept_hash")).groupBy("doc_id", "text_hash").agg(F.first("row").alias("row")).select("row.*")
+    return others.union(apart).union(kept)
+
+
+def _where_bit(bitmap, wanted: bool):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = in_filter(bitmap.value, batch.column(1).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(hit == wanted)).select([0])
+
+    return rows
 
 
 def _with_ranks(n: int, percent: int, ranks):
