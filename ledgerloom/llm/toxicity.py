@@ -207,15 +207,17 @@ def score(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) ->
     if model is None:
         return docs.select(*carry, F.lit(0.0).alias("toxicity_score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    # the text comes first, under a name of its own, whatever other columns are called
-    given = docs.select(F.col("text").alias("text"), F.struct(*carry).alias("carried"))
-    schema = given.select("carried").schema.add("toxicity_score", "double")
+    # one struct, whatever the columns are called; the text crosses once
+    given = docs.select(F.struct(*dict.fromkeys([*carry, "text"])).alias("carried"))
+    schema = docs.select(F.struct(*carry).alias("carried")).schema.add("toxicity_score", "double")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            e = evidence(m, *c.texts_of(batch))
+            whole = batch.column(0)
+            e = evidence(m, *c.texts_of(pa.RecordBatch.from_arrays([whole.field("text")], ["text"])))
             s = 1 / (1 + np.exp(-np.clip(m["link"][0] + e @ m["link"][1:], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(s)], ["carried", "toxicity_score"])
+            kept = pa.StructArray.from_arrays([whole.field(x) for x in carry], names=carry)
+            yield pa.RecordBatch.from_arrays([kept, pa.array(s)], ["carried", "toxicity_score"])
 
     return given.mapInArrow(rows, schema).select("carried.*", "toxicity_score")
