@@ -5,13 +5,17 @@ sums one table row per neighbour and position, and a two-level softmax gives
 the token's class and its place in the class. A document's score is the sum of
 the conditional log-probabilities of all its tokens.
 
-The vocabulary (the most frequent words of all documents; other words share
-hashed buckets) comes from counts over the whole corpus. The network is trained in
+Counts of all words of all documents are kept as a table that grows with the
+input. Its most frequent words are the network's vocabulary; every other word is
+predicted as one of the hashed buckets, and its log-probability within the bucket
+(its count over the counts of all the bucket's words) is added from the table: the
+``HEAD`` most frequent of them are looked up in the tasks, the rest by a join on
+the word's hash. The network is trained in
 numpy inside the tasks, over all documents: in each of ``ROUNDS`` rounds every
 task runs Adagrad on the positions that are masked in this round (one in
 ``MASK``), and the tasks' networks are averaged, weighted by the positions that they
-saw. The network's size is fixed; counts and what is averaged grow with the
-input. A task's result depends only on its rows, so a retried task repeats it.
+saw. The network's size is fixed; the word counts and what is averaged grow with
+the input. A task's result depends only on its rows, so a retried task repeats it.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.
 
@@ -31,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, chunks, mix64, span_hashes, texts_of, with_fields, word_spans
+from .common import FOLD, chunks, mix64, span_hashes, stored, texts_of, with_fields, word_spans
 
 CLASSES, MEMBERS, BUCKETS = 32, 32, 128
 TOKENS = CLASSES * MEMBERS
@@ -39,6 +43,10 @@ REACH, HIDDEN = 2, 16
 ROUNDS, MASK, BATCH, RATE = 2, 6, 4096, 0.05
 #: Shapes of the network's parts, in the order in which they are laid out flat.
 SHAPES = (("T", (2 * REACH, TOKENS + 1, HIDDEN)), ("b", (HIDDEN,)), ("C", (CLASSES, HIDDEN)), ("c", (CLASSES,)), ("M", (CLASSES, MEMBERS, HIDDEN)), ("m", (CLASSES, MEMBERS)))
+#: At most so many words outside the vocabulary are sent to the tasks with their log-probabilities; the others are joined.
+HEAD = 1 << 17
+#: Log-probabilities within buckets are summed as whole multiples of 1 / UNIT, so that the order of rows changes nothing.
+UNIT = 1 << 32
 #: Values in a piece of a network that is sent, and pieces averaged by one task.
 PIECE, FAN = 4096, 32
 
@@ -74,13 +82,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """Hashes of the TOKENS - BUCKETS most frequent words, most frequent first."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of every word of the corpus, by its hash."""
     counts = docs.select("text").mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return stored(counts, "words")
+
+
+def vocabulary(counts: DataFrame) -> np.ndarray:
+    """Hashes of the TOKENS - BUCKETS most frequent words, most frequent first."""
     top = counts.orderBy(F.desc("n"), "word").limit(TOKENS - BUCKETS).toPandas()
     return top["word"].to_numpy(np.int64).view(np.uint64)
 
 
+def bucket_of(hashes: np.ndarray) -> np.ndarray:
+    return (mix64(hashes) % np.uint64(BUCKETS)).astype(np.int64)
+
+
 class _Vocabulary:
     def __init__(self, words: np.ndarray):
         self.order = np.argsort(words)
@@ -88,7 +105,7 @@ class _Vocabulary:
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Buckets first, then words by frequency."""
-        bucket = (mix64(hashes) % np.uint64(BUCKETS)).astype(np.int64)
+        bucket = bucket_of(hashes)
         if not len(self.words):
             return bucket
         at = np.searchsorted(self.words, hashes)
@@ -96,6 +113,34 @@ class _Vocabulary:
         return np.where(self.words[at] == hashes, BUCKETS + self.order[at], bucket)
 
 
+def within_buckets(counts: DataFrame, words: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """log p(word | its bucket) in 1 / UNIT of all words outside the vocabulary:
+    a table (word, lp) of the rarer ones, and hashes, ascending, and values of the HEAD most frequent at most."""
+    sent = counts.sparkSession.sparkContext.broadcast(words)
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = _Vocabulary(sent.value)
+        for batch in batches:
+            ids = vocab.ids(batch.column(0).to_numpy().view(np.uint64))
+            other = ids < BUCKETS
+            yield pa.RecordBatch.from_arrays([*(x.filter(pa.array(other)) for x in batch.columns), pa.array(ids[other].astype(np.int32))], ["word", "n", "bucket"])
+
+    rest = counts.select("word", "n").mapInArrow(others, "word long, n long, bucket int").withColumn("size", F.floor(8 * F.log2("n")).cast("int"))
+    # at most BUCKETS rows for each size of count, eight sizes to a doubling
+    sizes = rest.groupBy("bucket", "size").agg(F.sum("n").alias("n"), F.count("*").alias("words")).toPandas()
+    totals = np.zeros(BUCKETS, np.int64)
+    np.add.at(totals, sizes["bucket"], sizes["n"])
+    per = sizes.groupby("size")["words"].sum().sort_index(ascending=False)
+    fits = per[per.cumsum() <= HEAD]
+    least = int(fits.index[-1]) if len(fits) else np.iinfo(np.int32).max
+    total = F.element_at(F.array(*[F.lit(int(max(n, 1))) for n in totals]), F.col("bucket") + 1)
+    lp = rest.select("word", "size", F.round(F.log(F.col("n") / total) * UNIT).cast("long").alias("lp"))
+    head = lp.where(F.col("size") >= least).select("word", "lp").toPandas()
+    hashes = head["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return lp.where(F.col("size") < least).select("word", "lp"), hashes[order], head["lp"].to_numpy(np.int64)[order]
+
+
 def neighbours(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     """(2 * REACH, tokens): the tokens around each one; TOKENS stands outside a document."""
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -212,10 +257,9 @@ def _mean(part: pa.Table) -> pa.Table:
     )
 
 
-def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(vocabulary, the flat network)."""
+def train(docs: DataFrame, words: np.ndarray) -> np.ndarray:
+    """The flat network."""
     context = docs.sparkSession.sparkContext
-    words = vocabulary(docs)
     sent, net = context.broadcast(words), flat(start_network())
     texts = docs.select("text")
     for turn in range(ROUNDS):
@@ -230,28 +274,48 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         mean = parts.collect()  # one network: a fixed number of values
         if mean:
             net = np.concatenate([np.array(r["v"], np.float32) for r in sorted(mean, key=lambda r: r["piece"])])
-    return words, net
+    return net
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, log_prob, mean_log_prob, perplexity."""
     context = docs.sparkSession.sparkContext
-    words, net = (context.broadcast(x) for x in train(docs))
-    schema = with_fields(docs.select("doc_id"), "n_tokens long, log_prob double")
+    counts = word_counts(docs)
+    top = vocabulary(counts)
+    tail, *head = within_buckets(counts, top)
+    words, net, known = (context.broadcast(x) for x in (top, train(docs, top), head))
+    schema = with_fields(docs.select("doc_id"), "n_tokens long, log_prob double, inside long, others array<long>")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, own = _Vocabulary(words.value), unflat(net.value)
+        vocab, own, (hash_of, lp_of) = _Vocabulary(words.value), unflat(net.value), known.value
         for batch in batches:
             data, offsets = texts_of(batch)
-            count, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            count, total, inside = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            others, per = [], np.zeros(batch.num_rows + 1, np.int64)
             for lo, hi, part, off in chunks(data, offsets):
                 hashes, first = _hashes(part, off)
                 ids = vocab.ids(hashes)
                 run = np.concatenate([[0.0], np.cumsum(log_probabilities(own, ids, neighbours(ids, first)))])
                 count[lo:hi] = np.diff(first)
                 total[lo:hi] = run[first[1:]] - run[first[:-1]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(total)], ["doc_id", "n_tokens", "log_prob"])
-
+                at = np.flatnonzero(ids < BUCKETS)  # words that only share a bucket: their probability inside it
+                spot = np.searchsorted(hash_of, hashes[at])
+                spot[spot == len(hash_of)] = 0
+                found = hash_of[spot] == hashes[at] if len(hash_of) else np.zeros(len(at), bool)
+                lp = np.zeros(len(ids) + 1, np.int64)
+                lp[at[found] + 1] = lp_of[spot[found]]
+                lp = np.cumsum(lp)
+                inside[lo:hi] = lp[first[1:]] - lp[first[:-1]]
+                others.append(hashes[at[~found]].view(np.int64))
+                per[lo + 1 : hi + 1] = np.diff(np.searchsorted(at[~found], first))
+            left = pa.ListArray.from_arrays(pa.array(np.cumsum(per), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *others])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(total), pa.array(inside), left], schema.names)
+
+    scored = docs.select("doc_id", "text").mapInArrow(rows, schema).withColumn("row", F.monotonically_increasing_id())
+    scored = stored(scored, "scored")
+    # a word outside the vocabulary has under 1 / (TOKENS - BUCKETS) of all tokens, and one outside HEAD far less: no key is hot
+    rare = scored.select("row", F.explode("others").alias("word")).join(tail, "word").groupBy("row").agg(F.sum("lp").alias("rare"))
+    total = F.col("log_prob") + (F.col("inside") + F.coalesce("rare", F.lit(0))) / UNIT
+    scored = scored.drop("others").join(rare, "row", "left").select("doc_id", "n_tokens", total.alias("log_prob"))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
-    scored = docs.select("doc_id", "text").mapInArrow(rows, schema)
     return scored.withColumn("mean_log_prob", mean).withColumn("perplexity", F.exp(-F.col("mean_log_prob")))

@@ -56,6 +56,34 @@ def test_training_learns_from_the_neighbours(spark, monkeypatch):
     assert best.mean_log_prob > -1.5  # eight words that follow one another: the neighbours tell which
 
 
+@pytest.mark.parametrize("head", [0, 40, 1 << 17])
+def test_rare_words_have_their_own_probability(spark, monkeypatch, head):
+    """Outside the vocabulary a word's count within its bucket decides, by lookup and by join alike."""
+    common = " ".join(f"top{k}" for k in range(lm_scoring.TOKENS - lm_scoring.BUCKETS))
+    names = [f"rare{k}" for k in range(600)]
+    texts = [" ".join([common] * 40)] + [" ".join([w] * (1 + k % 30)) for k, w in enumerate(names)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(lm_scoring, "HEAD", head)
+    vocab, net = [], []
+    real, learn = lm_scoring.vocabulary, lm_scoring.train
+    monkeypatch.setattr(lm_scoring, "vocabulary", lambda *a: vocab.append(real(*a)) or vocab[0])
+    monkeypatch.setattr(lm_scoring, "train", lambda *a: net.append(learn(*a)) or net[0])
+    got = {r.doc_id: r.log_prob for r in lm_scoring.score(docs).collect()}
+    hashes = lambda t: lm_scoring._hashes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))
+    totals = np.zeros(lm_scoring.BUCKETS)
+    bucket = {k: int(lm_scoring.bucket_of(hashes(w)[0])[0]) for k, w in enumerate(names)}
+    for k, b in bucket.items():
+        totals[b] += 1 + k % 30
+    words, own = lm_scoring._Vocabulary(vocab[0]), lm_scoring.unflat(net[0])
+    for k in range(len(names)):
+        h, first = hashes(texts[k + 1])
+        ids = words.ids(h)
+        assert (ids == bucket[k]).all()
+        n = 1 + k % 30
+        want = lm_scoring.log_probabilities(own, ids, lm_scoring.neighbours(ids, first)).sum() + n * np.log(n / totals[bucket[k]])
+        assert got[k + 1] == pytest.approx(want, abs=1e-4)
+
+
 # --- toxicity
 
 def test_toxicity_learns_only_outside_the_held_out_fold(spark):
