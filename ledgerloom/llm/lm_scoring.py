@@ -11,10 +11,10 @@ predicted as one of the hashed buckets, and its log-probability within the bucke
 (its count over the counts of all the bucket's words) is added from the table: the
 ``HEAD`` most frequent of them are looked up in the tasks, the rest by a join on
 the word's hash. The network is trained in
-numpy inside the tasks, over all documents: in each of ``ROUNDS`` rounds every
-task runs Adagrad on the positions that are masked in this round (one in
-``MASK``), and the tasks' networks are averaged, weighted by the positions that they
-saw. The network's size is fixed; the word counts and what is averaged grow with
+numpy inside the tasks, over all documents: each position is masked in exactly one
+of ``ROUNDS`` rounds, by a hash of its document's id, place and word. In a round every
+task runs Adagrad on the positions that are masked in it, and the tasks' networks
+are averaged, weighted by the positions that they saw. The network's size is fixed; the word counts and what is averaged grow with
 the input. A task's result depends only on its rows, so a retried task repeats it.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.
@@ -40,7 +40,7 @@ from .common import FOLD, chunks, mix64, span_hashes, stored, texts_of, with_fie
 CLASSES, MEMBERS, BUCKETS = 32, 32, 128
 TOKENS = CLASSES * MEMBERS
 REACH, HIDDEN = 2, 16
-ROUNDS, MASK, BATCH, RATE = 2, 6, 4096, 0.05
+ROUNDS, BATCH, RATE = 2, 4096, 0.05
 #: Shapes of the network's parts, in the order in which they are laid out flat.
 SHAPES = (("T", (2 * REACH, TOKENS + 1, HIDDEN)), ("b", (HIDDEN,)), ("C", (CLASSES, HIDDEN)), ("c", (CLASSES,)), ("M", (CLASSES, MEMBERS, HIDDEN)), ("m", (CLASSES, MEMBERS)))
 #: At most so many words outside the vocabulary are sent to the tasks with their log-probabilities; the others are joined.
@@ -204,13 +204,20 @@ def gradient(net: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray) ->
     dz = dh * (1 - h * h)
     g["b"] = dz.sum(0)
     for j in range(2 * REACH):
-        order = np.argsort(around[j], kind="stable")
+        order = np.argsort(around[j].astype(np.int16), kind="stable")  # 16 bits are sorted by radix
         found = around[j][order]
         heads = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
         g["T"][j][found[heads]] = np.add.reduceat(dz[order], heads, axis=0)
     return g
 
 
+def round_of(hashes: np.ndarray, first: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The round in which each position is predicted; ``keys`` tell the documents apart."""
+    own = np.diff(first)
+    place = np.arange(len(hashes)) - np.repeat(first[:-1], own)
+    return (mix64(mix64(np.repeat(keys, own) + place.astype(np.uint64)) + hashes) % np.uint64(ROUNDS)).astype(np.int64)
+
+
 def _train(words, net, turn: int):
     """A task's network after Adagrad on the positions that this round masks, in pieces."""
 
@@ -220,14 +227,14 @@ def _train(words, net, turn: int):
         trained = 0
         for batch in batches:
             data, offsets = texts_of(batch)
-            for _, _, part, off in chunks(data, offsets):
+            keys = batch.column(batch.schema.get_field_index("key")).to_numpy().view(np.uint64)
+            for lo, hi, part, off in chunks(data, offsets):
                 hashes, first = _hashes(part, off)
                 ids = vocab.ids(hashes)
                 around = neighbours(ids, first)
-                place = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
-                masked = np.flatnonzero(mix64(hashes + place.astype(np.uint64)) % np.uint64(MASK) == turn)
-                for lo in range(0, len(masked), BATCH):
-                    pick = masked[lo : lo + BATCH]
+                masked = np.flatnonzero(round_of(hashes, first, keys[lo:hi]) == turn)
+                for at in range(0, len(masked), BATCH):
+                    pick = masked[at : at + BATCH]
                     for k, g in gradient(own, ids[pick], around[:, pick]).items():
                         seen[k] += g * g
                         own[k] -= np.float32(RATE) * g / np.sqrt(seen[k])
@@ -261,7 +268,7 @@ def train(docs: DataFrame, words: np.ndarray) -> np.ndarray:
     """The flat network."""
     context = docs.sparkSession.sparkContext
     sent, net = context.broadcast(words), flat(start_network())
-    texts = docs.select("text")
+    texts = docs.select("text", F.xxhash64("doc_id").alias("key"))
     for turn in range(ROUNDS):
         schema = "piece int, task int, v array<float>, n long"
         parts = texts.mapInArrow(_train(sent, context.broadcast(net), turn), schema)

@@ -56,6 +56,21 @@ def test_training_learns_from_the_neighbours(spark, monkeypatch):
     assert best.mean_log_prob > -1.5  # eight words that follow one another: the neighbours tell which
 
 
+def test_each_position_is_trained_once(spark):
+    docs, rows = documents(spark)
+    context, words = spark.sparkContext, np.zeros(0, np.uint64)
+    sent, net = context.broadcast(words), context.broadcast(lm_scoring.flat(lm_scoring.start_network()))
+    texts = docs.select("text", F.xxhash64("doc_id").alias("key"))
+    trained = [texts.mapInArrow(lm_scoring._train(sent, net, turn), "piece int, task int, v array<float>, n long").where("piece = 0").agg(F.sum("n")).first()[0] for turn in range(lm_scoring.ROUNDS)]
+    assert sum(trained) == sum(len(re.findall(WORD, r[1] or "")) for r in rows) and min(trained) > 0
+
+
+def test_copies_of_a_text_are_masked_apart():
+    hashes = np.tile(np.arange(500, dtype=np.uint64), 2)
+    turn = lm_scoring.round_of(hashes, np.array([0, 500, 1000]), np.array([3, 4], np.uint64))
+    assert set(turn) == set(range(lm_scoring.ROUNDS)) and 100 < (turn[:500] != turn[500:]).sum() < 400
+
+
 @pytest.mark.parametrize("head", [0, 40, 1 << 17])
 def test_rare_words_have_their_own_probability(spark, monkeypatch, head):
     """Outside the vocabulary a word's count within its bucket decides, by lookup and by join alike."""
