@@ -2,7 +2,7 @@
 
 Words and word pairs of every document are hashed into ``BINS`` bins. Two
 multinomials are counted: the trusted target (documents labelled of good
-quality, outside the held-out fold, ``MAX_TRUSTED`` at most) and the raw corpus
+quality, outside the held-out fold, all of them) and the raw corpus
 (all documents). A
 document's ratio is the mean over its n-grams of log(target / raw). A document
 is kept if no base rule fails and its ratio is at least the threshold: the
@@ -35,8 +35,8 @@ BINS = 1 << 16
 #: Added to each bin of both multinomials, times the raw corpus's share of the bin for the target.
 PRIOR = 0.5
 SPREADS = 6.0
-#: The target is counted over about this many trusted documents at most, chosen by id hash.
-MAX_TRUSTED = 16_000
+#: Trusted ids that are sent to the tasks at once; more of them are counted in several passes.
+PART_IDS = 1 << 21
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(x) for x in "#*$%&|<>"]] = True
@@ -53,26 +53,44 @@ def gram_bins(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate([words >> shift, pairs[inside] >> shift]).astype(np.int64), np.concatenate([row, row[:-1][inside]])
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One vector of bin counts per task and kind (0 raw, 1 trusted)."""
-    sums = np.zeros((2, BINS), np.int64)
-    for batch in batches:
-        trusted = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        data, offsets = texts_of(batch)
-        for lo, hi, part, off in chunks(data, offsets):
-            bins, row = gram_bins(part, off)
-            sums[0] += np.bincount(bins, minlength=BINS)
-            mine = trusted[lo:hi][row]
-            if mine.any():
-                sums[1] += np.bincount(bins[mine], minlength=BINS)
-    step = 4096
-    for kind in (0, 1):
-        for at in range(0, BINS, step):
-            if sums[kind, at : at + step].any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(step, kind, np.int32)), pa.array(np.arange(at, at + step, dtype=np.int32)), pa.array(sums[kind, at : at + step])],
-                    ["kind", "bin", "n"],
-                )
+def _trusted(batch: pa.RecordBatch, ids: np.ndarray) -> np.ndarray:
+    """Which rows' keys stand in ``ids`` (ascending)."""
+    keys = batch.column(batch.schema.get_field_index("key"))
+    known = keys.is_valid().to_numpy(zero_copy_only=False)
+    if not len(ids):
+        return np.zeros(len(keys), bool)
+    keys = keys.fill_null(0).to_numpy()
+    at = np.searchsorted(ids, keys)
+    at[at == len(ids)] = 0
+    return known & (ids[at] == keys)
+
+
+def _counts(ids, raw: bool):
+    """One vector of bin counts per task and kind (0 raw, if asked for; 1 trusted)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, BINS), np.int64)
+        for batch in batches:
+            trusted = _trusted(batch, ids.value)
+            if not raw:
+                batch, trusted = batch.filter(pa.array(trusted)), trusted[trusted]
+            data, offsets = texts_of(batch)
+            for lo, hi, part, off in chunks(data, offsets):
+                bins, row = gram_bins(part, off)
+                sums[0] += np.bincount(bins, minlength=BINS)
+                mine = trusted[lo:hi][row]
+                if mine.any():
+                    sums[1] += np.bincount(bins[mine], minlength=BINS)
+        step = 4096
+        for kind in (0, 1) if raw else (1,):
+            for at in range(0, BINS, step):
+                if sums[kind, at : at + step].any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(step, kind, np.int32)), pa.array(np.arange(at, at + step, dtype=np.int32)), pa.array(sums[kind, at : at + step])],
+                        ["kind", "bin", "n"],
+                    )
+
+    return rows
 
 
 def log_ratio(raw: np.ndarray, trusted: np.ndarray) -> np.ndarray:
@@ -128,26 +146,44 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
-    """(log ratio by bin, threshold); both are counted over all documents."""
-    good = labels.where((F.col("quality") == 1) & (fold_of(F.col("doc_id")) != 0)).select(F.col("doc_id").alias("good_id")).distinct()
-    good = stored(good, "good")
-    n = good.count()
-    share = min(1.0, MAX_TRUSTED / n) if n else 1.0
-    good = good.where(F.pmod(F.xxhash64("good_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    marked = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left")
-    marked = marked.select("text", F.col("good_id").isNotNull().alias("trusted"))
-    found = marked.mapInArrow(_counts, "kind int, bin int, n long").groupBy("kind", "bin").agg(F.sum("n").alias("n")).toPandas()
+    """(log ratio by bin, threshold); raw counts cover all documents, target and threshold all trusted ones."""
+    good = labels.where((F.col("quality") == 1) & (fold_of(F.col("doc_id")) != 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    # 64-bit hashes of the ids stand for them; parts are whole hash classes, so a document is trusted in one part only
+    good = stored(good.select(F.xxhash64(F.col("doc_id").cast(docs.schema["doc_id"].dataType)).alias("key")).distinct(), "good")
+    n_parts = max(1, -(-good.count() // PART_IDS))
+    keyed = docs.select("text", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).alias("key"))
+    context = docs.sparkSession.sparkContext
+
+    def trusted_ids(part: int):
+        own = good.where(F.pmod(F.col("key"), F.lit(n_parts)) == part).toPandas()["key"]  # about PART_IDS numbers
+        return context.broadcast(np.sort(own.to_numpy(np.int64)))
+
     sums = np.zeros((2, BINS))
-    sums[found["kind"], found["bin"]] = found["n"]
+    for part in range(n_parts):
+        ids = trusted_ids(part)
+        found = keyed.mapInArrow(_counts(ids, part == 0), "kind int, bin int, n long").groupBy("kind", "bin").agg(F.sum("n").alias("n")).toPandas()
+        sums[found["kind"], found["bin"]] += found["n"]
+        if n_parts > 1:
+            ids.destroy()
     llr = log_ratio(sums[0], sums[1])
-    sent = docs.sparkSession.sparkContext.broadcast(llr)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(ratios(sent.value, *texts_of(batch)))], ["r"])
-
-    seen = marked.where("trusted").select("text").mapInArrow(rows, "r double").agg(F.avg("r"), F.stddev_pop("r")).first()  # two numbers
-    return llr, float(seen[0] - SPREADS * seen[1]) if seen[0] is not None else float("-inf")
+    sent = context.broadcast(llr)
+    n, mean, spread = 0, 0.0, 0.0
+    for part in range(n_parts):
+        ids = trusted_ids(part) if n_parts > 1 else ids
+
+        def rows(batches: Iterator[pa.RecordBatch], ids=ids) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                batch = batch.filter(pa.array(_trusted(batch, ids.value)))
+                yield pa.RecordBatch.from_arrays([pa.array(ratios(sent.value, *texts_of(batch)))], ["r"])
+
+        own = keyed.mapInArrow(rows, "r double").agg(F.count("r"), F.avg("r"), F.var_pop("r")).first()  # three numbers
+        if own[0]:  # moments of both parts together
+            off = own[1] - mean
+            spread += own[2] * own[0] + off * off * n * own[0] / (n + own[0])
+            n += own[0]
+            mean += off * own[0] / n
+        ids.destroy()
+    return llr, float(mean - SPREADS * np.sqrt(spread / n)) if n else float("-inf")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -177,6 +177,28 @@ def test_quality_rules_without_trusted_documents_and_empty(spark):
     assert quality_rules.judge(empty(spark), labels(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("part", [1 << 21, 7_000])
+def test_target_and_threshold_cover_every_trusted_document(spark, monkeypatch, part):
+    monkeypatch.setattr(quality_rules, "PART_IDS", part, raising=False)
+    texts = [f"w{k % 97} w{k % 89} w{k % 7}" for k in range(30_000)]
+    docs = spark.createDataFrame([*enumerate(texts), (5, texts[6]), (None, "w1 w2")], "doc_id long, text string")
+    marks = labels(spark, [(k, int(k % 4 != 0), 0, None) for k in range(30_000)] + [(5, 1, 0, None), (None, 1, 0, None)])
+    good = {r.doc_id for r in marks.where((F.col("quality") == 1) & (toxicity.fold_of(F.col("doc_id")) != 0)).collect()} - {None}
+    assert len(good) > 16_000
+
+    def packed(own):
+        raw = [x.encode() for x in own]
+        return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+    bins = lambda own: np.bincount(quality_rules.gram_bins(*packed(own))[0], minlength=quality_rules.BINS)
+    mine = [texts[k] for k in sorted(good)] + [texts[6]]
+    want = quality_rules.log_ratio(bins([*texts, texts[6], "w1 w2"]), bins(mine))
+    llr, threshold = quality_rules.fit(docs, marks)
+    assert np.allclose(llr, want, atol=1e-12)
+    r = quality_rules.ratios(want, *packed(mine))
+    assert threshold == pytest.approx(r.mean() - quality_rules.SPREADS * r.std(), abs=1e-9)
+
+
 # --- multiple-instance quality
 
 def test_mil_gradient_is_the_slope():
