@@ -7,8 +7,8 @@ and the weighted sum is scored. Only documents have labels; the attention
 learns which passages decide.
 
 Learning reads labels of rows whose crc32(doc_id) mod 5 is not 0, at most
-about ``MAX_FIT`` of them (by id hash), in numpy on the driver; the network has
-a few thousand numbers. Scoring covers every passage of every whole text.
+about ``MAX_FIT`` of them (by id hash), in numpy on the driver, with every passage
+of their texts; the network has a few thousand numbers. Scoring covers every passage of every whole text.
 
 Cases: null or empty text is one passage without words; without labels of both
 kinds every score is the share of good labels (0.5 without any); a doc_id
@@ -30,8 +30,8 @@ from .toxicity import bounded_sample
 
 PASSAGE, MAX_FIT = 64, 16_000
 HIDDEN, GATE, EPOCHS, RATE, BATCH = 24, 12, 12, 3e-3, 256
-#: Training bags hold at most this many passages, evenly spaced; scoring has no such limit.
-FIT_PASSAGES = 64
+#: A training step takes at most BATCH documents, and no more of them once they have this many passages.
+STEP_PASSAGES = 64 * BATCH
 
 CLASSES = np.zeros((256, 8), bool)
 CLASSES[[ord(x) for x in "#*$%&|<>"], 0] = True
@@ -132,6 +132,16 @@ def _gradient(w: dict[str, np.ndarray], x: np.ndarray, at: np.ndarray, y: np.nda
     return {"W": xs.T @ du, "b": du.sum(0), "V": f["h"].T @ dt, "U": f["h"].T @ dg, "a": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ ds, "d": ds.sum()}
 
 
+def _steps(order: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Runs of at most BATCH bags and STEP_PASSAGES passages; a larger bag comes alone."""
+    upto, lo = np.cumsum(sizes[order]), 0
+    while lo < len(order):
+        most = (upto[lo - 1] if lo else 0) + STEP_PASSAGES
+        hi = min(lo + BATCH, max(lo + 1, int(np.searchsorted(upto, most, "right"))))
+        yield order[lo:hi]
+        lo = hi
+
+
 def train(x: np.ndarray, at: np.ndarray, y: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     """Adam on the mean log loss."""
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -146,8 +156,7 @@ def train(x: np.ndarray, at: np.ndarray, y: np.ndarray, seed: int = 7) -> dict[s
     step = 0
     for epoch in range(max(EPOCHS, -(-EPOCHS * 1000 // max(len(y), 1)))):
         order = rng.permutation(len(y))
-        for lo in range(0, len(y), BATCH):
-            bags = order[lo : lo + BATCH]
+        for bags in _steps(order, np.diff(at)):
             rows = np.concatenate([np.arange(at[b], at[b + 1]) for b in bags])
             own = np.concatenate([[0], np.cumsum(at[bags + 1] - at[bags])])
             step += 1
@@ -166,10 +175,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, at = features(part, off)
             flat = []
             for k in range(hi - lo):
-                own = x[at[k] : at[k + 1]]
-                if len(own) > FIT_PASSAGES:
-                    own = own[np.linspace(0, len(own) - 1, FIT_PASSAGES).astype(int)]
-                flat.append(own.astype(np.float32).ravel())
+                flat.append(x[at[k] : at[k + 1]].astype(np.float32).ravel())
             yield pa.RecordBatch.from_arrays([pa.array(flat, pa.list_(pa.float32())), batch.column(1).slice(lo, hi - lo)], ["x", "y"])
 
 

@@ -216,6 +216,17 @@ def test_mil_gradient_is_the_slope():
         assert (ends[0] - ends[1]) / 2e-5 == pytest.approx(g[i], rel=1e-3, abs=1e-9)
 
 
+def test_mil_trains_on_every_passage(monkeypatch):
+    import pyarrow as pa
+    texts = ["word " * 64 * 300, "few words", "more " * 64 * 70]
+    bag = next(quality_mil._bags(iter([pa.RecordBatch.from_arrays([pa.array(texts), pa.array([1, 0, 1], pa.int32())], ["text", "y"])])))
+    assert [len(x) // quality_mil.N_FEATURES for x in bag.column(0).to_pylist()] == [300, 1, 70]
+    monkeypatch.setattr(quality_mil, "STEP_PASSAGES", 10)
+    sizes = np.array([4, 300, 6, 4, 1, 1])
+    got = [list(b) for b in quality_mil._steps(np.array([0, 2, 1, 3, 4, 5]), sizes)]
+    assert got == [[0, 2], [1], [3, 4, 5]]
+
+
 def test_mil_held_out_accuracy(spark):
     got = queries.QUERIES["op9_quality"](spark, SF).toPandas().merge(spark.read.parquet(f"{SF}/labels.parquet").toPandas(), on="doc_id")
     held = got[got.held_out]
