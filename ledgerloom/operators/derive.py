@@ -11,8 +11,8 @@ Scale notes: every derivation is a map, a keyed aggregate or a keyed join.
 Lists the scripts collect per group (references per batch, flags per
 company-day) are replaced by bounded aggregates (counts and booleans), so no
 group is ever materialised whole. Numbering inside a country (statement
-lines, tickets) goes through :func:`sequence_within`, which splits the
-country into day cells.
+lines, tickets) goes through :func:`number_rows`, which writes sorted ranges
+of rows, however many of them one country, day or store has.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from ledgerloom.functions.exprs import (
     MONEY, RATE, FX, first_match, lookup, not_in_nullsafe, pad_num, prior_month_28th,
     is_truthy, yyyy_mm, yyyymmdd,
 )
-from ledgerloom.operators.joins import sequence_within
+from ledgerloom.operators.ranges import number_rows
 
 # --- fixed values of the dataflows ------------------------------------------
 # Flags that keep a transaction out of the ledger (besides a missing doc number)
@@ -300,8 +300,8 @@ def bank_statement_lines(settlement: DataFrame, country: DataFrame) -> DataFrame
                           (flag == "ROUNDING_DIFF", net - F.lit(0.50).cast(MONEY)),
                           (flag == "SHORT_CREDIT", net - F.lit(25).cast(MONEY))], net)
     s = s.withColumn("value_date", F.col("settle_date")).withColumn("amount", amount.cast(MONEY))
-    # merchant_id orders as the settlement id's store part does: cells of one day and store
-    s = sequence_within(s, ["country_code"], ["value_date", "merchant_id"], ["settlement_id"], out_col="__seq")
+    # merchant_id orders as the settlement id's store part does
+    s = number_rows(s, ["country_code"], ["value_date", "merchant_id", "settlement_id"], out_col="__seq")
     return s.select(
         F.concat_ws("-", F.lit("BSL"), "country_code", pad_num(F.col("__seq"), 8)).alias("statement_line_id"),
         "country_code", "bank_code", "bank_account", "currency_code", "value_date", "amount",
@@ -419,14 +419,14 @@ def reference_match_result(eod: DataFrame, documents: DataFrame, lines: DataFram
     allr = _sales_matches(eod, _ledger_by_company_day(documents, lines), cfg).unionByName(
         _payment_matches(settlement, bank, cfg))
     # Tickets for exceptions (sales only from t3 on), numbered per country
-    # across both types before clearing; only ticketed rows are numbered.
-    numbered = sequence_within(allr.filter("__ticketed"), ["country_code"], ["__type_rank", "recon_date", "__store"],
-                               ["__ord", "match_id"], out_col="__tseq")
+    # across both types before clearing; the flag is part of the group, so the
+    # rows are evaluated once and tickets count ticketed rows only.
+    allr = number_rows(allr, ["country_code", "__ticketed"],
+                       ["__type_rank", "recon_date", "__store", "__ord", "match_id"], out_col="__tseq")
     base = (F.substring("sap_company_code", 2, 10).cast("bigint") + 1) * TICKET_BASE
     ticket = F.concat_ws("-", F.lit("INC"), "country_code_iso2", F.year("recon_date").cast("string"),
                          pad_num(base + F.col("__tseq"), 4))
-    allr = numbered.withColumn("it_ticket_ref", ticket).drop("__tseq").unionByName(
-        allr.filter(~F.col("__ticketed")).withColumn("it_ticket_ref", F.lit(None).cast("string")))
+    allr = allr.withColumn("it_ticket_ref", F.when(F.col("__ticketed"), ticket))
     # Old exceptions mostly cleared by hand (85% sales, 80% payments)
     share = F.when(F.col("__type_rank") == 0, F.lit(85)).otherwise(F.lit(80))
     cleared = ((F.col("match_status") == "EXCEPTION") & (F.col("recon_date") < F.lit(CLEARING_CUTOFF).cast("date"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig
 from ledgerloom.operators.derive import _postable, date_spine, holidays
-from ledgerloom.operators.joins import sequence_within
+from ledgerloom.operators.ranges import number_rows
 
 
 def tender_with_country_wildcard(tender: DataFrame, tender_type: DataFrame, cfg: ReconConfig) -> DataFrame:
@@ -58,10 +58,10 @@ def holiday_transactions(stg_header: DataFrame) -> DataFrame:
 
 def document_sequence(header: DataFrame) -> DataFrame:
     """Ledger document numbers, sequential per company in arrival
-    order (day, store, transaction), numbered per day cell so one company
-    never lands in a single window task."""
+    order (day, store, transaction), numbered over sorted ranges so neither a
+    company nor one of its days or stores lands in a single task."""
     p = _postable(header).select("pos_txn_id", "sap_company_code", "business_date", "store_id")
-    s = sequence_within(p, ["sap_company_code"], ["business_date", "store_id"], ["pos_txn_id"], out_col="doc_seq")
+    s = number_rows(p, ["sap_company_code"], ["business_date", "store_id", "pos_txn_id"], out_col="doc_seq")
     base = (F.substring("sap_company_code", 2, 10).cast("bigint") + 1) * F.lit(1_000_000_000)
     return s.select("pos_txn_id", "sap_company_code", "business_date", "doc_seq",
                     (base + F.col("doc_seq")).cast("string").alias("doc_number"))

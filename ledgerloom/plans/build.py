@@ -4,21 +4,27 @@ Layer order: staging (lazy views) → intermediate → marts → dimensions.
 The two intermediate reconciliations are each read by four downstream
 models, so they are written once as tables in the output folder and read
 back (lineage cut, nothing recomputed, and a lost executor only re-runs
-tasks of the current stage). Marts and dimensions are written as tables
-under ``<out>/<layer>/<model>``.
+tasks of the current stage). Every model is published as a new version of
+the table ``<out>/<layer>/<model>`` (see :mod:`ledgerloom.sources.tables`),
+so readers see a whole old or a whole new table; models that don't read one
+another are built at the same time.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig
-from ledgerloom.operators import dims, marts
+from ledgerloom.operators import dims, marts, match
 from ledgerloom.plans.models import Models
 from ledgerloom.sources.io import save_table
 from ledgerloom.sources.raw import stored_raw
+from ledgerloom.sources.tables import current_version, publish
 
 LAYERS = {
     "intermediate": ["int_sap_sales_by_store_date", "int_pos_sap_matched", "int_pay_bank_matched"],
@@ -28,39 +34,76 @@ LAYERS = {
                    "dim_tender_type_enriched"],
 }
 
+#: Models whose rows are kept in order (O01-O03), with ties broken by their own columns.
+ORDERS = {
+    "mart_exception_log": [F.desc("recon_date"), F.desc("abs_variance"), "match_id"],
+    "mart_root_cause_trend": ["country_code", "recon_year", "recon_month", F.desc("exception_count"),
+                              "recon_type", "period_key", "root_cause_code"],
+    "dim_root_cause_enriched": ["pareto_rank", "root_cause_code"],
+}
+
 
 def run_models(spark: SparkSession, sf_dir: str, out_root: str, cfg: ReconConfig | None = None,
-               timings: dict | None = None) -> dict[str, str]:
+               timings: dict | None = None, parallel: int = 4) -> dict[str, str]:
+    """Build and publish every model; returns ``name -> folder of its version``.
+
+    A model starts as soon as the tables it reads are published, up to
+    ``parallel`` at a time; with the FAIR scheduler each has a pool of its own.
+    When one fails, those that read it are not built, and the error is raised
+    after the others have ended; every table keeps its last complete version.
+    """
     cfg = cfg or ReconConfig()
     m = Models(stored_raw(spark, sf_dir, cfg), cfg)
-    paths: dict[str, str] = {}
-
-    def write(layer: str, name: str, df: DataFrame) -> DataFrame:
+    for name in ("recon_match_result", "dim_country", "dim_store", "dim_root_cause", "dim_tender_type"):
+        m.raw.get(name)  # loaded here, not by several models at once
+    read = spark.read.parquet
+    # name -> (layer, tables it reads, its plan over them)
+    steps = {
+        "int_sap_sales_by_store_date": ("intermediate", [], lambda: m.int_sap_sales_by_store_date),
+        "int_pay_bank_matched": ("intermediate", [], lambda: m.int_pay_bank_matched),
+        "dim_tender_type_enriched": ("dimensions", [], lambda: dims.dim_tender_type_enriched(m.stg_dim_tender_type)),
+        "int_pos_sap_matched": ("intermediate", ["int_sap_sales_by_store_date"], lambda sales: match.int_pos_sap_matched(
+            m.stg_pos_eod_summary, sales, m.stg_dim_country, cfg)),
+        "mart_pay_bank_detail": ("marts", ["int_pay_bank_matched"], lambda pay: marts.mart_pay_bank_detail(
+            pay, m.stg_dim_country, m.stg_dim_root_cause, cfg)),
+        "mart_recon_summary": ("marts", ["int_pos_sap_matched", "int_pay_bank_matched"], lambda pos, pay: marts.mart_recon_summary(
+            pos, pay, m.stg_dim_store, cfg)),
+        "mart_pos_sap_detail": ("marts", ["int_pos_sap_matched"], lambda pos: marts.mart_pos_sap_detail(
+            pos, m.stg_dim_store, m.stg_dim_country, m.stg_dim_root_cause, cfg)),
+        "mart_exception_log": ("marts", ["int_pos_sap_matched", "int_pay_bank_matched"], lambda pos, pay: marts.mart_exception_log(
+            pos, pay, m.stg_dim_store, m.stg_dim_root_cause, m.raw.get("recon_match_result"), cfg, ordered=False)),
+        "mart_root_cause_trend": ("marts", ["int_pos_sap_matched", "int_pay_bank_matched"], lambda pos, pay: marts.mart_root_cause_trend(
+            pos, pay, m.stg_dim_root_cause, cfg, ordered=False)),
+        "dim_store_enriched": ("dimensions", ["mart_recon_summary"], lambda s: dims.dim_store_enriched(m.stg_dim_store, s, cfg)),
+        "dim_country_enriched": ("dimensions", ["mart_recon_summary"], lambda s: dims.dim_country_enriched(m.stg_dim_country, s, cfg)),
+        "dim_root_cause_enriched": ("dimensions", ["mart_root_cause_trend"], lambda t: dims.dim_root_cause_enriched(
+            m.stg_dim_root_cause, t, cfg, ordered=False)),
+    }
+    running: dict[str, Future] = {}
+
+    def build(name: str) -> str:
+        layer, reads, plan = steps[name]
+        inputs = [read(running[r].result()) for r in reads]
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         t = time.time()
-        paths[name] = save_table(df, out_root, layer, name)
+        path = publish(plan(*inputs), out_root, layer, name, ORDERS.get(name))
         if timings is not None:
             timings[name] = time.time() - t
-        return spark.read.parquet(paths[name])
-
-    write("intermediate", "int_sap_sales_by_store_date", m.int_sap_sales_by_store_date)
-    pos_sap = write("intermediate", "int_pos_sap_matched", m.int_pos_sap_matched)
-    pay_bank = write("intermediate", "int_pay_bank_matched", m.int_pay_bank_matched)
-    summary = write("marts", "mart_recon_summary",
-                    marts.mart_recon_summary(pos_sap, pay_bank, m.stg_dim_store, cfg))
-    write("marts", "mart_pos_sap_detail",
-          marts.mart_pos_sap_detail(pos_sap, m.stg_dim_store, m.stg_dim_country, m.stg_dim_root_cause, cfg))
-    write("marts", "mart_pay_bank_detail",
-          marts.mart_pay_bank_detail(pay_bank, m.stg_dim_country, m.stg_dim_root_cause, cfg))
-    write("marts", "mart_exception_log",
-          marts.mart_exception_log(pos_sap, pay_bank, m.stg_dim_store, m.stg_dim_root_cause,
-                                   m.raw.get("recon_match_result"), cfg, ordered=False))
-    trend = write("marts", "mart_root_cause_trend",
-                  marts.mart_root_cause_trend(pos_sap, pay_bank, m.stg_dim_root_cause, cfg, ordered=False))
-    write("dimensions", "dim_store_enriched", dims.dim_store_enriched(m.stg_dim_store, summary, cfg))
-    write("dimensions", "dim_country_enriched", dims.dim_country_enriched(m.stg_dim_country, summary, cfg))
-    write("dimensions", "dim_root_cause_enriched", dims.dim_root_cause_enriched(m.stg_dim_root_cause, trend, cfg, ordered=False))
-    write("dimensions", "dim_tender_type_enriched", dims.dim_tender_type_enriched(m.stg_dim_tender_type))
-    return paths
+        return path
+
+    # steps stand in dependency order, so a model waits only for ones submitted before it
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        running.update((name, Future()) for name in steps)
+        for name in steps:
+            pool.submit(_settle, running[name], build, name)
+    return {name: running[name].result() for name in steps}
+
+
+def _settle(future: Future, work: Callable[[str], str], name: str) -> None:
+    try:
+        future.set_result(work(name))
+    except BaseException as error:  # noqa: BLE001 - handed to whoever waits
+        future.set_exception(error)
 
 
 _BUILT: dict[tuple, dict[str, str]] = {}
@@ -73,19 +116,21 @@ def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = Non
     the stored raw tables. Returns ``name -> DataFrame``."""
     import hashlib
 
-    from ledgerloom.session import ensure_checkpoint_dir, path_exists, session_key
+    from ledgerloom.session import ensure_checkpoint_dir, session_key
     from ledgerloom.sources.raw import _code_digest, store_root
     cfg = cfg or ReconConfig()
-    key = (session_key(spark), sf_dir.rstrip("/"), cfg)
+    ensure_checkpoint_dir(spark)
+    root = store_root(spark, sf_dir.rstrip("/"), cfg)  # names the input files: rewritten inputs are built anew
+    key = (session_key(spark), root, cfg)
     if key not in _BUILT:
-        ensure_checkpoint_dir(spark)
         code = _code_digest(("operators/staging.py", "operators/match.py", "operators/marts.py",
-                             "operators/dims.py", "plans/models.py", "plans/build.py"))
+                             "operators/dims.py", "operators/joins.py", "plans/models.py", "plans/build.py",
+                             "sources/tables.py"))
         opts = hashlib.sha1((repr(cfg) + code).encode()).hexdigest()[:12]
-        out = store_root(spark, sf_dir.rstrip("/"), cfg) + f"-models-{opts}"
-        expected = {n: f"{out}/{layer}/{n}" for layer, names in LAYERS.items() for n in names}
-        if all(path_exists(spark, f"{p}/_SUCCESS") for p in expected.values()):
-            _BUILT[key] = expected          # built by an earlier session with the same code
+        out = f"{root}-models-{opts}"
+        built = {n: current_version(spark, out, layer, n) for layer, names in LAYERS.items() for n in names}
+        if all(built.values()):
+            _BUILT[key] = built             # built by an earlier session with the same code
         else:
             _BUILT[key] = run_models(spark, sf_dir, out, cfg)
     paths = _BUILT[key]

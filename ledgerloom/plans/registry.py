@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig, with_all_fixes
-from ledgerloom.operators import checks, derive, lookups, marts, profile
-from ledgerloom.operators.joins import sequence_within
+from ledgerloom.operators import checks, derive, dims, lookups, marts, profile
+from ledgerloom.operators.ranges import read_sorted, save_sorted, work_folder
 from ledgerloom.plans import oracle, scalar_queries
+from ledgerloom.plans.build import ORDERS, built_models
 from ledgerloom.plans.models import MODEL_NAMES, Models
 from ledgerloom.session import session_key
-from ledgerloom.sources.raw import RawTables, stored_raw
+from ledgerloom.sources.raw import BUILDERS, RawTables, stored_raw
 from ledgerloom.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
 CFG = ReconConfig()
@@ -28,9 +29,10 @@ _MODELS: dict[tuple, Models] = {}
 
 
 def models(spark: SparkSession, sf_dir: str, cfg: ReconConfig = CFG) -> Models:
-    key = (session_key(spark), sf_dir.rstrip("/"), cfg)
+    raw = stored_raw(spark, sf_dir, cfg)
+    key = (session_key(spark), raw.root, cfg)  # the root names the input files: rewritten ones are loaded anew
     if key not in _MODELS:
-        _MODELS[key] = Models(stored_raw(spark, sf_dir, cfg), cfg)
+        _MODELS[key] = Models(raw, cfg)
     return _MODELS[key]
 
 
@@ -82,8 +84,11 @@ RAW_DERIVED = {
     "d09_sap_fi_lineitem": "sap_fi_lineitem", "d10_bank_card_settlement": "bank_card_settlement",
     "d13_bank_statement_line": "bank_statement_line", "d14_recon_match_result": "recon_match_result",
 }
+#: Derived from the loaded tables they read, as the reference's scripts do, not from orders again.
+FROM_STORED = ("bank_statement_line", "recon_match_result")
 for qname, table in RAW_DERIVED.items():
-    reg(qname, (lambda t: lambda s, d: lazy(s, d).get(t))(table), oracle.select_all(f"raw_{table}"))
+    reg(qname, (lambda t: lambda s, d: BUILDERS[t](stored_raw(s, d, CFG)) if t in FROM_STORED else lazy(s, d).get(t))(table),
+        oracle.select_all(f"raw_{table}"))
 
 reg("d01_date_spine",
     lambda s, d: derive.date_spine(lazy(s, d).get("pos_transaction_header"), ["country_code"]),
@@ -143,24 +148,46 @@ reg("u03_trend_rows",
     oracle.select_all("trend_rows"))
 
 
-def exception_log_order(m: Models) -> DataFrame:
-    """O01 made testable: the exception log's display order as a rank
-    (recon_date desc, |variance| desc; match_id breaks ties). Numbered per
-    day cell, so no single task ranks the whole log."""
-    log = marts.mart_exception_log(m.int_pos_sap_matched, m.int_pay_bank_matched, m.stg_dim_store,
-                                   m.stg_dim_root_cause, m.raw.get("recon_match_result"), CFG, ordered=False)
-    log = log.select("match_id", "recon_date", "abs_variance",
-                     (-F.datediff("recon_date", F.lit("1970-01-01").cast("date"))).alias("__neg_day"))
-    ranked = sequence_within(log, [], ["__neg_day"], [F.col("abs_variance").desc(), F.col("match_id")],
-                             out_col="display_rank")
-    return ranked.drop("__neg_day")
+def positions(df: DataFrame, order: list, columns: list[str]) -> DataFrame:
+    """O01-O05 made testable: the table is saved in its order, and each row's
+    place is read off the saved files (:func:`save_sorted`)."""
+    path = save_sorted(df.select(*columns), work_folder(df.sparkSession), order)
+    return read_sorted(df.sparkSession, path)
 
 
-reg("o01_exception_log_order", lambda s, d: exception_log_order(models(s, d)), oracle.with_ctes("""
+def exception_log(m: Models) -> DataFrame:
+    return marts.mart_exception_log(m.int_pos_sap_matched, m.int_pay_bank_matched, m.stg_dim_store,
+                                    m.stg_dim_root_cause, m.raw.get("recon_match_result"), CFG, ordered=False)
+
+
+def root_cause_trend(m: Models) -> DataFrame:
+    return marts.mart_root_cause_trend(m.int_pos_sap_matched, m.int_pay_bank_matched, m.stg_dim_root_cause, CFG, ordered=False)
+
+
+reg("o01_exception_log_order",
+    lambda s, d: positions(exception_log(models(s, d)), ORDERS["mart_exception_log"], ["match_id", "recon_date", "abs_variance"])
+    .withColumnRenamed("position", "display_rank"), oracle.with_ctes("""
 SELECT match_id, recon_date, abs_variance,
        row_number() OVER (ORDER BY recon_date DESC, abs_variance DESC, match_id) AS display_rank
 FROM mart_exception_log"""))
 
+reg("o02_root_cause_trend_order",
+    lambda s, d: positions(root_cause_trend(models(s, d)), ORDERS["mart_root_cause_trend"],
+                           ["country_code", "recon_type", "period_key", "recon_year", "recon_month", "root_cause_code", "exception_count"]),
+    oracle.with_ctes("""
+SELECT country_code, recon_type, period_key, recon_year, recon_month, root_cause_code, exception_count,
+       row_number() OVER (ORDER BY country_code, recon_year, recon_month, exception_count DESC, recon_type, period_key,
+                                   root_cause_code) AS position
+FROM mart_root_cause_trend"""))
+
+reg("o03_root_cause_order",
+    lambda s, d: positions(dims.dim_root_cause_enriched(models(s, d).stg_dim_root_cause, root_cause_trend(models(s, d)), CFG, ordered=False),
+                           ORDERS["dim_root_cause_enriched"], ["root_cause_code", "total_exceptions_6m", "pareto_rank"]),
+    oracle.with_ctes("""
+SELECT root_cause_code, total_exceptions_6m, pareto_rank,
+       row_number() OVER (ORDER BY total_exceptions_6m DESC, root_cause_code) AS position
+FROM dim_root_cause_enriched"""))
+
 # ---------------------------------------------------------------- scalar functions
 reg("f_dates", lambda s, d: scalar_queries.f_dates(models(s, d).stg_pos_eod_summary, CFG),
     oracle.with_ctes(scalar_queries.F_DATES_SQL))
@@ -175,22 +202,28 @@ reg("f_casts", lambda s, d: scalar_queries.f_casts(models(s, d).stg_bank_card_se
 reg("a13_a18_maker_checker_spot_check",
     lambda s, d: profile.maker_checker_spot_check(models(s, d).raw.get("recon_match_result")),
     oracle.with_ctes("""
-SELECT count(*) AS total_exceptions, count(*) FILTER (same) AS same_person_violations, count(*) FILTER (NOT same) AS correctly_segregated
-FROM (SELECT preparer_id IS NOT NULL AND preparer_id IS NOT DISTINCT FROM reviewer_id AS same
-      FROM raw_recon_match_result WHERE match_status = 'EXCEPTION')"""))
+SELECT count(*) AS total_exceptions,
+       count(CASE WHEN preparer_id = reviewer_id THEN 1 END) AS same_person_violations,
+       count(CASE WHEN preparer_id <> reviewer_id OR reviewer_id IS NULL THEN 1 END) AS correctly_segregated
+FROM raw_recon_match_result WHERE match_status = 'EXCEPTION'"""))
 
 reg("a14_variance_distribution",
     lambda s, d: profile.variance_distribution(models(s, d).raw.get("recon_match_result")),
     oracle.with_ctes(f"""
-SELECT * REPLACE (round(avg_abs_variance, 2)::DECIMAL(18,2) AS avg_abs_variance)
-FROM (SELECT country_code, match_type, count(*) AS count, {oracle.oracle_models.avg6('distance')} AS avg_abs_variance,
-             max(distance)::DECIMAL(18,2) AS max_abs_variance
-      FROM (SELECT *, greatest(variance_pos_sap, -variance_pos_sap) AS distance FROM raw_recon_match_result)
-      WHERE recon_type = 'POS_SAP' GROUP BY ALL)"""))
+SELECT country_code, match_type, count(*) AS count,
+       CAST(round({oracle.oracle_models.avg6('abs(variance_pos_sap)')}, 2) AS DECIMAL(18,2)) AS avg_abs_variance,
+       CAST(max(abs(variance_pos_sap)) AS DECIMAL(18,2)) AS max_abs_variance
+FROM raw_recon_match_result WHERE recon_type = 'POS_SAP' GROUP BY country_code, match_type"""))
 
 reg("a15_country_mix", lambda s, d: profile.country_mix(models(s, d).raw.get("pos_transaction_header")),
     oracle.with_ctes("""SELECT country_code, count(*) AS txn_count FROM raw_pos_transaction_header GROUP BY 1"""))
 
+reg("o05_break_histogram_order",
+    lambda s, d: positions(profile.break_histogram(models(s, d).raw.get("pos_transaction_header")),
+                           [F.desc("cnt"), "_dq_flag"], ["_dq_flag", "cnt"]),
+    oracle.with_ctes("""SELECT _dq_flag, cnt, row_number() OVER (ORDER BY cnt DESC, _dq_flag) AS position
+FROM (SELECT _dq_flag, count(*) AS cnt FROM raw_pos_transaction_header WHERE _dq_flag <> 'CLEAN' GROUP BY 1) x"""))
+
 reg("a16_break_histogram", lambda s, d: profile.break_histogram(models(s, d).raw.get("pos_transaction_header")),
     oracle.with_ctes("""SELECT _dq_flag, count(*) AS cnt FROM raw_pos_transaction_header
 WHERE _dq_flag <> 'CLEAN' GROUP BY 1"""))
@@ -251,7 +284,6 @@ def _check_sql(c: checks.Check) -> str:
 
 def check_report(s: SparkSession, d: str, kinds: tuple[str, ...] | None = None, severity: str | None = None):
     """Declared checks over the built models (the ``dbt test`` after a run)."""
-    from ledgerloom.plans.build import built_models
     cks = [c for c in checks.catalogue(CFG) if (kinds is None or c.kind in kinds)
            and (severity is None or c.severity == severity)]
     return checks.run_checks(cks, built_models(s, d, CFG), attached=set(MODEL_NAMES))
@@ -286,8 +318,8 @@ reg("k02_lineitem_duplicate_keys",
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""")
 
 reg("k06_sox_maker_checker", lambda s, d: checks.sox_maker_checker(models(s, d).raw.get("recon_match_result")),
-    oracle.with_ctes("""FROM raw_recon_match_result SELECT match_id, preparer_id, reviewer_id, recon_date, country_code
-WHERE nullif(preparer_id, '') IN (reviewer_id)"""))
+    oracle.with_ctes("""SELECT match_id, preparer_id, reviewer_id, recon_date, country_code
+FROM raw_recon_match_result WHERE preparer_id = reviewer_id"""))
 
 reg("k07_no_future_dated_transactions",
     lambda s, d: checks.no_future_dated_transactions(models(s, d).stg_pos_transaction_header, CFG),
@@ -297,15 +329,15 @@ FROM stg_pos_transaction_header WHERE business_date > DATE '2001-12-31'"""))
 reg("k08_variance_within_bounds",
     lambda s, d: checks.variance_within_bounds(models(s, d).int_pos_sap_matched, models(s, d).stg_dim_country, CFG),
     oracle.with_ctes("""SELECT match_id, country_code, match_type, variance_pos_sap, threshold_applied, variance_threshold_t3
-FROM (FROM int_pos_sap_matched WHERE match_type = 'ESCALATE') JOIN stg_dim_country USING (country_code)
-WHERE variance_pos_sap BETWEEN -variance_threshold_t3 AND variance_threshold_t3"""))
+FROM int_pos_sap_matched JOIN stg_dim_country USING (country_code)
+WHERE match_type = 'ESCALATE' AND abs(variance_pos_sap) <= variance_threshold_t3"""))
 
 reg("k09_post_staging_checks",
     lambda s, d: checks.singular_report(models(s, d), models(s, d).raw, CFG, checks.select_singular(tag="post_staging")),
     oracle.with_ctes("""SELECT 'test_variance_within_bounds' AS check_id, 'intermediate,post_staging' AS tags,
        count(*) AS failures, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'ERROR' END AS status
-FROM (FROM int_pos_sap_matched WHERE match_type = 'ESCALATE') JOIN stg_dim_country USING (country_code)
-WHERE variance_pos_sap BETWEEN -variance_threshold_t3 AND variance_threshold_t3"""))
+FROM int_pos_sap_matched JOIN stg_dim_country USING (country_code)
+WHERE match_type = 'ESCALATE' AND abs(variance_pos_sap) <= variance_threshold_t3"""))
 
 
 def declared_key_report(s: SparkSession, d: str) -> DataFrame:

@@ -22,7 +22,7 @@ from ledgerloom.operators import derive
 from ledgerloom.sources import binding
 from ledgerloom.sources.reference_dims import dim_bank, dim_root_cause, dim_tax_code
 
-BINDING_VERSION = "2"
+BINDING_VERSION = "3"
 INPUTS = ("orders", "customer", "nation", "region", "lineitem")
 
 # name -> builder(raw) over other tables of the same RawTables
@@ -105,7 +105,7 @@ def _code_digest(extra: tuple[str, ...] = ()) -> str:
     root = os.path.dirname(here)
     files = [os.path.join(here, "binding.py"), os.path.join(here, "reference_dims.py"),
              os.path.join(here, "raw.py"), os.path.join(here, "..", "operators", "derive.py"),
-             os.path.join(here, "..", "operators", "joins.py"), os.path.join(here, "..", "functions", "exprs.py")]
+             os.path.join(here, "..", "operators", "ranges.py"), os.path.join(here, "..", "functions", "exprs.py")]
     files += [os.path.join(root, f) for f in extra]
     h = hashlib.sha1()
     for f in files:

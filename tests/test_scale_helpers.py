@@ -3,29 +3,30 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import left_join_split, sequence_within
+from ledgerloom.operators.joins import left_join_split
+from ledgerloom.operators.ranges import number_rows
 
 
-def test_sequence_within_equals_row_number(spark):
+def test_number_rows_equals_row_number(spark):
     # one hot group holding most rows, NULL partition key, several day cells
     rows = [("HOT" if i % 4 else ("COLD" if i % 8 else None), i % 13, f"k{i:04d}") for i in range(600)]
     df = spark.createDataFrame(rows, "g string, day int, k string")
-    got = {(r.g, r.k): r.seq for r in sequence_within(df, ["g"], ["day"], ["k"]).collect()}
+    got = {(r.g, r.k): r.seq for r in number_rows(df, ["g"], ["day", "k"]).collect()}
     ref = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("day", "k")))
     assert got == {(r.g, r.k): r.seq for r in ref.collect()}
 
 
-def test_sequence_within_global(spark):
+def test_number_rows_global(spark):
     df = spark.createDataFrame([(i % 5, i) for i in range(50)], "day int, v int")
-    got = sorted((r.day, r.v, r.seq) for r in sequence_within(df, [], ["day"], ["v"]).collect())
+    got = sorted((r.day, r.v, r.seq) for r in number_rows(df, [], ["day", "v"]).collect())
     assert [s for _, _, s in got] == list(range(1, 51))
 
 
-def test_sequence_within_named_cells(spark):
+def test_number_rows_named_cells(spark):
     # one hot day: a second named column splits it into cells
     rows = [("C", 1 if i % 10 else 2, chr(65 + i % 7), f"{chr(65 + i % 7)}-{i:05d}") for i in range(700)]
     df = spark.createDataFrame(rows, "g string, day int, store string, k string")
-    got = {r.k: r.seq for r in sequence_within(df, ["g"], ["day", "store"], ["k"]).collect()}
+    got = {r.k: r.seq for r in number_rows(df, ["g"], ["day", "store", "k"]).collect()}
     ref = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("day", "k")))
     assert got == {r.k: r.seq for r in ref.collect()}
 
