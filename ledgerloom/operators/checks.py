@@ -4,10 +4,9 @@ A check is a query for violating rows; zero rows passes. Generic checks
 (not_null, unique, accepted_values, relationships) are declared per model
 column in :data:`CATALOGUE`; singular checks are functions returning the
 violating rows. :func:`run_checks` evaluates many checks with one aggregate
-pass per model for the row-wise kinds (count_if per check), one grouped
-count per unique check and one anti join per relationship, and returns one
-result table (K12): check id, model, column, kind, severity, tags, failures,
-status.
+pass for the row-wise kinds and one for all keys (unique and relationships),
+and returns one result table (K12): check id, model, column, kind, severity,
+tags, failures, status.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.config import ReconConfig
 
@@ -191,8 +191,6 @@ def relationship_violations(child: DataFrame, cols: list[str], parent: DataFrame
     return child.filter(nn).join(keys, cond, "left_anti")
 
 
-
-
 def _status(failures: Column, severity: Column) -> Column:
     return (F.when(failures == 0, F.lit("PASS"))
              .when(severity == "warn", F.lit("WARN")).otherwise(F.lit("ERROR")))
@@ -202,24 +200,58 @@ RESULT_SCHEMA = ("check_id string, model string, column_name string, kind string
                  "tags string, failures bigint, status string")
 
 
-def unique_failures(df: DataFrame, cks: list[Check]) -> DataFrame:
-    """Repeated non-NULL keys per unique check of one model, as (idx, n)
-    rows, with ``idx`` the check's position in ``cks``."""
-    return _unique_counts([(df, [(i, c) for i, c in enumerate(cks)])])
-
-
-def _unique_counts(per_model: list[tuple[DataFrame, list[tuple[int, Check]]]]) -> DataFrame:
-    """All unique checks of all models in one shuffle: each row emits one
-    (check, key) pair per check, a grouped count finds repeated keys, and a
-    second (small) aggregate counts them per check."""
+@dataclass(frozen=True)
+class KeyUse:
+    """Columns of a table that take part in key check ``idx``: as its ``unique``
+    key, as the ``child`` columns of a relationship or as their ``parent``."""
+    idx: int
+    columns: tuple[str, ...]
+    role: str
+
+
+def key_failures(tables: list[tuple[DataFrame, list[KeyUse]]]) -> DataFrame:
+    """All unique and relationship checks in one shuffle, as (idx, n) rows.
+
+    Every table is scanned once, whatever its parts in the checks: each row
+    emits (check, key, in the parent?) for every use of its columns whose key
+    has no NULL. Grouped by check and key, a unique key that occurs more than
+    once counts one violation, and a child key without a parent row counts all
+    its child rows; the counts are combined before the exchange, so a hot key
+    is one row a task. Keys keep their types: the uses of one key type form one
+    stream of the union, in which the other types' columns are empty.
+    """
+    types: dict[tuple, str] = {}
     streams = []
-    for df, cks in per_model:
-        pairs = F.array(*[F.struct(F.lit(i).alias("idx"), F.col(c.column).cast("string").alias("kv"))
-                          for i, c in cks])
-        streams.append(df.select(F.explode(pairs).alias("p")).select("p.idx", "p.kv"))
-    keyed = reduce(DataFrame.unionByName, streams).filter(F.col("kv").isNotNull())
-    dup = keyed.groupBy("idx", "kv").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return dup.groupBy("idx").agg(F.count(F.lit(1)).alias("n"))
+    for df, uses in tables:
+        by_type: dict[tuple, list[KeyUse]] = {}
+        for use in uses:
+            by_type.setdefault(tuple(df.schema[c].dataType for c in use.columns), []).append(use)
+        for kind in by_type:
+            types.setdefault(_common(kind), f"k{len(types)}")
+        entries = []
+        for kind, alike in by_type.items():
+            for use in alike:
+                whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in use.columns])
+                key = F.struct(*[F.col(c).cast(t).alias(f"c{i}") for i, (c, t) in enumerate(zip(use.columns, _common(kind)))])
+                entries.append((whole, use, key, types[_common(kind)]))
+        streams.append((df, entries))
+    kinds = {name: T.StructType([T.StructField(f"c{i}", t) for i, t in enumerate(kind)]) for kind, name in types.items()}
+    rows = []
+    for df, entries in streams:
+        made = [F.when(whole, F.struct(F.lit(use.idx).alias("idx"), F.lit(use.role == "unique").alias("alone"),
+                                       F.lit(use.role == "parent").alias("known"),
+                                       *[(key if name == own else F.lit(None).cast(t)).alias(name) for name, t in kinds.items()]))
+                for whole, use, key, own in entries]
+        rows.append(df.select(F.explode(F.filter(F.array(*made), lambda e: e.isNotNull())).alias("e")).select("e.*"))
+    grouped = reduce(DataFrame.unionByName, rows).groupBy("idx", "alone", *kinds).agg(
+        F.max("known").alias("known"), F.sum(F.when(F.col("known"), F.lit(0)).otherwise(F.lit(1))).alias("n"))
+    wrong = grouped.where(F.when(F.col("alone"), F.col("n") > 1).otherwise(~F.col("known")))
+    return wrong.groupBy("idx").agg(F.sum(F.when(F.col("alone"), F.lit(1)).otherwise(F.col("n"))).cast("bigint").alias("n"))
+
+
+def _common(kind: tuple) -> tuple:
+    """Key types that meet: whole numbers of any width are compared as bigint."""
+    return tuple(T.LongType() if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)) else t for t in kind)
 
 
 def _rowwise_counts(per_model: list[tuple[DataFrame, list[tuple[int, Check]]]]) -> DataFrame:
@@ -238,10 +270,10 @@ def _rowwise_counts(per_model: list[tuple[DataFrame, list[tuple[int, Check]]]])
 def run_checks(checks: list[Check], model_df, attached: set[str] | None = None) -> DataFrame:
     """Evaluate ``checks`` and return the K12 result table.
 
-    The whole suite is a handful of shuffles, whatever the number of models:
-    one for every not_null / accepted_values check (each model scanned once),
-    two for every unique check (each model scanned once more), and one anti
-    join per relationship. Models are best given as built tables (see
+    The whole suite is two shuffles of rows, whatever the number of models:
+    one for every not_null / accepted_values check (each model scanned once)
+    and one for every unique and relationship check (each model scanned once
+    more, see :func:`key_failures`). Models are best given as built tables (see
     :func:`ledgerloom.plans.build.built_models`), so each scan reads only
     the checked columns. ``model_df(name)`` returns a model's DataFrame;
     checks on names outside ``attached`` are reported SKIPPED, as a
@@ -265,13 +297,15 @@ def run_checks(checks: list[Check], model_df, attached: set[str] | None = None)
     rowwise = by_model(("not_null", "accepted_values"))
     if rowwise:
         counts.append(_rowwise_counts(rowwise))
-    uniq = by_model(("unique",))
-    if uniq:
-        counts.append(_unique_counts(uniq))
+    uses: dict[str, list[KeyUse]] = {}
     for i, c in runnable:
-        if c.kind == "relationships":
-            v = violations(c, models[c.model], model_df(c.parent[0]))
-            counts.append(v.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("idx"), "n"))
+        if c.kind == "unique":
+            uses.setdefault(c.model, []).append(KeyUse(i, (c.column,), "unique"))
+        elif c.kind == "relationships":
+            uses.setdefault(c.model, []).append(KeyUse(i, (c.column,), "child"))
+            uses.setdefault(c.parent[0], []).append(KeyUse(i, (c.parent[1],), "parent"))
+    if uses:
+        counts.append(key_failures([(models.get(m) if m in models else model_df(m), u) for m, u in uses.items()]))
     # one metadata row per declared check (bounded by the catalogue, not the data)
     runnable_idx = {i for i, _ in runnable}
     meta = [(i, c.check_id, c.model, c.column, c.kind, c.severity, ",".join(c.tags), i in runnable_idx)

@@ -27,7 +27,8 @@ MANIFEST = "_manifest"
 
 
 def _order(cols: list[Column | str]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+    """Sort expressions; a name may end in `` desc``."""
+    return [c if not isinstance(c, str) else F.col(c[:-5]).desc() if c.endswith(" desc") else F.col(c) for c in cols]
 
 
 def _write_ranges(df: DataFrame, order: list[Column], path: str) -> None:
@@ -98,10 +99,8 @@ def save_sorted(df: DataFrame, path: str, order_cols: list[Column | str]) -> str
 
 
 def _named(order: Column | str) -> str:
-    """The column an order expression names: 'a', F.col('a').desc() and the like."""
-    if isinstance(order, str):
-        return order
-    text = str(order).removeprefix("Column<'").removesuffix("'>")
+    """The column an order expression names: 'a', 'a desc', F.col('a').desc() and the like."""
+    text = order if isinstance(order, str) else str(order).removeprefix("Column<'").removesuffix("'>")
     return text.split(" ")[0].strip("`")
 
 

@@ -17,7 +17,6 @@ from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerloom.config import ReconConfig
 from ledgerloom.operators import dims, marts, match
@@ -36,8 +35,8 @@ LAYERS = {
 
 #: Models whose rows are kept in order (O01-O03), with ties broken by their own columns.
 ORDERS = {
-    "mart_exception_log": [F.desc("recon_date"), F.desc("abs_variance"), "match_id"],
-    "mart_root_cause_trend": ["country_code", "recon_year", "recon_month", F.desc("exception_count"),
+    "mart_exception_log": ["recon_date desc", "abs_variance desc", "match_id"],
+    "mart_root_cause_trend": ["country_code", "recon_year", "recon_month", "exception_count desc",
                               "recon_type", "period_key", "root_cause_code"],
     "dim_root_cause_enriched": ["pareto_rank", "root_cause_code"],
 }

@@ -8,6 +8,7 @@ derivation plans end to end from the test-warehouse tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,11 @@ from ledgerloom.operators.ranges import read_sorted, save_sorted, work_folder
 from ledgerloom.plans import oracle, scalar_queries
 from ledgerloom.plans.build import ORDERS, built_models
 from ledgerloom.plans.models import MODEL_NAMES, Models
-from ledgerloom.session import session_key
+from ledgerloom.session import path_exists, session_key
+from ledgerloom.sources.io import write_csv
+from ledgerloom.sources.load import load_warehouse
 from ledgerloom.sources.raw import BUILDERS, RawTables, stored_raw
-from ledgerloom.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
+from ledgerloom.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RAW_SCHEMAS
 
 CFG = ReconConfig()
 CFG_FIXED = with_all_fixes(CFG)
@@ -220,7 +223,7 @@ reg("a15_country_mix", lambda s, d: profile.country_mix(models(s, d).raw.get("po
 
 reg("o05_break_histogram_order",
     lambda s, d: positions(profile.break_histogram(models(s, d).raw.get("pos_transaction_header")),
-                           [F.desc("cnt"), "_dq_flag"], ["_dq_flag", "cnt"]),
+                           ["cnt desc", "_dq_flag"], ["_dq_flag", "cnt"]),
     oracle.with_ctes("""SELECT _dq_flag, cnt, row_number() OVER (ORDER BY cnt DESC, _dq_flag) AS position
 FROM (SELECT _dq_flag, count(*) AS cnt FROM raw_pos_transaction_header WHERE _dq_flag <> 'CLEAN' GROUP BY 1) x"""))
 
@@ -250,7 +253,17 @@ FROM (SELECT recon_type, count(*) AS total, count(CASE WHEN match_status = 'EXCE
 AUDITED = ["dim_country", "dim_store", "dim_tender_type", "dim_bank", "dim_tax_code", "dim_currency",
            "dim_fiscal_calendar", "dim_root_cause", "pos_transaction_header", "pos_tender", "pos_eod_summary", "sap_fi_document",
            "sap_fi_lineitem", "bank_card_settlement", "bank_statement_line", "recon_match_result"]
-reg("s15_load_audit", lambda s, d: profile.load_audit({t: models(s, d).raw.get(t) for t in AUDITED}),
+
+
+def stored_paths(s: SparkSession, d: str) -> dict[str, str]:
+    """Folders of the loaded tables, loading what isn't there yet."""
+    raw = stored_raw(s, d, CFG)
+    for t in AUDITED:
+        raw.get(t)
+    return {t: raw.path(t) for t in AUDITED}
+
+
+reg("s15_load_audit", lambda s, d: profile.footer_audit(s, stored_paths(s, d)),
     oracle.with_ctes("SELECT table_name, row_count, CAST(CASE WHEN table_name LIKE 'dim_%' THEN 1 "
                      "WHEN table_name LIKE 'pos_%' THEN 2 WHEN table_name LIKE 'sap_%' THEN 3 "
                      "WHEN table_name LIKE 'bank_%' THEN 4 WHEN table_name = 'recon_match_result' THEN 5 END "
@@ -258,6 +271,65 @@ reg("s15_load_audit", lambda s, d: profile.load_audit({t: models(s, d).raw.get(t
                          f"SELECT '{t}' AS table_name, count(*) AS row_count FROM raw_{t}" for t in AUDITED)
                      + ") x"))
 
+reg("o04_load_audit_order",
+    lambda s, d: positions(profile.footer_audit(s, stored_paths(s, d), ordered=False),
+                           ["family_rank", "row_count desc", "table_name"], ["table_name", "row_count", "family_rank"]),
+    f"""SELECT *, row_number() OVER (ORDER BY family_rank, row_count DESC, table_name) AS position
+FROM ({ORACLES["s15_load_audit"]}) audit""")
+
+
+# ---------------------------------------------------------------- CSV load
+def csv_warehouse(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The raw tables written as CSV, then loaded, checked and published from it
+    (once for each set of input files)."""
+    raw = stored_raw(s, d, CFG)
+    files, root = f"{raw.root}-csv", f"{raw.root}-loaded"
+    for t, schema in RAW_SCHEMAS.items():
+        if not path_exists(s, f"{files}/{t}.csv/_SUCCESS"):
+            write_csv(raw.get(t), f"{files}/{t}.csv", schema.fieldNames())
+    return load_warehouse(s, files, root)
+
+
+def csv_load_audit(s: SparkSession, d: str) -> DataFrame:
+    """Rows, filled fields, text lengths and sums of every column of the sixteen
+    loaded tables: each table is aggregated to one row, then turned into a row per column."""
+    parts = []
+    for t, df in csv_warehouse(s, d).items():
+        n = F.count(F.lit(1))
+        facts = []
+        for f in RAW_SCHEMAS[t].fields:
+            text, number = f.dataType.typeName() == "string", f.dataType.typeName() in ("integer", "long") or f.dataType.typeName().startswith("decimal")
+            facts.append(F.struct(
+                F.lit(t).alias("table_name"), F.lit(f.name).alias("column_name"), n.alias("n_rows"), F.count(f.name).alias("n_filled"),
+                (F.sum(F.length(f.name)) if text else F.lit(None)).cast("bigint").alias("text_length"),
+                (F.sum(F.col(f.name).cast("decimal(28,6)")) if number else F.lit(None)).cast("decimal(38,6)").alias("total")))
+        parts.append(df.agg(F.array(*facts).alias("facts")).select(F.inline("facts")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def loaded_sql(t: str) -> str:
+    """A raw table as a CSV load leaves it: text trimmed, blank text NULL (Q28)."""
+    cols = [f"nullif(trim({f.name}), '') AS {f.name}" if f.dataType.typeName() == "string" else f.name for f in RAW_SCHEMAS[t].fields]
+    return f"SELECT {', '.join(cols)} FROM raw_{t}"
+
+
+def csv_load_audit_sql() -> str:
+    parts = []
+    for t, schema in RAW_SCHEMAS.items():
+        for f in schema.fields:
+            kind = f.dataType.typeName()
+            text = f"CAST(sum(length({f.name})) AS BIGINT)" if kind == "string" else "CAST(NULL AS BIGINT)"
+            total = (f"CAST(sum(CAST({f.name} AS DECIMAL(28,6))) AS DECIMAL(38,6))"
+                     if kind in ("integer", "long") or kind.startswith("decimal") else "CAST(NULL AS DECIMAL(38,6))")
+            parts.append(f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, count(*) AS n_rows, count({f.name}) AS n_filled, "
+                         f"{text} AS text_length, {total} AS total FROM loaded_{t}")
+    loaded = ",\n".join(f"loaded_{t} AS ({loaded_sql(t)})" for t in RAW_SCHEMAS)
+    return oracle.with_ctes(f"SELECT * FROM (WITH {loaded}\n" + "\nUNION ALL\n".join(parts) + ") audit")
+
+
+reg("s03_csv_load_audit", csv_load_audit, csv_load_audit_sql())
+for t in ("dim_store", "pos_transaction_header", "sap_fi_document", "bank_statement_line", "recon_match_result"):
+    reg(f"s01_csv_{t}", (lambda t: lambda s, d: csv_warehouse(s, d)[t])(t), oracle.with_ctes(loaded_sql(t)))
 
 # ---------------------------------------------------------------- checks
 def _check_sql(c: checks.Check) -> str:
@@ -341,26 +413,13 @@ WHERE match_type = 'ESCALATE' AND abs(variance_pos_sap) <= variance_threshold_t3
 
 
 def declared_key_report(s: SparkSession, d: str) -> DataFrame:
-    """Duplicate declared keys per raw table, all tables in one shuffle
-    (each row emits its table index and its key as one text value)."""
+    """Duplicate declared keys per raw table, all tables in one shuffle."""
     raw = models(s, d).raw
-    streams = []
-    for i, (t, keys) in enumerate(PRIMARY_KEYS.items()):
-        nn = F.lit(True)
-        for k in keys:
-            nn = nn & F.col(k).isNotNull()
-        kv = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys])
-        streams.append(raw.get(t).filter(nn).select(F.lit(i).alias("idx"), kv.alias("kv")))
-    keyed = streams[0]
-    for st in streams[1:]:
-        keyed = keyed.unionByName(st)
-    dup = (keyed.groupBy("idx", "kv").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-                .groupBy("idx").agg(F.count(F.lit(1)).alias("duplicate_keys")))
+    dup = checks.key_failures([(raw.get(t), [checks.KeyUse(i, keys, "unique")]) for i, (t, keys) in enumerate(PRIMARY_KEYS.items())])
     meta = s.createDataFrame([(i, t, ",".join(k)) for i, (t, k) in enumerate(PRIMARY_KEYS.items())],
                              "idx int, table_name string, key_columns string")
     return (meta.join(F.broadcast(dup), "idx", "left")
-                .select("table_name", "key_columns",
-                        F.coalesce(F.col("duplicate_keys"), F.lit(0)).cast("bigint").alias("duplicate_keys")))
+                .select("table_name", "key_columns", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("duplicate_keys")))
 
 
 def declared_key_sql() -> str:
@@ -378,17 +437,16 @@ reg("k10_declared_keys", declared_key_report, declared_key_sql())
 
 
 def declared_fk_report(s: SparkSession, d: str) -> DataFrame:
-    raw = models(s, d).raw
-    parts = []
-    for child, cols, parent, pcols in FOREIGN_KEYS:
-        n = checks.relationship_violations(raw.get(child), list(cols), raw.get(parent), list(pcols)) \
-            .agg(F.count(F.lit(1)).alias("orphans"))
-        parts.append(n.select(F.lit(child).alias("child_table"), F.lit(",".join(cols)).alias("child_columns"),
-                              F.lit(parent).alias("parent_table"), "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows without a parent per declared foreign key, all in one shuffle; every table is scanned once."""
+    raw, uses = models(s, d).raw, {}
+    for i, (child, cols, parent, pcols) in enumerate(FOREIGN_KEYS):
+        uses.setdefault(child, []).append(checks.KeyUse(i, cols, "child"))
+        uses.setdefault(parent, []).append(checks.KeyUse(i, pcols, "parent"))
+    lost = checks.key_failures([(raw.get(t), u) for t, u in uses.items()])
+    meta = s.createDataFrame([(i, c, ",".join(cols), p) for i, (c, cols, p, _) in enumerate(FOREIGN_KEYS)],
+                             "idx int, child_table string, child_columns string, parent_table string")
+    return (meta.join(F.broadcast(lost), "idx", "left")
+                .select("child_table", "child_columns", "parent_table", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("orphans")))
 
 
 def declared_fk_sql() -> str:

@@ -10,11 +10,11 @@ schema, so they are read as text and cast.
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.sources.schemas import LOAD_ORDER, RAW_SCHEMAS
+from ledgerloom.sources.schemas import DEFAULTS, LOAD_ORDER, RAW_SCHEMAS
 
 AUDIT_COLUMNS = ("created_at", "updated_at", "loaded_by")
 
@@ -25,28 +25,36 @@ def _text_schema(schema: T.StructType) -> T.StructType:
                                        else f.dataType, True) for f in schema.fields])
 
 
+def file_schema(table: str, file_cols: list[str]) -> T.StructType:
+    """The fields of a file with these columns; undeclared ones are text."""
+    by_name = {f.name: f for f in _text_schema(RAW_SCHEMAS[table]).fields}
+    return T.StructType([by_name.get(c, T.StructField(c, T.StringType(), True)) for c in file_cols])
+
+
+def csv_reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
+    """The reference's load format (see above) under a schema."""
+    return (spark.read.schema(schema)
+            .option("header", True).option("quote", '"').option("escape", '"')
+            .option("nullValue", "").option("emptyValue", None)
+            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+            .option("dateFormat", "yyyy-MM-dd"))
+
+
 def read_csv_table(spark: SparkSession, path: str, table: str, columns: list[str] | None = None,
                    mode: str = "FAILFAST", with_audit: bool = False) -> DataFrame:
     """Load one raw table from CSV (plain or .gz) by schema.
 
     ``columns`` is the file's explicit column list (load by name); declared
-    columns missing from it are NULL. ``with_audit`` adds the load audit
+    columns missing from it get their declared default, else NULL. ``with_audit`` adds the load audit
     columns the warehouse fills by default.
     """
     schema = RAW_SCHEMAS[table]
     file_cols = columns or schema.fieldNames()
-    by_name = {f.name: f for f in _text_schema(schema).fields}
-    file_schema = T.StructType([by_name.get(c, T.StructField(c, T.StringType(), True)) for c in file_cols])
-    df = (spark.read.schema(file_schema)
-          .option("header", True).option("quote", '"').option("escape", '"')
-          .option("nullValue", "").option("emptyValue", None)
-          .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-          .option("dateFormat", "yyyy-MM-dd").option("mode", mode)
-          .csv(path))
+    df = csv_reader(spark, file_schema(table, file_cols)).option("mode", mode).csv(path)
     out = []
     for f in schema.fields:
         if f.name not in file_cols:
-            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            out.append(F.lit(DEFAULTS.get(table, {}).get(f.name)).cast(f.dataType).alias(f.name))
         elif isinstance(f.dataType, T.BooleanType):
             out.append(F.col(f.name).cast("boolean").alias(f.name))
         else:

@@ -80,3 +80,37 @@ def test_singular_checks(spark, cfg):
 def test_tag_selection():
     assert checks.select_singular(tag="post_staging") == ["test_variance_within_bounds"]
     assert "test_variance_within_bounds" not in checks.select_singular(exclude="intermediate")
+
+
+def test_all_keys_in_one_pass(spark):
+    """Unique and relationship checks of several tables and key types against their plain forms."""
+    from ledgerloom.operators.checks import KeyUse, key_failures, relationship_violations, unique_violations
+    store = spark.createDataFrame([("S1", 1), ("S2", 2), ("S2", 3), (None, 4)], "store_id string, n int")
+    # a hot orphan, NULL keys, a bigint child of an int parent, a composite key
+    sale = spark.createDataFrame([("S1", 1, "a")] * 3 + [("S9", 2, "b")] * 200 + [(None, 3, "c"), ("S2", 99, None)], "store string, num long, k string")
+    pair = spark.createDataFrame([("S1", "a"), ("S9", None)], "x string, y string")
+    uses = [(store, [KeyUse(0, ("store_id",), "unique"), KeyUse(1, ("store_id",), "parent"), KeyUse(2, ("n",), "parent"), KeyUse(5, ("n",), "unique")]),
+            (sale, [KeyUse(1, ("store",), "child"), KeyUse(2, ("num",), "child"), KeyUse(3, ("store", "k"), "child"), KeyUse(4, ("store", "num"), "unique")]),
+            (pair, [KeyUse(3, ("x", "y"), "parent")])]
+    out = key_failures(uses)
+    want = {0: unique_violations(store, ["store_id"]).count(), 1: relationship_violations(sale, ["store"], store, ["store_id"]).count(),
+            2: relationship_violations(sale, ["num"], store, ["n"]).count(), 3: relationship_violations(sale, ["store", "k"], pair, ["x", "y"]).count(),
+            4: unique_violations(sale, ["store", "num"]).count()}
+    assert {r.idx: r.n for r in out.collect()} == {k: v for k, v in want.items() if v}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Union") == 1
+
+
+def test_relationships_scan_each_model_once(spark):
+    from conftest import SF_SMALL
+    from ledgerloom.plans import registry
+    from ledgerloom.plans.build import built_models
+    report = registry.QUERIES["k04_relationships_report"](spark, SF_SMALL)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    got = built_models(spark, SF_SMALL, registry.CFG)
+    checks_ = [c for c in registry.checks.catalogue(registry.CFG) if c.kind == "relationships" and c.model in registry.MODEL_NAMES]
+    tables = {c.model for c in checks_} | {c.parent[0] for c in checks_}
+    assert len(checks_) >= 2
+    scans = plan.split("== Initial Plan ==")[-1].count("FileScan")
+    own = sum(got(t)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("FileScan") for t in tables)
+    assert scans == own  # a scan for every one the models themselves have, none per relationship

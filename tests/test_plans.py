@@ -49,3 +49,24 @@ def test_hot_path_runs_in_whole_stage_codegen(spark, name):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     # scans, filters, projections and aggregates sit inside codegen spans ("*")
     assert "* HashAggregate" in plan and "* Project" in plan and "* ColumnarToRow" in plan
+
+
+def _scans(plan):
+    """Physical scans of the initial plan, by the folder they read."""
+    import re
+    return re.findall(r"Location: InMemoryFileIndex \[[^\]]*/([^/\]]+)\]", plan)
+
+
+@pytest.mark.parametrize("name, once", [("m14_int_pay_bank_matched", ["bank_card_settlement"]),
+                                        ("m18_mart_exception_log", ["pos_eod_summary", "bank_card_settlement"])])
+def test_split_left_join_reads_its_left_side_once(spark, name, once):
+    found = _scans(_plan(spark, registry.QUERIES[name](spark, SF_SMALL)))
+    for table in once:
+        assert found.count(table) == 1, (table, found)
+
+
+def test_load_audit_counts_from_footers(spark):
+    plan = registry.QUERIES["s15_load_audit"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") == len(registry.AUDITED)
+    v1 = spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert "parquet" in v1  # other reads keep their reader
