@@ -46,12 +46,17 @@ def shared_dir(spark: SparkSession) -> str:
 _written: list[str] = []
 
 
+def track(folder: str, name: str) -> str:
+    """``folder/name``, for a working table in a folder that :func:`recorded` reports."""
+    _written.append(folder)
+    return f"{folder}/{name}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and
     a lost executor costs a re-read, not a recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{name}"
+    path = track(f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}", name)
     df.write.option("compression", "zstd").parquet(path)
-    _written.append(path.rpartition("/")[0])
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, lm_scoring, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, toxicity, url_filter
+from . import decontam, licenses, lm_scoring, merkle, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES as ORACLES
 
@@ -60,6 +60,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))[0]
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_license_scan": op2_license_scan,
@@ -71,4 +75,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality": op9_quality,
     "op10_mix_sources": op10_mix_sources,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
