@@ -161,7 +161,8 @@ def manifest(docs: DataFrame) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of every document."""
     # '' for no source sorts before any other, which all begin with '+'
     tree = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("+"), F.col("source")))
-    leaves = docs.select(tree.alias("tree"), F.col("doc_id"), leaf().alias("node"), tampered_leaf().alias("tampered"))
+    # written first: numbering samples its input before it deals it, and texts are read once
+    leaves = stored(docs.select(tree.alias("tree"), F.col("doc_id"), leaf().alias("node"), tampered_leaf().alias("tampered")), "leaves")
     # ids as text: pandas has no whole numbers with gaps
     leaves = _numbered(leaves, ["tree"], ["doc_id", "node"]).withColumn("doc_id", F.col("doc_id").cast("string"))
     sources = _climb(leaves, "nodes")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, lm_scoring, merkle, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, toxicity, url_filter
+from . import decontam, hard_negatives, hnsw, licenses, lm_scoring, merkle, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES as ORACLES
 
@@ -60,6 +60,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))[0]
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabel = lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, relabel=relabel)
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -75,5 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality": op9_quality,
     "op10_mix_sources": op10_mix_sources,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -74,7 +74,7 @@ def test_every_stage_takes_all_cases(spark, tmp_path):
 
 def test_registered_names():
     assert sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0])) == list(queries.QUERIES)
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     import __spark_entry__
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
