@@ -144,9 +144,88 @@ got AS (
 SELECT doc_id, size, source_size, target::DOUBLE AS target, coalesce(taken, 0)::BIGINT AS taken FROM placed LEFT JOIN got USING (r)"""
 
 
+_FINITE = "list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND NOT isnan(x) AND NOT isinf(x)))"
+
+#: Every anchor against every row.
+HARD_NEGATIVES = f"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND coalesce({_FINITE}, true)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3"""
+
+
+def merkle_manifest() -> str:
+    """Level by level, over all leaves of a source and then over the subroots."""
+    def field(column: str) -> str:
+        return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || {column} END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(text if c == "text" else c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+
+    def siblings(nodes: str, tree: str) -> str:
+        """Of each node with others in its level: the digests left and right of it in its run."""
+        return f"""
+  SELECT {tree}a.level, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM {nodes} a JOIN {nodes} b ON a.tree = b.tree AND a.level = b.level AND a.pos // 3 = b.pos // 3
+  WHERE a.width > 1 GROUP BY ALL"""
+
+    # fixed values: the reversed polynomial of CRC-32 and its mask
+    table = "list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"
+    crc = "xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, length(d) + 1), lambda i: CAST(ascii(d[i]) AS BIGINT))), lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])))"
+    return f"""
+WITH RECURSIVE crcs AS (
+  SELECT doc_id, {crc} AS crc FROM (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS d FROM documents WHERE doc_id IS NOT NULL), (SELECT {table} AS t)),
+tampered AS (
+  SELECT d.*, CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut FROM documents d LEFT JOIN crcs USING (doc_id)),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM (
+    SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '+' || source END AS tree, {leaf("text")} AS leaf, {leaf("cut")} AS cut FROM tampered)),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS node, count(*) OVER (PARTITION BY tree) AS width FROM leaves
+  UNION ALL (SELECT tree, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), CAST(ceil(width / 3) AS BIGINT)
+             FROM nodes WHERE width > 1 GROUP BY tree, level, pos // 3, width)),
+subroots AS (SELECT tree, node, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos FROM nodes WHERE width = 1),
+tops AS (
+  SELECT '' AS tree, 0 AS level, pos, node, count(*) OVER () AS width FROM subroots
+  UNION ALL (SELECT tree, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), CAST(ceil(width / 3) AS BIGINT)
+             FROM tops WHERE width > 1 GROUP BY tree, level, pos // 3, width)),
+inner_siblings AS ({siblings("nodes", "a.tree, ")}),
+outer_siblings AS ({siblings("tops", "")}),
+folds AS (
+  SELECT tree, pos AS leaf_pos, 0 AS level, pos, cut AS node, '' AS proof FROM leaves
+  UNION ALL SELECT f.tree, leaf_pos, f.level + 1, f.pos // 3, sha256(l || node || r), proof || l || r
+  FROM folds f JOIN inner_siblings s ON f.tree = s.tree AND f.level = s.level AND f.pos = s.pos),
+ends AS (
+  SELECT f.tree, leaf_pos, s.pos, f.node, proof, s.node AS subroot
+  FROM (SELECT * FROM folds QUALIFY row_number() OVER (PARTITION BY tree, leaf_pos ORDER BY level DESC) = 1) f JOIN subroots s USING (tree)),
+outer_folds AS (
+  SELECT tree, leaf_pos, 0 AS level, pos, node, proof, subroot FROM ends
+  UNION ALL SELECT tree, leaf_pos, f.level + 1, f.pos // 3, sha256(l || node || r), proof || l || r, subroot
+  FROM outer_folds f JOIN outer_siblings s ON f.level = s.level AND f.pos = s.pos),
+folded AS (SELECT * FROM outer_folds QUALIFY row_number() OVER (PARTITION BY tree, leaf_pos ORDER BY level DESC) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded.node AS folded_root, folded.node = root AS verified
+FROM leaves JOIN folded ON leaves.tree = folded.tree AND leaves.pos = leaf_pos, (SELECT node AS root FROM tops WHERE width = 1)"""
+
+
 ORACLES = {
     "op2_license_scan": license_scan(),
     "op3_ngram_jaccard_join": JACCARD,
     "op4_url_filter": url_filtering(),
     "op10_mix_sources": mixing_sources(),
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op13_merkle_manifest": merkle_manifest(),
 }

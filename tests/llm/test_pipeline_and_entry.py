@@ -75,7 +75,9 @@ def test_every_stage_takes_all_cases(spark, tmp_path):
 def test_registered_names():
     assert sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0])) == list(queries.QUERIES)
     assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
-    assert set(queries.ORACLES) <= set(queries.QUERIES)
+    # SQL can't express these; each is held against brute force, an identity or held-out accuracy in this folder
+    without = {"op1_lm_scoring", "op5_decontaminate", "op6_suffix_dedup", "op7_toxicity", "op8_quality_rules", "op9_quality", "op12_nearest_neighbours"}
+    assert set(queries.QUERIES) - set(queries.ORACLES) == without
     import __spark_entry__
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
@@ -86,7 +88,7 @@ def test_oracles(spark, name):
     import pandas as pd
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.sql(queries.ORACLES[name]).df()[got.columns.tolist()]
