@@ -161,6 +161,14 @@ def violation_condition(check: Check) -> Column:
     raise ValueError(check.kind)
 
 
+def violation_sql(check: Check) -> str:
+    """The same predicate as SQL text."""
+    if check.kind == "not_null":
+        return f"`{check.column}` IS NULL"
+    values = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in check.values)
+    return f"`{check.column}` IS NOT NULL AND `{check.column}` NOT IN ({values})"
+
+
 def violations(check: Check, df: DataFrame, parent_df: DataFrame | None = None) -> DataFrame:
     """The violating rows (or duplicated keys) of one check."""
     if check.kind in ("not_null", "accepted_values"):
@@ -220,30 +228,27 @@ def key_failures(tables: list[tuple[DataFrame, list[KeyUse]]]) -> DataFrame:
     is one row a task. Keys keep their types: the uses of one key type form one
     stream of the union, in which the other types' columns are empty.
     """
-    types: dict[tuple, str] = {}
-    streams = []
+    kinds: dict[tuple, str] = {}
+    uses_by_kind = []
     for df, uses in tables:
-        by_type: dict[tuple, list[KeyUse]] = {}
-        for use in uses:
-            by_type.setdefault(tuple(df.schema[c].dataType for c in use.columns), []).append(use)
-        for kind in by_type:
-            types.setdefault(_common(kind), f"k{len(types)}")
-        entries = []
-        for kind, alike in by_type.items():
-            for use in alike:
-                whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in use.columns])
-                key = F.struct(*[F.col(c).cast(t).alias(f"c{i}") for i, (c, t) in enumerate(zip(use.columns, _common(kind)))])
-                entries.append((whole, use, key, types[_common(kind)]))
-        streams.append((df, entries))
-    kinds = {name: T.StructType([T.StructField(f"c{i}", t) for i, t in enumerate(kind)]) for kind, name in types.items()}
+        alike = [(use, _common(tuple(df.schema[c].dataType for c in use.columns))) for use in uses]
+        uses_by_kind.append((df, alike))
+        for _, kind in alike:
+            kinds.setdefault(kind, f"k{len(kinds)}")
+    shape = {name: f"struct<{','.join(f'c{i}:{t.simpleString()}' for i, t in enumerate(kind))}>" for kind, name in kinds.items()}
     rows = []
-    for df, entries in streams:
-        made = [F.when(whole, F.struct(F.lit(use.idx).alias("idx"), F.lit(use.role == "unique").alias("alone"),
-                                       F.lit(use.role == "parent").alias("known"),
-                                       *[(key if name == own else F.lit(None).cast(t)).alias(name) for name, t in kinds.items()]))
-                for whole, use, key, own in entries]
-        rows.append(df.select(F.explode(F.filter(F.array(*made), lambda e: e.isNotNull())).alias("e")).select("e.*"))
-    grouped = reduce(DataFrame.unionByName, rows).groupBy("idx", "alone", *kinds).agg(
+    # written as SQL text: a plan of hundreds of columns is built in a few calls
+    for df, alike in uses_by_kind:
+        made = []
+        for use, kind in alike:
+            whole = " AND ".join(f"`{c}` IS NOT NULL" for c in use.columns)
+            key = ", ".join(f"'c{i}', CAST(`{c}` AS {t.simpleString()})" for i, (c, t) in enumerate(zip(use.columns, kind)))
+            keys = ", ".join(f"'{name}', " + (f"named_struct({key})" if name == kinds[kind] else f"CAST(NULL AS {t})") for name, t in shape.items())
+            made.append(f"CASE WHEN {whole} THEN named_struct('idx', {use.idx}, 'alone', {use.role == 'unique'}, "
+                        f"'known', {use.role == 'parent'}, {keys}) END")
+        each = f"explode(array({', '.join(made)}))" if len(made) > 1 else made[0]
+        rows.append(df.selectExpr(f"{each} AS e").where("e IS NOT NULL").select("e.*"))
+    grouped = reduce(DataFrame.unionByName, rows).groupBy("idx", "alone", *shape).agg(
         F.max("known").alias("known"), F.sum(F.when(F.col("known"), F.lit(0)).otherwise(F.lit(1))).alias("n"))
     wrong = grouped.where(F.when(F.col("alone"), F.col("n") > 1).otherwise(~F.col("known")))
     return wrong.groupBy("idx").agg(F.sum(F.when(F.col("alone"), F.lit(1)).otherwise(F.col("n"))).cast("bigint").alias("n"))
@@ -255,16 +260,23 @@ def _common(kind: tuple) -> tuple:
 
 
 def _rowwise_counts(per_model: list[tuple[DataFrame, list[tuple[int, Check]]]]) -> DataFrame:
-    """All not_null / accepted_values checks of all models in one shuffle:
-    each row emits (check, violated 0/1) per check; the sum is combined
-    map-side, so the exchange carries one row per check per task."""
+    """All not_null / accepted_values checks of all models in one shuffle: a
+    row becomes its model's number and one 0/1 flag a check, side by side, and
+    the flags are summed per model. The sums are combined map-side, so the
+    exchange carries one row per model and task; they are turned into a row per
+    check only after that."""
+    width = max(len(cks) for _, cks in per_model)
     streams = []
-    for df, cks in per_model:
-        flags = F.array(*[F.struct(F.lit(i).alias("idx"), violation_condition(c).cast("int").alias("v"))
-                          for i, c in cks])
-        streams.append(df.select(F.explode(flags).alias("p")).select("p.idx", "p.v"))
-    return reduce(DataFrame.unionByName, streams).groupBy("idx").agg(
-        F.sum(F.coalesce(F.col("v"), F.lit(0))).alias("n"))
+    # written as SQL text: a plan of hundreds of columns is built in a few calls
+    for m, (df, cks) in enumerate(per_model):
+        flags = [f"CASE WHEN {violation_sql(c)} THEN 1 ELSE 0 END" for _, c in cks] + ["0"] * (width - len(cks))
+        streams.append(df.selectExpr(f"{m} AS model", *[f"{flag} AS f{i}" for i, flag in enumerate(flags)]))
+    sums = reduce(DataFrame.unionByName, streams).groupBy("model").agg(
+        F.expr(f"array({', '.join(f'sum(f{i})' for i in range(width))})").alias("sums"))
+    # the check's number by (model, place); -1 pads models with fewer checks
+    numbers = [f"array({', '.join(map(str, [i for i, _ in cks] + [-1] * (width - len(cks))))})" for _, cks in per_model]
+    return (sums.selectExpr(f"inline(arrays_zip(element_at(array({', '.join(numbers)}), model + 1), sums))")
+                .toDF("idx", "n").where("idx >= 0"))
 
 
 def run_checks(checks: list[Check], model_df, attached: set[str] | None = None) -> DataFrame:

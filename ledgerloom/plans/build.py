@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.config import ReconConfig
 from ledgerloom.operators import dims, marts, match
-from ledgerloom.plans.models import Models
+from ledgerloom.plans.models import MODEL_NAMES, Models
 from ledgerloom.sources.io import save_table
 from ledgerloom.sources.raw import stored_raw
 from ledgerloom.sources.tables import current_version, publish
@@ -106,6 +106,7 @@ def _settle(future: Future, work: Callable[[str], str], name: str) -> None:
 
 
 _BUILT: dict[tuple, dict[str, str]] = {}
+_READ: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None):
@@ -132,17 +133,14 @@ def built_models(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = Non
             _BUILT[key] = built             # built by an earlier session with the same code
         else:
             _BUILT[key] = run_models(spark, sf_dir, out, cfg)
-    paths = _BUILT[key]
-    m = Models(stored_raw(spark, sf_dir, cfg), cfg)
-
-    def get(name: str) -> DataFrame:
-        return spark.read.parquet(paths[name]) if name in paths else m.model(name)
-    return get
+    if key not in _READ:
+        m = Models(stored_raw(spark, sf_dir, cfg), cfg)
+        _READ[key] = {n: spark.read.parquet(p) for n, p in _BUILT[key].items()} | {n: m.model(n) for n in MODEL_NAMES if n not in _BUILT[key]}
+    return _READ[key].__getitem__
 
 
 def register_views(models: Models, names: list[str] | None = None) -> list[str]:
     """Expose models as session views (``ref`` by name from Spark SQL)."""
-    from ledgerloom.plans.models import MODEL_NAMES
     names = names or MODEL_NAMES
     for n in names:
         models.model(n).createOrReplaceTempView(n)
@@ -153,7 +151,6 @@ def build_and_test(spark: SparkSession, sf_dir: str, out_root: str, cfg: ReconCo
     """Load, build every model and run the declared check suite (the
     ``dbt build`` equivalent); the check report is written as a table too."""
     from ledgerloom.operators import checks
-    from ledgerloom.plans.models import MODEL_NAMES
     cfg = cfg or ReconConfig()
     t = time.time()
     stored_raw(spark, sf_dir, cfg).load_all()
