@@ -12,11 +12,13 @@ sets link when 100 * |A & B| >= PERCENT * |A | B|.
    ordered by size; a row is held only against rows of its size band (up to
    n / t). Hashed bitmaps bound the overlap from above: |A & B| <= |A| minus the
    bits of A that B lacks. What passes joins tentative groups.
-4. Inside each tentative group the sorted arrays are intersected exactly,
-   except between rows that are already connected. The result are the
-   components; pairs within them are not listed.
+4. Inside each tentative group bitmaps of 4 bits an n-gram and more, sent once
+   for each class, leave fewer and smaller groups.
+5. In these the sorted arrays are intersected exactly, except between rows that
+   are already connected. The result are the components; pairs within them are
+   not listed.
 
-A group beyond one tile is cut into tiles by hash; rows that the first pass
+A group beyond one tile is cut into tiles by hash, in two ways; rows that this
 leaves outside the group's main component then meet every other row of
 the group, so no link is lost and no group is gathered in one task.
 
@@ -98,6 +100,11 @@ def width_of(n: int) -> int:
     return max(64, 1 << int((n - 1) // 2).bit_length())
 
 
+def wide_of(n: int) -> int:
+    """Bits of the wide bitmap: a power of two from 4 * n on."""
+    return max(64, 1 << int(4 * n - 1).bit_length())
+
+
 def _sum(hashes: np.ndarray) -> int:
     return int(hashes.sum(dtype=np.uint64).view(np.int64))
 
@@ -225,7 +232,7 @@ def _link_tiles(percent: int, exact: bool):
                 off = flat.offsets.to_numpy()
                 values = flat.values.to_numpy().view(np.uint64)
                 sets = [values[off[k] : off[k + 1]] for k in order]
-                bits = [bitmap(s, 8 * width_of(len(s))).tobytes() for s in sets]
+                bits = [bitmap(s, wide_of(len(s))).tobytes() for s in sets]
             else:
                 own = tiles.column("bits").to_pylist()
                 bits = [own[k] for k in order]
@@ -273,20 +280,28 @@ def link_groups(rows: DataFrame, percent: int, exact: bool, tile: int, any_large
     """(node, root) of the components that links within groups make.
 
     rows: grp, size_of_group, cid, n, and bits or hashes. A group up to ``tile``
-    rows is one tile. A larger one is cut by hash; afterwards the rows
-    outside its main component meet all of its rows, tile against tile.
+    rows is one tile. A larger one is cut by hash, twice and differently, so
+    that the second cut joins what the first one kept apart; afterwards the rows
+    outside its main component meet all of its rows, tile against tile. Which
+    rows meet again is settled without their bits or hashes, which are fetched
+    for the groups that need it.
     """
+    payload = "hashes" if exact else "bits"
     none = F.lit(-1).cast("long")
     parts = F.ceil(F.col("size_of_group") / tile).cast("int")
-    rows = rows.withColumn("side", F.lit(0))
-    first = rows.select("*", F.col("grp").alias("t1"), F.pmod(F.xxhash64("cid", "grp"), parts).cast("long").alias("t2"), none.alias("label"))
+    key = lambda i, j: i.cast("long") * F.lit(1 << 31) + j
+    cuts = F.explode(F.sequence(F.lit(0), F.when(parts > 1, F.lit(1)).otherwise(F.lit(0)))).alias("cut")
+    first = rows.select("grp", "size_of_group", "cid", "n", payload, cuts)
+    first = first.select(
+        F.col("grp").alias("t1"), key(F.col("cut"), F.pmod(F.xxhash64("cid", "grp", "cut"), parts).cast("long")).alias("t2"),
+        "cid", "n", F.lit(0).alias("side"), none.alias("label"), payload)
     edges = stored(_run_tiles(first, percent, exact), "links")
     found = components(edges)
     if not any_large:  # known from the groups' sizes, without another pass over the rows
         return found
-    large = rows.where(F.col("size_of_group") > tile)
     found = stored(found, "components")
-    named = large.join(found, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("root", "cid"))
+    large = rows.where(F.col("size_of_group") > tile).select("grp", "size_of_group", "cid")
+    named = stored(large.join(found, F.col("cid") == F.col("node"), "left").select("grp", "size_of_group", "cid", F.coalesce("root", "cid").alias("label")), "named")
     counts = named.groupBy("grp", "label").count()
     main = counts.groupBy("grp").agg(F.max_by("label", F.struct("count", "label")).alias("main"), (F.count("*") - 1).alias("others"))
     strays = counts.join(main, "grp").where("label <> main").groupBy("grp").agg(F.sum("count").alias("strays"))
@@ -294,17 +309,33 @@ def link_groups(rows: DataFrame, percent: int, exact: bool, tile: int, any_large
     rows_of = F.ceil(F.col("strays") / tile).cast("int")
     here = F.pmod(F.xxhash64("cid", "grp"), rows_of).cast("long")
     there = F.pmod(F.xxhash64("cid", "grp"), parts).cast("long")
-    key = lambda i, j: i * F.lit(1 << 31) + j
-    wide = named.withColumn("i", F.explode(F.sequence(F.lit(0), rows_of - 1))).withColumn("t2", key(F.col("i").cast("long"), there))
+    wide = named.withColumn("i", F.explode(F.sequence(F.lit(0), rows_of - 1))).withColumn("t2", key(F.col("i"), there))
     tall = named.where("label <> main").withColumn("j", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("t2", key(here, F.col("j").cast("long")))
     # strays also stand in ``wide``, so they meet one another there
-    again = wide.withColumn("side", F.lit(2)).select("grp", "t2", "cid", "n", "side", "label", "hashes" if exact else "bits").union(
-        tall.withColumn("side", F.lit(1)).select("grp", "t2", "cid", "n", "side", "label", "hashes" if exact else "bits")
-    )
-    more = _run_tiles(again.withColumnRenamed("grp", "t1"), percent, exact)
+    places = wide.select("grp", "cid", "t2", F.lit(2).alias("side"), "label").union(tall.select("grp", "cid", "t2", F.lit(1).alias("side"), "label"))
+    places = stored(places.toDF("t1", "at", "t2", "side", "label"), "places")
+    again = rows.join(places, (F.col("grp") == F.col("t1")) & (F.col("cid") == F.col("at")))
+    more = _run_tiles(again, percent, exact)
     return components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
+def _grouped(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes in groups of several, with what their texts are known by."""
+    members = found.union(found.select("root", "root").distinct()).toDF("cid", "grp")
+    sizes = members.groupBy("grp").agg(F.count("*").alias("size_of_group"))
+    return stored(members.join(sizes, "grp").join(classes.select("cid", "rep", "k1", "k2", "n"), "cid"), "members")
+
+
+def _of_texts(docs: DataFrame, members: DataFrame, n: int, exact: bool) -> DataFrame:
+    """``members`` with the wide bitmap or the sorted array of their texts, read again and written once."""
+    wanted = docs.sparkSession.sparkContext.broadcast(hash_filter(members, "rep"))
+    theirs = docs.select("text", "doc_id", filter_bit(F.col("doc_id")).alias("bit"))
+    kind = "hashes array<long>" if exact else "bits binary"
+    theirs = theirs.mapInArrow(_payloads(n, wanted, exact), with_fields(docs.select("doc_id"), f"m int, a long, b long, {kind}"))
+    same = theirs["doc_id"].eqNullSafe(members["rep"]) & (theirs["a"] == members["k1"]) & (theirs["b"] == members["k2"]) & (theirs["m"] == members["n"])
+    return stored(theirs.join(members, same).select("cid", "n", "hashes" if exact else "bits", "grp", "size_of_group"), "texts")
+
+
 def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id, and xxhash64 of the text and the component's own number (null for empty sets)."""
     ranks = docs.sparkSession.sparkContext.broadcast(crowd_ranks(docs, n))
@@ -328,16 +359,11 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> Da
     large = lambda sizes: not sizes.where(F.col("size_of_group") > tile).isEmpty()
     tentative = stored(link_groups(met, percent, False, tile, large(shared)), "tentative")
 
-    # exact intersection inside the tentative groups
-    members = tentative.union(tentative.select("root", "root").distinct()).toDF("cid", "grp")
-    sizes = members.groupBy("grp").agg(F.count("*").alias("size_of_group"))
-    members = stored(members.join(sizes, "grp").join(classes.select("cid", "rep", "k1", "k2", "n"), "cid"), "members")
-    wanted = docs.sparkSession.sparkContext.broadcast(hash_filter(members, "rep"))
-    theirs = given.select("text", "doc_id", filter_bit(F.col("doc_id")).alias("bit"))
-    theirs = theirs.mapInArrow(_arrays(n, wanted), with_fields(docs.select("doc_id"), "m int, a long, b long, hashes array<long>"))
-    same = theirs["doc_id"].eqNullSafe(members["rep"]) & (theirs["a"] == members["k1"]) & (theirs["b"] == members["k2"]) & (theirs["m"] == members["n"])
-    arrays = theirs.join(members, same).select("cid", "n", "hashes", "grp", "size_of_group").dropDuplicates(["cid"])
-    found = stored(link_groups(arrays, percent, True, tile, large(members)), "found")
+    # inside the tentative groups wide bitmaps, once for each class, and exact intersection for what they leave
+    members = _grouped(tentative, classes)
+    tentative = stored(link_groups(_of_texts(given, members, n, False), percent, False, tile, large(members)), "tentative")
+    members = _grouped(tentative, classes)
+    found = stored(link_groups(_of_texts(given, members, n, True), percent, True, tile, large(members)), "found")
 
     # the smallest doc_id of each component
     named = classes.join(found, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "cid"))
@@ -391,20 +417,27 @@ def _with_ranks(n: int, percent: int, ranks):
     return rows
 
 
-def _arrays(n: int, wanted):
-    """The sorted arrays of the texts whose doc_id may be wanted."""
+def _payloads(n: int, wanted, exact: bool):
+    """The sorted arrays, or their wide bitmaps, of the texts whose doc_id may be
+    wanted; rows that repeat an id and a set are left out within a task."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for batch in batches:
-            some = in_filter(wanted.value, batch.column(2).to_numpy(zero_copy_only=False))
-            batch = batch.filter(pa.array(some))
-            sets = [own for _, own in text_sets(*texts_of(batch), n)]
+            batch = batch.filter(pa.array(in_filter(wanted.value, batch.column(2).to_numpy(zero_copy_only=False))))
+            ids, at, size, sums, mixed, own = batch.column(1).to_pylist(), [], [], [], [], []
+            for row, hashes in text_sets(*texts_of(batch), n):
+                known = (ids[row], len(hashes), _sum(hashes), _mixed_sum(hashes))
+                if len(hashes) and known not in seen:
+                    seen.add(known)
+                    at.append(row)
+                    size.append(known[1])
+                    sums.append(known[2])
+                    mixed.append(known[3])
+                    own.append(hashes.view(np.int64) if exact else bitmap(hashes, wide_of(len(hashes))).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(1), pa.array([len(s) for s in sets], pa.int32()), *[pa.array([f(s) for s in sets], pa.int64()) for f in (_sum, _mixed_sum)],
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "m", "a", "b", "hashes"],
-            )
+                [batch.column(1).take(pa.array(at, pa.int64())), pa.array(size, pa.int32()), pa.array(sums, pa.int64()), pa.array(mixed, pa.int64()),
+                 pa.array(own, pa.list_(pa.int64()) if exact else pa.binary())],
+                ["doc_id", "m", "a", "b", "hashes" if exact else "bits"])
 
     return rows
