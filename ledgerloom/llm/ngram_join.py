@@ -38,10 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, chunks, filter_bit, hash_filter, in_filter, mix64, sequence_hash, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
+from .common import FOLD, chunks, filter_bit, hash_filter, in_filter, mix64, recorded, release, sequence_hash, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
 from .graph import components
 
 CELLS, TILE = 1 << 17, 2048
+#: Bits of the filter of shared n-grams at most: 8 MiB.
+MOST_BITS = 1 << 26
 #: Pairs held against each other at once.
 BLOCK = 1 << 15
 
@@ -336,17 +338,46 @@ def _of_texts(docs: DataFrame, members: DataFrame, n: int, exact: bool) -> DataF
     return stored(theirs.join(members, same).select("cid", "n", "hashes" if exact else "bits", "grp", "size_of_group"), "texts")
 
 
+def _gram_filter(shared: DataFrame) -> np.ndarray:
+    """A bitmap of the shared n-grams' low bits: eight bits an n-gram, MOST_BITS at
+    most. Beyond that it lets more through, which only costs a shuffle."""
+    bits = min(MOST_BITS, max(1 << 12, 1 << int(8 * shared.count()).bit_length()))
+    words = shared.select(F.expr(f"grp & {bits - 1}L").alias("bit")).groupBy(F.expr("shiftright(bit, 5)").cast("int").alias("w")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(bit & 31 AS INT)))").alias("v")).toPandas()
+    out = np.zeros(bits // 32, np.uint32)
+    out[words["w"]] = words["v"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def _entries_in(sent):
+    """(cid, n-gram) of the prefix n-grams that the bitmap holds."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = 32 * len(sent.value) - 1
+        for batch in batches:
+            prefix = batch.column(1)
+            grams = prefix.flatten().to_numpy(zero_copy_only=False)
+            cid = np.repeat(batch.column(0).to_numpy(), np.diff(prefix.offsets.to_numpy()))
+            some = in_filter(sent.value, grams & mask)
+            yield pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(grams[some])], ["cid", "grp"])
+
+    return rows
+
+
 def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id, and xxhash64 of the text and the component's own number (null for empty sets)."""
     ranks = docs.sparkSession.sparkContext.broadcast(crowd_ranks(docs, n))
     given = docs.select("doc_id", "text")
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     schema = with_fields(hashed.select("doc_id", "text_hash"), "n int, k1 long, k2 long, prefix array<long>, bits binary")
-    sets = stored(hashed.mapInArrow(_with_ranks(n, percent, ranks), schema), "sets")
-    classes = sets.where("n > 0").groupBy("k1", "k2", "n").agg(
+    with recorded() as whole:
+        signed = stored(hashed.mapInArrow(_with_ranks(n, percent, ranks), schema), "signed")
+    sets = stored(signed.select("doc_id", "text_hash", "n", "k1", "k2"), "sets")
+    classes = signed.where("n > 0").groupBy("k1", "k2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")
     )
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    release(docs.sparkSession, whole)  # prefixes and bitmaps are kept by class
 
     # classes that share a prefix n-gram
     entries = classes.select("cid", "n", F.explode("prefix").alias("grp"))
@@ -355,7 +386,10 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> Da
     shared = shared.where((F.col("size_of_group") > 2) | (F.col("size_of_group") > 1) & (100 * F.col("least") >= percent * F.col("most")))
     # written, so that the join's two sides come from plain exchanges and a hot n-gram's rows can be split
     shared = stored(shared.select("grp", "size_of_group"), "shared")
-    met = entries.drop("n").join(shared, "grp").join(classes.select("cid", "n", "bits"), "cid")
+    # prefixes are looked up in a bitmap of the shared n-grams, so that few others are shuffled again
+    sent = docs.sparkSession.sparkContext.broadcast(_gram_filter(shared))
+    entries = classes.select("cid", "prefix").mapInArrow(_entries_in(sent), "cid long, grp long")
+    met = entries.join(shared, "grp").join(classes.select("cid", "n", "bits"), "cid")
     large = lambda sizes: not sizes.where(F.col("size_of_group") > tile).isEmpty()
     tentative = stored(link_groups(met, percent, False, tile, large(shared)), "tentative")
 
@@ -369,9 +403,8 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> Da
     named = classes.join(found, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "cid"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = named.select("k1", "k2", F.col("n").alias("m"), "comp").join(least, "comp")
-    small = sets.select("doc_id", "text_hash", "n", "k1", "k2")
-    hit = (small["k1"] == named["k1"]) & (small["k2"] == named["k2"]) & (small["n"] == named["m"])
-    return small.join(named, hit, "left").select(
+    hit = (sets["k1"] == named["k1"]) & (sets["k2"] == named["k2"]) & (sets["n"] == named["m"])
+    return sets.join(named, hit, "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "text_hash", F.col("comp").alias("component"),
     )
