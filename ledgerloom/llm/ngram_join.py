@@ -46,6 +46,10 @@ CELLS, TILE = 1 << 17, 2048
 MOST_BITS = 1 << 26
 #: Pairs held against each other at once.
 BLOCK = 1 << 15
+#: Bytes of rows after which whole tiles are handed on.
+HELD_BYTES = 1 << 24
+#: Bytes of bitmaps compared at once.
+PAIR_BYTES = 1 << 21
 
 
 def text_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -180,8 +184,9 @@ def _may_link(bits: list[bytes], size: np.ndarray, a: np.ndarray, b: np.ndarray,
             own = np.frombuffer(bits[r], np.uint8)
             flat[k] = own if len(own) == w else np.bitwise_or.reduce(own.reshape(-1, w), axis=0)
         words = flat.view(np.uint64) if w % 8 == 0 else flat
-        for s in range(0, len(mine), 8192):
-            part = mine[s : s + 8192]
+        step = max(1, min(8192, PAIR_BYTES // int(w)))  # bounded bytes, however wide the bitmaps
+        for s in range(0, len(mine), step):
+            part = mine[s : s + step]
             x, y = words[np.searchsorted(rows, a[part])], words[np.searchsorted(rows, b[part])]
             lost_a = np.bitwise_count(x & ~y).sum(1, dtype=np.int64)
             lost_b = np.bitwise_count(y & ~x).sum(1, dtype=np.int64)
@@ -200,7 +205,7 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             continue
         held.append(batch)
         count += batch.num_rows
-        if count < 4 * TILE:
+        if count < 4 * TILE and sum(b.nbytes for b in held) < HELD_BYTES:
             continue
         rows = pa.Table.from_batches(held).combine_chunks()
         t1, t2 = (rows.column(x).to_numpy() for x in ("t1", "t2"))
