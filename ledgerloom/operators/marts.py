@@ -2,7 +2,7 @@
 
 Unions pad with typed values (money as decimal(18,2), never decimal(38,0)),
 branches are filtered before the union, and every dimension join is a
-size-checked broadcast, so a mart adds no shuffle of the facts except its
+join with a small dimension, so a mart adds no shuffle of the facts except its
 own aggregate or sort.
 """
 

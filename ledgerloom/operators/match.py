@@ -8,7 +8,7 @@ Plan shape (checked with ``explain``):
   store and are dropped before the shuffle, which also keeps NULL keys
   (manual postings) from piling into one reducer.
 * M13/M14 join two store-day (or batch) grained inputs on their full keys;
-  the country configuration is a size-checked broadcast.
+  the country configuration is joined on its key.
 """
 
 from __future__ import annotations
