@@ -76,6 +76,24 @@ def release(spark: SparkSession, paths: list[str]) -> None:
         folder.getFileSystem(conf).delete(folder, True)
 
 
+#: Rows of an Arrow batch in :func:`small_batches`.
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside the block hand Python workers rows in batches of at most
+    ``BATCH_ROWS``: rows here hold whole texts or arrays, of which the default of 10,000
+    fills both sides' buffers. Batches never change a result."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 #: Bits of a hash filter: its size is fixed, whatever it is made from.
 FILTER_BITS = 1 << 23
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, chunks, filter_bit, hash_filter, in_filter, mix64, recorded, release, sequence_hash, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
+from .common import FOLD, chunks, filter_bit, hash_filter, in_filter, mix64, recorded, release, sequence_hash, small_batches, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
 from .graph import components
 
 CELLS, TILE = 1 << 17, 2048
@@ -371,6 +371,11 @@ def _entries_in(sent):
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id, and xxhash64 of the text and the component's own number (null for empty sets)."""
+    with small_batches(docs.sparkSession):
+        return _join(docs, n, percent, tile)
+
+
+def _join(docs: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
     ranks = docs.sparkSession.sparkContext.broadcast(crowd_ranks(docs, n))
     given = docs.select("doc_id", "text")
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
