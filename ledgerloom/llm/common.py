@@ -106,9 +106,16 @@ def hash_filter(keys: DataFrame, name: str) -> np.ndarray:
     """A fixed-size bitmap of the hashes of a column: a row whose bit isn't set
     has no equal in it. Rows that can't match are left out before a shuffle."""
     bit = keys.select(filter_bit(F.col(name)).alias("b"))
-    words = bit.groupBy((F.col("b") / 32).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, b % 32))").alias("v")).toPandas()
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    out[words["w"]] = words["v"].to_numpy(np.int64).astype(np.uint32)
+    words = bit.groupBy((F.col("b") / 32).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, b % 32))").alias("v"))
+    return filled(words, FILTER_BITS // 32)
+
+
+def filled(words: DataFrame, n: int) -> np.ndarray:
+    """``n`` 32-bit words, 0 where the columns w (place) and v (word) name none.
+    Fetched as Arrow: a Row object for each of them would take the driver far more memory."""
+    found = words.select("w", "v").toArrow()
+    out = np.zeros(n, np.uint32)
+    out[found.column("w").to_numpy()] = found.column("v").to_numpy().astype(np.uint32)
     return out
 
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, chunks, filter_bit, hash_filter, in_filter, mix64, recorded, release, sequence_hash, small_batches, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
+from .common import FOLD, chunks, filled, filter_bit, hash_filter, in_filter, mix64, recorded, release, sequence_hash, small_batches, span_hashes, stored, texts_of, windows_of, with_fields, word_spans
 from .graph import components
 
 CELLS, TILE = 1 << 17, 2048
@@ -89,9 +89,9 @@ def _crowds(n: int):
 
 def crowd_ranks(docs: DataFrame, n: int) -> np.ndarray:
     """Rank of each counter cell: 0 for ordinary ones, more for crowded ones. CELLS numbers."""
-    found = docs.select("text").mapInArrow(_crowds(n), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    found = docs.select("text").mapInArrow(_crowds(n), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(CELLS)
-    sums[found["cell"]] = found["n"]
+    sums[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     return np.maximum(0, np.ceil(np.log2(np.maximum(sums, 1) / max(sums.mean(), 1) / 1.3))).astype(np.int8)
 
 
@@ -348,10 +348,8 @@ def _gram_filter(shared: DataFrame) -> np.ndarray:
     most. Beyond that it lets more through, which only costs a shuffle."""
     bits = min(MOST_BITS, max(1 << 12, 1 << int(8 * shared.count()).bit_length()))
     words = shared.select(F.expr(f"grp & {bits - 1}L").alias("bit")).groupBy(F.expr("shiftright(bit, 5)").cast("int").alias("w")).agg(
-        F.expr("bit_or(shiftleft(1L, CAST(bit & 31 AS INT)))").alias("v")).toPandas()
-    out = np.zeros(bits // 32, np.uint32)
-    out[words["w"]] = words["v"].to_numpy(np.int64).astype(np.uint32)
-    return out
+        F.expr("bit_or(shiftleft(1L, CAST(bit & 31 AS INT)))").alias("v"))
+    return filled(words, bits // 32)
 
 
 def _entries_in(sent):
