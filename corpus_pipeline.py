@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontam, mixing, ngram_join, suffix_dedup, toxicity
-from ledgerloom.llm.common import recorded, release, shared_dir, table
+from ledgerloom.llm.common import BATCH_ROWS, recorded, release, shared_dir, table
 
 ORACLE_SQL = None
 #: Documents with at least this toxicity score go.
@@ -33,6 +33,8 @@ def _stage(work: Stage) -> Stage:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(spark, _last)
         _last.clear()
+        # a stage's result is evaluated by its caller, so batches are set for the session
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         with recorded() as paths:
             out = work(spark, docs, sf_dir)
         _last.extend(paths)
