@@ -76,6 +76,10 @@ def url_filtering() -> str:
   SELECT 1 / least(greatest(CASE WHEN sum((n - 1) * m * (1 - m)) > 0 THEN (sum(n * pow(bad / n - m, 2)) - sum(m * (1 - m))) / sum((n - 1) * m * (1 - m)) ELSE {url_filter.MOST_RHO} END,
     {url_filter.LEAST_RHO}), {url_filter.MOST_RHO}) - 1 AS k FROM {children})"""
 
+    def prior(rate: str, k: str) -> str:
+        return f"{rate} - {url_filter.Z} * sqrt({rate} * (1 - {rate}) / ((SELECT k FROM {k}) + 1))"
+
+    bound = f"coalesce(bound, {prior('domains.rate', 'kh')}, {prior('suffixes.rate', 'kd')}, {prior('(SELECT rate FROM rate)', 'ks')})"
     return f"""
 WITH parts AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{parts}', 1), '{UPPER}', '{LOWER}') AS host,
@@ -102,8 +106,8 @@ rules(own, prefix, say) AS (VALUES {rules}),
 fitting AS (
   SELECT page_id, host, path, max_by(own || prefix, length(own || prefix)) AS rule, max_by(say, length(own || prefix)) AS say
   FROM parts JOIN rules ON (host = own OR ends_with(host, '.' || own)) AND starts_with(path, prefix) GROUP BY ALL)
-SELECT page_id, host, path, rule, coalesce(say, CASE WHEN coalesce(bound, 0.0) > {url_filter.BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict,
-  round(coalesce(p.rate, domains.rate, suffixes.rate, (SELECT rate FROM rate)), 6) AS bad_rate, round(coalesce(bound, 0.0), 6) AS bad_rate_bound
+SELECT page_id, host, path, rule, coalesce(say, CASE WHEN {bound} > {url_filter.BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict,
+  round(coalesce(p.rate, domains.rate, suffixes.rate, (SELECT rate FROM rate)), 6) AS bad_rate, round({bound}, 6) AS bad_rate_bound
 FROM named LEFT JOIN fitting USING (page_id, host, path) LEFT JOIN posterior p USING (host)
 LEFT JOIN domains USING (domain) LEFT JOIN suffixes USING (suffix)"""
 

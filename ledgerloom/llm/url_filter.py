@@ -5,8 +5,8 @@ beta-binomial priors: a suffix towards the rate of all pages, a registered
 domain towards its suffix, a host towards its registered domain. The strength
 of each prior is the moment estimate of the over-dispersion between the
 children of a level. A host is blocked when the lower bound of its posterior
-bad rate is above ``BLOCK_ABOVE``; a host without outcomes has the posterior
-of its domain, its suffix or all pages. Listed rules come before reputation.
+bad rate is above ``BLOCK_ABOVE``; a host without outcomes is judged by its prior
+alone, the rate and spread that its domain, its suffix or all pages give it. Listed rules come before reputation.
 
 Cases: a null url, or one without ``://``, has an empty host and path, fits no
 rule, and is judged by the rate of all pages; without any outcome the prior
@@ -80,28 +80,40 @@ def _strength(children: DataFrame) -> float:
     return 1 / min(max(rho, LEAST_RHO), MOST_RHO) - 1
 
 
-def reputation(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, float]:
-    """Posteriors (rate, bound) by host, rates by domain and by suffix, and the rate of all pages."""
+def _bound(rate: Column, n, k) -> Column:
+    """Lower bound of the bad rate after n outcomes on a prior of strength k."""
+    return rate - Z * F.sqrt(rate * (1 - rate) / (n + k + 1))
+
+
+def reputation(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, tuple[Column, Column]]:
+    """Posteriors (rate, bound) by host; (rate, bound) of a host without outcomes by its
+    domain, by its suffix (of a domain without outcomes), and by all pages."""
     domain, suffix = domain_and_suffix(F.col("host"))
     hosts = stored(outcomes.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad"), "hosts")
     n, bad = hosts.agg(F.sum("n"), F.sum("bad")).first()  # two numbers
     rate = bad / n if n and 0 < bad < n else NO_OUTCOME_RATE if not n else min(max(bad / n, 0.5 / n), 1 - 0.5 / n)
 
-    def shrunk(children: DataFrame) -> DataFrame:
-        k = _strength(children)
-        return children.withColumn("k", F.lit(k)).withColumn("rate", (F.col("bad") + F.lit(k) * F.col("m")) / (F.col("n") + F.lit(k)))
+    def shrunk(children: DataFrame) -> tuple[DataFrame, Column]:
+        k = F.lit(_strength(children))
+        return children.withColumn("rate", (F.col("bad") + k * F.col("m")) / (F.col("n") + k)), k
 
     total = lambda *by: hosts.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = shrunk(total("suffix").withColumn("m", F.lit(float(rate)))).select("suffix", "rate")
-    domains = shrunk(total("domain", "suffix").join(suffixes.withColumnRenamed("rate", "m"), "suffix")).select("domain", "rate")
-    own = shrunk(hosts.join(domains.withColumnRenamed("rate", "m"), "domain"))
-    spread = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("k") + 1))
-    return own.select("host", "rate", (F.col("rate") - Z * spread).alias("bound")), domains, suffixes, float(rate)
+    everything, r = F.lit(float(rate)), F.col("rate")
+    suffixes, k_suffix = shrunk(total("suffix").withColumn("m", everything))
+    rates = suffixes.select("suffix", r.alias("m"))
+    domains, k_domain = shrunk(total("domain", "suffix").join(rates, "suffix"))
+    own, k_host = shrunk(hosts.join(domains.select("domain", r.alias("m")), "domain"))
+    return (
+        own.select("host", "rate", _bound(r, F.col("n"), k_host).alias("bound")),
+        domains.select("domain", "rate", _bound(r, 0, k_host).alias("bound")),
+        suffixes.select("suffix", "rate", _bound(r, 0, k_domain).alias("bound")),
+        (everything, _bound(everything, 0, k_suffix)),
+    )
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and the posterior bad rate with its lower bound."""
-    hosts, domains, suffixes, rate = reputation(outcomes_from_labels(pages, labels))
+    hosts, domains, suffixes, everything = reputation(outcomes_from_labels(pages, labels))
     host, path = host_and_path(F.col("url"))
     seen = pages.select("page_id", host.alias("host"), path.alias("path"))
     # reputations of the hosts that pages have, looked up per distinct host
@@ -109,17 +121,19 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     known = (
         seen.select("host").distinct().withColumn("domain", domain).withColumn("suffix", suffix)
         .join(hosts, "host", "left")
-        .join(domains.withColumnRenamed("rate", "domain_rate"), "domain", "left")
-        .join(suffixes.withColumnRenamed("rate", "suffix_rate"), "suffix", "left")
-        .select("host", F.coalesce("rate", "domain_rate", "suffix_rate", F.lit(rate)).alias("bad_rate"), "bound")
+        .join(domains.toDF("domain", "domain_rate", "domain_bound"), "domain", "left")
+        .join(suffixes.toDF("suffix", "suffix_rate", "suffix_bound"), "suffix", "left")
+        .select(
+            "host", F.coalesce("rate", "domain_rate", "suffix_rate", everything[0]).alias("bad_rate"),
+            F.coalesce("bound", "domain_bound", "suffix_bound", everything[1]).alias("bound"),
+        )
     )
     rule, say = rule_of(F.col("host"), F.col("path"), rules)
-    # without outcomes of its own a host has no bound above its prior rate less its spread: never blocked on the prior alone
-    own = F.when(F.coalesce(F.col("bound"), F.lit(0.0)) > BLOCK_ABOVE, "block").otherwise("allow")
+    own = F.when(F.col("bound") > BLOCK_ABOVE, "block").otherwise("allow")
     # a host may hold a third of all pages: its pages are dealt over SALTS tasks
     salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     seen = seen.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
     return seen.join(salted, ["host", "salt"], "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(say, own).alias("verdict"),
-        F.round("bad_rate", 6).alias("bad_rate"), F.round(F.coalesce("bound", F.lit(0.0)), 6).alias("bad_rate_bound"),
+        F.round("bad_rate", 6).alias("bad_rate"), F.round("bound", 6).alias("bad_rate_bound"),
     )

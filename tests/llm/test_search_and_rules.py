@@ -158,7 +158,7 @@ def test_hosts_paths_and_rules(spark):
 
 def test_reputation_shrinks_and_blocks_by_the_bound(spark):
     rows, marks, doc = [], [], 0
-    for host, n, bad in (("a.good.org", 200, 2), ("b.good.org", 50, 1), ("w.spam.org", 300, 290), ("v.spam.org", 2, 2), ("u.spam.org", 0, 0), ("solo.net", 1, 1), ("m.fine.net", 400, 8)):
+    for host, n, bad in (("a.good.org", 200, 2), ("b.good.org", 50, 1), ("w.spam.org", 300, 290), ("v.spam.org", 2, 2), ("u.spam.org", 0, 0), ("new.fresh.org", 0, 0), ("new.other", 0, 0), ("solo.net", 1, 1), ("m.fine.net", 400, 8)):
         for k in range(max(n, 1)):
             rows.append((doc, f"http://{host}/zz/{doc}.html"))
             if k < n:
@@ -166,10 +166,14 @@ def test_reputation_shrinks_and_blocks_by_the_bound(spark):
             doc += 1
     got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(marks + marks[:5], "doc_id long, quality int, toxic int")).toPandas()
     by = got.drop_duplicates("host").set_index("host")
-    assert by.verdict["w.spam.org"] == "block" and (by.verdict.drop(["w.spam.org", "v.spam.org", "solo.net"]) == "allow").all()
+    assert by.verdict["w.spam.org"] == by.verdict["u.spam.org"] == "block"  # u has no outcomes: its domain decides
+    assert (by.verdict.drop(["w.spam.org", "v.spam.org", "u.spam.org", "solo.net"]) == "allow").all()
     assert 290 / 300 - 0.1 < by.bad_rate["w.spam.org"] < 290 / 300  # a little towards its domain
     assert by.bad_rate["m.fine.net"] < by.bad_rate["solo.net"] < 1  # one bad page is little evidence
-    assert by.bad_rate["u.spam.org"] > by.bad_rate["a.good.org"] and by.bad_rate_bound["u.spam.org"] == 0
+    assert by.bad_rate["u.spam.org"] > by.bad_rate["a.good.org"] and 0.5 < by.bad_rate_bound["u.spam.org"] < by.bad_rate["u.spam.org"]
+    # no outcomes in the domain: the suffix; none there either: all pages
+    assert by.bad_rate_bound["new.fresh.org"] < by.bad_rate["new.fresh.org"] < by.bad_rate["u.spam.org"]
+    assert by.bad_rate["new.other"] == pytest.approx(302 / 953, abs=0.02)
     n = {h: (r := got[got.host == h]).shape[0] for h in by.index}
     assert sum(n.values()) == len(rows)
 
