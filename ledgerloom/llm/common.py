@@ -94,20 +94,20 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_BATCH, before)
 
 
-#: Bits of a hash filter: its size is fixed, whatever it is made from.
+#: Bits of a hash filter, unless a caller asks for others.
 FILTER_BITS = 1 << 23
 
 
-def filter_bit(col):
-    return F.pmod(F.xxhash64(col), F.lit(FILTER_BITS)).cast("int")
+def filter_bit(col, bits: int = FILTER_BITS):
+    return F.pmod(F.xxhash64(col), F.lit(bits)).cast("int")
 
 
-def hash_filter(keys: DataFrame, name: str) -> np.ndarray:
-    """A fixed-size bitmap of the hashes of a column: a row whose bit isn't set
+def hash_filter(keys: DataFrame, name: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bitmap of the hashes of a column, ``bits`` long: a row whose bit isn't set
     has no equal in it. Rows that can't match are left out before a shuffle."""
-    bit = keys.select(filter_bit(F.col(name)).alias("b"))
+    bit = keys.select(filter_bit(F.col(name), bits).alias("b"))
     words = bit.groupBy((F.col("b") / 32).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, b % 32))").alias("v"))
-    return filled(words, FILTER_BITS // 32)
+    return filled(words, bits // 32)
 
 
 def filled(words: DataFrame, n: int) -> np.ndarray:

@@ -4,8 +4,9 @@ Words and word pairs of every document are hashed into ``BINS`` bins. Two
 multinomials are counted: the trusted target (documents labelled of good
 quality, outside the held-out fold, all of them) and the raw corpus
 (all documents). A
-document's ratio is the mean over its n-grams of log(target / raw). A document
-is kept if no base rule fails and its ratio is at least the threshold: the
+document's ratio is the mean over its n-grams of log(target / raw); a trusted
+document's own n-grams are taken out of the target first, so that no verdict
+depends on whether a label was read. A document is kept if no base rule fails and its ratio is at least the threshold: the
 trusted documents' mean less ``SPREADS`` standard deviations, a fixed number
 that every document is held against.
 
@@ -28,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, chunks, mix64, span_hashes, stored, texts_of, word_spans
+from .common import FILTER_BITS, FOLD, chunks, filter_bit, hash_filter, in_filter, mix64, span_hashes, stored, texts_of, word_spans
 from .toxicity import fold_of
 
 BINS = 1 << 16
 #: Added to each bin of both multinomials, times the raw corpus's share of the bin for the target.
 PRIOR = 0.5
 SPREADS = 6.0
-#: Trusted ids that are sent to the tasks at once; more of them are counted in several passes.
-PART_IDS = 1 << 21
+#: The filter of trusted ids grows to so many bits (32 MB); with more ids it lets more texts through to the join.
+MOST_FILTER_BITS = 1 << 28
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(x) for x in "#*$%&|<>"]] = True
@@ -53,44 +54,23 @@ def gram_bins(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate([words >> shift, pairs[inside] >> shift]).astype(np.int64), np.concatenate([row, row[:-1][inside]])
 
 
-def _trusted(batch: pa.RecordBatch, ids: np.ndarray) -> np.ndarray:
-    """Which rows' keys stand in ``ids`` (ascending)."""
-    keys = batch.column(batch.schema.get_field_index("key"))
-    known = keys.is_valid().to_numpy(zero_copy_only=False)
-    if not len(ids):
-        return np.zeros(len(keys), bool)
-    keys = keys.fill_null(0).to_numpy()
-    at = np.searchsorted(ids, keys)
-    at[at == len(ids)] = 0
-    return known & (ids[at] == keys)
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bin counts of a task's texts."""
+    sums = np.zeros(BINS, np.int64)
+    for batch in batches:
+        data, offsets = texts_of(batch)
+        for _, _, part, off in chunks(data, offsets):
+            sums += np.bincount(gram_bins(part, off)[0], minlength=BINS)
+    full = np.flatnonzero(sums)
+    yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(sums[full])], ["bin", "n"])
 
 
-def _counts(ids, raw: bool):
-    """One vector of bin counts per task and kind (0 raw, if asked for; 1 trusted)."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, BINS), np.int64)
-        for batch in batches:
-            trusted = _trusted(batch, ids.value)
-            if not raw:
-                batch, trusted = batch.filter(pa.array(trusted)), trusted[trusted]
-            data, offsets = texts_of(batch)
-            for lo, hi, part, off in chunks(data, offsets):
-                bins, row = gram_bins(part, off)
-                sums[0] += np.bincount(bins, minlength=BINS)
-                mine = trusted[lo:hi][row]
-                if mine.any():
-                    sums[1] += np.bincount(bins[mine], minlength=BINS)
-        step = 4096
-        for kind in (0, 1) if raw else (1,):
-            for at in range(0, BINS, step):
-                if sums[kind, at : at + step].any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(step, kind, np.int32)), pa.array(np.arange(at, at + step, dtype=np.int32)), pa.array(sums[kind, at : at + step])],
-                        ["kind", "bin", "n"],
-                    )
-
-    return rows
+def bin_counts(texts: DataFrame) -> np.ndarray:
+    """Occurrences by bin over all rows of ``texts``."""
+    found = texts.select("text").mapInArrow(_counts, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(BINS)
+    out[found["bin"]] = found["n"]
+    return out
 
 
 def log_ratio(raw: np.ndarray, trusted: np.ndarray) -> np.ndarray:
@@ -102,13 +82,32 @@ def log_ratio(raw: np.ndarray, trusted: np.ndarray) -> np.ndarray:
     return np.log(q / p)
 
 
-def ratios(llr: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(offsets) - 1)
+def target_of(raw: np.ndarray, trusted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What documents are held against: log ratio, raw share and trusted count by bin."""
+    return log_ratio(raw, trusted), (raw + PRIOR) / (raw.sum() + PRIOR * BINS), trusted
+
+
+def ratios(target: tuple, data: np.ndarray, offsets: np.ndarray, counted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's mean log ratio; the same against the target without the row's own n-grams, for rows ``counted`` marks."""
+    llr, p, trusted = target
+    total, rows = trusted.sum(), len(offsets) - 1
+    counted = np.zeros(rows, bool) if counted is None else counted
+    out, without = np.zeros(rows), np.zeros(rows)
     for lo, hi, part, off in chunks(data, offsets):
         bins, row = gram_bins(part, off)
         n = np.bincount(row, minlength=hi - lo)
-        out[lo:hi] = np.bincount(row, llr[bins], hi - lo) / np.maximum(n, 1)
-    return out
+        value = llr[bins]
+        out[lo:hi] = np.bincount(row, value, hi - lo) / np.maximum(n, 1)
+        mine = np.flatnonzero(counted[lo:hi][row])
+        if len(mine):
+            cell, at, times = np.unique(row[mine] * BINS + bins[mine], return_inverse=True, return_counts=True)
+            b = cell % BINS
+            # a row that only seems counted may hold more than the target does
+            rest = np.maximum(trusted[b] - times, 0) + PRIOR * BINS * p[b]
+            size = np.maximum(total - n[cell // BINS], 0) + PRIOR * BINS
+            value[mine] = np.log(rest / size / p[b])[at]
+        without[lo:hi] = np.bincount(row, value, hi - lo) / np.maximum(n, 1)
+    return out, without
 
 
 def base_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -145,65 +144,72 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
-    """(log ratio by bin, threshold); raw counts cover all documents, target and threshold all trusted ones."""
-    good = labels.where((F.col("quality") == 1) & (fold_of(F.col("doc_id")) != 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    # 64-bit hashes of the ids stand for them; parts are whole hash classes, so a document is trusted in one part only
-    good = stored(good.select(F.xxhash64(F.col("doc_id").cast(docs.schema["doc_id"].dataType)).alias("key")).distinct(), "good")
-    n_parts = max(1, -(-good.count() // PART_IDS))
-    keyed = docs.select("text", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).alias("key"))
+def trusted_ids(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_ids labelled of good quality outside the held-out fold, each once, written."""
+    good = labels.where((F.col("quality") == 1) & (fold_of(F.col("doc_id")) != 0))
+    good = good.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")).where(F.col("doc_id").isNotNull())
+    return stored(good.distinct(), "good")
+
+
+def filter_of(good: DataFrame) -> tuple[np.ndarray, int]:
+    """A hash filter of the trusted ids and its bits: about eight an id, within bounds."""
+    bits = min(max(FILTER_BITS, 1 << (8 * good.count()).bit_length()), MOST_FILTER_BITS)
+    return hash_filter(good, "doc_id", bits), bits
+
+
+def fit(docs: DataFrame, good: DataFrame, bitmap: np.ndarray, bits: int) -> tuple[tuple, float]:
+    """(target, threshold); raw counts cover all documents, target and threshold all trusted ones.
+
+    Trusted texts are marked once: what the filter lets through meets the ids
+    in a semi join and is written. Each is measured against the target without it."""
     context = docs.sparkSession.sparkContext
+    sent = context.broadcast(bitmap)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(batch.schema.get_field_index("bit")).to_numpy()
+            yield batch.filter(pa.array(in_filter(sent.value, bit)))
+
+    keyed = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", filter_bit(F.col("doc_id"), bits).alias("bit"))
+    trusted = keyed.mapInArrow(passing, keyed.schema).join(good, "doc_id", "left_semi").select("text")
+    trusted = stored(trusted, "trusted")
+    target = target_of(bin_counts(docs), bin_counts(trusted))
+    model = context.broadcast(target)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = np.ones(batch.num_rows, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(ratios(model.value, *texts_of(batch), every)[1])], ["r"])
 
-    def trusted_ids(part: int):
-        own = good.where(F.pmod(F.col("key"), F.lit(n_parts)) == part).toPandas()["key"]  # about PART_IDS numbers
-        return context.broadcast(np.sort(own.to_numpy(np.int64)))
-
-    sums = np.zeros((2, BINS))
-    for part in range(n_parts):
-        ids = trusted_ids(part)
-        found = keyed.mapInArrow(_counts(ids, part == 0), "kind int, bin int, n long").groupBy("kind", "bin").agg(F.sum("n").alias("n")).toPandas()
-        sums[found["kind"], found["bin"]] += found["n"]
-        if n_parts > 1:
-            ids.destroy()
-    llr = log_ratio(sums[0], sums[1])
-    sent = context.broadcast(llr)
-    n, mean, spread = 0, 0.0, 0.0
-    for part in range(n_parts):
-        ids = trusted_ids(part) if n_parts > 1 else ids
-
-        def rows(batches: Iterator[pa.RecordBatch], ids=ids) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                batch = batch.filter(pa.array(_trusted(batch, ids.value)))
-                yield pa.RecordBatch.from_arrays([pa.array(ratios(sent.value, *texts_of(batch)))], ["r"])
-
-        own = keyed.mapInArrow(rows, "r double").agg(F.count("r"), F.avg("r"), F.var_pop("r")).first()  # three numbers
-        if own[0]:  # moments of both parts together
-            off = own[1] - mean
-            spread += own[2] * own[0] + off * off * n * own[0] / (n + own[0])
-            n += own[0]
-            mean += off * own[0] / n
-        ids.destroy()
-    return llr, float(mean - SPREADS * np.sqrt(spread / n)) if n else float("-inf")
+    n, mean, spread = trusted.mapInArrow(measured, "r double").agg(F.count("r"), F.avg("r"), F.stddev_pop("r")).first()  # three numbers
+    return target, float(mean - SPREADS * spread) if n else float("-inf")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, kept and the ratio."""
-    llr, threshold = fit(docs, labels)
-    sent = docs.sparkSession.sparkContext.broadcast(llr)
+    good = trusted_ids(docs, labels)
+    bitmap, bits = filter_of(good)
+    target, threshold = fit(docs, good, bitmap, bits)
+    sent = docs.sparkSession.sparkContext.broadcast((target, bitmap))
     schema = docs.select("doc_id").schema
     for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"):
         schema = schema.add(name, "long")
-    schema = schema.add("ratio", "double")
+    schema = schema.add("ratio", "double").add("without", "double")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, known = sent.value
         for batch in batches:
             text = texts_of(batch)
             counts = base_counts(*text)
+            both = ratios(model, *text, in_filter(known, batch.column(2).to_numpy()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(counts[:, k]) for k in range(5)], pa.array(ratios(sent.value, *text))], schema.names
+                [batch.column(0), *[pa.array(counts[:, k]) for k in range(5)], *[pa.array(r) for r in both]], schema.names
             )
 
-    judged = docs.select("doc_id", "text").mapInArrow(rows, schema)
+    judged = docs.select("doc_id", "text", filter_bit(F.col("doc_id"), bits).alias("bit")).mapInArrow(rows, schema)
+    # a trusted document is held against the target without it, as any other is
+    judged = judged.join(good.withColumn("trusted", F.lit(True)), "doc_id", "left")
+    judged = judged.withColumn("ratio", F.when(F.col("trusted"), F.col("without")).otherwise(F.col("ratio")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("ratio") >= threshold)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio"

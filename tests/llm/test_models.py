@@ -177,26 +177,52 @@ def test_quality_rules_without_trusted_documents_and_empty(spark):
     assert quality_rules.judge(empty(spark), labels(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("part", [1 << 21, 7_000])
-def test_target_and_threshold_cover_every_trusted_document(spark, monkeypatch, part):
-    monkeypatch.setattr(quality_rules, "PART_IDS", part, raising=False)
-    texts = [f"w{k % 97} w{k % 89} w{k % 7}" for k in range(30_000)]
+@pytest.mark.parametrize("most", [1 << 28, 1 << 23, 1 << 6])
+def test_target_and_threshold_cover_every_trusted_document(spark, monkeypatch, most):
+    monkeypatch.setattr(quality_rules, "MOST_FILTER_BITS", most)
+    texts = [f"w{k % 97} w{k % 89} w{k % 7} w{k % 7}" for k in range(30_000)]
     docs = spark.createDataFrame([*enumerate(texts), (5, texts[6]), (None, "w1 w2")], "doc_id long, text string")
     marks = labels(spark, [(k, int(k % 4 != 0), 0, None) for k in range(30_000)] + [(5, 1, 0, None), (None, 1, 0, None)])
     good = {r.doc_id for r in marks.where((F.col("quality") == 1) & (toxicity.fold_of(F.col("doc_id")) != 0)).collect()} - {None}
     assert len(good) > 16_000
 
-    def packed(own):
+    def bins(own):
         raw = [x.encode() for x in own]
-        return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
-
-    bins = lambda own: np.bincount(quality_rules.gram_bins(*packed(own))[0], minlength=quality_rules.BINS)
-    mine = [texts[k] for k in sorted(good)] + [texts[6]]
-    want = quality_rules.log_ratio(bins([*texts, texts[6], "w1 w2"]), bins(mine))
-    llr, threshold = quality_rules.fit(docs, marks)
-    assert np.allclose(llr, want, atol=1e-12)
-    r = quality_rules.ratios(want, *packed(mine))
+        return quality_rules.gram_bins(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))[0]
+
+    count = lambda own: np.bincount(bins(own), minlength=quality_rules.BINS).astype(float)
+    mine = [texts[k] for k in sorted(good)] + [texts[6]] * (5 in good)
+    raw, trusted = count([*texts, texts[6], "w1 w2"]), count(mine)
+    ids = quality_rules.trusted_ids(docs, marks)
+    target, threshold = quality_rules.fit(docs, ids, *quality_rules.filter_of(ids))
+    assert np.allclose(target[0], quality_rules.log_ratio(raw, trusted), atol=1e-12) and (target[2] == trusted).all()
+
+    smooth = quality_rules.PRIOR * quality_rules.BINS
+    p = (raw + quality_rules.PRIOR) / (raw.sum() + smooth)
+
+    def without(text):
+        own = list(bins([text]))
+        return np.mean([np.log((trusted[b] - own.count(b) + smooth * p[b]) / (trusted.sum() - len(own) + smooth) / p[b]) for b in own])
+
+    want = {t: without(t) for t in set(mine)}
+    r = np.array([want[t] for t in mine])
     assert threshold == pytest.approx(r.mean() - quality_rules.SPREADS * r.std(), abs=1e-9)
+    plain = quality_rules.log_ratio(raw, trusted)
+    for row in quality_rules.judge(docs, marks).where("doc_id % 100 < 9").collect():
+        text = {texts[row.doc_id], texts[6] if row.doc_id == 5 else texts[row.doc_id]}
+        is_right = lambda t: row.ratio == pytest.approx(want[t] if row.doc_id in good else plain[bins([t])].mean(), abs=1e-9)
+        assert any(map(is_right, text))
+
+
+def test_quality_verdict_does_not_depend_on_a_read_label(spark):
+    """Good documents are kept alike, whether their label was read or held out."""
+    got = queries.QUERIES["op8_quality_rules"](spark, SF).toPandas().merge(spark.read.parquet(f"{SF}/labels.parquet").toPandas(), on="doc_id")
+    fold = {r.doc_id: r.f for r in spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", toxicity.fold_of(F.col("doc_id")).alias("f")).collect()}
+    passed = got[(got.quality == 1) & ~got.base_failed]
+    read = passed.doc_id.map(fold) != 0
+    assert read.sum() > 100 and (~read).sum() > 30
+    assert abs(passed[read].kept.mean() - passed[~read].kept.mean()) < 0.03
+    assert abs(passed[read].ratio.mean() - passed[~read].ratio.mean()) < 0.05
 
 
 # --- multiple-instance quality
