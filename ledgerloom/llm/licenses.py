@@ -2,12 +2,13 @@
 
 The index holds, for every word of the licence templates, its places
 (template, position). A file's licence words are found with their positions;
-their document frequencies over all files give the IDF. Of each file the
-highest-IDF licence words (at least ``RARE`` of the file's highest IDF) are
-looked up: a word at position i with a posting (t, p) votes for template t
-laid at i - p, weighted by IDF. A lay with ``ENOUGH`` of its template's weight
-is a candidate, verified by the template's mandatory key phrases standing
-within the lay.
+their document frequencies over all files give the IDF. Of each file the words
+that are among a template's highest-IDF ones are looked up: a word at position i
+with a posting (t, p) votes for template t laid at i - p. Of every template so
+many words are looked up that the others don't make ``ENOUGH`` of its IDF weight,
+so no lay with that much goes without a vote. All words of the lay then score it;
+a lay with ``ENOUGH`` is verified by the template's mandatory key phrases
+standing within it.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased.
 
@@ -45,13 +46,28 @@ TEMPLATES = (
     ("cc0", "dedicated to the public domain under cc0 1 0 universal", ("public domain", "cc0")),
     ("proprietary", "copyright all rights reserved", ("all rights reserved",)),
 )
-RARE, ENOUGH = 0.5, 0.6
+#: Share of a template's weight that a lay must hold.
+ENOUGH = 0.6
+#: Slack of bounds against sums rounded to six digits.
+SLACK = 1e-6
 
 
 def _vocabulary(templates, base) -> list[str]:
     return sorted({w for _, notice, _ in templates for w in notice.split()} | {w for p, _ in base for w in p.split()})
 
 
+def _rare_places(words: list[str], idf: dict, unseen: float) -> list[int]:
+    """Places of a notice's highest-IDF words, as many as make a lay without any of them fall short of ``ENOUGH``."""
+    weight = [idf.get(w, unseen) for w in words]
+    out, left = [], (1 - ENOUGH + SLACK) * sum(weight)
+    for p in sorted(range(len(words)), key=lambda p: (-weight[p], p)):
+        if left < 0:
+            break
+        out.append(p)
+        left -= weight[p]
+    return out
+
+
 def _phrase_starts(hits: Column, phrase: str) -> Column:
     """Positions where the phrase's words stand consecutively; ``hits`` holds
     all places (i, w) of licence words in order, so they are neighbours there."""
@@ -88,32 +104,42 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE) -> DataFrame:
     seen = files.select(F.explode(F.array_distinct(F.transform("hits", lambda x: x["w"]))).alias("w")).groupBy("w").count()
     df = {r["w"]: r["count"] for r in seen.collect()}
     idf = {w: math.log1p(n_files / df[w]) for w in vocabulary if w in df}
-    postings = [(w, idf[w], t, p) for t, (_, notice, _) in enumerate(templates) for p, w in enumerate(notice.split()) if w in idf]
+    unseen = math.log1p(n_files)
+    notices = [notice.split() for _, notice, _ in templates]
+    rare = [_rare_places(ws, idf, unseen) for ws in notices]
+    postings = [(ws[p], idf[ws[p]], t, p) for t, ws in enumerate(notices) for p in rare[t] if ws[p] in idf]
     index = spark.createDataFrame(postings or [("", 0.0, -1, 0)], "w string, idf double, t int, p long")
-    weight = [sum(idf.get(w, math.log1p(n_files)) for w in notice.split()) for _, notice, _ in templates]
+    weight = [sum(idf.get(w, unseen) for w in ws) for ws in notices]
 
-    # a template can only reach ENOUGH in a file that has that weight of its words somewhere
+    # a template can only reach ENOUGH in a file that has that weight of its words somewhere; rest: what its other words may add to the votes
     own = F.array_distinct(F.transform("hits", lambda x: x["w"]))
     able = []
-    for t, (_, notice, _) in enumerate(templates):
-        has = sum((F.when(F.array_contains("own", w), F.lit(idf[w])).otherwise(0.0) for w in notice.split() if w in idf), F.lit(0.0))
-        able.append(F.when(has >= (ENOUGH - 1e-6) * weight[t], F.lit(t)))
-    scored = files.where("size(hits) > 0").withColumn("own", own).withColumn("able", F.filter(F.array(*able), lambda t: t.isNotNull()))
-    scored = scored.where("size(able) > 0")
-    weigh = F.create_map(*[x for w in idf for x in (F.lit(w), F.lit(idf[w]))]) if idf else F.create_map(F.lit(""), F.lit(0.0))
-    best = F.array_max(F.transform("own", lambda w: F.coalesce(weigh[w], F.lit(0.0))))
-    rare = scored.withColumn("best", best).withColumn("x", F.explode("hits")).join(F.broadcast(index), F.col("x.w") == F.col("w"))
-    rare = rare.where(F.array_contains("able", F.col("t")))
+    for t, ws in enumerate(notices):
+        has = [F.when(F.array_contains("own", w), F.lit(idf.get(w, 0.0))).otherwise(0.0) for w in ws]
+        rest = sum((has[p] for p in range(len(ws)) if p not in rare[t]), F.lit(0.0))
+        able.append(F.when(sum(has, F.lit(0.0)) >= (ENOUGH - SLACK) * weight[t], F.struct(F.lit(t).alias("t"), rest.alias("rest"))))
+    scored = files.where("size(hits) > 0").withColumn("own", own).withColumn("able", F.filter(F.array(*able), lambda x: x.isNotNull()))
+    # few bytes but much work a row: dealt by file over all tasks, which the groups below keep
+    scored = scored.where("size(able) > 0").select("file", "able", "hits").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file")
+    votes = scored.withColumn("x", F.explode("hits")).join(F.broadcast(index), F.col("x.w") == F.col("w"))
+    votes = votes.withColumn("able", F.get(F.filter("able", lambda x: x["t"] == F.col("t")), F.lit(0))).where("able is not null")
+    whole = F.element_at(F.array(*[F.lit(w) for w in weight]), F.col("t") + 1)
     lays = (
-        rare.where(F.col("idf") >= RARE * F.col("best"))
-        .groupBy("file", "t", (F.col("x.i") - F.col("p")).alias("at"))
-        .agg(F.sum("idf").alias("got"), F.count("*").alias("places"))
+        votes.groupBy("file", "t", (F.col("x.i") - F.col("p")).alias("at"))
+        .agg((F.sum("idf") + F.max("able.rest")).alias("most"))
+        .where(F.col("most") >= (ENOUGH - SLACK) * whole)
     )
-    share = F.element_at(F.array(*[F.lit(w) for w in weight]), F.col("t") + 1)
-    lays = lays.withColumn("share", F.round(F.col("got") / share, 6)).where(F.col("share") >= ENOUGH)
+
+    # all words of the lay score it
+    notice = F.element_at(F.array(*[F.array(*map(F.lit, ws)) for ws in notices]), F.col("t") + 1)
+    weigh = F.create_map(*[x for w in idf for x in (F.lit(w), F.lit(idf[w]))]) if idf else F.create_map(F.lit(""), F.lit(0.0))
+    inside = F.filter("hits", lambda x: (x["i"] >= F.col("at")) & (x["i"] < F.col("at") + F.size("notice")))
+    fits = F.filter(inside, lambda x: F.get(F.col("notice"), (x["i"] - F.col("at")).cast("int")) == x["w"])
+    got = F.aggregate(fits, F.lit(0.0), lambda sofar, x: sofar + weigh[x["w"]])
+    lays = lays.join(files.select("file", "hits"), "file").withColumn("notice", notice)
+    lays = lays.withColumn("share", F.round(got / whole, 6)).where(F.col("share") >= ENOUGH)
 
     # verify the mandatory phrases inside the lay
-    found = lays.join(files.select("file", "hits"), "file")
     ok = F.lit(False)
     for t, (_, notice, phrases) in enumerate(templates):
         every = F.lit(True)
@@ -121,7 +147,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE) -> DataFrame:
             every = every & F.exists(_phrase_starts(F.col("hits"), p), _within(len(notice.split())))
         ok = F.when(F.col("t") == t, every).otherwise(ok)
     name = F.element_at(F.array(*[F.lit(label) for label, _, _ in templates]), F.col("t") + 1)
-    verified = found.where(ok).groupBy("file").agg(
+    verified = lays.where(ok).groupBy("file").agg(
         F.collect_set(name).alias("names"), F.max("share").alias("score"),
         F.array_sort(F.collect_list(F.struct("at", name.alias("label"), "share"))).alias("lays"),
     )

@@ -29,11 +29,9 @@ idf AS (SELECT w, ln(1 + (SELECT count(*) FROM files) / count(DISTINCT file)) AS
 postings AS (SELECT t, p, ns[p + 1] AS w FROM (SELECT t, ns, unnest(range(len(ns))) AS p FROM notices)),
 weights AS (
   SELECT t, sum(coalesce(idf, ln(1 + (SELECT count(*) FROM files)))) AS weight FROM postings LEFT JOIN idf USING (w) GROUP BY t),
-best AS (SELECT file, max(idf) AS best FROM hits JOIN idf USING (w) GROUP BY file),
 lays AS (
   SELECT file, t, i - p AS laid, round(sum(idf) / any_value(weight), 6) AS share
-  FROM hits JOIN idf USING (w) JOIN best USING (file) JOIN postings USING (w) JOIN weights USING (t)
-  WHERE idf >= {licenses.RARE} * best GROUP BY file, t, i - p),
+  FROM hits JOIN idf USING (w) JOIN postings USING (w) JOIN weights USING (t) GROUP BY file, t, i - p),
 stands AS (
   SELECT DISTINCT file, t, laid, share, ps FROM lays JOIN phrases USING (t) JOIN files USING (file) JOIN notices USING (t)
   WHERE share >= {licenses.ENOUGH}

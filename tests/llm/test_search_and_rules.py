@@ -123,6 +123,40 @@ def test_notices_are_found_where_they_lie(spark):
         assert any(x.label == label and x.at == len(re.findall(licenses.LICENSE_WORD, rows[60 + k][1].split("\n")[0].translate(FOLD))) for x in r.lays)
 
 
+def brute_licenses(texts):
+    """Every template laid at every place of every text."""
+    files = [re.findall(licenses.LICENSE_WORD, (t or "").translate(FOLD)) for t in texts]
+    vocabulary = set(licenses._vocabulary(licenses.TEMPLATES, licenses.BASE))
+    df = {w: sum(w in f for f in files) for w in vocabulary}
+    idf = {w: np.log1p(len(files) / n) if n else np.log1p(len(files)) for w, n in df.items()}
+    out = []
+    for f in files:
+        labels = {lab for p, lab in licenses.BASE if any(f[k : k + len(p.split())] == p.split() for k in range(len(f)))}
+        score = 0.0
+        for label, notice, phrases in licenses.TEMPLATES:
+            ns = notice.split()
+            for at in range(1 - len(ns), len(f)):
+                share = round(sum(idf[w] for p, w in enumerate(ns) if 0 <= at + p < len(f) and f[at + p] == w) / sum(idf[w] for w in ns), 6)
+                spans = range(max(at, 0), min(at + len(ns), len(f)))
+                if share >= licenses.ENOUGH and all(any(f[i : i + len(p.split())] == p.split() for i in spans) for p in phrases):
+                    labels.add(label)
+                    score = max(score, share)
+        out.append((",".join(sorted(labels)), score))
+    return out
+
+
+def test_rarer_words_beside_a_notice_take_nothing_from_it(spark):
+    both = "Released under the MIT license. Subject to the terms of the Mozilla Public License v 2 0"
+    texts = ["released under the mit license"] * 40 + ["released under the mit license mozilla", both, "the mit license " * 300, "under the mit license of", ""]
+    texts += [n.replace("license", "licence", 1) + " universal cc0 " + k for _, n, _ in licenses.TEMPLATES for k in ("a", "license v 2", "mozilla affero")]
+    texts += [" ".join(n.split()[cut:]) for _, n, _ in licenses.TEMPLATES for cut in (1, 2, 4)] + ["plain words of a text"] * 60
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got[40].labels == "mit" and got[40].score == 1.0 and got[41].labels == "mit,mpl-2.0"
+    want = brute_licenses(texts)
+    assert [got[k].labels for k in range(len(texts))] == [x for x, _ in want]
+    assert [got[k].score for k in range(len(texts))] == pytest.approx([x for _, x in want], abs=2e-6)
+
+
 def test_scattered_words_are_no_notice(spark):
     docs = spark.createDataFrame([(0, "license under licensed 0 version the apache 2")] + [(k, "plain text") for k in range(1, 9)], "doc_id long, text string")
     assert {r.labels for r in licenses.scan(docs).collect()} == {""}
