@@ -7,8 +7,8 @@ quality, outside the held-out fold, all of them) and the raw corpus
 document's ratio is the mean over its n-grams of log(target / raw); a trusted
 document's own n-grams are taken out of the target first, so that no verdict
 depends on whether a label was read. A document is kept if no base rule fails and its ratio is at least the threshold: the
-trusted documents' mean less ``SPREADS`` standard deviations, a fixed number
-that every document is held against.
+mean less ``SPREADS`` standard deviations of all trusted documents that pass the
+base rules (it is held against such documents only), a fixed number.
 
 Base rules: fewer than 50 words, or more than half of the words in 3-word
 windows that stand in the text twice or more.
@@ -144,6 +144,11 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def failing(counts: np.ndarray) -> np.ndarray:
+    """Rows of :func:`base_counts` that a base rule fails."""
+    return (counts[:, 0] < MIN_WORDS) | (100 * counts[:, 4] > MAX_REPEAT_PERCENT * counts[:, 0])
+
+
 def trusted_ids(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_ids labelled of good quality outside the held-out fold, each once, written."""
     good = labels.where((F.col("quality") == 1) & (fold_of(F.col("doc_id")) != 0))
@@ -158,7 +163,7 @@ def filter_of(good: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def fit(docs: DataFrame, good: DataFrame, bitmap: np.ndarray, bits: int) -> tuple[tuple, float]:
-    """(target, threshold); raw counts cover all documents, target and threshold all trusted ones.
+    """(target, threshold); raw counts cover all documents, the target all trusted ones, the threshold those that pass the base rules.
 
     Trusted texts are marked once: what the filter lets through meets the ids
     in a semi join and is written. Each is measured against the target without it."""
@@ -178,8 +183,10 @@ def fit(docs: DataFrame, good: DataFrame, bitmap: np.ndarray, bits: int) -> tupl
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = np.ones(batch.num_rows, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(ratios(model.value, *texts_of(batch), every)[1])], ["r"])
+            text = texts_of(batch)
+            passed = ~failing(base_counts(*text))
+            own = ratios(model.value, *text, np.ones(batch.num_rows, bool))[1]
+            yield pa.RecordBatch.from_arrays([pa.array(own[passed])], ["r"])
 
     n, mean, spread = trusted.mapInArrow(measured, "r double").agg(F.count("r"), F.avg("r"), F.stddev_pop("r")).first()  # three numbers
     return target, float(mean - SPREADS * spread) if n else float("-inf")
