@@ -97,11 +97,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE) -> DataFrame:
         F.monotonically_increasing_id().alias("file"), "doc_id", F.size("words").cast("long").alias("n_words"),
         F.filter(placed, lambda x: x["w"].isin(*vocabulary)).alias("hits"),
     )
+    files = files.withColumn("own", F.array_distinct(F.transform("hits", lambda x: x["w"])))
     files = stored(files, "license_words")
 
     # IDF of the licence words: at most one row per vocabulary word
     n_files = files.count()
-    seen = files.select(F.explode(F.array_distinct(F.transform("hits", lambda x: x["w"]))).alias("w")).groupBy("w").count()
+    seen = files.select(F.explode("own").alias("w")).groupBy("w").count()
     df = {r["w"]: r["count"] for r in seen.collect()}
     idf = {w: math.log1p(n_files / df[w]) for w in vocabulary if w in df}
     unseen = math.log1p(n_files)
@@ -112,13 +113,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE) -> DataFrame:
     weight = [sum(idf.get(w, unseen) for w in ws) for ws in notices]
 
     # a template can only reach ENOUGH in a file that has that weight of its words somewhere; rest: what its other words may add to the votes
-    own = F.array_distinct(F.transform("hits", lambda x: x["w"]))
     able = []
     for t, ws in enumerate(notices):
         has = [F.when(F.array_contains("own", w), F.lit(idf.get(w, 0.0))).otherwise(0.0) for w in ws]
         rest = sum((has[p] for p in range(len(ws)) if p not in rare[t]), F.lit(0.0))
         able.append(F.when(sum(has, F.lit(0.0)) >= (ENOUGH - SLACK) * weight[t], F.struct(F.lit(t).alias("t"), rest.alias("rest"))))
-    scored = files.where("size(hits) > 0").withColumn("own", own).withColumn("able", F.filter(F.array(*able), lambda x: x.isNotNull()))
+    scored = files.where("size(own) > 0").withColumn("able", F.filter(F.array(*able), lambda x: x.isNotNull()))
     # few bytes but much work a row: dealt by file over all tasks, which the groups below keep
     scored = scored.where("size(able) > 0").select("file", "able", "hits").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file")
     votes = scored.withColumn("x", F.explode("hits")).join(F.broadcast(index), F.col("x.w") == F.col("w"))
