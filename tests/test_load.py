@@ -114,3 +114,19 @@ def test_warehouse_load_lists_missing_files_and_routes(spark, tmp_path):
     got = load_warehouse(spark, files, root, on_bad="route")
     assert list(got) == LOAD_ORDER and got["recon_match_result"].count() == 2
     assert read_table(spark, root, "rejects", "recon_match_result").count() == 1
+
+
+def test_warehouse_load_takes_one_settlement_id_per_country(spark, tmp_path):
+    """Batches without a store have one name, and so one settlement id, in all countries."""
+    files = str(tmp_path / "in")
+    for t in LOAD_ORDER:
+        _csv(files, f"{t}.csv", ",".join(RAW_SCHEMAS[t].fieldNames()), [])
+    cols = RAW_SCHEMAS["bank_card_settlement"].fieldNames()
+    required = {f.name for f in RAW_SCHEMAS["bank_card_settlement"].fields if not f.nullable}
+    line = lambda country: ",".join({"settlement_id": "STL-NOSTORE-VISA-20010101", "country_code": country}.get(c, "1" if c in required else "") for c in cols)
+    _csv(files, "bank_card_settlement.csv", ",".join(cols), [line("ASIA"), line("EUROPE")])
+    got = load_warehouse(spark, files, str(tmp_path / "out"))["bank_card_settlement"]
+    assert sorted(r.country_code for r in got.collect()) == ["ASIA", "EUROPE"]
+    _csv(files, "bank_card_settlement.csv", ",".join(cols), [line("ASIA"), line("ASIA")])
+    with pytest.raises(Exception, match="bank_card_settlement key .settlement_id, country_code. occurs again"):
+        load_warehouse(spark, files, str(tmp_path / "again"))
