@@ -127,6 +127,19 @@ def test_toxicity_learns_only_outside_the_held_out_fold(spark):
     assert np.allclose(again[held.doc_id].to_numpy(), held.toxicity_score.to_numpy())
 
 
+def test_toxicity_learns_from_every_label(spark):
+    """A word with the least contexts that count, each in one of 24,000 labelled documents."""
+    import zlib
+    counted = [k for k in range(24_000) if zlib.crc32(str(k).encode()) % 5 in (1, 2, 3)]
+    bad = counted[:: len(counted) // toxicity.MIN_COUNT][: toxicity.MIN_COUNT]
+    docs = spark.range(24_000).selectExpr("id as doc_id", f"concat('w', id, if(id in ({', '.join(map(str, bad))}), ' vile', ' mild')) as text")
+    marks = docs.selectExpr("doc_id", "cast(text like '% vile' as int) as toxic")
+    data = np.frombuffer(b"vile", np.uint8)
+    vile = toxicity.c.span_hashes(data, np.array([0]), np.array([4])).view(np.int64)[0]
+    model = toxicity.fit(docs, marks)
+    assert vile in model["words"] and model["word_llr"][model["words"] == vile][0] > 0
+
+
 def test_toxicity_cases(spark):
     docs, rows = documents(spark)
     some = labels(spark, [(k, 1, int(k % 3 == 0), None) for k in range(40)] + [(0, 1, 0, None), (None, None, None, None)])
