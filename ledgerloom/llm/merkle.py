@@ -12,7 +12,7 @@ nodes, so that each is a whole subtree and one small group:
   superblocks, until each source has one, and so on over the sources;
 * down: the exchange. A superblock's nodes and the outer nodes that its proofs
   need (the siblings between it and the root) are cogrouped by superblock in
-  ``applyInPandas``, which reduces the nodes again, joins each node's inner
+  ``applyInArrow``, which reduces the nodes again, joins each node's inner
   siblings to the outer ones and, at the leaves, folds the proofs.
 
 No group holds more than ``SPAN`` nodes and one path of about
@@ -34,7 +34,7 @@ import hashlib
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,45 +90,51 @@ def _siblings(levels: list[list[str]], k: int) -> tuple[list[str], list[str]]:
     return lefts, rights
 
 
-def _reduced(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
-    tree, block = key
-    top = _levels(nodes.sort_values("pos")["node"].tolist(), block == 0)[-1][0]
-    return pd.DataFrame({"tree": [tree], "pos": [block], "node": [top]})
+def _reduced(key: tuple, nodes: pa.Table) -> pa.Table:
+    tree, block = (x.as_py() for x in key)
+    top = _levels(nodes.sort_by("pos")["node"].to_pylist(), block == 0)[-1][0]
+    return pa.table({"tree": [tree], "pos": pa.array([block], pa.int64()), "node": [top]})
 
 
-def _paths(nodes: pd.DataFrame, outer: pd.DataFrame, block: int) -> Iterator[tuple[list[str], list[str], str, str]]:
+def _paths(nodes: pa.Table, outer: pa.Table, block: int) -> Iterator[tuple[list[str], list[str], str, str]]:
     """Of each node in order: siblings up to the root, subroot and root. Outer
     nodes that don't know the root yet stand at the top, which is the root."""
-    levels, above = _levels(nodes["node"].tolist(), block == 0), outer.iloc[0]
+    levels, above = _levels(nodes["node"].to_pylist(), block == 0), outer.slice(0, 1).to_pylist()[0]
     root = above["root"] or levels[-1][0]
-    for k in range(len(nodes)):
+    for k in range(nodes.num_rows):
         lefts, rights = _siblings(levels, k)
         yield [*lefts, *above["lefts"]], [*rights, *above["rights"]], above["subroot"], root
 
 
-def _passed_on(key: tuple, nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+PATHS = pa.schema([("tree", pa.string()), ("block", pa.int64()), ("lefts", pa.list_(pa.string())), ("rights", pa.list_(pa.string())), ("subroot", pa.string()), ("root", pa.string())])
+
+
+def _passed_on(key: tuple, nodes: pa.Table, outer: pa.Table) -> pa.Table:
     """The outer nodes of the superblocks below: a row for each node of this one."""
-    if nodes.empty:  # the top of an empty table
-        return pd.DataFrame(columns=["tree", "block", "lefts", "rights", "subroot", "root"])
-    nodes = nodes.sort_values("pos")
-    lefts, rights, subroots, roots = zip(*_paths(nodes, outer, key[1]))
+    if not nodes.num_rows:  # the top of an empty table
+        return PATHS.empty_table()
+    nodes = nodes.sort_by("pos")
+    lefts, rights, subroots, roots = zip(*_paths(nodes, outer, key[1].as_py()))
     # among the subroots, the node is the subroot; below, it has come from above
-    subroots = [above or node for above, node in zip(subroots, nodes["node"])]
-    return pd.DataFrame({"tree": nodes["below"], "block": nodes["below_block"], "lefts": lefts, "rights": rights, "subroot": subroots, "root": roots})
+    subroots = [above or node for above, node in zip(subroots, nodes["node"].to_pylist())]
+    return pa.table([nodes["below"], nodes["below_block"], list(lefts), list(rights), subroots, list(roots)], schema=PATHS)
+
+
+FOLDED = pa.schema([*((x, pa.string()) for x in ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root")), ("verified", pa.bool_())])
 
 
-def _folded(key: tuple, leaves: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _folded(key: tuple, leaves: pa.Table, outer: pa.Table) -> pa.Table:
     """A row for each leaf: its proof's digest, and what folding the tampered leaf over the proof gives."""
-    leaves, proofs, ends, subroots, roots = leaves.sort_values("pos"), [], [], [], []
-    for (lefts, rights, subroot, root), node in zip(_paths(leaves, outer, key[1]), leaves["tampered"]):
+    leaves, proofs, ends, subroots, roots = leaves.sort_by("pos"), [], [], [], []
+    for (lefts, rights, subroot, root), node in zip(_paths(leaves, outer, key[1].as_py()), leaves["tampered"].to_pylist()):
         proofs.append(digest("".join(left + right for left, right in zip(lefts, rights))))
         for left, right in zip(lefts, rights):
             node = digest(left + node + right)
         ends.append(node)
         subroots.append(subroot)
         roots.append(root)
-    return pd.DataFrame({"doc_id": leaves["doc_id"], "leaf": leaves["node"], "subroot": subroots, "root": roots,
-                         "proof_sha256": proofs, "folded_root": ends, "verified": [a == b for a, b in zip(ends, roots)]})
+    verified = [a == b for a, b in zip(ends, roots)]
+    return pa.table([leaves["doc_id"], leaves["node"], subroots, roots, proofs, ends, verified], schema=FOLDED)
 
 
 def _blocks(level: DataFrame) -> DataFrame:
@@ -142,14 +148,14 @@ def _climb(level: DataFrame, name: str) -> list[DataFrame]:
     while most is not None and most > 0:
         k, most = k + 1, most // SPAN
         nodes = _blocks(out[-1].select("tree", "pos", "node"))
-        out.append(stored(nodes.groupBy("tree", "block").applyInPandas(_reduced, "tree string, pos long, node string"), f"{name}{k}"))
+        out.append(stored(nodes.groupBy("tree", "block").applyInArrow(_reduced, "tree string, pos long, node string"), f"{name}{k}"))
     return out
 
 
 def _descend(level: DataFrame, outer: DataFrame, below: Column, below_block: Column) -> DataFrame:
     """The outer nodes for the superblocks below ``level``."""
     nodes = _blocks(level.withColumn("below", below).withColumn("below_block", below_block))
-    return nodes.groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInPandas(_passed_on, f"tree string, block long, {PATH}")
+    return nodes.groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInArrow(_passed_on, f"tree string, block long, {PATH}")
 
 
 def _numbered(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
@@ -163,7 +169,6 @@ def manifest(docs: DataFrame) -> DataFrame:
     tree = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("+"), F.col("source")))
     # written first: numbering samples its input before it deals it, and texts are read once
     leaves = stored(docs.select(tree.alias("tree"), F.col("doc_id"), leaf().alias("node"), tampered_leaf().alias("tampered")), "leaves")
-    # ids as text: pandas has no whole numbers with gaps
     leaves = _numbered(leaves, ["tree"], ["doc_id", "node"]).withColumn("doc_id", F.col("doc_id").cast("string"))
     sources = _climb(leaves, "nodes")
     subroots = sources[-1].select(F.col("tree").alias("below"), "node")
@@ -177,5 +182,5 @@ def manifest(docs: DataFrame) -> DataFrame:
     for level in reversed(sources[1:-1]):
         outer = stored(_descend(level, outer, F.col("tree"), F.col("pos")), "outer")
     schema = "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
-    out = _blocks(leaves).groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInPandas(_folded, schema)
+    out = _blocks(leaves).groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInArrow(_folded, schema)
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
