@@ -155,6 +155,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``_log_softmax`` of one entry of each row; ``x`` is overwritten."""
+    x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(at)), at]
+    return own - np.log(np.exp(x, out=x).sum(1))
+
+
 def _hidden(net: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
     z = np.repeat(net["b"][None], around.shape[1], axis=0)
     for j in range(2 * REACH):
@@ -163,7 +170,7 @@ def _hidden(net: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
 
 
 def _by_class(kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(kind, kind="stable")
+    order = np.argsort(kind.astype(np.int8), kind="stable")  # few bits are sorted by radix
     bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
     for k in range(CLASSES):
         if bounds[k] < bounds[k + 1]:
@@ -177,9 +184,9 @@ def log_probabilities(net: dict[str, np.ndarray], ids: np.ndarray, around: np.nd
         own = ids[lo : lo + (1 << 15)]
         h = _hidden(net, around[:, lo : lo + (1 << 15)])
         kind, member = own // MEMBERS, own % MEMBERS
-        part = _log_softmax(h @ net["C"].T + net["c"])[np.arange(len(own)), kind].astype(np.float64)
+        part = _log_softmax_at(h @ net["C"].T + net["c"], kind).astype(np.float64)
         for k, rows in _by_class(kind):
-            part[rows] += _log_softmax(h[rows] @ net["M"][k].T + net["m"][k])[np.arange(len(rows)), member[rows]]
+            part[rows] += _log_softmax_at(h[rows] @ net["M"][k].T + net["m"][k], member[rows])
         out[lo : lo + (1 << 15)] = part
     return out
 
