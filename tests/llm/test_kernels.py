@@ -78,3 +78,18 @@ def test_hash_filter_finds_every_key(spark):
     assert c.in_filter(bitmap, bits).all()
     others = spark.range(1000, 3000).select(c.filter_bit("id").alias("b")).toPandas()["b"].to_numpy()
     assert c.in_filter(bitmap, others).sum() < 5
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, c.CHUNK_BYTES + 1, c.CHUNK_BYTES + 9])
+def test_powers_are_kept_for_a_chunk_and_right_for_any_length(n):
+    got = c.powers(c.BASE, n)
+    assert len(got) == n and (n < 1 or got[0] == 1) and (got[1:] == got[:-1] * c.BASE).all()
+    assert np.shares_memory(c.powers(c.BASE, 9), c.powers(c.BASE, 5))
+
+
+def test_one_entry_of_a_log_softmax_is_the_same_bits():
+    from ledgerloom.llm import lm_scoring
+    rng = np.random.default_rng(3)
+    x, at = rng.normal(0, 4, (300, 32)).astype(np.float32), rng.integers(0, 32, 300)
+    want = lm_scoring._log_softmax(x)[np.arange(300), at]
+    assert (lm_scoring._log_softmax_at(x.copy(), at) == want).all()
