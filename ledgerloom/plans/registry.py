@@ -9,6 +9,7 @@ derivation plans end to end from the test-warehouse tables.
 from __future__ import annotations
 
 import functools
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,12 @@ from ledgerloom.operators.ranges import read_sorted, save_sorted, work_folder
 from ledgerloom.plans import oracle, scalar_queries
 from ledgerloom.plans.build import ORDERS, built_models
 from ledgerloom.plans.models import MODEL_NAMES, Models
-from ledgerloom.session import path_exists, session_key
+from ledgerloom.session import session_key
 from ledgerloom.sources.io import write_csv
 from ledgerloom.sources.load import load_warehouse
 from ledgerloom.sources.raw import BUILDERS, RawTables, stored_raw
 from ledgerloom.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RAW_SCHEMAS
+from ledgerloom.sources.tables import written_once
 
 CFG = ReconConfig()
 CFG_FIXED = with_all_fixes(CFG)
@@ -279,15 +281,18 @@ FROM ({ORACLES["s15_load_audit"]}) audit""")
 
 
 # ---------------------------------------------------------------- CSV load
+_LOADING = threading.Lock()
+
+
 def csv_warehouse(s: SparkSession, d: str) -> dict[str, DataFrame]:
     """The raw tables written as CSV, then loaded, checked and published from it
-    (once for each set of input files)."""
+    (once for each set of input files, also when several queries ask at the same time)."""
     raw = stored_raw(s, d, CFG)
     files, root = f"{raw.root}-csv", f"{raw.root}-loaded"
-    for t, schema in RAW_SCHEMAS.items():
-        if not path_exists(s, f"{files}/{t}.csv/_SUCCESS"):
-            write_csv(raw.get(t), f"{files}/{t}.csv", schema.fieldNames())
-    return load_warehouse(s, files, root)
+    with _LOADING:
+        for t, schema in RAW_SCHEMAS.items():
+            written_once(s, f"{files}/{t}.csv", lambda folder, t=t, schema=schema: write_csv(raw.get(t), folder, schema.fieldNames()))
+        return load_warehouse(s, files, root)
 
 
 def csv_load_audit(s: SparkSession, d: str) -> DataFrame:

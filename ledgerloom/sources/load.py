@@ -141,7 +141,7 @@ def load_warehouse(spark: SparkSession, folder: str, root: str, suffix: str = ".
     """The sixteen raw tables of ``folder`` loaded, checked and published
     under ``root/raw``, dimensions before facts before the derived table.
 
-    A table already published there is read as it is. Rejected rows of a routed
+    A table already published there, also by another session meanwhile, is read as it is. Rejected rows of a routed
     load are published as ``root/rejects/<table>``. All files are looked for
     before the first is read."""
     paths = {}
@@ -153,7 +153,7 @@ def load_warehouse(spark: SparkSession, folder: str, root: str, suffix: str = ".
     def load(table: str) -> DataFrame:
         if current_version(spark, root, "raw", table) is None:
             got = load_csv(spark, paths[table], table, on_bad=on_bad)
-            publish(enforced(got.rows, table, LOAD_KEYS.get(table)), root, "raw", table)
+            publish(enforced(got.rows, table, LOAD_KEYS.get(table)), root, "raw", table, over=False)
             if got.n_rejected:
                 publish(got.rejects, root, "rejects", table)
         return read_table(spark, root, "raw", table)

@@ -79,3 +79,43 @@ def test_build_keeps_declared_order_and_survives_a_failed_model(spark, cfg, tmp_
         layer = next(x for x, names in build.LAYERS.items() if name in names)
         assert current_version(spark, root, layer, name) == paths[name]
     assert current_version(spark, root, "marts", "mart_exception_log") != paths["mart_exception_log"]
+
+
+def test_a_folder_that_another_session_wrote_meanwhile_is_kept(spark, tmp_path, monkeypatch):
+    """Two sessions load a raw table at once: the rows of the first stay readable and come once."""
+    from ledgerloom.sources import raw
+    mine, theirs = (raw.StoredRawTables(spark, SF_SMALL, root=str(tmp_path / "raw")) for _ in range(2))
+    build_one, met = raw.BUILDERS["dim_bank"], []
+
+    def slow(r):
+        if r is mine:
+            met.append(theirs.get("dim_bank"))  # complete before the write of `mine` begins
+        return build_one(r)
+
+    monkeypatch.setitem(raw.BUILDERS, "dim_bank", slow)
+    n = mine.get("dim_bank").count()
+    assert n == met[0].count() == len(met[0].collect()) > 0
+    assert not [f for f in os.listdir(tmp_path / "raw") if f.startswith("dim_bank-")]  # nothing left beside it
+
+
+def test_written_once_by_threads_holds_one_set_of_files(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ledgerloom.sources.tables import written_once
+    path, at_once = str(tmp_path / "t"), threading.Barrier(3)
+
+    def write(folder):
+        at_once.wait(60)
+        spark.range(0, 10, 1, 2).write.parquet(folder)
+
+    with ThreadPoolExecutor(3) as pool:
+        assert list(pool.map(lambda _: written_once(spark, path, write), range(3))) == [path] * 3
+    assert spark.read.parquet(path).count() == 10 and os.listdir(tmp_path) == ["t"]
+
+
+def test_a_version_in_force_is_kept_without_over(spark, tmp_path):
+    root = str(tmp_path)
+    first = publish(spark.range(3).toDF("n"), root, "raw", "t", over=False)
+    assert publish(spark.range(5).toDF("n"), root, "raw", "t", over=False) == first
+    assert read_table(spark, root, "raw", "t").count() == 3
+    assert [n for n in os.listdir(table_folder(root, "raw", "t")) if n.startswith(("v-", "_next"))] == [os.path.basename(first)]
