@@ -31,16 +31,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE_INVERSE, filter_bit, hash_filter, in_filter, mix64, powers, prefix_hash, stored, text_or_empty, texts_of, with_fields
+from .common import BASE_INVERSE, filter_bit, hash_filter, in_filter, mix64, powers, prefix_hash, small_batches, stored, text_or_empty, texts_of, with_fields
 from .suffix_array import longest_matches, suffix_array
 
 LENGTH, SEED, HOT = 200, 50, 20_000
 #: Windows of one text handled at once; places within such a piece take the low 20 bits of a key.
 PIECE = 1 << 19
 PLACE = np.uint64((1 << 20) - 1)
+#: Segments whose bytes a task remembers to have given.
+SEEN = 100_000
 #: Symbols given to one suffix array.
 SYMBOLS = 1 << 15
 
@@ -87,16 +90,17 @@ def _seed_rows(length: int, seed: int):
 
 
 def _segments(length: int):
-    """Segments of a text's repeated seeds: id (two longs), window numbers and, once a batch, the bytes."""
+    """Segments of a text's repeated seeds: id (two longs), window numbers and the bytes, which a task
+    gives again only after ``SEEN`` other segments."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             data, offsets = texts_of(batch)
             cid = batch.column(1).to_numpy(zero_copy_only=False)
             hits = batch.column(2)
             bound = hits.offsets.to_numpy()
             lo, hi, at, fp, hot = (hits.values.field(k).to_numpy(zero_copy_only=False) for k in range(5))
-            seen: set[bytes] = set()
             s1, s2, segs, owner, pick = [], [], [], [], []
             for k in range(len(cid)):
                 text = data[offsets[k] : offsets[k + 1]].tobytes()
@@ -106,6 +110,8 @@ def _segments(length: int):
                     s1.append(int.from_bytes(d[:8], "little", signed=True))
                     s2.append(int.from_bytes(d[8:], "little", signed=True))
                     segs.append(None if d in seen else seg)
+                    if len(seen) >= SEEN:
+                        seen.clear()
                     seen.add(d)
                     owner.append(cid[k])
                     pick.append(j)
@@ -270,18 +276,22 @@ def _window_hashes(length: int):
     return rows
 
 
-def may_match(rows: DataFrame, keys: DataFrame, wanted: bool) -> DataFrame:
-    """Rows whose key may be (or surely isn't) among ``keys``, by a filter of fixed size."""
-    sent = rows.sparkSession.sparkContext.broadcast(hash_filter(keys, "key"))
+def may_match(rows: DataFrame, sent: Broadcast) -> DataFrame:
+    """Rows whose key may be among those of a sent filter, which has a fixed size."""
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = in_filter(sent.value, batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array(hit == wanted)).drop_columns(["bit"])
+            yield _filtered(batch, sent.value, True)
 
     return rows.withColumn("bit", filter_bit(F.col("key"))).mapInArrow(some, rows.schema)
 
 
+def _filtered(batch: pa.RecordBatch, bits: np.ndarray, wanted: bool) -> pa.RecordBatch:
+    """The rows whose ``bit``, the last column, is set (or isn't), without it."""
+    hit = in_filter(bits, batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False))
+    return batch.filter(pa.array(hit == wanted)).drop_columns(["bit"])
+
+
 def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(key, copies) of all texts, and (key, ranges of repeated window starts) of those that have any."""
     keyed = docs.select(F.unhex(F.sha2(text_or_empty(F.col("text")), 256)).alias("key"), "doc_id", "text")
@@ -300,7 +310,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, ho
 
     # their segments, from one text of each class
     hits = stored(hits, "hits")
-    given = may_match(keyed, hits, True).withColumnRenamed("key", "k").withColumnRenamed("doc_id", "d")
+    given = may_match(keyed, docs.sparkSession.sparkContext.broadcast(hash_filter(hits, "key"))).withColumnRenamed("key", "k").withColumnRenamed("doc_id", "d")
     texts = given.join(hits, (F.col("k") == F.col("key")) & F.col("d").eqNullSafe(F.col("rep"))).select("text", "cid", "hits")
     segments = stored(
         texts.mapInArrow(_segments(length), "cid long, lo int, more int, off int, fp long, hot boolean, s1 long, s2 long, seg binary"), "segments"
@@ -337,9 +347,13 @@ def _cover(n: int, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np
     return starts[new], np.append(ends[:-1][new[1:]], ends[-1:])
 
 
-def _cut(length: int, keep: bool):
+def _cut(length: int, keep: bool, known: Broadcast | None = None):
+    """With ``known``, a sent filter: only of rows that surely aren't in it."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if known is not None:
+                batch = _filtered(batch, known.value, False)
             data, offsets = texts_of(batch)
             copies = batch.column(2).to_numpy(zero_copy_only=False)
             ranges = batch.column(3)
@@ -378,12 +392,19 @@ def dedupe(docs: DataFrame, carry: list[str], keep: bool = True, length: int = L
     ``keep``, the remaining text (null otherwise), a row for each row. A cut
     inside a code point drops the point's rest from the text; the SHA-256 is
     that of the remaining bytes."""
-    classes, ranges = repeated_windows(docs, length, seed, hot)
-    known = classes.join(ranges, "key", "left").where("copies > 1 or ranges is not null")
-    known = stored(known, "known")
-    given = docs.select(F.unhex(F.sha2(text_or_empty(F.col("text")), 256)).alias("key"), F.struct(*carry).alias("carried"), "text")
-    theirs = may_match(given, known, True).join(known, "key", "left").select("carried", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "ranges")
-    others = may_match(given, known, False).select("carried", "text", F.lit(1).cast("long").alias("copies"), F.lit(None).cast(known.schema["ranges"].dataType).alias("ranges"))
-    schema = with_fields(given.select("carried"), "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
-    cut = theirs.mapInArrow(_cut(length, keep), schema).union(others.mapInArrow(_cut(length, keep), schema))
+    spark = docs.sparkSession
+    with small_batches(spark):
+        classes, ranges = repeated_windows(docs, length, seed, hot)
+        known = classes.join(ranges, "key", "left").where("copies > 1 or ranges is not null")
+        known = stored(known, "known")
+        sent = spark.sparkContext.broadcast(hash_filter(known, "key"))
+        given = docs.select(F.unhex(F.sha2(text_or_empty(F.col("text")), 256)).alias("key"), F.struct(*carry).alias("carried"), "text")
+        theirs = may_match(given, sent).join(known, "key", "left").select("carried", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "ranges")
+        # filtered where they are cut: a worker fewer for each task, and the texts cross once
+        none = F.lit(None).cast(known.schema["ranges"].dataType).alias("ranges")
+        others = given.select("carried", "text", F.lit(1).cast("long").alias("copies"), none, filter_bit(F.col("key")).alias("bit"))
+        schema = with_fields(given.select("carried"), "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+        cut = theirs.mapInArrow(_cut(length, keep), schema).union(others.mapInArrow(_cut(length, keep, sent), schema))
+        if not keep:  # without texts it is small, and written here its batches are small too
+            cut = stored(cut, "cut")
     return cut.select("carried.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

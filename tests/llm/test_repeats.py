@@ -62,3 +62,24 @@ def test_text_longer_than_one_piece(spark, monkeypatch):
     for a, z, p in zip(lo, hi, at):
         for w in range(a, z + 1):
             assert where.setdefault(t[w : w + 40], p - w) == p - w
+
+
+def test_digests_are_written_in_small_batches(spark):
+    """Whole texts go to Python a few at a time, also in the last step, and the caller's setting stays."""
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    docs, rows = documents(spark)
+    got = suffix_dedup.dedupe(docs, ["doc_id"], False, 40, 10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and spark.conf.get(limit) == before
+    assert sorted((str(r.doc_id), *r[1:5]) for r in got.collect()) == [r[:5] for r in brute(rows, 40)]
+
+
+def test_a_task_gives_a_segment_once():
+    import pyarrow as pa
+
+    hit = [{"lo": 0, "hi": 0, "at": 1, "fp": 7, "hot": False}]
+    kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("at", pa.int32()), ("fp", pa.int64()), ("hot", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(["abcd"]), pa.array([1], pa.int64()), pa.array([hit], kind)], ["text", "cid", "hits"])
+    given = lambda: [b.column("seg").to_pylist() for b in suffix_dedup._segments(4)([batch] * 3)]
+    assert given() == [[b"abcd"], [None], [None]]
