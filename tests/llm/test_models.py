@@ -140,6 +140,30 @@ def test_toxicity_learns_from_every_label(spark):
     assert vile in model["words"] and model["word_llr"][model["words"] == vile][0] > 0
 
 
+def test_toxicity_brings_words_together_once(spark):
+    """Labelled texts are not stored, and of the words only those that are kept are, with one row of sums."""
+    import os
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('a', id, ' good b', id, if(id % 2 = 0, ' mild', ' vile')) as text")
+    marks = docs.selectExpr("doc_id", "cast(text like '% vile' as int) as toxic")
+    with toxicity.c.recorded() as paths:
+        model = toxicity.fit(docs, marks)
+    written = {os.listdir(p)[0]: os.path.join(p, os.listdir(p)[0]) for p in (x.removeprefix("file://") for x in paths)}
+    assert "sample" not in written
+    words = spark.read.parquet(written["words"]).collect()
+    assert {r.word for r in words} == {*model["words"].tolist(), None} and len(words) == 4
+    rest = next(r for r in words if r.word is None)
+    n = sum(1 for r in marks.select(toxicity.fold_of(F.col("doc_id")).alias("f")).collect() if r.f in (1, 2, 3))
+    assert rest.k == rest.t + rest.n == 2 * n  # an own first word and an own third word in each text
+
+
+def test_toxicity_joins_small_batches():
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_pydict({"text": ["x" * 10] * 3}) for _ in range(5)]
+    got = [b.num_rows for b in toxicity._gathered(iter(batches), 2 * batches[0].nbytes)]
+    assert got == [6, 6, 3] and [b.num_rows for b in toxicity._gathered(iter(batches), 1)] == [3] * 5
+    assert list(toxicity._gathered(iter([]), 1)) == []
+
+
 def test_toxicity_cases(spark):
     docs, rows = documents(spark)
     some = labels(spark, [(k, 1, int(k % 3 == 0), None) for k in range(40)] + [(0, 1, 0, None), (None, None, None, None)])
