@@ -285,13 +285,13 @@ _LOADING = threading.Lock()
 
 
 def csv_warehouse(s: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The raw tables written as CSV, then loaded, checked and published from it
+    """The raw tables written as compressed CSV, then loaded, checked and published from it
     (once for each set of input files, also when several queries ask at the same time)."""
     raw = stored_raw(s, d, CFG)
     files, root = f"{raw.root}-csv", f"{raw.root}-loaded"
     with _LOADING:
         for t, schema in RAW_SCHEMAS.items():
-            written_once(s, f"{files}/{t}.csv", lambda folder, t=t, schema=schema: write_csv(raw.get(t), folder, schema.fieldNames()))
+            written_once(s, f"{files}/{t}.csv", lambda folder, t=t, schema=schema: write_csv(raw.get(t), folder, schema.fieldNames(), "gzip"))
         return load_warehouse(s, files, root)
 
 

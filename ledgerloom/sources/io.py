@@ -99,8 +99,8 @@ def save_table(df: DataFrame, root: str, schema_name: str, table: str, fmt: str
     return path
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> str:
-    """CSV sink with header and a column projection."""
+def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, compression: str = "none") -> str:
+    """CSV sink with header and a column projection; ``compression="gzip"`` for compressed files."""
     (df.select(*(columns or df.columns)).write.mode("overwrite")
-       .option("header", True).option("quote", '"').option("escape", '"').csv(path))
+       .option("header", True).option("quote", '"').option("escape", '"').option("compression", compression).csv(path))
     return path

@@ -26,7 +26,7 @@ from ledgerloom.operators.ranges import work_folder
 from ledgerloom.session import path_exists
 from ledgerloom.sources.io import csv_reader, file_schema
 from ledgerloom.sources.schemas import DEFAULTS, LOAD_ORDER, PRIMARY_KEYS, RAW_SCHEMAS
-from ledgerloom.sources.tables import current_version, publish, read_table
+from ledgerloom.sources.tables import _delete, current_version, publish, read_table
 
 #: Bad rows quoted in the message of an aborted load; its table holds all.
 QUOTED = 20
@@ -143,7 +143,7 @@ def load_warehouse(spark: SparkSession, folder: str, root: str, suffix: str = ".
 
     A table already published there, also by another session meanwhile, is read as it is. Rejected rows of a routed
     load are published as ``root/rejects/<table>``. All files are looked for
-    before the first is read."""
+    before the first is read. A working table goes when its rows are published."""
     paths = {}
     for t in LOAD_ORDER:
         paths[t] = next((p for ext in (suffix, f"{suffix}.gz") if path_exists(spark, p := f"{folder.rstrip('/')}/{t}{ext}")), None)
@@ -152,10 +152,12 @@ def load_warehouse(spark: SparkSession, folder: str, root: str, suffix: str = ".
 
     def load(table: str) -> DataFrame:
         if current_version(spark, root, "raw", table) is None:
-            got = load_csv(spark, paths[table], table, on_bad=on_bad)
+            parsed = work_folder(spark)
+            got = load_csv(spark, paths[table], table, on_bad=on_bad, folder=parsed)
             publish(enforced(got.rows, table, LOAD_KEYS.get(table)), root, "raw", table, over=False)
             if got.n_rejected:
                 publish(got.rejects, root, "rejects", table)
+            _delete(spark, parsed)
         return read_table(spark, root, "raw", table)
 
     out = {}

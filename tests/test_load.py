@@ -130,3 +130,19 @@ def test_warehouse_load_takes_one_settlement_id_per_country(spark, tmp_path):
     _csv(files, "bank_card_settlement.csv", ",".join(cols), [line("ASIA"), line("ASIA")])
     with pytest.raises(Exception, match="bank_card_settlement key .settlement_id, country_code. occurs again"):
         load_warehouse(spark, files, str(tmp_path / "again"))
+
+
+def test_warehouse_load_leaves_no_working_tables_and_reads_compressed_files(spark, tmp_path, monkeypatch):
+    from ledgerloom.sources import load
+    from ledgerloom.sources.io import write_csv
+    files, made = str(tmp_path / "in"), []
+    monkeypatch.setattr(load, "work_folder", lambda s: made.append(str(tmp_path / f"work-{len(made)}")) or made[-1])
+    for t in LOAD_ORDER:
+        _csv(files, f"{t}.csv", ",".join(RAW_SCHEMAS[t].fieldNames()), [])
+    os.remove(f"{files}/dim_root_cause.csv")
+    causes = make(spark, "dim_root_cause", [{"root_cause_code": f"RC-{i}"} for i in range(9)])
+    write_csv(causes, f"{files}/dim_root_cause.csv", compression="gzip")
+    assert any(n.endswith(".csv.gz") for n in os.listdir(f"{files}/dim_root_cause.csv"))
+    got = load_warehouse(spark, files, str(tmp_path / "out"))
+    assert sorted(r.root_cause_code for r in got["dim_root_cause"].collect()) == [f"RC-{i}" for i in range(9)]
+    assert made and not [n for n in os.listdir(tmp_path) if n.startswith("work-")]
