@@ -119,3 +119,14 @@ def test_a_version_in_force_is_kept_without_over(spark, tmp_path):
     assert publish(spark.range(5).toDF("n"), root, "raw", "t", over=False) == first
     assert read_table(spark, root, "raw", "t").count() == 3
     assert [n for n in os.listdir(table_folder(root, "raw", "t")) if n.startswith(("v-", "_next"))] == [os.path.basename(first)]
+
+
+def test_written_once_replaces_a_folder_that_a_killed_writer_left(spark, tmp_path):
+    from ledgerloom.sources.tables import written_once
+    path, write = str(tmp_path / "t"), lambda folder: spark.range(0, 10, 1, 2).write.parquet(folder)
+    spark.range(3).write.parquet(path)
+    os.remove(f"{path}/_SUCCESS")
+    assert spark.read.parquet(written_once(spark, path, write)).count() == 10
+    assert os.path.exists(f"{path}/_SUCCESS") and os.listdir(tmp_path) == ["t"]
+    spark.range(5).write.mode("overwrite").parquet(path)  # a complete one stays
+    assert spark.read.parquet(written_once(spark, path, write)).count() == 5
