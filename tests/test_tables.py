@@ -130,3 +130,24 @@ def test_written_once_replaces_a_folder_that_a_killed_writer_left(spark, tmp_pat
     assert os.path.exists(f"{path}/_SUCCESS") and os.listdir(tmp_path) == ["t"]
     spark.range(5).write.mode("overwrite").parquet(path)  # a complete one stays
     assert spark.read.parquet(written_once(spark, path, write)).count() == 5
+
+
+def test_a_reader_waits_for_a_pointer_that_is_being_replaced(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark.range(7).toDF("n"), root, "raw", "t")
+    folder = table_folder(root, "raw", "t")
+    name = open(f"{folder}/_current").read()
+    for f in ("_current", "._current.crc"):  # as between the deletion and the rename
+        os.remove(f"{folder}/{f}")
+
+    def put_back():
+        with open(f"{tmp_path}/next", "w") as f:
+            f.write(name)
+        os.rename(f"{tmp_path}/next", f"{folder}/_current")
+
+    later = threading.Timer(0.5, put_back)
+    later.start()
+    assert read_table(spark, root, "raw", "t").count() == 7
+    later.join()
+    with pytest.raises(FileNotFoundError, match="no version in force"):
+        read_table(spark, root, "raw", "never")
