@@ -164,6 +164,35 @@ def test_toxicity_joins_small_batches():
     assert list(toxicity._gathered(iter([]), 1)) == []
 
 
+def test_toxicity_keeps_what_is_too_many_to_be_sent(spark, monkeypatch):
+    """With room for three words and three bigrams the others are joined: no score differs. Texts repeat, are null and empty."""
+    import random
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(("red", "blue", "grey", "vile bad", "mild good", "so", f"w{rng.randint(0, 20)}")) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None, "", *texts[:5]])], "doc_id long, text string")
+    marks = labels(spark, [(k, 1, int("vile" in t), None) for k, t in enumerate(texts)])
+    scores = lambda: {r.doc_id: r.toxicity_score for r in toxicity.score(docs, marks, ["doc_id"]).collect()}
+    want, model = scores(), toxicity.fit(docs, marks)
+    assert model["rare"] is None
+    monkeypatch.setattr(toxicity, "MAX_ENTRIES", 3)
+    cut = toxicity.fit(docs, marks)
+    assert len(cut["words"]) <= 3 and len(cut["pairs"]) <= 3
+    assert len(cut["words"]) + len(cut["pairs"]) + cut["rare"].count() == len(model["words"]) + len(model["pairs"]) > 30
+    got = scores()
+    assert got.keys() == want.keys() and np.allclose([got[k] for k in want], list(want.values()))
+
+
+def test_toxicity_keeps_bigrams_of_words_with_one_left_word(spark):
+    """The last word of a fixed phrase has one context, the phrase as many as there are words before it."""
+    docs = spark.range(120).selectExpr("id as doc_id", "concat('w', id % 40, ' fixed ', if(id % 2 = 0, 'phrase', 'saying')) as text")
+    marks = docs.selectExpr("doc_id", "cast(text like '%phrase' as int) as toxic")
+    model = toxicity.fit(docs, marks)
+    hashes = lambda t: toxicity.c.span_hashes(np.frombuffer(t, np.uint8), np.array([0]), np.array([len(t)]))
+    gram = toxicity.gram_of(hashes(b"fixed"), hashes(b"phrase")).view(np.int64)[0]
+    assert hashes(b"phrase").view(np.int64)[0] not in model["words"]
+    assert gram in model["pairs"] and model["pair_llr"][model["pairs"] == gram][0] > 0
+
+
 def test_toxicity_cases(spark):
     docs, rows = documents(spark)
     some = labels(spark, [(k, 1, int(k % 3 == 0), None) for k in range(40)] + [(0, 1, 0, None), (None, None, None, None)])
